@@ -22,6 +22,7 @@ from listlake.operators.multivalue import (
     join_bridge_dim,
     join_fact_multivalue,
 )
+from listlake.operators.quality import Suite, run_checks
 
 JOB_KEY = "job_id"
 
@@ -194,3 +195,41 @@ def build_models(
     strategy: str = "fused",
 ) -> dict[str, DataFrame]:
     return models(staging(lake), dim_date(spark, start, end), strategy)
+
+
+# ----------------------------------------------------------------------------------- data tests
+
+
+def declared_suite() -> Suite:
+    """The data tests declared on the warehouse."""
+    suite = (
+        Suite()
+        .unique("lake__joblist", "detail_link")
+        .not_null("lake__joblist", "detail_link", "listing_start_date")
+        .unique("stg_joblist", JOB_KEY, "detail_link")
+        .not_null("stg_joblist", JOB_KEY, "detail_link", "listing_start_date")
+        .unique("fct_jobs", JOB_KEY)
+        .not_null("fct_jobs", JOB_KEY, "listing_start_date")
+        .unique("dim_job_details", JOB_KEY)
+        .not_null("dim_job_details", JOB_KEY)
+        .relationships("dim_job_details", JOB_KEY, "fct_jobs", JOB_KEY)
+        .unique("bi__job_analysis", JOB_KEY)
+        .not_null("bi__job_analysis", JOB_KEY)
+        .not_null("bi__job_analysis_detail", JOB_KEY)
+        .unique_combination(
+            "bi__job_analysis_detail", JOB_KEY, *[a.id for a in ATTRIBUTES.values()]
+        )
+    )
+    for name, attr in ATTRIBUTES.items():
+        dim, link = f"dim_{name}", f"bridge_{name}"
+        suite.unique(dim, attr.id).not_null(dim, attr.id, attr.value)
+        suite.not_null(link, JOB_KEY, attr.id)
+        suite.relationships(link, JOB_KEY, "fct_jobs", JOB_KEY)
+        suite.relationships(link, attr.id, dim, attr.id)
+        suite.unique_combination(link, JOB_KEY, attr.id)
+    return suite
+
+
+def check_warehouse(lake: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Results of every declared test. Pass published tables: views would expand once per test."""
+    return run_checks({"lake__joblist": lake, **tables}, declared_suite().checks)
