@@ -13,16 +13,21 @@ expressions cannot prove flat, so Python sees NULL for all others.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from listlake.functions.scalars import trim_text
 
+# Executors get the UDFs of this module by value, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ELEMENT = "array<struct<pos:int,last:int,tag:string,cls:string,text:string,href:string>>"
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -151,6 +156,12 @@ def elements(tokens: Column, selector: Selector) -> Column:
     return F.filter(tokens, selector.matches)
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once. Inside a lambda an expression is computed anew
+    for every array element, so an element found by a search has to be bound first."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def inside(tokens: Column, outer: Column) -> Column:
     """Elements below ``outer`` (one element)."""
     return F.filter(tokens, lambda e: (e["pos"] > outer["pos"]) & (e["pos"] <= outer["last"]))
@@ -162,12 +173,17 @@ def inside(tokens: Column, outer: Column) -> Column:
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0"}
 OTHER_ENTITY = r"&(?!(?:amp|lt|gt|quot|nbsp|#39);)[a-zA-Z#]"
 HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)(?=[\s>])[^<>]*>.*?</\1\s*>"
+HIDDEN_START = r"(?i)<(?:!--|(?:script|style|template)[\s>])"
 LEAF = r"(?i)<([a-z][a-z0-9]*)(?:\s[^<>]*)?>([^<]*)</\1>|<(?:br|wbr|hr|img)(?:\s[^<>]*)?/?>"
 
 
+def has_hidden(html: Column) -> Column:
+    return html.rlike(HIDDEN_START)
+
+
 def visible_markup(html: Column) -> Column:
     """The page without comments, scripts and styles, whose text may look like markup."""
-    return F.regexp_replace(html, HIDDEN, "")
+    return F.when(has_hidden(html), F.regexp_replace(html, HIDDEN, "")).otherwise(html)
 
 
 def unescape(text: Column) -> Column:
@@ -198,11 +214,18 @@ def all_flat(markup: Column, found: Column, selector: Selector) -> Column:
     return (mentions == F.size(found)) & F.forall(found, is_flat)
 
 
-def no_open_end(markup: Column) -> Column:
+def no_open_end(html: Column, markup: Column) -> Column:
     """No comment, script or style that runs to the end of the page survived the clean-up."""
-    return ~markup.rlike(r"(?i)<!--|<(?:script|style|template)[\s>]")
+    return ~has_hidden(html) | ~has_hidden(markup)
+
+
+def tag_count(markup: Column) -> Column:
+    return F.length(markup) - F.length(F.replace(markup, F.lit("<"), F.lit("")))
+
+
+def plain_texts(markup: Column, pattern: str, group: int = 1) -> Column:
+    return F.regexp_extract_all(markup, F.lit(pattern), F.lit(group))
 
 
-def only_elements(content: Column, pattern: str) -> Column:
-    """Nothing but text is left once the elements matching ``pattern`` are taken out."""
-    return ~F.contains(F.regexp_replace(content, pattern, ""), F.lit("<"))
+def known_entities(markup: Column) -> Column:
+    return ~F.contains(markup, F.lit("&")) | ~markup.rlike(OTHER_ENTITY)

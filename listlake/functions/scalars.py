@@ -6,17 +6,26 @@ NULL under ANSI mode instead of failing the job.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The characters str.strip() removes, as a regular-expression class.
-BLANKS = (
-    r"[\u0009-\u000d\u001c-\u0020\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Executors get the UDFs of this module by value, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# The characters str.strip() removes.
+BLANKS = "".join(
+    map(
+        chr,
+        [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+        + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
 )
 
 FIRST_DIGITS = r"(\d+)"
@@ -55,9 +64,7 @@ def digits_to_int(c: Column) -> Column:
 
 def trim_text(c: Column) -> Column:
     """Strip every Unicode blank from both ends, not only U+0020."""
-    # The look-behind keeps the trailing pass linear: a run of blanks is tried from its start only.
-    head = F.regexp_replace(c, rf"\A{BLANKS}+", "")
-    return F.regexp_replace(head, rf"(?<!{BLANKS}){BLANKS}+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def strip_prefix(c: Column, length: int = 6) -> Column:

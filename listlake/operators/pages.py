@@ -7,6 +7,7 @@ Each operator adds columns or rows by narrow transformations only: no shuffle, o
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,14 +16,17 @@ from pyspark.sql import functions as F
 from listlake.functions.html import (
     Selector,
     all_flat,
+    bind,
     contents,
     elements,
     html_tokens,
     inner_text,
     inside,
     is_flat,
+    known_entities,
     no_open_end,
-    only_elements,
+    plain_texts,
+    tag_count,
     visible_markup,
 )
 from listlake.functions.scalars import digits_to_int, parse_jp_date, strip_prefix, trim_text
@@ -70,7 +74,7 @@ def extract_texts(
 ) -> DataFrame:
     """Add ``output``: stripped text of every element the selector names, in page order."""
     df = _markup(pages, html).withColumn("_found", contents(F.col("_markup"), selector))
-    flat = no_open_end(F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
+    flat = no_open_end(F.col(html), F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
     df = _with_tokens(df, html, flat, [selector], parser)
     texts = _pick(
         parser,
@@ -97,7 +101,7 @@ def extract_links(
 ) -> DataFrame:
     """Add ``links``: the first ``a[href]`` inside every element the selector names."""
     df = _markup(pages, html).withColumn("_found", contents(F.col("_markup"), selector))
-    flat = no_open_end(F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
+    flat = no_open_end(F.col(html), F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
     plain = _plain_links(F.col("_found"))
     df = _with_tokens(df, html, flat & plain, [selector, ANCHOR], parser)
     links = _pick(parser, F.transform("_found", _href), lambda: _token_links(selector))
@@ -143,7 +147,7 @@ def parse_list_page(
         {f"_{n}": contents(markup, s) for n, s in (("t", title), ("d", date), ("l", link))}
     )
     flat = (
-        no_open_end(markup)
+        no_open_end(F.col(html), markup)
         & all_flat(markup, F.col("_t"), title)
         & all_flat(markup, F.col("_d"), date)
         & all_flat(markup, F.col("_l"), link)
@@ -185,62 +189,65 @@ TABLE = Selector(tag="table")
 TR, TH, TD = Selector(tag="tr"), Selector(tag="th"), Selector(tag="td")
 
 
+# Elements holding text only. The possessive ``[^<]*+`` never backtracks.
+PLAIN_LI = r"(?i)<li(?:\s[^<>]*)?>([^<]*+)</li\s*>"
+PLAIN_ROW = (
+    r"(?i)<tr(?:\s[^<>]*)?>\s*<th(?:\s[^<>]*)?>([^<]*+)</th\s*>"
+    r"\s*<td(?:\s[^<>]*)?>([^<]*+)</td\s*>\s*</tr\s*>"
+)
+TABLE_START = r"(?i)<table[\s>]"
+FIRST_TABLE = r"(?is)<table(?:\s[^<>]*)?>(.*?)</table\s*>"
+TABLE_WRAPPER = r"(?i)</?(?:thead|tbody|tfoot)\s*>"
+
+
 def _first_ul(box: Selector) -> str:
     """Group 2: between the box and its list, group 3: the list's content."""
     return rf"(?s){box.open_pattern}(.*?)<ul(?:\s[^<>]*)?>(.*?)</ul\s*>"
 
 
-FIRST_TABLE = r"(?is)<table(?:\s[^<>]*)?>(.*?)</table\s*>"
-TABLE_WRAPPERS = r"(?i)</?(?:thead|tbody|tfoot)\s*>"
-CELLS = r"(?is)<(th|td)(?:\s[^<>]*)?>(.*?)</\1\s*>"
-
-
 def _items_columns(box: Selector) -> tuple[dict[str, Column], Column]:
-    markup = F.col("_markup")
-    pattern = _first_ul(box)
-    ul = F.regexp_extract(markup, pattern, 3)
-    columns = {"_gap": F.regexp_extract(markup, pattern, 2), "_ul": ul, "_li": contents(ul, LI)}
-    # A box that is named but not matched, or a list that is not in it, is left to the parser.
-    named = F.contains(markup, F.lit(box.cls)) if box.cls else F.lit(True)
-    first = F.regexp_count(markup, F.lit(box.open_pattern)) == (
-        F.regexp_count(markup, F.lit(box.cls)) if box.cls else F.lit(1)
-    )
-    flat = ~named | (
-        first
+    """Native columns of the list, and whether they provably agree with the parser: all tags of the
+    list are those of the matched text-only items, nothing but flat markup lies between box and
+    list, and the box is not mentioned anywhere else."""
+    markup, pattern = F.col("_markup"), _first_ul(box)
+    columns = {
+        "_gap": F.regexp_extract(markup, pattern, 2),
+        "_ul": F.regexp_extract(markup, pattern, 3),
+        "_li": plain_texts(F.col("_ul"), PLAIN_LI),
+    }
+    mention = re.escape(box.cls) if box.cls else rf"(?i)<{box.tag}(?=[\s>/])"
+    mentions = F.regexp_count(markup, F.lit(mention))
+    flat = (mentions == 0) | (
+        (mentions == 1)
         & markup.rlike(pattern)
         & is_flat(F.col("_gap"))
-        & F.forall("_li", is_flat)
-        & only_elements(F.col("_ul"), LI.element_pattern)
+        & (tag_count(F.col("_ul")) == 2 * F.size("_li"))
+        & known_entities(F.col("_ul"))
     )
     return columns, flat
 
 
 def _pairs_columns() -> tuple[dict[str, Column], Column]:
-    markup = F.col("_markup")
-    body = F.regexp_replace(F.regexp_extract(markup, FIRST_TABLE, 1), TABLE_WRAPPERS, "")
-    columns = {"_table": body, "_tr": contents(body, TR)}
-    flat = ~markup.rlike(r"(?i)<table[\s>]") | (
-        markup.rlike(FIRST_TABLE)
-        & only_elements(F.col("_table"), TR.element_pattern)
-        & F.forall(
-            "_tr",
-            lambda row: only_elements(row, CELLS)
-            & F.forall(F.regexp_extract_all(row, F.lit(CELLS), F.lit(2)), is_flat),
-        )
-    )
+    """The same for the table: its tags are those of rows made of one text-only th and td."""
+    markup, table = F.col("_markup"), F.col("_table")
+    columns = {
+        "_table": F.regexp_extract(markup, FIRST_TABLE, 1),
+        "_th": plain_texts(table, PLAIN_ROW, 1),
+        "_td": plain_texts(table, PLAIN_ROW, 2),
+    }
+    wrappers = F.regexp_count(table, F.lit(TABLE_WRAPPER))
+    flat = F.when(
+        table != "",
+        (tag_count(table) == 6 * F.size("_th") + wrappers) & known_entities(table),
+    ).otherwise(~markup.rlike(TABLE_START))
     return columns, flat
 
 
 def _native_pairs() -> Column:
     """``array<struct<label,value>>`` of the rows having both cells."""
-    pairs = F.transform(
-        "_tr",
-        lambda row: F.struct(
-            _first(F.transform(contents(row, TH), inner_text)).alias("label"),
-            _first(F.transform(contents(row, TD), inner_text)).alias("value"),
-        ),
+    return F.arrays_zip(
+        F.transform("_th", inner_text).alias("label"), F.transform("_td", inner_text).alias("value")
     )
-    return _complete(pairs)
 
 
 def _complete(pairs: Column) -> Column:
@@ -249,24 +256,27 @@ def _complete(pairs: Column) -> Column:
 
 def _token_items(box: Selector) -> Column:
     tokens = F.col("_tokens")
-    first_box = _first(elements(tokens, box))
-    first_list = _first(elements(inside(tokens, first_box), UL))
-    texts = F.transform(
-        elements(inside(tokens, first_list), LI), lambda e: trim_text(e["text"])
-    )
+    lists = bind(_first(elements(tokens, box)), lambda b: elements(inside(tokens, b), UL))
+    items = bind(_first(lists), lambda ul: elements(inside(tokens, ul), LI))
+    texts = F.transform(items, lambda e: trim_text(e["text"]))
     return F.coalesce(texts, F.array().cast("array<string>"))
 
 
 def _token_pairs() -> Column:
     tokens = F.col("_tokens")
-    table = _first(elements(tokens, TABLE))
+    content = bind(_first(elements(tokens, TABLE)), lambda table: inside(tokens, table))
 
-    def cell(row: Column, kind: Selector) -> Column:
-        return trim_text(_first(elements(inside(tokens, row), kind))["text"])
+    def pair(cells: Column) -> Column:
+        return F.struct(
+            trim_text(_first(elements(cells, TH))["text"]).alias("label"),
+            trim_text(_first(elements(cells, TD))["text"]).alias("value"),
+        )
 
-    pairs = F.transform(
-        elements(inside(tokens, table), TR),
-        lambda row: F.struct(cell(row, TH).alias("label"), cell(row, TD).alias("value")),
+    pairs = bind(
+        content,
+        lambda c: F.transform(
+            elements(c, TR), lambda row: bind(inside(c, row), pair)
+        ),
     )
     return F.coalesce(_complete(pairs), F.array().cast("array<struct<label:string,value:string>>"))
 
@@ -282,7 +292,7 @@ def positional_fields(
     df = _markup(pages, html)
     for name, column in columns.items():
         df = df.withColumn(name, column)
-    df = _with_tokens(df, html, no_open_end(F.col("_markup")) & flat, [box, UL, LI], parser)
+    df = _with_tokens(df, html, no_open_end(F.col(html), F.col("_markup")) & flat, [box, UL, LI], parser)
     items = _pick(parser, F.transform("_li", inner_text), lambda: _token_items(box))
     return df.withColumn("items", items).drop("_markup", *columns, "_flat", "_tokens")
 
@@ -293,7 +303,7 @@ def label_values(pages: DataFrame, html: str = "html", parser: str = "auto") ->
     df = _markup(pages, html)
     for name, column in columns.items():
         df = df.withColumn(name, column)
-    df = _with_tokens(df, html, no_open_end(F.col("_markup")) & flat, [TABLE, TR, TH, TD], parser)
+    df = _with_tokens(df, html, no_open_end(F.col(html), F.col("_markup")) & flat, [TABLE, TR, TH, TD], parser)
     pairs = _pick(parser, _native_pairs(), _token_pairs)
     return df.withColumn("pairs", pairs).drop("_markup", *columns, "_flat", "_tokens")
 
@@ -339,7 +349,7 @@ def parse_detail_page(
     df = _markup(pages, html)
     for name, column in {**item_columns, **pair_columns}.items():
         df = df.withColumn(name, column)
-    flat = no_open_end(F.col("_markup")) & items_flat & pairs_flat
+    flat = no_open_end(F.col(html), F.col("_markup")) & items_flat & pairs_flat
     df = _with_tokens(df, html, flat, [box, UL, LI, TABLE, TR, TH, TD], parser)
     df = df.select(
         *keep,

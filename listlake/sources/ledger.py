@@ -6,20 +6,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from listlake.operators.joins import anti_join
 from listlake.schemas import LEDGER
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Processed messages; empty where nothing was written yet."""
-    try:
-        return spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], LEDGER)
-        raise
+    """Processed messages; an empty ledger is written where there is none yet."""
+    spark.createDataFrame([], LEDGER).coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
 
 
 def anti_join_ledger(messages: DataFrame, ledger: DataFrame) -> DataFrame:

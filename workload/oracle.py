@@ -24,7 +24,7 @@ LAKE_CTE = f"""lake AS (
          CASE WHEN n_chars % 9 = 0 THEN NULL ELSE (n_chars % 30) || '名' END
            AS number_of_applicants,
          source || ' ' || lang || ' ' || doc_id AS job_title,
-         DATE '2024-10-01' + CAST(n_chars % 500 AS INTEGER) AS listing_start_date,
+         DATE '2025-11-15' + CAST(n_chars % 60 AS INTEGER) AS listing_start_date,
          '/jobs/' || doc_id AS detail_link
   FROM documents)"""
 
@@ -114,7 +114,7 @@ MERGED = (
 PARTITION = "CAST(strftime(listing_start_date, '%Y%m%d') AS INTEGER) AS partition_date"
 LIST_ROWS = (
     "SELECT doc_id // 20 + 1 AS page, source || ' & ' || lang AS job_title, "
-    "DATE '2024-10-01' + CAST(n_chars % 500 AS INTEGER) AS listing_start_date, "
+    "DATE '2025-11-15' + CAST(n_chars % 60 AS INTEGER) AS listing_start_date, "
     "'/jobs/' || doc_id AS detail_link FROM documents"
 )
 DETAIL_COLUMNS = ", ".join(
@@ -234,7 +234,7 @@ ORACLE: dict[str, str] = {
     + entities("regexp_extract(html, '<title>(.*?)</title>', 1)") + ") AS title FROM pages",
     "extract_dates": "SELECT doc_id // 20 + 1 AS page, "
     "row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1 AS pos, "
-    "strftime(DATE '2024-10-01' + CAST(n_chars % 500 AS INTEGER), '%Y年%-m月%-d日') AS date_text "
+    "strftime(DATE '2025-11-15' + CAST(n_chars % 60 AS INTEGER), '%Y年%-m月%-d日') AS date_text "
     "FROM documents",
     "extract_links": f"SELECT page_id, pos, link FROM ({LINK_ROWS})",
     "parse_detail_page": WITH_LAKE + f"SELECT detail_link, {DETAIL_COLUMNS} FROM lake",

@@ -636,7 +636,7 @@ def collect_day(spark, sf_dir):
     """The whole collection: list pages, cut-off, detail pages, day file."""
     root = work_dir(spark, "collected")
     out = daily.collect_day(
-        list_pages(spark, sf_dir), detail_pages(spark, sf_dir), root, date(2024, 10, 2)
+        list_pages(spark, sf_dir), detail_pages(spark, sf_dir), root, date(2025, 11, 16)
     )
     return C.read_csv_typed(spark, out["saved_path"])
 

@@ -42,7 +42,7 @@ def listing_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN n_chars % 9 = 0 THEN NULL ELSE concat(n_chars % 30, '名') END "
         "AS number_of_applicants",
         "concat(source, ' ', lang, ' ', doc_id) AS job_title",
-        "date_add(DATE'2024-10-01', cast(n_chars % 500 AS int)) AS listing_start_date",
+        "date_add(DATE'2025-11-15', cast(n_chars % 60 AS int)) AS listing_start_date",
         "concat('/jobs/', doc_id) AS detail_link",
     ).select(*LAKE.names)
 
@@ -60,7 +60,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _escape(F.concat_ws(" & ", "source", "lang")),
         F.lit('</div><div class="time-Stamp">掲載開始日：'),
         F.expr(
-            "date_format(date_add(DATE'2024-10-01', cast(n_chars % 500 AS int)), \"y'年'M'月'd'日'\")"
+            "date_format(date_add(DATE'2025-11-15', cast(n_chars % 60 AS int)), \"y'年'M'月'd'日'\")"
         ),
         F.lit('</div><ul><li class="detail-Btn02"><a class="btn" href="/jobs/'),
         F.col("doc_id").cast("string"),
