@@ -49,12 +49,13 @@ def dq_relationships(
 ) -> DataFrame:
     """Child keys without a parent and the number ``n`` of child rows holding them.
 
-    Child rows are counted per key first: what meets the parent is one row per distinct key.
+    Both sides are reduced to distinct keys before they meet, so neither a popular child key nor
+    copies in the parent load one task.
     """
     keys = (
         child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     )
-    parents = parent.select(F.col(parent_key).alias(key))
+    parents = parent.select(F.col(parent_key).alias(key)).distinct()
     return keys.join(parents, key, "left_anti")
 
 

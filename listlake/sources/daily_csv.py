@@ -78,32 +78,35 @@ def read_days(
     return file_gate(df, min_bytes)
 
 
-def write_days(df: DataFrame, root: str, day: str, file_format: str = "csv") -> int:
-    """Write every row into the folder of its own ``day`` column, replacing those days; the number
-    of rows comes from the write itself.
-
-    Tasks write what they hold: no shuffle, and a hot day is spread over all tasks. Files stay below
-    ``ROWS_PER_FILE`` rows because a multi-line file cannot be split when read back.
-    """
+def _write(df: DataFrame, root: str) -> int:
     seen = Observation()
-    out = df.withColumn(DAY, date_to_partition(F.col(day)))
-    if day not in LAKE.names:
-        out = out.drop(day)
-    writer = (
-        out.observe(seen, F.count(F.lit(1)).alias("rows"))
+    (
+        df.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.partitionBy(DAY)
         .mode("overwrite")
+        # Days without a row in ``df`` are left alone.
         .option("partitionOverwriteMode", "dynamic")
+        # A multi-line file cannot be split when it is read back.
         .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .options(**WRITE)
+        .csv(root)
     )
-    if file_format == "csv":
-        writer.options(**WRITE).csv(root)
-    else:
-        writer.format(file_format).save(root)
     return seen.get["rows"]
 
 
 def save_day(df: DataFrame, root: str, day: date) -> tuple[str, int]:
-    """A run's output as the files of one day, replacing that day: ``(folder, rows)``."""
-    rows = write_days(df.withColumn("_day", F.lit(day)), root, "_day")
-    return f"{root}/{DAY}={day.strftime('%Y%m%d')}", rows
+    """A run's output as the files of one day, replacing that day: ``(folder, rows)``.
+
+    Every task writes what it holds, without a shuffle; the row count comes from the write itself.
+    """
+    partition = int(day.strftime("%Y%m%d"))
+    rows = _write(df.withColumn(DAY, F.lit(partition)), root)
+    return f"{root}/{DAY}={partition}", rows
+
+
+def write_days(df: DataFrame, root: str, day: str) -> int:
+    """Many days at once: every row goes to the folder of its ``day`` column.
+
+    Rebalance gathers the rows of a day into few files and cuts a hot day into several.
+    """
+    return _write(df.withColumn(DAY, date_to_partition(F.col(day))).hint("rebalance", DAY), root)

@@ -55,11 +55,9 @@ class LakeTable:
     def _manifest(self) -> tuple[int, dict[date | None, int]]:
         """Current version and the folder of every day: one entry per day of the table's life."""
         rows = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest")
-        version = rows.agg(F.max("v")).first()[0]
-        if version is None:
-            return 0, {}
-        current = rows.where(F.col("v") == version).select("day", "folder").collect()
-        return version, {r["day"]: r["folder"] for r in current}
+        # The newest version is a scalar subquery on the partition column: older ones stay closed.
+        current = rows.where(F.col("v") == rows.agg(F.max("v")).scalar()).collect()
+        return max((r["v"] for r in current), default=0), {r["day"]: r["folder"] for r in current}
 
     def _read(self, folders: dict[date | None, int]) -> DataFrame:
         if not folders:

@@ -17,6 +17,12 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {
+    "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean",
+}
+
+
 def plain(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 6)
@@ -35,6 +41,10 @@ def differences(df, con, sql: str) -> str | None:
     names = [d[0] for d in cursor.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in cursor.description}
+    odd = {c: (t, types[c]) for c, t in df.dtypes if t != types[c]}
+    if odd:
+        return f"types (Spark, SQL) {odd}"
     order = sorted(range(len(names)), key=lambda i: names[i])
     want = Counter(tuple(plain(r[i]) for i in order) for r in cursor.fetchall())
     got = Counter(tuple(plain(v) for v in r) for r in df.select(*sorted(names)).collect())

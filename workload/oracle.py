@@ -230,7 +230,7 @@ ORACLE: dict[str, str] = {
     "materialize_model": WITH_STG + REPORT,
     # page parsing
     "parse_list_page": LIST_ROWS,
-    "extract_titles": "SELECT page_id, 0 AS pos, trim("
+    "extract_titles": "SELECT page_id, CAST(0 AS BIGINT) AS pos, trim("
     + entities("regexp_extract(html, '<title>(.*?)</title>', 1)") + ") AS title FROM pages",
     "extract_dates": "SELECT doc_id // 20 + 1 AS page, "
     "row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1 AS pos, "
@@ -262,7 +262,7 @@ ORACLE: dict[str, str] = {
     "array_to_string(tool, '|') AS tool, array_to_string(framework, '|') AS framework) FROM stg",
     "project_fact": WITH_STG + FACT,
     "project_details": WITH_STG + f"SELECT job_id, {DETAILS} FROM stg",
-    "filter_since": "SELECT event_id, user_id, event_type, ts FROM events "
+    "filter_since": "SELECT event_id, user_id, event_type, value FROM events "
     "WHERE ts >= TIMESTAMP '2024-01-15'",
     "page_cutoff": f"WITH {EVENT_PAGES_CTE} SELECT event_id, day, page FROM crawled "
     "WHERE day >= DATE '2024-01-26' AND page <= coalesce("

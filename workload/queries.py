@@ -53,6 +53,11 @@ def lines_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", S.split_lines(F.col("text")).alias("lines"))
 
 
+def explode_numbered(df: DataFrame, keep: list[str], array, value: str) -> DataFrame:
+    rows = df.select(*keep, F.posexplode(array).alias("pos", value))
+    return rows.withColumn("pos", F.col("pos").cast("bigint"))
+
+
 LINES = M.Attribute("lines", "line_id", "line")
 
 
@@ -142,19 +147,19 @@ def parse_list_page(spark, sf_dir):
 @query
 def extract_titles(spark, sf_dir):
     pages = P.extract_titles(table(spark, sf_dir, "pages"), Selector(tag="title"))
-    return pages.select("page_id", F.posexplode("titles").alias("pos", "title"))
+    return explode_numbered(pages, ["page_id"], "titles", "title")
 
 
 @query
 def extract_dates(spark, sf_dir):
     pages = P.extract_dates(list_pages(spark, sf_dir))
-    return pages.select("page", F.posexplode("dates").alias("pos", "date_text"))
+    return explode_numbered(pages, ["page"], "dates", "date_text")
 
 
 @query
 def extract_links(spark, sf_dir):
     pages = P.extract_links(table(spark, sf_dir, "pages"), Selector(tag="li"))
-    return pages.select("page_id", F.posexplode("links").alias("pos", "link"))
+    return explode_numbered(pages, ["page_id"], "links", "link")
 
 
 @query
@@ -197,7 +202,7 @@ def html_tokens_udf(spark, sf_dir):
     tokens = table(spark, sf_dir, "pages").select(
         "page_id", html_tokens(F.col("html"), [anchor]).alias("tokens")
     )
-    rows = tokens.select("page_id", F.posexplode(elements(F.col("tokens"), anchor)).alias("pos", "e"))
+    rows = explode_numbered(tokens, ["page_id"], elements(F.col("tokens"), anchor), "e")
     return rows.select("page_id", "pos", "e.href", "e.text")
 
 
@@ -223,8 +228,8 @@ def project_details(spark, sf_dir):
 
 @query
 def filter_since(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    return G.filter_since(events, "ts", SINCE)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    return G.filter_since(events, "ts", SINCE).drop("ts")
 
 
 @query
@@ -436,7 +441,7 @@ def strip_prefix(spark, sf_dir):
 @query
 def resolve_url(spark, sf_dir):
     pages = P.extract_links(table(spark, sf_dir, "pages"), Selector(tag="li"))
-    links = pages.select("page_id", "url", F.posexplode("links").alias("pos", "link"))
+    links = explode_numbered(pages, ["page_id", "url"], "links", "link")
     return links.select(
         "page_id", "pos", S.resolve_url(F.col("url"), F.col("link")).alias("absolute"),
         S.resolve_url(F.col("url"), F.col("url")).alias("unchanged"),
