@@ -120,6 +120,17 @@ def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.select(key).distinct(), key, "left_anti")
 
 
-def unnest(df: DataFrame, array: str, value: str) -> DataFrame:
-    """One row per array element; rows with a NULL or empty array give none."""
-    return df.withColumn(value, F.explode(array))
+def unnest(
+    df: DataFrame, array, value: str, keep: list[str] | None = None, pos: str | None = None
+) -> DataFrame:
+    """One row per array element; rows with a NULL or empty array give none.
+
+    ``keep`` lists the other columns (all by default); ``pos`` names the element's position, from 0.
+    The outer generator with a filter on the position is deliberate: for an inner one the optimizer
+    adds a "size > 0" filter and pushes it down to the scan, computing the array twice.
+    """
+    keep = df.columns if keep is None else keep
+    index = pos or "_pos"
+    rows = df.select(*keep, F.posexplode_outer(array).alias(index, value))
+    rows = rows.where(F.col(index).isNotNull())
+    return rows.withColumn(pos, F.col(pos).cast("bigint")) if pos else rows.drop(index)

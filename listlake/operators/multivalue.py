@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listlake.functions.scalars import md5_key
-from listlake.operators.joins import left_join_many, left_join_unique
+from listlake.operators.joins import left_join_many, left_join_unique, unnest
 
 
 @dataclass(frozen=True)
@@ -29,15 +29,13 @@ def dimension(df: DataFrame, attr: Attribute) -> DataFrame:
     Copies collapse before the shuffle (partial aggregate), and the key is hashed once per distinct
     value rather than once per element.
     """
-    values = df.select(F.explode(attr.array).alias(attr.value)).distinct()
+    values = unnest(df, attr.array, attr.value, keep=[]).distinct()
     return values.select(md5_key(F.col(attr.value)).alias(attr.id), attr.value)
 
 
 def bridge(df: DataFrame, key: str, attr: Attribute) -> DataFrame:
     """One row per list element, repeated elements included. Narrow: no shuffle."""
-    return df.select(key, F.explode(attr.array).alias("_v")).select(
-        key, md5_key(F.col("_v")).alias(attr.id)
-    )
+    return unnest(df, attr.array, "_v", keep=[key]).select(key, md5_key(F.col("_v")).alias(attr.id))
 
 
 def join_bridge_dim(

@@ -30,6 +30,7 @@ from listlake.functions.html import (
     visible_markup,
 )
 from listlake.functions.scalars import digits_to_int, parse_jp_date, strip_prefix, trim_text
+from listlake.operators.joins import unnest
 from listlake.schemas import BASIC_FIELDS, DETAIL_LABELS, DETAIL_ROWS
 
 TITLE = Selector(cls="job-Title")
@@ -173,7 +174,7 @@ def parse_list_page(
     rows = F.arrays_zip(
         *[F.slice(c, F.lit(1), shortest).alias(c) for c in ("_titles", "_dates", "_links")]
     )
-    return lists.select(*keep, F.explode(rows).alias("_row")).select(
+    return unnest(lists, rows, "_row", keep=keep).select(
         *keep,
         F.col("_row._titles").alias("job_title"),
         parse_jp_date(F.col("_row._dates")).alias("listing_start_date"),

@@ -51,9 +51,9 @@ def test_trim_text_equals_python_strip(spark):
 
 
 def test_date_text(spark):
-    values = ["掲載開始日：2024年12月27日", "掲載開始日：2024年3月1日", "未定", "掲載開始日：2024年13月1日", None]
+    values = ["掲載開始日：2024年12月27日", "掲載開始日：2024年3月1日", "未定", "掲載開始日：2024年13月1日", "掲載開始日：２０２４年０３月1日", "掲載開始日：24年3月1日", None]
     got = evaluate(spark, lambda c: S.parse_jp_date(S.strip_prefix(S.trim_text(c))), values)
-    assert got == [date(2024, 12, 27), date(2024, 3, 1), None, None, None]
+    assert got == [date(2024, 12, 27), date(2024, 3, 1), None, None, date(2024, 3, 1), None, None]
 
 
 def test_jst_dates(spark):

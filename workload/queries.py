@@ -53,11 +53,6 @@ def lines_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", S.split_lines(F.col("text")).alias("lines"))
 
 
-def explode_numbered(df: DataFrame, keep: list[str], array, value: str) -> DataFrame:
-    rows = df.select(*keep, F.posexplode(array).alias("pos", value))
-    return rows.withColumn("pos", F.col("pos").cast("bigint"))
-
-
 LINES = M.Attribute("lines", "line_id", "line")
 
 
@@ -147,19 +142,19 @@ def parse_list_page(spark, sf_dir):
 @query
 def extract_titles(spark, sf_dir):
     pages = P.extract_titles(table(spark, sf_dir, "pages"), Selector(tag="title"))
-    return explode_numbered(pages, ["page_id"], "titles", "title")
+    return J.unnest(pages, "titles", "title", keep=["page_id"], pos="pos")
 
 
 @query
 def extract_dates(spark, sf_dir):
     pages = P.extract_dates(list_pages(spark, sf_dir))
-    return explode_numbered(pages, ["page"], "dates", "date_text")
+    return J.unnest(pages, "dates", "date_text", keep=["page"], pos="pos")
 
 
 @query
 def extract_links(spark, sf_dir):
     pages = P.extract_links(table(spark, sf_dir, "pages"), Selector(tag="li"))
-    return explode_numbered(pages, ["page_id"], "links", "link")
+    return J.unnest(pages, "links", "link", keep=["page_id"], pos="pos")
 
 
 @query
@@ -202,7 +197,7 @@ def html_tokens_udf(spark, sf_dir):
     tokens = table(spark, sf_dir, "pages").select(
         "page_id", html_tokens(F.col("html"), [anchor]).alias("tokens")
     )
-    rows = explode_numbered(tokens, ["page_id"], elements(F.col("tokens"), anchor), "e")
+    rows = J.unnest(tokens, elements(F.col("tokens"), anchor), "e", keep=["page_id"], pos="pos")
     return rows.select("page_id", "pos", "e.href", "e.text")
 
 
@@ -288,7 +283,7 @@ def join_fact_multivalue(spark, sf_dir):
 
 @query
 def unnest_lateral(spark, sf_dir):
-    return J.unnest(lines_of_documents(spark, sf_dir), "lines", "line").select("doc_id", "line")
+    return J.unnest(lines_of_documents(spark, sf_dir), "lines", "line", keep=["doc_id"])
 
 
 @query
@@ -441,7 +436,7 @@ def strip_prefix(spark, sf_dir):
 @query
 def resolve_url(spark, sf_dir):
     pages = P.extract_links(table(spark, sf_dir, "pages"), Selector(tag="li"))
-    links = explode_numbered(pages, ["page_id", "url"], "links", "link")
+    links = J.unnest(pages, "links", "link", keep=["page_id", "url"], pos="pos")
     return links.select(
         "page_id", "pos", S.resolve_url(F.col("url"), F.col("link")).alias("absolute"),
         S.resolve_url(F.col("url"), F.col("url")).alias("unchanged"),
