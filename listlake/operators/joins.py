@@ -36,6 +36,19 @@ def _is_hot(key: str, hot: list) -> Column:
     return F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
 
 
+def _join_unique(
+    left: DataFrame, right: DataFrame, key: str, how: str, hot: list | None
+) -> DataFrame:
+    if hot is None:
+        hot = hot_keys(left, key)
+    elif not hot:
+        return left.join(right, key, how)
+    apart = F.col(key).isNull() | _is_hot(key, hot)
+    rest = left.where(~apart).join(right.where(~_is_hot(key, hot)), key, how)
+    few = right.where(_is_hot(key, hot))
+    return rest.unionByName(left.where(apart).join(F.broadcast(few), key, how))
+
+
 def left_join_unique(
     left: DataFrame, right: DataFrame, key: str, hot: list | None = None
 ) -> DataFrame:
@@ -45,15 +58,18 @@ def left_join_unique(
     shuffle join. ``hot=None`` looks for hot keys, ``hot=[]`` states there are none and that the key
     is not NULL (a primary key).
     """
-    if hot is None:
-        hot = hot_keys(left, key)
-    elif not hot:
-        return left.join(right, key, "left")
-    apart = F.col(key).isNull() | _is_hot(key, hot)
-    rest = left.where(~apart).join(right.where(~_is_hot(key, hot)), key, "left")
-    few = right.where(_is_hot(key, hot))
-    picked = left.where(apart).join(F.broadcast(few), key, "left")
-    return rest.unionByName(picked)
+    return _join_unique(left, right, key, "left", hot)
+
+
+def anti_join(
+    left: DataFrame, right: DataFrame, key: str, hot: list | None = None
+) -> DataFrame:
+    """Rows of ``left`` whose key is absent from ``right``; NULL keys stay.
+
+    The right side is reduced to distinct keys first, so copies there do not travel. ``hot`` is as
+    in :func:`left_join_unique`.
+    """
+    return _join_unique(left, right.select(key).distinct(), key, "left_anti", hot)
 
 
 def left_join_bounded(
@@ -112,14 +128,6 @@ def left_join_many(
     return out, hot_left + only_right
 
 
-def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of ``left`` whose key is absent from ``right``; NULL keys stay.
-
-    The keys are reduced to distinct ones first, so copies on the right do not travel.
-    """
-    return left.join(right.select(key).distinct(), key, "left_anti")
-
-
 def unnest(
     df: DataFrame, array, value: str, keep: list[str] | None = None, pos: str | None = None
 ) -> DataFrame:

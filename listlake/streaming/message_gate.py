@@ -15,22 +15,26 @@ from listlake.sources.ledger import anti_join_ledger, append_ledger, ledger_rows
 DAILY = "daily_scraping"
 
 
+ENVELOPE = "message struct<data: string, messageId: string>"
+
+
 def is_valid_envelope(body: Column, wanted: str = DAILY) -> Column:
     """True for a JSON object with ``message`` and ``subscription`` whose base64 ``message.data`` is
     JSON of the wanted type; FALSE, never NULL, for everything else."""
+    data = F.from_json(body, ENVELOPE)["message"]["data"]
+    # A key may be present with a null value, so the keys themselves are looked up.
     keys = F.json_object_keys(body)
-    data = F.get_json_object(body, "$.message.data")
     return F.coalesce(
-        F.array_contains(keys, "message")
-        & F.array_contains(keys, "subscription")
-        & (base64_json(data, "type") == wanted),
+        (base64_json(data, "type") == wanted)
+        & F.array_contains(keys, "message")
+        & F.array_contains(keys, "subscription"),
         F.lit(False),
     )
 
 
 def envelope_filter(messages: DataFrame, body: str = "body", wanted: str = DAILY) -> DataFrame:
     """Valid messages with their id. A message without an id is known by the text ``None``."""
-    message_id = F.get_json_object(F.col(body), "$.message.messageId")
+    message_id = F.from_json(F.col(body), ENVELOPE)["message"]["messageId"]
     return messages.where(is_valid_envelope(F.col(body), wanted)).withColumn(
         "message_id", F.coalesce(message_id, F.lit("None"))
     )
@@ -38,7 +42,7 @@ def envelope_filter(messages: DataFrame, body: str = "body", wanted: str = DAILY
 
 def new_messages(valid: DataFrame, ledger: DataFrame) -> DataFrame:
     """Each unprocessed id once. Replays collapse before the shuffle and before the join."""
-    return anti_join_ledger(valid.select("message_id").distinct(), ledger)
+    return anti_join_ledger(valid.select("message_id").distinct(), ledger, hot=[])
 
 
 def stream_message_gate(

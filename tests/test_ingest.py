@@ -147,6 +147,22 @@ def test_random_merges_equal_a_dict(spark, tmp_path, seed):
     assert links(lake.read()) == sorted((k, d, t) for k, (d, t) in want.items())
 
 
+def test_hot_day_is_cut_into_several_files(spark, tmp_path):
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+        rows = spark.range(3000).selectExpr(
+            "concat('/jobs/', id) detail_link", "repeat(sha2(cast(id AS string), 256), 2) job_content",
+            "if(id % 3 = 0, date'2024-10-01', date_add(date'2024-10-02', cast(id % 5 AS int))) listing_start_date",
+        ).repartition(16)
+        lake = lake_of(spark, tmp_path)
+        lake.merge(lake_rows(spark, []).unionByName(rows, allowMissingColumns=True))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    files = lake.read().where("listing_start_date = '2024-10-01'").select("_metadata.file_path").distinct()
+    assert lake.read().count() == 3000 and files.count() > 4
+
+
 def test_day_filter_prunes_folders(spark, tmp_path):
     lake = lake_of(spark, tmp_path)
     lake.merge(lake_rows(spark, [listing("/1", D[0]), listing("/2", D[1])]))

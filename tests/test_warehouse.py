@@ -195,10 +195,11 @@ def test_join_fact_multivalue_with_hot_jobs_equals_brute_force(spark, no_broadca
     assert rows(got, "job", "f", "a", "b", "c") == sorted(want, key=repr)
 
 
-def test_anti_join_keeps_null_keys(spark, rows):
+@pytest.mark.parametrize("hot", [None, [], [1], [2, 9]])
+def test_anti_join_keeps_null_keys(spark, rows, hot):
     left = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
     right = spark.createDataFrame([(1,), (1,), (None,)], "k int")
-    assert rows(J.anti_join(left, right, "k")) == [(2,), (2,), (None,)]
+    assert rows(J.anti_join(left, right, "k", hot)) == [(2,), (2,), (None,)]
 
 
 def test_unnest_and_product(spark, rows):
