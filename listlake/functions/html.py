@@ -181,20 +181,30 @@ def has_hidden(html: Column) -> Column:
     return html.rlike(HIDDEN_START)
 
 
-def visible_markup(html: Column) -> Column:
-    """The page without comments, scripts and styles, whose text may look like markup."""
-    return F.when(has_hidden(html), F.regexp_replace(html, HIDDEN, "")).otherwise(html)
+def visible_markup(html: Column, hidden: Column) -> Column:
+    """The page without comments, scripts and styles, whose text may look like markup.
+
+    ``hidden`` is :func:`has_hidden` of the page; pages without any are left as they are.
+    """
+    return F.when(hidden, F.regexp_replace(html, HIDDEN, "")).otherwise(html)
 
 
 def unescape(text: Column) -> Column:
+    plain = text
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    text = F.replace(text, F.lit("&amp;"), F.lit("&"))
+    return F.when(F.contains(plain, F.lit("&")), text).otherwise(plain)
+
+
+def plain_text(content: Column) -> Column:
+    """Text of an element that holds no markup: entities replaced, ends stripped."""
+    return trim_text(unescape(content))
 
 
 def inner_text(content: Column) -> Column:
-    """Text of flat markup: tags dropped, entities replaced, ends stripped."""
-    return trim_text(unescape(F.regexp_replace(content, r"<[^<>]*>", "")))
+    """Text of flat markup: the same without its tags."""
+    return plain_text(F.regexp_replace(content, r"<[^<>]*>", ""))
 
 
 def contents(markup: Column, selector: Selector) -> Column:
@@ -214,9 +224,9 @@ def all_flat(markup: Column, found: Column, selector: Selector) -> Column:
     return (mentions == F.size(found)) & F.forall(found, is_flat)
 
 
-def no_open_end(html: Column, markup: Column) -> Column:
+def no_open_end(hidden: Column, markup: Column) -> Column:
     """No comment, script or style that runs to the end of the page survived the clean-up."""
-    return ~has_hidden(html) | ~has_hidden(markup)
+    return ~hidden | ~has_hidden(markup)
 
 
 def tag_count(markup: Column) -> Column:

@@ -19,12 +19,14 @@ from listlake.functions.html import (
     bind,
     contents,
     elements,
+    has_hidden,
     html_tokens,
     inner_text,
     inside,
     is_flat,
     known_entities,
     no_open_end,
+    plain_text,
     plain_texts,
     tag_count,
     visible_markup,
@@ -43,7 +45,8 @@ HREF = r'(?is)<a\s(?:[^<>]*\s)?href="([^"<>]*)"[^<>]*>'
 
 
 def _markup(pages: DataFrame, html: str) -> DataFrame:
-    return pages.withColumn("_markup", visible_markup(F.col(html)))
+    df = pages.withColumn("_hidden", has_hidden(F.col(html)))
+    return df.withColumn("_markup", visible_markup(F.col(html), F.col("_hidden")))
 
 
 def _with_tokens(
@@ -75,14 +78,14 @@ def extract_texts(
 ) -> DataFrame:
     """Add ``output``: stripped text of every element the selector names, in page order."""
     df = _markup(pages, html).withColumn("_found", contents(F.col("_markup"), selector))
-    flat = no_open_end(F.col(html), F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
+    flat = no_open_end(F.col("_hidden"), F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
     df = _with_tokens(df, html, flat, [selector], parser)
     texts = _pick(
         parser,
         F.transform("_found", inner_text),
         lambda: F.transform(elements(F.col("_tokens"), selector), lambda e: trim_text(e["text"])),
     )
-    return df.withColumn(output, texts).drop("_markup", "_found", "_flat", "_tokens")
+    return df.withColumn(output, texts).drop("_hidden", "_markup", "_found", "_flat", "_tokens")
 
 
 def extract_titles(pages: DataFrame, selector: Selector = TITLE, **kw) -> DataFrame:
@@ -102,11 +105,11 @@ def extract_links(
 ) -> DataFrame:
     """Add ``links``: the first ``a[href]`` inside every element the selector names."""
     df = _markup(pages, html).withColumn("_found", contents(F.col("_markup"), selector))
-    flat = no_open_end(F.col(html), F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
+    flat = no_open_end(F.col("_hidden"), F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
     plain = _plain_links(F.col("_found"))
     df = _with_tokens(df, html, flat & plain, [selector, ANCHOR], parser)
     links = _pick(parser, F.transform("_found", _href), lambda: _token_links(selector))
-    return df.withColumn("links", links).drop("_markup", "_found", "_flat", "_tokens")
+    return df.withColumn("links", links).drop("_hidden", "_markup", "_found", "_flat", "_tokens")
 
 
 def _href(content: Column) -> Column:
@@ -148,7 +151,7 @@ def parse_list_page(
         {f"_{n}": contents(markup, s) for n, s in (("t", title), ("d", date), ("l", link))}
     )
     flat = (
-        no_open_end(F.col(html), markup)
+        no_open_end(F.col("_hidden"), markup)
         & all_flat(markup, F.col("_t"), title)
         & all_flat(markup, F.col("_d"), date)
         & all_flat(markup, F.col("_l"), link)
@@ -236,18 +239,20 @@ def _pairs_columns() -> tuple[dict[str, Column], Column]:
         "_th": plain_texts(table, PLAIN_ROW, 1),
         "_td": plain_texts(table, PLAIN_ROW, 2),
     }
+    rows = 6 * F.size("_th")
+    # The wrappers are counted only where the tags of the rows do not add up alone.
     wrappers = F.regexp_count(table, F.lit(TABLE_WRAPPER))
-    flat = F.when(
-        table != "",
-        (tag_count(table) == 6 * F.size("_th") + wrappers) & known_entities(table),
-    ).otherwise(~markup.rlike(TABLE_START))
+    adds_up = F.when(tag_count(table) == rows, True).otherwise(tag_count(table) == rows + wrappers)
+    flat = F.when(table != "", adds_up & known_entities(table)).otherwise(
+        ~markup.rlike(TABLE_START)
+    )
     return columns, flat
 
 
 def _native_pairs() -> Column:
     """``array<struct<label,value>>`` of the rows having both cells."""
     return F.arrays_zip(
-        F.transform("_th", inner_text).alias("label"), F.transform("_td", inner_text).alias("value")
+        F.transform("_th", plain_text).alias("label"), F.transform("_td", plain_text).alias("value")
     )
 
 
@@ -293,9 +298,9 @@ def positional_fields(
     df = _markup(pages, html)
     for name, column in columns.items():
         df = df.withColumn(name, column)
-    df = _with_tokens(df, html, no_open_end(F.col(html), F.col("_markup")) & flat, [box, UL, LI], parser)
-    items = _pick(parser, F.transform("_li", inner_text), lambda: _token_items(box))
-    return df.withColumn("items", items).drop("_markup", *columns, "_flat", "_tokens")
+    df = _with_tokens(df, html, no_open_end(F.col("_hidden"), F.col("_markup")) & flat, [box, UL, LI], parser)
+    items = _pick(parser, F.transform("_li", plain_text), lambda: _token_items(box))
+    return df.withColumn("items", items).drop("_hidden", "_markup", *columns, "_flat", "_tokens")
 
 
 def label_values(pages: DataFrame, html: str = "html", parser: str = "auto") -> DataFrame:
@@ -304,9 +309,9 @@ def label_values(pages: DataFrame, html: str = "html", parser: str = "auto") ->
     df = _markup(pages, html)
     for name, column in columns.items():
         df = df.withColumn(name, column)
-    df = _with_tokens(df, html, no_open_end(F.col(html), F.col("_markup")) & flat, [TABLE, TR, TH, TD], parser)
+    df = _with_tokens(df, html, no_open_end(F.col("_hidden"), F.col("_markup")) & flat, [TABLE, TR, TH, TD], parser)
     pairs = _pick(parser, _native_pairs(), _token_pairs)
-    return df.withColumn("pairs", pairs).drop("_markup", *columns, "_flat", "_tokens")
+    return df.withColumn("pairs", pairs).drop("_hidden", "_markup", *columns, "_flat", "_tokens")
 
 
 def pick_labels(pairs: str, labels: dict[str, str]) -> list[Column]:
@@ -350,11 +355,11 @@ def parse_detail_page(
     df = _markup(pages, html)
     for name, column in {**item_columns, **pair_columns}.items():
         df = df.withColumn(name, column)
-    flat = no_open_end(F.col(html), F.col("_markup")) & items_flat & pairs_flat
+    flat = no_open_end(F.col("_hidden"), F.col("_markup")) & items_flat & pairs_flat
     df = _with_tokens(df, html, flat, [box, UL, LI, TABLE, TR, TH, TD], parser)
     df = df.select(
         *keep,
-        _pick(parser, F.transform("_li", inner_text), lambda: _token_items(box)).alias("_items"),
+        _pick(parser, F.transform("_li", plain_text), lambda: _token_items(box)).alias("_items"),
         _pick(parser, _native_pairs(), _token_pairs).alias("_pairs"),
     )
     items = [F.get("_items", F.lit(i)) for i in range(len(BASIC_FIELDS))]

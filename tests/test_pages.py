@@ -82,6 +82,7 @@ FRAGMENTS = [
     '<div class="job-Title"><div>nested</div> tail</div>', "<div class='job-Title'>single</div>",
     "<p class=job-Title>bare</p>", '<div class="job-Title">open', '<div class="job-Title"><b>bold</b></div>',
     '<!-- <div class="job-Title">hidden</div> -->', '<script>var s=\'<div class="job-Title">js</div>\';</script>',
+    '<div class="job-Title">cut &amp</div>', '<div class="job-Title">&amp;lt; &ampx &#38;</div>',
     '<div class="job-Title">&copy; &#12354;</div>', '<div class="job-Titles">other</div>',
     '<h2 class="job-Title">　Wide　</h2>', "job-Title as text", "</div>", "<br/>", "<li><ul>", "plain &lt;x&gt;",
     '<div class="time-Stamp">掲載開始日：2024年3月1日</div>', '<div class="time-Stamp"><i><b>掲載開始日：</b>2024年3月2日</i></div>',

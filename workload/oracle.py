@@ -125,8 +125,9 @@ DETAIL_COLUMNS = ", ".join(
 
 
 def entities(text: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{char}')"
+    """HTML allows these entities without their semicolon, as where a text was cut."""
+    for entity, char in (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&amp;?", "&")):
+        text = f"regexp_replace({text}, '{entity}', '{char}', 'g')"
     return text
 
 
