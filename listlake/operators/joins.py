@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 0.01
 HOT_LIMIT = 200  # at most 1 / HOT_SHARE keys can pass, doubled for the sketch's rounding
+HOT_ROWS = 1_000  # fewer rows than this are no burden for a task
 TRACKED = 20_000
 BROADCAST_ROWS = 100_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys holding at least ``share`` of the rows.
+    """Keys holding at least ``share`` of the rows, and at least ``HOT_ROWS``.
 
     One pass over the key column with a frequent-items sketch: its state is of fixed size, nothing
     is shuffled but one sketch per task, and at most ``HOT_LIMIT`` keys reach the driver.
@@ -28,7 +29,7 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     top, total = df.agg(
         F.expr(f"approx_top_k(`{key}`, {HOT_LIMIT}, {TRACKED})"), F.count(F.lit(1))
     ).first()
-    floor = max(share * total, 2)
+    floor = max(share * total, HOT_ROWS)
     return [e["item"] for e in top or [] if e["item"] is not None and e["count"] >= floor]
 
 

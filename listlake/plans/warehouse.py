@@ -1,7 +1,7 @@
 """The warehouse: staging, fact, details, dimensions, bridges, calendar and the two reports.
 
-Each model is a function ``DataFrame -> DataFrame`` and thereby a view; :func:`build` publishes the
-ones that are read again as tables.
+Each model is a function ``DataFrame -> DataFrame`` and thereby a view; :func:`publish_models` stores
+the ones that are read again.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from listlake.operators.multivalue import (
     join_bridge_dim,
     join_fact_multivalue,
 )
-from listlake.operators.quality import Suite, run_checks
+from listlake.operators.quality import Suite, dq_unique, run_checks
+from listlake.sources.lake import publish_table
 
 JOB_KEY = "job_id"
 
@@ -63,6 +64,8 @@ REPORT_DETAIL = [
     *[a.value for a in ATTRIBUTES.values()], "listing_start_date", *REPORT_CALENDAR,
 ]
 
+REPORTS = ("bi__job_analysis", "bi__job_analysis_detail")
+
 
 def staging(lake: DataFrame) -> DataFrame:
     """Lake rows with a hashed key, lists as arrays and counts as integers."""
@@ -197,6 +200,29 @@ def build_models(
     return models(staging(lake), dim_date(spark, start, end), strategy)
 
 
+def choose_strategy(stg: DataFrame) -> str:
+    """``fused`` where the job key is unique, which one aggregate over the key column decides."""
+    return "fused" if dq_unique(stg, JOB_KEY).isEmpty() else "star"
+
+
+def publish_models(
+    spark: SparkSession,
+    lake: DataFrame,
+    root: str,
+    run_id: str,
+    start: date = CALENDAR_START,
+    end: date = CALENDAR_END,
+) -> dict[str, DataFrame]:
+    """Build the warehouse: staging and the reports as tables below ``<root>/<run_id>``, every other
+    model as a view over the stored staging. A run has its own folder, so readers of the previous one
+    are not disturbed."""
+    stg = publish_table(staging(lake), f"{root}/{run_id}/stg_joblist")
+    tables = models(stg, dim_date(spark, start, end), choose_strategy(stg))
+    for name in REPORTS:
+        tables[name] = publish_table(tables[name], f"{root}/{run_id}/{name}")
+    return tables
+
+
 # ----------------------------------------------------------------------------------- data tests
 
 

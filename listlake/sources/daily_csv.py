@@ -78,30 +78,30 @@ def read_days(
     return file_gate(df, min_bytes)
 
 
-def _write(df: DataFrame, root: str) -> int:
+def _write(df: DataFrame, path: str, by_day: bool) -> int:
     seen = Observation()
-    (
+    writer = (
         df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.partitionBy(DAY)
-        .mode("overwrite")
-        # Days without a row in ``df`` are left alone.
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite")
         # A multi-line file cannot be split when it is read back.
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .options(**WRITE)
-        .csv(root)
     )
+    if by_day:
+        # Days without a row in ``df`` are left alone.
+        writer = writer.partitionBy(DAY).option("partitionOverwriteMode", "dynamic")
+    writer.csv(path)
     return seen.get["rows"]
 
 
 def save_day(df: DataFrame, root: str, day: date) -> tuple[str, int]:
-    """A run's output as the files of one day, replacing that day: ``(folder, rows)``.
+    """A run's output as the files of one day: ``(folder, rows)``. Replaces that day, also when there
+    is no row.
 
     Every task writes what it holds, without a shuffle; the row count comes from the write itself.
     """
-    partition = int(day.strftime("%Y%m%d"))
-    rows = _write(df.withColumn(DAY, F.lit(partition)), root)
-    return f"{root}/{DAY}={partition}", rows
+    path = f"{root}/{DAY}={day.strftime('%Y%m%d')}"
+    return path, _write(df, path, by_day=False)
 
 
 def write_days(df: DataFrame, root: str, day: str) -> int:
@@ -109,4 +109,5 @@ def write_days(df: DataFrame, root: str, day: str) -> int:
 
     Rebalance gathers the rows of a day into few files and cuts a hot day into several.
     """
-    return _write(df.withColumn(DAY, date_to_partition(F.col(day))).hint("rebalance", DAY), root)
+    dated = df.withColumn(DAY, date_to_partition(F.col(day)))
+    return _write(dated.hint("rebalance", DAY), root, by_day=True)

@@ -57,6 +57,15 @@ def test_same_day_is_replaced_and_other_days_stay(spark, tmp_path):
     assert sorted(map(tuple, got)) == [(20241001, "/new"), (20241002, "/kept")]
 
 
+def test_rerun_without_rows_replaces_the_day(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    C.save_day(lake_rows(spark, [listing("/old", job_content="x" * 60)]), root, D[0])
+    assert C.save_day(lake_rows(spark, []), root, D[0])[1] == 0
+    assert C.read_days(spark, root, D[0]).isEmpty()
+    lake = LakeTable(spark, str(tmp_path / "lake"))
+    assert daily.load_day(spark, root, lake, D[0])["message"] == "No data to load"
+
+
 def test_small_and_missing_files(spark, tmp_path):
     root = tmp_path / "raw"
     assert C.read_days(spark, str(root)) is None

@@ -118,6 +118,22 @@ def test_star_equals_fused(spark, seed):
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def test_publish_models(spark, tmp_path):
+    cal, lake = dim_date(spark), random_lake(spark, 30, 4)
+    tables = W.publish_models(spark, lake, str(tmp_path), "run1")
+    assert len(tables) == 12
+    for name, want in W.models(W.staging(lake), cal).items():
+        assert tables[name].exceptAll(want).isEmpty() and want.exceptAll(tables[name]).isEmpty(), name
+    files = {f for t in ("stg_joblist", "bi__job_analysis_detail") for f in tables[t].inputFiles()}
+    assert files and all("/run1/" in f for f in files)
+
+
+def test_repeated_job_key_selects_the_star(spark):
+    once, twice = [listing("/1", tool="a\nb")], [listing("/1", tool="a\nb"), listing("/1", tool="c")]
+    assert W.choose_strategy(W.staging(lake_rows(spark, once))) == "fused"
+    assert W.choose_strategy(W.staging(lake_rows(spark, twice))) == "star"
+
+
 def test_detail_report_multiplies_and_keeps_empty_jobs(spark):
     stg = W.staging(lake_rows(spark, [
         listing("/1", programming_language="a\nb", tool="x\ny\nz", framework="f"), listing("/2"),
@@ -140,7 +156,8 @@ def test_fused_report_has_no_shuffle(spark, tmp_path):
 
 
 @pytest.fixture
-def no_broadcast(spark):
+def no_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(J, "HOT_ROWS", 2)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield

@@ -126,9 +126,9 @@ def sink_lake_partitioned(spark, sf_dir):
 
 @query
 def materialize_model(spark, sf_dir):
-    stg = K.publish_view(W.staging(listing_lake(spark, sf_dir)), "stg_joblist_view")
-    report = W.bi_job_analysis_fused(stg, dim_date(spark))
-    return K.publish_table(report, work_dir(spark, "bi__job_analysis"), "listing_start_date")
+    lake = K.publish_view(listing_lake(spark, sf_dir), "lake__joblist")
+    tables = W.publish_models(spark, lake, work_dir(spark, "warehouse"), "run-1")
+    return tables["bi__job_analysis"]
 
 
 # ------------------------------------------------------------------------------------- page parsing
@@ -563,9 +563,7 @@ def dq_freshness(spark, sf_dir):
 def dq_results_sink(spark, sf_dir):
     root = work_dir(spark, "warehouse")
     lake = listing_lake(spark, sf_dir)
-    # Staging is stored once; the models over it are narrow projections of that table.
-    stg = K.publish_table(W.staging(lake), f"{root}/stg_joblist")
-    results = W.check_warehouse(lake, W.models(stg, dim_date(spark)))
+    results = W.check_warehouse(lake, W.publish_models(spark, lake, root, "run-1"))
     Q.append_results(results, f"{root}/results", "run-1", PROCESSED_AT)
     return spark.read.parquet(f"{root}/results").drop("checked_at")
 
