@@ -2,9 +2,10 @@
 
 Rules used here:
 
-* a side is broadcast only when its row count has a bound that does not grow with data: a calendar
-  built from fixed dates, or the rows of at most ``HOT_LIMIT`` hot keys of a side unique by key;
-* rows of hot keys, and rows whose key is NULL, never go through the shuffle of the other rows;
+* a side is broadcast only when its row count has a bound that does not grow with data, such as a
+  calendar built from fixed dates;
+* rows of hot keys, and rows whose key is NULL, are dealt out over many tasks, and just the few
+  matching rows of the other side are repeated;
 * which keys are hot only steers the plan. Results are the same for any list of hot keys.
 """
 
@@ -17,24 +18,40 @@ HOT_SHARE = 0.01
 HOT_LIMIT = 200  # at most 1 / HOT_SHARE keys can pass, doubled for the sketch's rounding
 HOT_ROWS = 1_000  # fewer rows than this are no burden for a task
 TRACKED = 20_000
+SALTS = 64
 BROADCAST_ROWS = 100_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys holding at least ``share`` of the rows, and at least ``HOT_ROWS``.
+    """Keys holding at least ``share`` of the rows, and at least ``HOT_ROWS``; None stands for NULL.
 
     One pass over the key column with a frequent-items sketch: its state is of fixed size, nothing
     is shuffled but one sketch per task, and at most ``HOT_LIMIT`` keys reach the driver.
     """
-    top, total = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_LIMIT}, {TRACKED})"), F.count(F.lit(1))
+    top, total, nulls = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {HOT_LIMIT}, {TRACKED})"),
+        F.count(F.lit(1)),
+        F.count_if(F.col(key).isNull()),
     ).first()
     floor = max(share * total, HOT_ROWS)
-    return [e["item"] for e in top or [] if e["item"] is not None and e["count"] >= floor]
+    hot = [e["item"] for e in top or [] if e["item"] is not None and e["count"] >= floor]
+    return hot + [None] if nulls >= floor else hot
 
 
 def _is_hot(key: str, hot: list) -> Column:
-    return F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
+    known = [k for k in hot if k is not None]
+    found = F.coalesce(F.col(key).isin(known), F.lit(False)) if known else F.lit(False)
+    return found | F.col(key).isNull() if None in hot else found
+
+
+def _deal(df: DataFrame, slots: int) -> Column:
+    """A slot for every row. Copies of a row in different partitions get different slots, and a task
+    that is run again deals the same way, which a random number would not."""
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(slots))
+
+
+def _slots(slots: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint"))
 
 
 def _join_unique(
@@ -42,12 +59,15 @@ def _join_unique(
 ) -> DataFrame:
     if hot is None:
         hot = hot_keys(left, key)
-    elif not hot:
+    if not hot:
         return left.join(right, key, how)
-    apart = F.col(key).isNull() | _is_hot(key, hot)
-    rest = left.where(~apart).join(right.where(~_is_hot(key, hot)), key, how)
-    few = right.where(_is_hot(key, hot))
-    return rest.unionByName(left.where(apart).join(F.broadcast(few), key, how))
+    zero = F.lit(0).cast("bigint")
+    dealt = left.withColumn("_salt", F.when(_is_hot(key, hot), _deal(left, SALTS)).otherwise(zero))
+    # At most HOT_LIMIT rows are repeated, as the right side holds a key once.
+    repeated = right.withColumn(
+        "_salt", F.explode(F.when(_is_hot(key, hot), _slots(SALTS)).otherwise(F.array(zero)))
+    )
+    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
 def left_join_unique(
@@ -55,9 +75,8 @@ def left_join_unique(
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` where ``right`` holds each key once.
 
-    Rows of hot and NULL keys meet a broadcast of at most ``len(hot)`` rows; the rest is a plain
-    shuffle join. ``hot=None`` looks for hot keys, ``hot=[]`` states there are none and that the key
-    is not NULL (a primary key).
+    One pass over either side. ``hot=None`` looks for hot keys first; ``hot=[]`` states there are
+    none, as for a primary key.
     """
     return _join_unique(left, right, key, "left", hot)
 
@@ -86,16 +105,14 @@ def left_join_bounded(
 
 
 def _spread(df: DataFrame, deal: str, dealt_over: int, repeat: str, repeated: int) -> DataFrame:
-    """Place every row in one of ``dealt_over`` slots by a hash of the row, and copy it into each of
-    ``repeated`` slots. A hash, not a random number: a task that is run again deals the same way."""
-    slots = F.sequence(F.lit(0).cast("bigint"), F.lit(repeated - 1).cast("bigint"))
-    return df.withColumn(deal, F.pmod(F.xxhash64(*df.columns), F.lit(dealt_over))).withColumn(
-        repeat, F.explode(slots)
+    """Place every row in one of ``dealt_over`` slots, and copy it into each of ``repeated``."""
+    return df.withColumn(deal, _deal(df, dealt_over)).withColumn(
+        repeat, F.explode(_slots(repeated))
     )
 
 
 def left_join_many(
-    left: DataFrame, right: DataFrame, key: str, hot_left: list | None = (), salts: int = 64
+    left: DataFrame, right: DataFrame, key: str, hot_left: list | None = (), salts: int = SALTS
 ) -> tuple[DataFrame, list]:
     """``left`` LEFT JOIN ``right`` where a key may be frequent on either side.
 
@@ -103,7 +120,7 @@ def left_join_many(
     hot key are spread over a grid of tasks: the frequent side is dealt out, the other one copied.
     ``hot_left`` names the keys frequent on the left (none by default: a fact unique by key).
     """
-    hot_right = hot_keys(right, key)
+    hot_right = [k for k in hot_keys(right, key) if k is not None]
     hot_left = list(hot_left)
     both = [k for k in hot_left if k in hot_right]
     only_left = [k for k in hot_left if k not in hot_right]

@@ -169,10 +169,10 @@ def test_hot_keys(spark):
     assert J.hot_keys(df, "k") == [7]
     assert J.hot_keys(df.where("k <> 7"), "k") == []
     assert J.hot_keys(df.where("false"), "k") == []
-    assert J.hot_keys(df.selectExpr("cast(null as string) as k"), "k") == []
+    assert J.hot_keys(df.selectExpr("cast(null as string) as k"), "k") == [None]
 
 
-@pytest.mark.parametrize("hot", [None, [], [7], [7, 104, -1]])
+@pytest.mark.parametrize("hot", [None, [], [7], [7, 104, -1], [None], [7, None]])
 def test_left_join_unique_equals_plain_join(spark, no_broadcast, hot):
     left = spark.range(3000).selectExpr("case when id % 3 = 0 then 7 when id % 5 = 0 then null else id end as k", "id as v")
     right = spark.range(0, 2000, 1).selectExpr("id as k", "id * 2 as w")
@@ -182,13 +182,20 @@ def test_left_join_unique_equals_plain_join(spark, no_broadcast, hot):
     assert got.exceptAll(plain).isEmpty()
 
 
-def test_hot_rows_stay_out_of_the_shuffle(spark, no_broadcast):
-    left = spark.range(30000).selectExpr("if(id % 3 = 0, 7, id) as k", "id as v")
+def test_hot_rows_are_dealt_over_the_tasks(spark, no_broadcast):
+    # A third of the rows on one key, a third without a key; half of the columns are the same.
+    left = spark.range(0, 30000, 1, 32).selectExpr("case id % 3 when 0 then 7 when 1 then id end as k")
     right = spark.range(30000).selectExpr("id as k", "id as w")
-    got = J.left_join_unique(left, right, "k")
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
-    got.count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for got, n in ((J.left_join_unique(left, right, "k"), 30000),
+                       (J.anti_join(left, right.where("k < 100"), "k"), 20000 - 33)):
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "Broadcast" not in plan and plan.count("Range (0, 30000, step=1, splits=32)") == 1
+            sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == n and max(sizes) < n / 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_join_fact_multivalue_with_hot_jobs_equals_brute_force(spark, no_broadcast, rows):
@@ -212,7 +219,7 @@ def test_join_fact_multivalue_with_hot_jobs_equals_brute_force(spark, no_broadca
     assert rows(got, "job", "f", "a", "b", "c") == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("hot", [None, [], [1], [2, 9]])
+@pytest.mark.parametrize("hot", [None, [], [1], [2, 9, None]])
 def test_anti_join_keeps_null_keys(spark, rows, hot):
     left = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
     right = spark.createDataFrame([(1,), (1,), (None,)], "k int")
