@@ -73,7 +73,7 @@ def main() -> None:
     base = LakeTable(spark, f"{root}/lake").create_if_absent()
     base.merge(source)
     for percent in (1, 10, 100):
-        # A share of the days changes, as it does between two daily runs.
+        # A share of the keys, picked by hash: the variable of this measurement.
         share = F.pmod(F.xxhash64("detail_link"), F.lit(100)) < percent
         changed = source.where(share).withColumn("monthly_salary", F.col("monthly_salary") + 1)
         best(f"upsert_{percent}_percent", lambda: base.merge(changed), 2)
