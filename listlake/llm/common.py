@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes between words: space and the control characters 0x09 to 0x0D.
 SPACES = np.zeros(256, bool)
 SPACES[[32, 9, 10, 11, 12, 13]] = True
@@ -40,10 +41,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read again: cuts lineage, survives lost executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written to the shared folder and read again: cuts lineage, survives lost executors.
+
+    The shuffle files of the write are of no use afterwards and go at once.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -133,7 +142,7 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
             changed[1:] |= x[1:] != x[:-1]
         cuts = [*np.flatnonzero(changed).tolist(), batch.num_rows]
         first = batch.slice(0, cuts[0])
-        if held and all(held[-1].column(k)[0] == first.column(k)[0] for k in keys):
+        if held and all(held[-1].column(k)[0].as_py() == first.column(k)[0].as_py() for k in keys):
             held.append(first)
         else:
             if held:

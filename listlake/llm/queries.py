@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listlake.llm import near_dup
+from listlake.llm import decontam, mixing, near_dup, quality, token_store
 from listlake.llm.common import table
 
+END_ID = 2
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -19,6 +21,32 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def tokenizer_path(name: str = token_store.TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.token_output(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+
+
+@query
+def op4_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n=2, percent=80)
@@ -41,8 +69,8 @@ pairs AS (
 links AS (
   SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
   WHERE 100 * c >= 80 * (x.n + y.n - c)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT doc_id AS a, doc_id AS r FROM n UNION SELECT both.b, reach.r FROM reach JOIN both ON both.a = reach.a)
+two_way AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS r FROM n UNION SELECT two_way.b, reach.r FROM reach JOIN two_way ON two_way.a = reach.a)
 SELECT n.doc_id, n.n AS n_shingles, min(r) AS component_id, n.doc_id = min(r) AS kept
 FROM n JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n
 """
