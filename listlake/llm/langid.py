@@ -85,19 +85,19 @@ class Automaton:
             last = now
 
     def table(self, symbols: int) -> np.ndarray:
-        """``2 * next state + 1 if a phrase ends`` for each state and symbol.
+        """``2 * next state + 1 if a phrase starts`` for each state and symbol.
 
-        Where a state has no way on, the phrase ends before the symbol and the next one starts with it; a
-        symbol that the sample lacks is a phrase of its own.
+        Where a state has no way on, its phrase is over and the next one starts with the symbol; a symbol
+        that the sample lacks is a phrase of its own, after which the first state has none open.
         """
-        first = np.zeros(symbols, np.int64)
+        first = np.ones(symbols, np.int32)
         for c, to in self.next[0].items():
-            first[c] = to
-        out = np.repeat((2 * first + 1)[None, :], len(self.next), 0)
-        for state, ways in enumerate(self.next):
+            first[c] = 2 * to + 1
+        out = np.repeat(first[None, :], len(self.next), 0)
+        for state, ways in enumerate(self.next[1:], 1):
             for c, to in ways.items():
                 out[state, c] = 2 * to
-        return out.astype(np.int32)
+        return out
 
 
 class Parser:
@@ -134,7 +134,7 @@ class Parser:
                 to = table[state[:lanes] * self.symbols + symbols[start[:lanes] + step]]
                 count[:lanes] += to & 1
                 state[:lanes] = to >> 1
-            out[:, n] = np.bincount(row, count + 1, rows)  # the last phrase of a stretch
+            out[:, n] = np.bincount(row, count, rows)
         return out, sizes
 
 
