@@ -1,6 +1,6 @@
 """Time alternative plans for the same result, at $BENCH_SF_DIR.
 
-Prints one JSON line: both report strategies, both page parsers, upserts of three sizes, and the
+Prints one JSON line: both report strategies, page parsing, upserts of three sizes, and the
 checks of one table in one pass against one pass each.
 """
 
@@ -65,9 +65,8 @@ def main() -> None:
         "report_star",
         lambda: drain(W.bi_job_analysis(W.fct_jobs(stg), W.dim_job_details(stg), calendar)),
     )
-    for parser in ("auto", "native", "tokens"):
-        best(f"links_{parser}", lambda: drain(P.extract_links(pages, Selector(tag="li"), parser=parser)))
-        best(f"detail_page_{parser}", lambda: drain(P.parse_detail_page(details, parser=parser)))
+    best("links", lambda: drain(P.extract_links(pages, Selector(tag="li"))))
+    best("detail_page", lambda: drain(P.parse_detail_page(details)))
 
     source = listing_lake(spark, sf_dir).persist()
     base = LakeTable(spark, f"{root}/lake").create_if_absent()

@@ -1,19 +1,14 @@
 """Element look-up in HTML columns.
 
-Two ways to find the elements a :class:`Selector` names:
-
-* ``native`` expressions: regular expressions inside the JVM. Exact for flat markup, which is what
-  list and detail pages consist of.
-* ``html_tokens``: an Arrow UDF on the standard-library HTML parser. Exact for any markup, slower.
-
-The page operators use the first and hand over to the second just those pages whose markup the
-expressions cannot prove flat, so Python sees NULL for all others.
+``html_tokens`` is an Arrow UDF on the standard-library HTML parser; it gives the elements that a
+:class:`Selector` could name, and column expressions pick from them. No page makes it fail, and its
+time is linear in the page.
 """
 
 from __future__ import annotations
 
-import re
 import sys
+from collections import Counter, deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -23,8 +18,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from listlake.functions.scalars import trim_text
-
 # Executors get the UDFs of this module by value, so they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,6 +26,8 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 HIDDEN_TAGS = frozenset(("script", "style", "template"))
+# Wanted elements open at a time. On broken markup with more, the outermost one ends.
+MOST_OPEN = 256
 
 
 @dataclass(frozen=True)
@@ -46,26 +41,6 @@ class Selector:
         if not (self.tag or self.cls):
             raise ValueError("a selector needs a tag or a class")
 
-    @property
-    def tag_pattern(self) -> str:
-        return self.tag or "[a-zA-Z][a-zA-Z0-9]*"
-
-    @property
-    def open_pattern(self) -> str:
-        """Start tag; group 1 is the tag name."""
-        if self.cls is None:
-            return rf"(?i)<({self.tag_pattern})(?=[\s>/])[^<>]*>"
-        name = rf"(?-i:{re.escape(self.cls)})"
-        return (
-            rf'(?i)<({self.tag_pattern})\s(?:[^<>]*\s)?class="(?:[^"<>]*\s)?{name}(?:\s[^"<>]*)?"'
-            rf"[^<>]*>"
-        )
-
-    @property
-    def element_pattern(self) -> str:
-        """Whole element up to the first end tag of its kind; group 2 is the content."""
-        return rf"(?s){self.open_pattern}(.*?)</\1\s*>"
-
     def matches(self, element: Column) -> Column:
         conditions = []
         if self.tag:
@@ -77,25 +52,42 @@ class Selector:
 
 class _ElementReader(HTMLParser):
     """Collects wanted elements in document order, closing tags the way a browserless tree does:
-    an end tag closes its nearest open start tag and everything opened after it."""
+    an end tag closes its nearest open start tag and everything opened after it.
+
+    Text is kept once for the page; an element holds its two ends. Text below a script, style or
+    template does not count.
+    """
 
     def __init__(self, tags: frozenset[str], classes: frozenset[str]) -> None:
         super().__init__(convert_charrefs=True)
         self.tags, self.classes = tags, classes
         self.rows: list[dict] = []
-        self.stack: list[tuple[str, dict | None, list[str] | None]] = []
-        self.count = 0
+        self.stack: list[tuple[str, dict | None]] = []
+        self.open: Counter[str] = Counter()
+        self.wanted: deque[dict] = deque()
+        self.parts: list[str] = []
+        self.count = self.length = self.hidden = 0
+
+    def parse_html_declaration(self, i):
+        # ``<![`` opens a marked section; on a page it is text that nothing should stumble over.
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
 
     def handle_starttag(self, tag, attrs):
         values = dict(attrs)
         cls = values.get("class") or ""
-        row, parts = None, None
+        row = None
         if tag in self.tags or not self.classes.isdisjoint(cls.split()):
-            row = {"pos": self.count, "tag": tag, "cls": cls, "href": values.get("href")}
+            row = {"pos": self.count, "tag": tag, "cls": cls, "href": values.get("href"), "from": self.length}
             self.rows.append(row)
-            parts = []
+            self.wanted.append(row)
+            if len(self.wanted) > MOST_OPEN:
+                self._end(self.wanted.popleft())
         self.count += 1
-        self.stack.append((tag, row, parts))
+        self.stack.append((tag, row))
+        self.open[tag] += 1
+        self.hidden += tag in HIDDEN_TAGS
         if tag in VOID_TAGS:
             self._close()
 
@@ -105,30 +97,49 @@ class _ElementReader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag not in VOID_TAGS and any(name == tag for name, _, _ in self.stack):
+        if tag not in VOID_TAGS and self.open[tag]:
             while self._close() != tag:
                 pass
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1][0] in HIDDEN_TAGS:
-            return
-        for _, _, parts in self.stack:
-            if parts is not None:
-                parts.append(data)
+        if not self.hidden and self.wanted:
+            self.parts.append(data)
+            self.length += len(data)
+
+    def _end(self, row: dict) -> None:
+        row["last"], row["to"] = self.count - 1, self.length
 
     def _close(self) -> str:
-        tag, row, parts = self.stack.pop()
-        if row is not None:
-            row["last"], row["text"] = self.count - 1, "".join(parts)
+        tag, row = self.stack.pop()
+        self.open[tag] -= 1
+        self.hidden -= tag in HIDDEN_TAGS
+        if row is not None and "to" not in row:
+            self._end(row)
+            self.wanted.pop()  # open elements end in the reverse order of their start
         return tag
 
     def finish(self) -> list[dict]:
         self.close()
         while self.stack:
             self._close()
+        text = "".join(self.parts)
+        for row in self.rows:
+            row["text"] = text[row.pop("from") : row.pop("to")]
         return self.rows
 
 
+def read_elements(page: str, tags: frozenset[str], classes: frozenset[str]) -> list[dict]:
+    """The wanted elements of a page. Declarations that the parser gives up on are read as text."""
+    for source in (page, page.replace("<!", "&lt;!")):
+        reader = _ElementReader(tags, classes)
+        try:
+            reader.feed(source)
+            return reader.finish()
+        except AssertionError:
+            continue
+    return []  # not reached: only declarations are asserted on
+
+
 def html_tokens(html: Column, selectors: list[Selector]) -> Column:
     """All elements any selector could match, in document order.
 
@@ -138,11 +149,7 @@ def html_tokens(html: Column, selectors: list[Selector]) -> Column:
     classes = frozenset(s.cls for s in selectors if s.cls is not None)
 
     def read(page: str | None) -> list[dict] | None:
-        if page is None:
-            return None
-        reader = _ElementReader(tags, classes)
-        reader.feed(page)
-        return reader.finish()
+        return None if page is None else read_elements(page, tags, classes)
 
     @F.pandas_udf(ELEMENT)
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -165,77 +172,3 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 def inside(tokens: Column, outer: Column) -> Column:
     """Elements below ``outer`` (one element)."""
     return F.filter(tokens, lambda e: (e["pos"] > outer["pos"]) & (e["pos"] <= outer["last"]))
-
-
-# ------------------------------------------------------------------------------ native expressions
-
-# Entities replaced in the JVM; a page holding any other goes to the parser.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0"}
-OTHER_ENTITY = r"&(?!(?:amp|lt|gt|quot|nbsp|#39);)[a-zA-Z#]"
-HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)(?=[\s>])[^<>]*>.*?</\1\s*>"
-HIDDEN_START = r"(?i)<(?:!--|(?:script|style|template)[\s>])"
-LEAF = r"(?i)<([a-z][a-z0-9]*)(?:\s[^<>]*)?>([^<]*)</\1>|<(?:br|wbr|hr|img)(?:\s[^<>]*)?/?>"
-
-
-def has_hidden(html: Column) -> Column:
-    return html.rlike(HIDDEN_START)
-
-
-def visible_markup(html: Column, hidden: Column) -> Column:
-    """The page without comments, scripts and styles, whose text may look like markup.
-
-    ``hidden`` is :func:`has_hidden` of the page; pages without any are left as they are.
-    """
-    return F.when(hidden, F.regexp_replace(html, HIDDEN, "")).otherwise(html)
-
-
-def unescape(text: Column) -> Column:
-    plain = text
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.replace(text, F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(plain, F.lit("&")), text).otherwise(plain)
-
-
-def plain_text(content: Column) -> Column:
-    """Text of an element that holds no markup: entities replaced, ends stripped."""
-    return trim_text(unescape(content))
-
-
-def inner_text(content: Column) -> Column:
-    """Text of flat markup: the same without its tags."""
-    return plain_text(F.regexp_replace(content, r"<[^<>]*>", ""))
-
-
-def contents(markup: Column, selector: Selector) -> Column:
-    return F.regexp_extract_all(markup, F.lit(selector.element_pattern), F.lit(2))
-
-
-def is_flat(content: Column) -> Column:
-    """True when nothing but text, void tags and childless elements is left inside, and every entity
-    is a known one. Only then do the expressions provably agree with the parser."""
-    return ~F.contains(F.regexp_replace(content, LEAF, ""), F.lit("<")) & ~content.rlike(OTHER_ENTITY)
-
-
-def all_flat(markup: Column, found: Column, selector: Selector) -> Column:
-    """Every mention of the selector on the page was matched, and every match is flat."""
-    mention = re.escape(selector.cls) if selector.cls else rf"(?i)<{selector.tag}(?=[\s>/])"
-    mentions = F.regexp_count(markup, F.lit(mention))
-    return (mentions == F.size(found)) & F.forall(found, is_flat)
-
-
-def no_open_end(hidden: Column, markup: Column) -> Column:
-    """No comment, script or style that runs to the end of the page survived the clean-up."""
-    return ~hidden | ~has_hidden(markup)
-
-
-def tag_count(markup: Column) -> Column:
-    return F.length(markup) - F.length(F.replace(markup, F.lit("<"), F.lit("")))
-
-
-def plain_texts(markup: Column, pattern: str, group: int = 1) -> Column:
-    return F.regexp_extract_all(markup, F.lit(pattern), F.lit(group))
-
-
-def known_entities(markup: Column) -> Column:
-    return ~F.contains(markup, F.lit("&")) | ~markup.rlike(OTHER_ENTITY)

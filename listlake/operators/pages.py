@@ -1,91 +1,45 @@
 """Page-parsing jobs over a table of pages ``(page_id, url, html)``.
 
 Each operator adds columns or rows by narrow transformations only: no shuffle, one read of ``html``.
-``parser`` is ``"auto"`` (expressions, with the HTML parser for pages they cannot prove flat),
-``"native"`` (expressions only) or ``"tokens"`` (HTML parser only).
 """
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listlake.functions.html import (
-    Selector,
-    all_flat,
-    bind,
-    contents,
-    elements,
-    has_hidden,
-    html_tokens,
-    inner_text,
-    inside,
-    is_flat,
-    known_entities,
-    no_open_end,
-    plain_text,
-    plain_texts,
-    tag_count,
-    visible_markup,
-)
+from listlake.functions.html import Selector, bind, elements, html_tokens, inside
 from listlake.functions.scalars import digits_to_int, parse_jp_date, strip_prefix, trim_text
 from listlake.operators.joins import unnest
+from listlake.operators.upsert import last_per_key
 from listlake.schemas import BASIC_FIELDS, DETAIL_LABELS, DETAIL_ROWS
 
+# Class names of the page format.
 TITLE = Selector(cls="job-Title")
 DATE = Selector(cls="time-Stamp")
 LINK_BOX = Selector(cls="detail-Btn02")
 BASIC_BOX = Selector(cls="job-Box")
 
 ANCHOR = Selector(tag="a")
-HREF = r'(?is)<a\s(?:[^<>]*\s)?href="([^"<>]*)"[^<>]*>'
 
 
-def _markup(pages: DataFrame, html: str) -> DataFrame:
-    df = pages.withColumn("_hidden", has_hidden(F.col(html)))
-    return df.withColumn("_markup", visible_markup(F.col(html), F.col("_hidden")))
+def _with_tokens(pages: DataFrame, html: str, selectors: list[Selector]) -> DataFrame:
+    return pages.withColumn("_tokens", html_tokens(F.col(html), selectors))
 
 
-def _with_tokens(
-    df: DataFrame, html: str, flat: Column, selectors: list[Selector], parser: str
-) -> DataFrame:
-    """Decide per page who reads it, and attach the parser's elements where it is needed."""
-    if parser == "native":
-        return df.withColumn("_flat", F.lit(True)).withColumn("_tokens", F.lit(None))
-    if parser == "tokens":
-        flat = F.lit(False)
-    elif parser != "auto":
-        raise ValueError(f"unknown parser {parser!r}")
-    df = df.withColumn("_flat", F.coalesce(flat, F.lit(True)))
-    return df.withColumn("_tokens", html_tokens(F.when(~F.col("_flat"), F.col(html)), selectors))
-
-
-def _pick(parser: str, native: Column, parsed) -> Column:
-    if parser == "native":
-        return native
-    return F.when(F.col("_flat"), native).otherwise(parsed())
+def _texts(selector: Selector) -> Column:
+    return F.transform(elements(F.col("_tokens"), selector), lambda e: trim_text(e["text"]))
 
 
 def _first(items: Column) -> Column:
     return F.get(items, F.lit(0))
 
 
-def extract_texts(
-    pages: DataFrame, selector: Selector, output: str, html: str = "html", parser: str = "auto"
-) -> DataFrame:
+def extract_texts(pages: DataFrame, selector: Selector, output: str, html: str = "html") -> DataFrame:
     """Add ``output``: stripped text of every element the selector names, in page order."""
-    df = _markup(pages, html).withColumn("_found", contents(F.col("_markup"), selector))
-    flat = no_open_end(F.col("_hidden"), F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
-    df = _with_tokens(df, html, flat, [selector], parser)
-    texts = _pick(
-        parser,
-        F.transform("_found", inner_text),
-        lambda: F.transform(elements(F.col("_tokens"), selector), lambda e: trim_text(e["text"])),
-    )
-    return df.withColumn(output, texts).drop("_hidden", "_markup", "_found", "_flat", "_tokens")
+    return _with_tokens(pages, html, [selector]).withColumn(output, _texts(selector)).drop("_tokens")
 
 
 def extract_titles(pages: DataFrame, selector: Selector = TITLE, **kw) -> DataFrame:
@@ -100,29 +54,10 @@ def extract_dates(
     return df.withColumn("dates", F.transform("dates", lambda t: strip_prefix(t, prefix)))
 
 
-def extract_links(
-    pages: DataFrame, selector: Selector = LINK_BOX, html: str = "html", parser: str = "auto"
-) -> DataFrame:
+def extract_links(pages: DataFrame, selector: Selector = LINK_BOX, html: str = "html") -> DataFrame:
     """Add ``links``: the first ``a[href]`` inside every element the selector names."""
-    df = _markup(pages, html).withColumn("_found", contents(F.col("_markup"), selector))
-    flat = no_open_end(F.col("_hidden"), F.col("_markup")) & all_flat(F.col("_markup"), F.col("_found"), selector)
-    plain = _plain_links(F.col("_found"))
-    df = _with_tokens(df, html, flat & plain, [selector, ANCHOR], parser)
-    links = _pick(parser, F.transform("_found", _href), lambda: _token_links(selector))
-    return df.withColumn("links", links).drop("_hidden", "_markup", "_found", "_flat", "_tokens")
-
-
-def _href(content: Column) -> Column:
-    return F.when(content.rlike(HREF), F.regexp_extract(content, HREF, 1))
-
-
-def _plain_links(found: Column) -> Column:
-    """Every anchor inside carries its href in the quoted form, free of entities."""
-    return F.forall(
-        found,
-        lambda c: (F.regexp_count(c, F.lit(r"(?i)<a[\s>]")) == F.regexp_count(c, F.lit(HREF)))
-        & ~F.contains(F.coalesce(_href(c), F.lit("")), F.lit("&")),
-    )
+    df = _with_tokens(pages, html, [selector, ANCHOR])
+    return df.withColumn("links", _token_links(selector)).drop("_tokens")
 
 
 def _token_links(selector: Selector) -> Column:
@@ -136,7 +71,6 @@ def _token_links(selector: Selector) -> Column:
 def parse_list_page(
     pages: DataFrame,
     html: str = "html",
-    parser: str = "auto",
     title: Selector = TITLE,
     date: Selector = DATE,
     link: Selector = LINK_BOX,
@@ -146,32 +80,12 @@ def parse_list_page(
     Other columns of ``pages`` are kept; a page without listings gives no row.
     """
     keep = [c for c in pages.columns if c != html]
-    markup = F.col("_markup")
-    df = _markup(pages, html).withColumns(
-        {f"_{n}": contents(markup, s) for n, s in (("t", title), ("d", date), ("l", link))}
-    )
-    flat = (
-        no_open_end(F.col("_hidden"), markup)
-        & all_flat(markup, F.col("_t"), title)
-        & all_flat(markup, F.col("_d"), date)
-        & all_flat(markup, F.col("_l"), link)
-        & _plain_links(F.col("_l"))
-    )
-    df = _with_tokens(df, html, flat, [title, date, link, ANCHOR], parser)
-    tokens = F.col("_tokens")
-
-    def texts(column: str, selector: Selector) -> Column:
-        return _pick(
-            parser,
-            F.transform(column, inner_text),
-            lambda: F.transform(elements(tokens, selector), lambda e: trim_text(e["text"])),
-        )
-
+    df = _with_tokens(pages, html, [title, date, link, ANCHOR])
     lists = df.select(
         *keep,
-        texts("_t", title).alias("_titles"),
-        F.transform(texts("_d", date), lambda t: strip_prefix(t)).alias("_dates"),
-        _pick(parser, F.transform("_l", _href), lambda: _token_links(link)).alias("_links"),
+        _texts(title).alias("_titles"),
+        F.transform(_texts(date), lambda t: strip_prefix(t)).alias("_dates"),
+        _token_links(link).alias("_links"),
     )
     shortest = F.least(F.size("_titles"), F.size("_dates"), F.size("_links"))
     rows = F.arrays_zip(
@@ -193,69 +107,6 @@ TABLE = Selector(tag="table")
 TR, TH, TD = Selector(tag="tr"), Selector(tag="th"), Selector(tag="td")
 
 
-# Elements holding text only. The possessive ``[^<]*+`` never backtracks.
-PLAIN_LI = r"(?i)<li(?:\s[^<>]*)?>([^<]*+)</li\s*>"
-PLAIN_ROW = (
-    r"(?i)<tr(?:\s[^<>]*)?>\s*<th(?:\s[^<>]*)?>([^<]*+)</th\s*>"
-    r"\s*<td(?:\s[^<>]*)?>([^<]*+)</td\s*>\s*</tr\s*>"
-)
-TABLE_START = r"(?i)<table[\s>]"
-FIRST_TABLE = r"(?is)<table(?:\s[^<>]*)?>(.*?)</table\s*>"
-TABLE_WRAPPER = r"(?i)</?(?:thead|tbody|tfoot)\s*>"
-
-
-def _first_ul(box: Selector) -> str:
-    """Group 2: between the box and its list, group 3: the list's content."""
-    return rf"(?s){box.open_pattern}(.*?)<ul(?:\s[^<>]*)?>(.*?)</ul\s*>"
-
-
-def _items_columns(box: Selector) -> tuple[dict[str, Column], Column]:
-    """Native columns of the list, and whether they provably agree with the parser: all tags of the
-    list are those of the matched text-only items, nothing but flat markup lies between box and
-    list, and the box is not mentioned anywhere else."""
-    markup, pattern = F.col("_markup"), _first_ul(box)
-    columns = {
-        "_gap": F.regexp_extract(markup, pattern, 2),
-        "_ul": F.regexp_extract(markup, pattern, 3),
-        "_li": plain_texts(F.col("_ul"), PLAIN_LI),
-    }
-    mention = re.escape(box.cls) if box.cls else rf"(?i)<{box.tag}(?=[\s>/])"
-    mentions = F.regexp_count(markup, F.lit(mention))
-    flat = (mentions == 0) | (
-        (mentions == 1)
-        & markup.rlike(pattern)
-        & is_flat(F.col("_gap"))
-        & (tag_count(F.col("_ul")) == 2 * F.size("_li"))
-        & known_entities(F.col("_ul"))
-    )
-    return columns, flat
-
-
-def _pairs_columns() -> tuple[dict[str, Column], Column]:
-    """The same for the table: its tags are those of rows made of one text-only th and td."""
-    markup, table = F.col("_markup"), F.col("_table")
-    columns = {
-        "_table": F.regexp_extract(markup, FIRST_TABLE, 1),
-        "_th": plain_texts(table, PLAIN_ROW, 1),
-        "_td": plain_texts(table, PLAIN_ROW, 2),
-    }
-    rows = 6 * F.size("_th")
-    # The wrappers are counted only where the tags of the rows do not add up alone.
-    wrappers = F.regexp_count(table, F.lit(TABLE_WRAPPER))
-    adds_up = F.when(tag_count(table) == rows, True).otherwise(tag_count(table) == rows + wrappers)
-    flat = F.when(table != "", adds_up & known_entities(table)).otherwise(
-        ~markup.rlike(TABLE_START)
-    )
-    return columns, flat
-
-
-def _native_pairs() -> Column:
-    """``array<struct<label,value>>`` of the rows having both cells."""
-    return F.arrays_zip(
-        F.transform("_th", plain_text).alias("label"), F.transform("_td", plain_text).alias("value")
-    )
-
-
 def _complete(pairs: Column) -> Column:
     return F.filter(pairs, lambda p: p["label"].isNotNull() & p["value"].isNotNull())
 
@@ -287,31 +138,17 @@ def _token_pairs() -> Column:
     return F.coalesce(_complete(pairs), F.array().cast("array<struct<label:string,value:string>>"))
 
 
-def positional_fields(
-    pages: DataFrame, box: Selector = BASIC_BOX, html: str = "html", parser: str = "auto"
-) -> DataFrame:
+def positional_fields(pages: DataFrame, box: Selector = BASIC_BOX, html: str = "html") -> DataFrame:
     """Add ``items``: texts of the ``li`` in the first list of the first box.
 
     Take the i-th with ``F.get("items", i)``, which is NULL where the list is short.
     """
-    columns, flat = _items_columns(box)
-    df = _markup(pages, html)
-    for name, column in columns.items():
-        df = df.withColumn(name, column)
-    df = _with_tokens(df, html, no_open_end(F.col("_hidden"), F.col("_markup")) & flat, [box, UL, LI], parser)
-    items = _pick(parser, F.transform("_li", plain_text), lambda: _token_items(box))
-    return df.withColumn("items", items).drop("_hidden", "_markup", *columns, "_flat", "_tokens")
+    return _with_tokens(pages, html, [box, UL, LI]).withColumn("items", _token_items(box)).drop("_tokens")
 
 
-def label_values(pages: DataFrame, html: str = "html", parser: str = "auto") -> DataFrame:
+def label_values(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``pairs``: label and value of every row of the first table."""
-    columns, flat = _pairs_columns()
-    df = _markup(pages, html)
-    for name, column in columns.items():
-        df = df.withColumn(name, column)
-    df = _with_tokens(df, html, no_open_end(F.col("_hidden"), F.col("_markup")) & flat, [TABLE, TR, TH, TD], parser)
-    pairs = _pick(parser, _native_pairs(), _token_pairs)
-    return df.withColumn("pairs", pairs).drop("_hidden", "_markup", *columns, "_flat", "_tokens")
+    return _with_tokens(pages, html, [TABLE, TR, TH, TD]).withColumn("pairs", _token_pairs()).drop("_tokens")
 
 
 def pick_labels(pairs: str, labels: dict[str, str]) -> list[Column]:
@@ -344,24 +181,13 @@ def pivot_labels(
 def parse_detail_page(
     pages: DataFrame,
     html: str = "html",
-    parser: str = "auto",
     box: Selector = BASIC_BOX,
     labels: dict[str, str] = DETAIL_LABELS,
 ) -> DataFrame:
     """One row of 15 fields per page: five list items by position and ten table cells by label."""
     keep = [c for c in pages.columns if c != html]
-    item_columns, items_flat = _items_columns(box)
-    pair_columns, pairs_flat = _pairs_columns()
-    df = _markup(pages, html)
-    for name, column in {**item_columns, **pair_columns}.items():
-        df = df.withColumn(name, column)
-    flat = no_open_end(F.col("_hidden"), F.col("_markup")) & items_flat & pairs_flat
-    df = _with_tokens(df, html, flat, [box, UL, LI, TABLE, TR, TH, TD], parser)
-    df = df.select(
-        *keep,
-        _pick(parser, F.transform("_li", plain_text), lambda: _token_items(box)).alias("_items"),
-        _pick(parser, _native_pairs(), _token_pairs).alias("_pairs"),
-    )
+    df = _with_tokens(pages, html, [box, UL, LI, TABLE, TR, TH, TD])
+    df = df.select(*keep, _token_items(box).alias("_items"), _token_pairs().alias("_pairs"))
     items = [F.get("_items", F.lit(i)) for i in range(len(BASIC_FIELDS))]
     return df.select(
         *keep,
@@ -372,10 +198,17 @@ def parse_detail_page(
 
 
 def attach_list_to_detail(
-    details: DataFrame, lists: DataFrame, key: str = "detail_link"
+    details: DataFrame, lists: DataFrame, key: str = "detail_link", found: str | None = None
 ) -> DataFrame:
-    """List columns beside the detail row of the same link. Both sides hold a link once."""
-    return details.join(lists, key, "inner")
+    """Every listing with the fields of the detail page behind its link.
+
+    A listing without a page has NULL in those fields; ``found`` names a column that tells. Of several
+    pages with one link the greatest row counts, so a listing is never multiplied, and listings of a
+    hot link can be split by AQE, as the other side has one row for it.
+    """
+    one = last_per_key(details.where(F.col(key).isNotNull()), key, []).withColumn("_found", F.lit(True))
+    joined = lists.join(one, key, "left")
+    return joined.drop("_found") if found is None else joined.withColumnRenamed("_found", found)
 
 
 # -------------------------------------------------------------------------------------- unions

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_PAGES = 99
-
+from listlake.session import work_dir
 
 def filter_since(df: DataFrame, day: str, limit: date) -> DataFrame:
     """Rows dated ``limit`` or later. A plain comparison, so it reaches the scan."""
@@ -17,17 +16,28 @@ def filter_since(df: DataFrame, day: str, limit: date) -> DataFrame:
 
 
 def latest_first_pages(
-    df: DataFrame, newest_first: list[Column], page_size: int, max_pages: int = MAX_PAGES
+    df: DataFrame, newest_first: list[Column], page_size: int, max_pages: int | None = None
 ) -> DataFrame:
-    """Number the newest ``max_pages`` pages of ``page_size`` rows, as the listing site shows them.
+    """Number pages of ``page_size`` rows, newest first, as a listing site shows them.
 
-    The site is read up to page ``max_pages``, so this is a top-k: every task keeps its own first
-    ``max_pages * page_size`` rows and only those are merged. The row number then runs over that
-    fixed number of rows. ``newest_first`` has to be a total order.
+    All rows get a page; only with ``max_pages`` are those of later pages left out, which makes it a
+    top-k. The rows are sorted once, by ranges, and stored; a row's place is its place in its own
+    range plus the rows of the ranges before, of which there is one number each. ``newest_first`` has to
+    be a total order.
     """
-    newest = df.orderBy(*newest_first).limit(max_pages * page_size)
-    position = F.row_number().over(W.orderBy(*newest_first)) - 1
-    return newest.withColumn("page", (F.floor(position / page_size) + 1).cast("bigint"))
+    ordered = df.orderBy(*newest_first)
+    if max_pages is not None:
+        ordered = ordered.limit(max_pages * page_size)
+    path = work_dir(df.sparkSession, "ordered")
+    ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_before") + inside
+    numbered = rows.withColumn("_part", part).join(sizes, "_part")
+    return numbered.withColumn("page", (F.floor(place / page_size) + 1).cast("bigint")).select(*df.columns, "page")
 
 
 def page_min_date(df: DataFrame, day: str, page: str = "page") -> DataFrame:
@@ -36,32 +46,43 @@ def page_min_date(df: DataFrame, day: str, page: str = "page") -> DataFrame:
 
 
 def last_page(
-    df: DataFrame, day: str, limit: date, page: str = "page", max_pages: int = MAX_PAGES
+    df: DataFrame, day: str, limit: date, page: str = "page", max_pages: int | None = None
 ) -> DataFrame:
-    """One row: the last page a run reads.
+    """One row: the last page a run reads, 0 if there is none.
 
-    That is the first page holding a row older than ``limit``, the page before the first empty one,
-    or ``max_pages``, whichever comes first. A single aggregate finds it: the set of page numbers has
-    at most ``max_pages`` members and the minimum needs no window over pages.
+    That is the first page holding a row older than ``limit``, or the page before the first empty one,
+    or ``max_pages`` if that is given, whichever comes first. The first empty page follows the lowest
+    page that has no successor.
     """
-    numbers = F.sequence(F.lit(1), F.lit(max_pages + 1)).cast("array<bigint>")
-    read = df.where(F.col(page).between(1, max_pages)).agg(
-        F.min(F.when(F.col(day) < F.lit(limit), F.col(page))).cast("bigint").alias("old"),
-        F.collect_set(F.col(page).cast("bigint")).alias("seen"),
+    pages = df.where(F.col(page) >= 1).groupBy(F.col(page).cast("bigint").alias("p")).agg(
+        F.coalesce(F.max(F.col(day) < F.lit(limit)), F.lit(False)).alias("old")
+    )
+    follows = pages.select((F.col("p") - 1).alias("p"), F.lit(True).alias("more"))
+    ends = pages.join(follows, "p", "left").agg(
+        F.min("p").alias("first"),
+        F.min(F.when(F.col("old"), F.col("p"))).alias("old"),
+        F.min(F.when(F.col("more").isNull(), F.col("p"))).alias("gap"),
     )
-    gap = F.array_min(F.array_except(numbers, "seen"))
-    return read.select(F.least(F.coalesce("old", F.lit(max_pages)), gap - 1).alias("last_page"))
+    last = F.least("old", "gap", F.lit(max_pages).cast("bigint"))  # NULL is no limit
+    return ends.select(F.when(F.col("first") == 1, last).otherwise(0).alias("last_page"))
 
 
 def page_cutoff(
-    df: DataFrame, day: str, limit: date, page: str = "page", max_pages: int = MAX_PAGES
+    df: DataFrame, day: str, limit: date, page: str = "page", max_pages: int | None = None
 ) -> DataFrame:
     """Rows a run keeps: pages up to the cut-off, and of those the rows dated ``limit`` or later.
 
-    The cut-off is a scalar subquery, so the rows are filtered where they lie; nothing is joined.
+    The cut-off is a scalar subquery, so the rows are filtered where they lie.
     """
+    return filter_since(read_pages(df, day, limit, page, max_pages), day, limit)
+
+
+def read_pages(
+    df: DataFrame, day: str, limit: date, page: str = "page", max_pages: int | None = None
+) -> DataFrame:
+    """All rows of the pages up to the cut-off."""
     cut = last_page(df, day, limit, page, max_pages).scalar()
-    return filter_since(df.where(F.col(page).between(1, max_pages) & (F.col(page) <= cut)), day, limit)
+    return df.where((F.col(page) >= 1) & (F.col(page) <= cut))
 
 
 def assign_runs(df: DataFrame, day: str, days_back: int = 1, run: str = "run_date") -> DataFrame:

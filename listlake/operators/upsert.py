@@ -24,6 +24,13 @@ def last_per_key(source: DataFrame, key: str, order: list[str]) -> DataFrame:
     return out.unionByName(source.where(F.col(key).isNull()))
 
 
+def check_keys(source: DataFrame, key: str) -> None:
+    """Raise when a key is NULL."""
+    missing = source.where(F.col(key).isNull()).count()
+    if missing:
+        raise DuplicateKeyError(f"{missing} rows have a NULL {key}")
+
+
 def check_source(source: DataFrame, key: str) -> None:
     """Raise when a key is NULL or occurs twice."""
     bad = (
@@ -47,6 +54,7 @@ def dedupe_source(
         check_source(source, key)
         return source
     if on_duplicate == "last":
+        check_keys(source, key)
         return last_per_key(source, key, order or [])
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 

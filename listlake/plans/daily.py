@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listlake.operators.pages import attach_list_to_detail, parse_detail_page, parse_list_page
-from listlake.operators.paging import page_cutoff
+from listlake.operators.paging import filter_since, read_pages
 from listlake.operators.upsert import last_per_key
 from listlake.schemas import LAKE
 from listlake.sources.daily_csv import read_days, save_day
 from listlake.sources.lake import LakeTable
 
 JST_ZONE = timezone(timedelta(hours=9))
+REJECT = "reject"
+
+
+class RejectedListings(ValueError):
+    """Some listings of a run could not be used."""
 
 
 def jst_today() -> date:
@@ -24,21 +31,33 @@ def jst_yesterday() -> date:
     return jst_today() - timedelta(days=1)
 
 
-def collect_listings(
-    list_pages: DataFrame, detail_pages: DataFrame, limit: date, parser: str = "auto"
-) -> DataFrame:
-    """Rows of the lake from pages.
+def outcome(status: str, message: str, **facts) -> dict:
+    """What a run reports; the keys are those of the run record."""
+    return {"status": status, "message": message, **facts}
+
+
+def collect_listings(list_pages: DataFrame, detail_pages: DataFrame, limit: date) -> DataFrame:
+    """Rows of the lake from pages, and ``reject``: NULL, or why a listing cannot be used.
 
     ``list_pages(page, html)`` are numbered newest first; ``detail_pages(detail_link, html)`` hold
-    the page behind each link. Pages are parsed where they lie. The cut-off uses dates, links and
-    titles only, so the second reading of the list pages is cheap beside the detail pages.
+    the page behind each link. Pages are parsed where they lie. Every listing of the pages up to the
+    cut-off comes out once, but for those older than ``limit`` and for repeated ones; a page without
+    text is a reject of its own.
     """
-    listings = parse_list_page(list_pages.select("page", "html"), parser=parser)
-    kept = page_cutoff(listings, "listing_start_date", limit).drop("page")
+    blank = list_pages.where(F.col("html").isNull()).select(F.lit("page without text").alias(REJECT))
+    listings = parse_list_page(list_pages.select("page", "html"))
+    seen = read_pages(listings, "listing_start_date", limit).drop("page")
+    fault = F.when(F.col("detail_link").isNull(), "no link").when(F.col("listing_start_date").isNull(), "no date")
+    bad = seen.where(fault.isNotNull()).withColumn(REJECT, fault)
     # A listing that moves to the next page between two requests is seen twice.
-    kept = last_per_key(kept, "detail_link", ["listing_start_date"])
-    details = parse_detail_page(detail_pages.select("detail_link", "html"), parser=parser)
-    return attach_list_to_detail(details, kept).select(*LAKE.names)
+    good = filter_since(seen.where(F.col("detail_link").isNotNull()), "listing_start_date", limit)
+    good = last_per_key(good, "detail_link", ["listing_start_date"])
+    details = parse_detail_page(detail_pages.where("html IS NOT NULL").select("detail_link", "html"))
+    rows = attach_list_to_detail(details, good, found="_found")
+    rows = rows.withColumn(REJECT, F.when(F.col("_found").isNull(), "no detail page")).drop("_found")
+    for more in (bad, blank):
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    return rows.select(*LAKE.names, REJECT)
 
 
 def collect_day(
@@ -46,20 +65,49 @@ def collect_day(
     detail_pages: DataFrame,
     raw_root: str,
     run_date: date | None = None,
-    parser: str = "auto",
+    on_reject: str = "store",
 ) -> dict:
-    """A daily run: everything dated the day before ``run_date`` or later becomes that day's file."""
+    """A daily run: everything dated the day before ``run_date`` or later becomes that day's file.
+
+    Rejected listings are stored beside it, below ``<raw_root>-rejects``, and counted; with
+    ``on_reject="error"`` one is enough to end the run before anything is written.
+    """
+    if on_reject not in ("store", "error"):
+        raise ValueError(f"unknown on_reject {on_reject!r}")
     run_date = run_date or jst_today()
     limit = run_date - timedelta(days=1)
-    rows = collect_listings(list_pages, detail_pages, limit, parser)
-    path, count = save_day(rows, raw_root, run_date)
-    return {
-        "status": "success",
-        "message": f"Data saved to {path}",
-        "record_count": count,
-        "limit_date": limit.isoformat(),
-        "saved_path": path,
-    }
+    rows = collect_listings(list_pages, detail_pages, limit).persist()
+    try:
+        rejects = rows.where(F.col(REJECT).isNotNull())
+        lost = rejects.count()
+        if lost and on_reject == "error":
+            reasons = rejects.groupBy(REJECT).count().orderBy(REJECT).collect()
+            raise RejectedListings(", ".join(f"{r['count']} with {r[REJECT]}" for r in reasons))
+        path, count = save_day(rows.where(F.col(REJECT).isNull()).select(*LAKE.names), raw_root, run_date)
+        beside = f"{raw_root}-rejects/partition_date={run_date.strftime('%Y%m%d')}"
+        rejects.write.mode("overwrite").parquet(beside)
+    finally:
+        rows.unpersist()
+    return outcome(
+        "success", f"{count} listings in {path}, {lost} rejected", record_count=count, reject_count=lost,
+        limit_date=limit.isoformat(), saved_path=path, rejects_path=beside,
+    )
+
+
+def _load(spark: SparkSession, raw_root: str, lake: LakeTable, day: date, merge) -> dict:
+    rows = read_days(spark, raw_root, day)
+    if rows is None:
+        return outcome("success", f"no file of {day}", loaded_rows=0)
+    # Parsed once: a multi-line file is one task and the merge reads its source several times.
+    rows = rows.select(*LAKE.names).persist()
+    try:
+        loaded = rows.count()
+        if loaded:
+            lake.create_if_absent()
+            merge(rows)
+    finally:
+        rows.unpersist()
+    return outcome("success", f"{loaded} listings of {day} merged into {lake.root}", loaded_rows=loaded)
 
 
 def load_day(
@@ -72,34 +120,27 @@ def load_day(
 ) -> dict:
     """Merge one day's file into the lake and report what was loaded.
 
-    An absent or near-empty file is a success without rows; any failure is reported, not raised, and
+    An absent or empty file is a success without rows; any failure is reported, not raised, and
     leaves the lake at its former version.
     """
-    day = day or jst_yesterday()
+    merge = partial(lake.merge, on_duplicate=on_duplicate, order=order)
     try:
-        rows = read_days(spark, raw_root, day)
-        if rows is None or rows.isEmpty():
-            return {"status": "success", "message": "No data to load", "loaded_rows": 0}
-        lake.create_if_absent()
-        # Parsed once: a multi-line file is one task and the merge reads its source several times.
-        rows = rows.select(*LAKE.names).persist()
-        try:
-            loaded = rows.count()
-            lake.merge(rows, on_duplicate, order)
-        finally:
-            rows.unpersist()
-        return {
-            "status": "success",
-            "message": f"Data loaded to {lake.root}",
-            "loaded_rows": loaded,
-        }
-    except Exception as e:
-        return {"status": "error", "message": f"Error during data loading: {e}"}
+        return _load(spark, raw_root, lake, day or jst_yesterday(), merge)
+    except Exception as fault:
+        return outcome("error", f"{type(fault).__name__}: {fault}")
 
 
 def backfill(
     spark: SparkSession, raw_root: str, lake: LakeTable, first: date, last: date, **merge
 ) -> list[dict]:
-    """Load a range of days, oldest first, so that later files win."""
-    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
-    return [load_day(spark, raw_root, lake, day, **merge) for day in days]
+    """Load a range of days, oldest first, so that later files win.
+
+    Stops at the first day that fails: a later day must not be in the lake before it, or loading the
+    failed one afterwards would put older rows over newer ones.
+    """
+    reports = []
+    for offset in range((last - first).days + 1):
+        reports.append(load_day(spark, raw_root, lake, first + timedelta(days=offset), **merge))
+        if reports[-1]["status"] != "success":
+            break
+    return reports

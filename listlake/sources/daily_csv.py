@@ -12,7 +12,8 @@ from pyspark.sql.utils import AnalysisException
 from listlake.functions.scalars import date_to_partition
 from listlake.schemas import LAKE
 
-MIN_BYTES = 50
+# A header, a line break and a value: a shorter file holds no record.
+MIN_BYTES = 3
 ROWS_PER_FILE = 500_000
 DAY = "partition_date"
 
@@ -52,8 +53,8 @@ def read_csv_typed(
 
 
 def file_gate(df: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Leave out missing and near-empty files. The filter is on file metadata: such files are
-    dropped while planning and never opened."""
+    """Leave out files that are too short to hold a record. The filter is on file metadata: such files
+    are dropped while planning and never opened."""
     return df.where(F.col("_metadata.file_size") >= min_bytes)
 
 

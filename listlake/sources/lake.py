@@ -4,11 +4,12 @@ File tables have no MERGE, and overwriting days in place is neither atomic nor a
 whose last row moved away. So a merge writes the days it touches into a new folder and then adds one
 small manifest that names, for every day, the folder holding it::
 
-    <root>/data/v=3/listing_start_date=2024-10-06/…
+    <root>/data/v=3-<id>/listing_start_date=2024-10-06/…
     <root>/manifest/v=3/…
 
 A manifest is a single file and appears by one rename. A job that dies before that leaves the table
-as it was, and running it again is safe. One writer at a time, as merges run once a day.
+as it was, and running it again is safe. Of two writers that start from one version the first to store
+its manifest wins, the other fails.
 
 Where the session has a table format with row-level operations, :func:`merge_statement` gives the
 equivalent ``MERGE INTO``.
@@ -16,19 +17,20 @@ equivalent ``MERGE INTO``.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listlake.operators.upsert import dedupe_source, upsert_rows
+from listlake.operators.upsert import check_source, dedupe_source, upsert_rows
 from listlake.schemas import LAKE, LAKE_DAY, LAKE_KEY
 
 MANIFEST = T.StructType(
     [
         T.StructField("day", T.DateType(), True),
-        T.StructField("folder", T.LongType(), True),
+        T.StructField("folder", T.StringType(), True),
         T.StructField("v", T.LongType(), True),
     ]
 )
@@ -52,14 +54,14 @@ class LakeTable:
         empty.coalesce(1).write.mode("ignore").parquet(f"{self.root}/manifest/v=0")
         return self
 
-    def _manifest(self) -> tuple[int, dict[date | None, int]]:
+    def _manifest(self) -> tuple[int, dict[date | None, str]]:
         """Current version and the folder of every day: one entry per day of the table's life."""
         rows = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest")
         # The newest version is a scalar subquery on the partition column: older ones stay closed.
         current = rows.where(F.col("v") == rows.agg(F.max("v")).scalar()).collect()
         return max((r["v"] for r in current), default=0), {r["day"]: r["folder"] for r in current}
 
-    def _read(self, folders: dict[date | None, int]) -> DataFrame:
+    def _read(self, folders: dict[date | None, str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         paths = [
@@ -67,7 +69,7 @@ class LakeTable:
             + (d.isoformat() if d else "__HIVE_DEFAULT_PARTITION__")
             for d, v in folders.items()
         ]
-        schema = T.StructType(self.schema.fields + [T.StructField("v", T.LongType(), True)])
+        schema = T.StructType(self.schema.fields + [T.StructField("v", T.StringType(), True)])
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*self.schema.names)
 
@@ -92,7 +94,9 @@ class LakeTable:
         """
         version, folders = self._manifest()
         names = self.schema.names
-        source = source.select(*names, *[c for c in order or [] if c not in names]).persist()
+        cached = source.is_cached
+        source = source.select(*names, *[c for c in order or [] if c not in names])
+        source = source if cached else source.persist()
         try:
             unique = dedupe_source(source, self.key, on_duplicate, order).select(*names)
             matched = self._read(folders).select(self.key, self.day).join(
@@ -106,19 +110,21 @@ class LakeTable:
             old = self._read({d: v for d, v in folders.items() if d in touched})
             merged = upsert_rows(old, unique, self.key)
             new = version + 1
-            path = f"{self.root}/data/v={new}"
+            # Every attempt has a folder of its own, so a second writer, or a hung one that comes back,
+            # never writes where a manifest points to. Who stores the manifest first has merged.
+            folder = f"{new}-{uuid.uuid4().hex}"
+            path = f"{self.root}/data/v={folder}"
             # Rebalance brings the rows of a day together, yet cuts a hot day into several files.
-            # The folder has no manifest yet, so leftovers of a failed attempt may be replaced.
-            merged.hint("rebalance", self.day).write.partitionBy(self.day).mode(
-                "overwrite"
-            ).parquet(path)
+            merged.hint("rebalance", self.day).write.partitionBy(self.day).parquet(path)
         finally:
-            source.unpersist()
+            if not cached:
+                source.unpersist()
 
         written = self.spark.read.schema(self.schema).parquet(path)
+        check_source(written, self.key)
         entries = {d: v for d, v in folders.items() if d not in touched}
-        entries |= {d: new for d in self._distinct_days(written)}
-        manifest = self.spark.createDataFrame(list(entries.items()), "day date, folder bigint")
+        entries |= {d: folder for d in self._distinct_days(written)}
+        manifest = self.spark.createDataFrame(list(entries.items()), "day date, folder string")
         manifest.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/manifest/v={new}")
         return new
 

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listlake.operators.runs import append_run, row_counts, run_record
+from listlake.operators.upsert import DuplicateKeyError
 from listlake.plans import daily
 from listlake.schemas import LAKE, RUNS
 from listlake.session import shared_root, work_dir
@@ -63,14 +64,15 @@ def test_rerun_without_rows_replaces_the_day(spark, tmp_path):
     assert C.save_day(lake_rows(spark, []), root, D[0])[1] == 0
     assert C.read_days(spark, root, D[0]).isEmpty()
     lake = LakeTable(spark, str(tmp_path / "lake"))
-    assert daily.load_day(spark, root, lake, D[0])["message"] == "No data to load"
+    assert daily.load_day(spark, root, lake, D[0])["loaded_rows"] == 0
 
 
 def test_small_and_missing_files(spark, tmp_path):
     root = tmp_path / "raw"
     assert C.read_days(spark, str(root)) is None
     C.save_day(lake_rows(spark, [listing("/1", job_content="x" * 60)]), str(root), D[0])
-    for day, text in (("20241002", "\n"), ("20241003", "a,b\n1,2\n")):
+    header = ",".join(LAKE.names) + "\n"
+    for day, text in (("20241002", "\n"), ("20241003", ""), ("20241004", header)):
         os.makedirs(root / f"partition_date={day}")
         (root / f"partition_date={day}" / "jobs.csv").write_text(text)
     assert C.read_days(spark, str(root)).count() == 1
@@ -78,6 +80,15 @@ def test_small_and_missing_files(spark, tmp_path):
     assert C.read_days(spark, str(root), D[8]).isEmpty()
 
 
+def test_short_files_with_rows_are_read(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+
+    os.makedirs(tmp_path / "partition_date=20241001")
+    (tmp_path / "partition_date=20241001" / "x.csv").write_text("a\n1")
+    schema = _parse_datatype_string("a int")
+    assert C.read_days(spark, str(tmp_path), schema=schema).select("a").collect() == [(1,)]
+
+
 def test_reordered_header_fails(spark, tmp_path):
     (tmp_path / "f.csv").write_text("occupation,monthly_salary\nSE,1\n")
     schema = "monthly_salary bigint, occupation string"
@@ -131,7 +142,8 @@ def test_only_touched_days_are_rewritten(spark, tmp_path):
     lake = lake_of(spark, tmp_path)
     lake.merge(lake_rows(spark, [listing("/1", D[0]), listing("/2", D[1])]))
     lake.merge(lake_rows(spark, [listing("/3", D[1])]))
-    assert lake._manifest() == (2, {D[0]: 1, D[1]: 2})
+    version, folders = lake._manifest()
+    assert version == 2 and {d: f.split("-")[0] for d, f in folders.items()} == {D[0]: "1", D[1]: "2"}
 
 
 def test_failed_merge_changes_nothing(spark, tmp_path):
@@ -202,8 +214,8 @@ def test_collect_and_load(spark, rows, tmp_path):
         [(f"/{i}", detail_page([f"{i}0万円", "SE", "正社員", "東京都", "IT"], [("言語", "Go\nC"), ("稼働日数", "週5日")]))
          for i in range(1, 5)], "detail_link string, html string")
     raw, lake = str(tmp_path / "raw"), LakeTable(spark, str(tmp_path / "lake"))
-    assert daily.load_day(spark, raw, lake, D[0]) == {
-        "status": "success", "message": "No data to load", "loaded_rows": 0}
+    nothing = daily.load_day(spark, raw, lake, D[0])
+    assert (nothing["status"], nothing["loaded_rows"]) == ("success", 0)
     out = daily.collect_day(pages, details, raw, date(2024, 3, 15))
     assert out["record_count"] == 2 and out["limit_date"] == "2024-03-14"
     assert daily.load_day(spark, raw, lake, date(2024, 3, 15))["loaded_rows"] == 2
@@ -217,11 +229,62 @@ def test_collect_and_load(spark, rows, tmp_path):
     assert len(daily.backfill(spark, raw, lake, date(2024, 3, 14), date(2024, 3, 15))) == 2
 
 
+def test_every_listing_is_kept_or_rejected(spark, rows, tmp_path):
+    broken = list_page(("A", "2024年3月15日", "/1"), ("B", "未定", "/2"), ("D", "2024年3月15日", "/4")) + (
+        '<div class="job-Title">C</div><div class="time-Stamp">掲載開始日：2024年3月15日</div><ul><li class="detail-Btn02">x</li></ul>'
+    )
+    pages = spark.createDataFrame([(1, broken), (2, None)], "page long, html string")
+    details = spark.createDataFrame(
+        [("/1", detail_page(["1円"], [])), ("/2", detail_page(["1円"], [])), ("/4", None)], "detail_link string, html string"
+    )
+    raw = str(tmp_path / "raw")
+    out = daily.collect_day(pages, details, raw, date(2024, 3, 15))
+    assert (out["record_count"], out["reject_count"]) == (1, 4)
+    stored = spark.read.parquet(out["rejects_path"])
+    assert rows(stored, "job_title", "reject") == sorted(
+        [("B", "no date"), ("C", "no link"), ("D", "no detail page"), (None, "page without text")], key=repr
+    )
+    with pytest.raises(daily.RejectedListings, match="1 with no date"):
+        daily.collect_day(pages, details, str(tmp_path / "none"), date(2024, 3, 15), on_reject="error")
+    assert not (tmp_path / "none").exists()
+
+
+def test_backfill_stops_where_a_day_fails(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), LakeTable(spark, str(tmp_path / "lake"))
+    C.save_day(lake_rows(spark, [listing("/1", D[0], job_title="old"), listing("/1", D[0], job_title="again")]), raw, D[0])
+    C.save_day(lake_rows(spark, [listing("/1", D[1], job_title="new")]), raw, D[1])
+    assert [r["status"] for r in daily.backfill(spark, raw, lake, D[0], D[1])] == ["error"]
+    C.save_day(lake_rows(spark, [listing("/1", D[0], job_title="old")]), raw, D[0])
+    assert [r["status"] for r in daily.backfill(spark, raw, lake, D[0], D[1])] == ["success"] * 2
+    assert links(lake.read()) == [("/1", D[1], "new")]
+
+
+def test_null_keys_never_reach_the_lake(spark, tmp_path):
+    lake = LakeTable(spark, str(tmp_path / "lake")).create_if_absent()
+    rows = lake_rows(spark, [listing(None, D[0]), listing("/1", D[0])])
+    for mode in ("error", "last"):
+        with pytest.raises(DuplicateKeyError):
+            lake.merge(rows, mode)
+    assert lake.read().count() == 0
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    """The second to store its manifest fails and changes nothing of the first."""
+    lake, late = (LakeTable(spark, str(tmp_path / "lake")).create_if_absent() for _ in range(2))
+    lake.merge(lake_rows(spark, [listing("/0", D[0])]))
+    before = late._manifest()
+    lake.merge(lake_rows(spark, [listing("/1", D[1])]))
+    monkeypatch.setattr(late, "_manifest", lambda: before)
+    with pytest.raises(Exception, match="(?i)exist"):
+        late.merge(lake_rows(spark, [listing("/2", D[1])]))
+    assert [r[0] for r in links(lake.read())] == ["/0", "/1"]
+
+
 def test_empty_collection(spark, tmp_path):
     pages = spark.createDataFrame([(1, "<html></html>")], "page long, html string")
     details = spark.createDataFrame([], "detail_link string, html string")
     got = daily.collect_listings(pages, details, D[0])
-    assert got.columns == LAKE.names and got.count() == 0
+    assert got.columns == [*LAKE.names, "reject"] and got.count() == 0
 
 
 def test_run_record_and_counts(spark, rows, tmp_path):

@@ -1,12 +1,13 @@
-"""Page parsing: values, traps, and agreement of the expressions with the HTML parser."""
+"""Page parsing: values, traps, and pages that are broken in every way."""
 
 import random
+import time
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from listlake.functions.html import Selector
+from listlake.functions.html import read_elements
 from listlake.operators import pages as P
 from listlake.schemas import DETAIL_ROWS, LIST_ROWS, PAGES
 
@@ -32,37 +33,34 @@ def detail_page(items, cells):
     return f'<div class="job-Box"><ul>{lis}</ul></div><table><tbody>{rows}</tbody></table>'
 
 
-@pytest.mark.parametrize("parser", ["auto", "native", "tokens"])
-def test_list_page(spark, rows, parser):
+def test_list_page(spark, rows):
     df = P.parse_list_page(
-        page_table(spark, list_page(("Python開発者募集", "2024年3月1日", "/jobs/123"))), parser=parser
+        page_table(spark, list_page(("倉庫の在庫係", "2023年11月7日", "/o/77")))
     )
-    assert rows(df, *LIST_ROWS.names) == [("Python開発者募集", date(2024, 3, 1), "/jobs/123")]
+    assert rows(df, *LIST_ROWS.names) == [("倉庫の在庫係", date(2023, 11, 7), "/o/77")]
 
 
-@pytest.mark.parametrize("parser", ["auto", "native", "tokens"])
-def test_list_page_is_cut_to_the_shortest_list(spark, rows, parser):
+def test_list_page_is_cut_to_the_shortest_list(spark, rows):
     html = list_page(("a", "2024年3月1日", "/1")) + '<div class="job-Title">b</div>' \
         '<div class="time-Stamp">掲載開始日：2024年3月2日</div>'
     empty = "<html><body>no listing</body></html>"
-    df = P.parse_list_page(page_table(spark, html, empty, None), parser=parser)
+    df = P.parse_list_page(page_table(spark, html, empty, None))
     assert rows(df, *LIST_ROWS.names) == [("a", date(2024, 3, 1), "/1")]
 
 
-@pytest.mark.parametrize("parser", ["auto", "native", "tokens"])
-def test_detail_page(spark, rows, parser):
+def test_detail_page(spark, rows):
     html = detail_page(
-        ["〜500000円", "システムエンジニア", "正社員", "東京都", "IT・通信"],
-        [("案件内容", "Webアプリ開発"), ("必須スキル", "Python, SQL"), ("言語", "Python\nGo"), ("言語", "second")],
+        ["〜314159円", "検査員", "短期", "松本市", "食品"],
+        [("案件内容", "瓶の検査"), ("必須スキル", "読み書き"), ("言語", "Ada\nGo"), ("言語", "second")],
     )
     short = detail_page(["応相談", "x"], [("稼働率", " 100% ")])
-    df = P.parse_detail_page(page_table(spark, html, short, "<p>nothing</p>"), parser=parser)
+    df = P.parse_detail_page(page_table(spark, html, short, "<p>nothing</p>"))
     assert [c for c in df.columns if c not in ("page_id", "url")] == DETAIL_ROWS.names
     none = (None,) * 5
     assert rows(df.drop("url")) == sorted(
         [
-            (0, 500000, "システムエンジニア", "正社員", "東京都", "IT・通信", "Webアプリ開発", "Python, SQL",
-             None, "Python\nGo", None, None, None, None, None, None),
+            (0, 314159, "検査員", "短期", "松本市", "食品", "瓶の検査", "読み書き",
+             None, "Ada\nGo", None, None, None, None, None, None),
             (1, None, "x", None, None, None, None, None, None, None, None, None, "100%", None, None, None),
             (2,) + none + none + none,
         ],
@@ -72,9 +70,8 @@ def test_detail_page(spark, rows, parser):
 
 def test_rows_without_both_cells_are_skipped(spark):
     html = "<table><tr><th>言語</th></tr><tr><td>v</td></tr><tr><th>言語</th><td>Go</td></tr></table>"
-    for parser in ("native", "tokens"):
-        pairs = P.label_values(page_table(spark, html), parser=parser).first()["pairs"]
-        assert [tuple(p) for p in pairs] == [("言語", "Go")]
+    pairs = P.label_values(page_table(spark, html)).first()["pairs"]
+    assert [tuple(p) for p in pairs] == [("言語", "Go")]
 
 
 FRAGMENTS = [
@@ -97,26 +94,44 @@ FRAGMENTS = [
 ]
 
 
-def test_auto_parser_equals_html_parser_on_messy_pages(spark):
+ODD = [
+    "<![hello]>", "<![if x]>", "<![CDATA[ <b> ]]>", "<!DOCTYPE [ <x", "<!--", "-->", '<p title="<!-- ">',
+    '<div class="job-Title" class="other">x</div>', '<template><div class="job-Title">x</div></template>',
+    "<template>", "</script>", "&#x110000;", "<a <b>", "\x00",
+]
+
+
+def test_no_page_ends_the_job(spark):
     rng = random.Random(7)
     pages = page_table(
-        spark, *["".join(rng.choices(FRAGMENTS, k=rng.randint(1, 6))) for _ in range(1500)], *FRAGMENTS
+        spark, *["".join(rng.choices(FRAGMENTS + ODD, k=rng.randint(1, 6))) for _ in range(1500)], *FRAGMENTS, *ODD
     ).repartition(8).persist()
-    for read in (
-        P.extract_titles, P.extract_dates, P.extract_links, P.positional_fields, P.label_values,
-        P.parse_list_page, P.parse_detail_page,
-    ):
-        auto = {repr(r) for r in read(pages, parser="auto").drop("html").collect()}
-        exact = {repr(r) for r in read(pages, parser="tokens").drop("html").collect()}
-        assert auto == exact, (read.__name__, sorted(auto ^ exact)[:4])
+    for read in (P.extract_titles, P.extract_dates, P.extract_links, P.positional_fields, P.label_values, P.parse_detail_page):
+        assert read(pages).where("page_id is not null").count() == pages.count()
+    assert P.parse_list_page(pages).count() > 0
     pages.unpersist()
 
 
-def test_flat_pages_never_reach_the_parser(spark, sf):
-    pages = spark.read.parquet(f"{sf}/pages.parquet")
-    auto = P.extract_texts(pages, Selector(tag="title"), "t")
-    exact = P.extract_texts(pages, Selector(tag="title"), "t", parser="tokens")
-    assert auto.select("page_id", "t").exceptAll(exact.select("page_id", "t")).isEmpty()
+@pytest.mark.parametrize(
+    ("html", "texts"),
+    [
+        ("<![hello]><div class='job-Title'>x</div>", ["x"]),
+        ("<template><div class='job-Title'>x</div></template><div class='job-Title'>y</div>", ["", "y"]),
+        ('<p title="<!-- "><div class="job-Title">x</div><i>--></i>', ["x"]),
+        ('<div class="job-Title" class="other">x</div>', []),
+        ('<div class="job-Title">a &amp; <b>b</b><br>c<script>d</script></div>', ["a & bc"]),
+        ('<div class="job-Title">a<div class="job-Title">b</div>c', ["abc", "b"]),
+    ],
+)
+def test_texts_of_elements(html, texts):
+    found = read_elements(html, frozenset(), frozenset(["job-Title"]))
+    assert [e["text"] for e in found] == texts
+
+
+def test_reader_is_linear():
+    start = time.perf_counter()
+    found = read_elements('<div class="job-Title">x' * 100_000 + "</i>" * 100_000, frozenset(), frozenset(["job-Title"]))
+    assert len(found) == 100_000 and time.perf_counter() - start < 20
 
 
 def test_pivot_labels_takes_the_first(spark, rows):
@@ -129,14 +144,17 @@ def test_pivot_labels_takes_the_first(spark, rows):
 
 
 def test_attach_and_union(spark, rows):
-    details = spark.createDataFrame([("/jobs/123", 500000, "SE")], "detail_link string, monthly_salary long, occupation string")
-    lists = spark.createDataFrame([("Python開発者", "/jobs/123"), ("other", "/jobs/9")], "job_title string, detail_link string")
-    joined = P.attach_list_to_detail(details, lists)
-    assert rows(joined, "job_title", "detail_link", "monthly_salary", "occupation") == [
-        ("Python開発者", "/jobs/123", 500000, "SE")
-    ]
+    details = spark.createDataFrame(
+        [("/o/1", 5, "SE"), ("/o/1", 4, "SE"), (None, 1, "x"), ("/o/3", 2, "y")], "detail_link string, monthly_salary long, occupation string"
+    )
+    lists = spark.createDataFrame([("a", "/o/1"), ("b", "/o/2"), ("c", None)], "job_title string, detail_link string")
+    joined = P.attach_list_to_detail(details, lists, found="there")
+    assert rows(joined, "job_title", "detail_link", "monthly_salary", "occupation", "there") == sorted(
+        [("a", "/o/1", 5, "SE", True), ("b", "/o/2", None, None, None), ("c", None, None, None, None)], key=repr
+    )
+    details, lists = details.where("monthly_salary = 5"), lists.where("job_title <> 'c'")
     assert rows(P.union_details([details, lists]), "detail_link", "job_title") == [
-        ("/jobs/123", "Python開発者"), ("/jobs/123", None), ("/jobs/9", "other"),
+        ("/o/1", "a"), ("/o/1", None), ("/o/2", "b"),
     ]
     empty = P.union_details([], spark)
     assert empty.schema == DETAIL_ROWS and empty.count() == 0
@@ -145,4 +163,4 @@ def test_attach_and_union(spark, rows):
 
 def test_page_operators_do_not_shuffle(spark):
     plan = P.parse_list_page(page_table(spark, "")).select(F.col("job_title"))._jdf.queryExecution().toString()
-    assert "Exchange" not in plan
+    assert "Exchange" not in plan  # one narrow stage

@@ -12,10 +12,10 @@ from listlake.operators import upsert as U
 LIMIT = date(2025, 1, 1)
 
 
-def loop(pages, limit, cap=99):
+def loop(pages, limit):
     """What reading page after page gives."""
     kept = []
-    for n in range(1, cap + 1):
+    for n in range(1, 1000):
         if not pages.get(n):
             break
         kept += [(n, d) for d in pages[n]]
@@ -43,7 +43,7 @@ def test_cutoff_equals_the_loop(spark, rows, seed):
     rng = random.Random(seed)
     pages = {
         n: [LIMIT + timedelta(days=rng.randint(-1 if rng.random() < 0.1 else 0, 9)) for _ in range(rng.randint(1, 4))]
-        for n in range(1, rng.choice([1, 5, 30, 105])) if rng.random() < 0.97
+        for n in range(1, rng.choice([1, 5, 30, 250])) if rng.random() < 0.995
     }
     assert rows(G.page_cutoff(frame(spark, pages), "d", LIMIT)) == loop(pages, LIMIT)
 
@@ -52,12 +52,25 @@ def test_no_page_at_all(spark):
     assert G.page_cutoff(frame(spark, {}), "d", LIMIT).count() == 0
 
 
-def test_page_numbers(spark, rows):
-    df = spark.range(0, 1000).selectExpr("id", "id % 7 as day")
-    got = G.latest_first_pages(df, [F.desc("day"), F.asc("id")], 10, max_pages=5)
-    order = sorted(((-(i % 7), i) for i in range(1000)))[:50]
-    assert rows(got, "id", "page") == sorted(((i, n // 10 + 1) for n, (_, i) in enumerate(order)), key=repr)
-    assert "TakeOrdered" in got._jdf.queryExecution().executedPlan().toString()
+def test_every_row_gets_a_page(spark, rows):
+    df = spark.range(0, 3000, 1, 7).selectExpr("id", "id % 7 as day")
+    order = sorted((-(i % 7), i) for i in range(3000))
+    want = sorted(((i, n // 10 + 1) for n, (_, i) in enumerate(order)), key=repr)
+    got = G.latest_first_pages(df, [F.desc("day"), F.asc("id")], 10)
+    assert got.columns == ["id", "day", "page"] and rows(got, "id", "page") == want
+    some = G.latest_first_pages(df, [F.desc("day"), F.asc("id")], 10, max_pages=5)
+    assert rows(some, "id", "page") == [r for r in want if r[1] <= 5]
+    assert G.latest_first_pages(df.limit(0), [F.asc("id")], 10).count() == 0
+
+
+def test_cutoff_beyond_a_hundred_pages(spark):
+    pages = {n: [LIMIT] for n in range(1, 131)}
+    assert G.page_cutoff(frame(spark, pages), "d", LIMIT).count() == 130
+    assert G.page_cutoff(frame(spark, pages), "d", LIMIT, max_pages=7).count() == 7
+    del pages[120]
+    assert G.page_cutoff(frame(spark, pages), "d", LIMIT).count() == 119
+    del pages[1]
+    assert G.page_cutoff(frame(spark, pages), "d", LIMIT).count() == 0
 
 
 def test_filter_reaches_the_scan(spark, tmp_path):
@@ -92,8 +105,8 @@ def test_duplicate_source(spark, rows):
     assert rows(U.dedupe_source(source, "k", "last", ["o"])) == [("a", 5, 3), ("b", 4, 0)]
     with pytest.raises(U.DuplicateKeyError):
         U.dedupe_source(kv(spark, (None, 1, 1)), "k")
-    nulls = kv(spark, (None, 1, 1), (None, 2, 1))
-    assert U.dedupe_source(nulls, "k", "last", ["o"]).count() == 2
+    with pytest.raises(U.DuplicateKeyError, match="NULL"):
+        U.dedupe_source(kv(spark, (None, 1, 1), ("a", 2, 1)), "k", "last", ["o"])
     assert U.dedupe_source(kv(spark, ("a", 1, 1)), "k").count() == 1
 
 

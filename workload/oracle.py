@@ -91,8 +91,7 @@ LINES_CTE = f"lines AS (SELECT doc_id, unnest(string_split(text, {NL})) AS line
 
 EVENT_PAGES_CTE = """ranked AS (
   SELECT event_id, CAST(ts AS DATE) AS day,
-         (row_number() OVER (ORDER BY ts DESC, event_id) - 1) // 50 + 1 AS page FROM events),
-crawled AS (SELECT * FROM ranked WHERE page <= 99)"""
+         (row_number() OVER (ORDER BY ts DESC, event_id) - 1) // 50 + 1 AS page FROM events)"""
 
 MESSAGES_CTE = """valid AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS message_id FROM events
@@ -265,11 +264,11 @@ ORACLE: dict[str, str] = {
     "project_details": WITH_STG + f"SELECT job_id, {DETAILS} FROM stg",
     "filter_since": "SELECT event_id, user_id, event_type, value FROM events "
     "WHERE ts >= TIMESTAMP '2024-01-15'",
-    "page_cutoff": f"WITH {EVENT_PAGES_CTE} SELECT event_id, day, page FROM crawled "
+    "page_cutoff": f"WITH {EVENT_PAGES_CTE} SELECT event_id, day, page FROM ranked "
     "WHERE day >= DATE '2024-01-26' AND page <= coalesce("
-    "(SELECT min(page) FROM crawled WHERE day < DATE '2024-01-26'), 99)",
+    "(SELECT min(page) FROM ranked WHERE day < DATE '2024-01-26'), (SELECT max(page) FROM ranked))",
     "envelope_filter": f"WITH {MESSAGES_CTE} SELECT event_id, message_id FROM valid",
-    "latest_first_pages": f"WITH {EVENT_PAGES_CTE} SELECT event_id, day, page FROM crawled",
+    "latest_first_pages": f"WITH {EVENT_PAGES_CTE} SELECT event_id, day, page FROM ranked",
     # joins
     "join_fact_details": f"SELECT o.*, c.* EXCLUDE (c_custkey) FROM ({ORDERS}) o "
     "LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
@@ -286,11 +285,10 @@ ORACLE: dict[str, str] = {
     "md5(fw) AS framework_id FROM product",
     "unnest_lateral": f"WITH {LINES_CTE} SELECT doc_id, line FROM lines",
     "attach_list_to_detail": WITH_LAKE
-    + f"SELECT d.*, l.job_title, l.listing_start_date FROM "
-    f"(SELECT detail_link, {DETAIL_COLUMNS} FROM lake) d JOIN ({LIST_ROWS}) l USING (detail_link)",
+    + f"SELECT l.detail_link, d.* EXCLUDE (detail_link), l.job_title, l.listing_start_date FROM ({LIST_ROWS}) l "
+    f"LEFT JOIN (SELECT detail_link, {DETAIL_COLUMNS} FROM lake WHERE detail_link NOT LIKE '%7') d USING (detail_link)",
     "anti_join_ledger": f"WITH {MESSAGES_CTE} SELECT event_id, message_id FROM valid "
-    "WHERE message_id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events "
-    "WHERE event_type = 'purchase' AND value > 20)",
+    "WHERE message_id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE user_id % 2 = 0)",
     # upsert
     "upsert_merge": MERGED,
     "upsert_rows": MERGED,
@@ -299,7 +297,7 @@ ORACLE: dict[str, str] = {
     "FROM documents GROUP BY text",
     # aggregations
     "distinct_dim": f"WITH {LINES_CTE} SELECT DISTINCT md5(line) AS line_id, line FROM lines",
-    "page_min_date": f"WITH {EVENT_PAGES_CTE} SELECT page, min(day) AS min_date FROM crawled "
+    "page_min_date": f"WITH {EVENT_PAGES_CTE} SELECT page, min(day) AS min_date FROM ranked "
     "GROUP BY page",
     "row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS name, count(*) AS n FROM {t}"
@@ -373,5 +371,8 @@ ORACLE: dict[str, str] = {
     "SELECT 'absent', 'success', 0, DATE '2024-01-15'",
     "collect_day": WITH_LAKE
     + f"SELECT {DETAIL_COLUMNS}, l.job_title, l.listing_start_date, l.detail_link FROM lake "
-    f"JOIN ({LIST_ROWS}) l USING (detail_link) WHERE l.page <= 99",
+    f"JOIN ({LIST_ROWS}) l USING (detail_link) WHERE l.listing_start_date >= DATE '2025-12-15'",
+    "collect_rejects": "SELECT CASE WHEN doc_id % 13 <> 0 THEN '/jobs/' || doc_id END AS detail_link, "
+    "CASE WHEN doc_id % 13 = 0 THEN 'no link' WHEN doc_id % 11 = 0 THEN 'no date' "
+    "WHEN doc_id % 10 = 7 THEN 'no detail page' ELSE 'kept' END AS outcome FROM documents",
 }

@@ -290,14 +290,15 @@ def unnest_lateral(spark, sf_dir):
 def attach_list_to_detail(spark, sf_dir):
     lists = P.parse_list_page(list_pages(spark, sf_dir)).drop("page")
     details = P.parse_detail_page(detail_pages(spark, sf_dir))
-    return P.attach_list_to_detail(details, lists)
+    return P.attach_list_to_detail(details.where("detail_link NOT LIKE '%7'"), lists)
 
 
 @query
 def anti_join_ledger(spark, sf_dir):
     messages = envelope_filter(trigger_messages(spark, sf_dir)).select("event_id", "message_id")
-    buyers = table(spark, sf_dir, "events").where("event_type = 'purchase' AND value > 20")
-    done = buyers.select(F.col("user_id").cast("string").alias("message_id"))
+    # Users with an even number have been served.
+    served = table(spark, sf_dir, "events").where("user_id % 2 = 0")
+    done = served.select(F.col("user_id").cast("string").alias("message_id"))
     return L.anti_join_ledger(messages, L.ledger_rows(done, PROCESSED_AT))
 
 
@@ -633,12 +634,22 @@ def run_record(spark, sf_dir):
 def collect_day(spark, sf_dir):
     """The whole collection: list pages, cut-off, detail pages, day file."""
     root = work_dir(spark, "collected")
-    out = daily.collect_day(
-        list_pages(spark, sf_dir), detail_pages(spark, sf_dir), root, date(2025, 11, 16)
-    )
+    lists = list_pages(spark, sf_dir, newest_first=True)
+    out = daily.collect_day(lists, detail_pages(spark, sf_dir), root, date(2025, 12, 16))
     return C.read_csv_typed(spark, out["saved_path"])
 
 
+@query
+def collect_rejects(spark, sf_dir):
+    """Listings without date, link or detail page, stored with their reason; all others are kept."""
+    root = work_dir(spark, "collected")
+    lists = list_pages(spark, sf_dir, damaged=True)
+    details = detail_pages(spark, sf_dir).where("detail_link NOT LIKE '%7'")
+    out = daily.collect_day(lists, details, root, date(2025, 11, 16))
+    kept = C.read_csv_typed(spark, out["saved_path"]).select("detail_link", F.lit("kept").alias("outcome"))
+    return kept.unionByName(spark.read.parquet(out["rejects_path"]).select("detail_link", F.col("reject").alias("outcome")))
+
+
 def run(name: str) -> Query:
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
         return QUERIES[name](tune(spark), sf_dir)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listlake.operators.paging import latest_first_pages
 from listlake.schemas import DETAIL_LABELS, LAKE
 
 PER_PAGE = 20
@@ -53,23 +54,36 @@ def _escape(c):
     return c
 
 
-def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(page, html)``: listing pages of ``PER_PAGE`` documents, so a group has a fixed size."""
+def list_pages(
+    spark: SparkSession, sf_dir: str, newest_first: bool = False, damaged: bool = False
+) -> DataFrame:
+    """``(page, html)``: listing pages of ``PER_PAGE`` documents, so a group has a fixed size.
+
+    ``newest_first`` puts them in the order of their dates, as a site does. ``damaged`` takes the date
+    from every 11th and the link from every 13th listing.
+    """
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "day", F.expr("date_add(DATE'2025-11-15', cast(n_chars % 60 AS int))")
+    )
+    if newest_first:
+        docs = latest_first_pages(docs.select("doc_id", "source", "lang", "day"), [F.desc("day"), F.asc("doc_id")], PER_PAGE)
+    else:
+        docs = docs.withColumn("page", (F.floor(F.col("doc_id") / PER_PAGE) + 1).cast("bigint"))
+    day = F.expr("date_format(day, \"y'年'M'月'd'日'\")")
+    link = F.concat(F.lit(' href="/jobs/'), F.col("doc_id").cast("string"), F.lit('"'))
+    if damaged:
+        day = F.when(F.col("doc_id") % 11 == 0, "未定").otherwise(day)
+        link = F.when(F.col("doc_id") % 13 == 0, "").otherwise(link)
     item = F.concat(
         F.lit('<div class="job-Title">'),
         _escape(F.concat_ws(" & ", "source", "lang")),
         F.lit('</div><div class="time-Stamp">掲載開始日：'),
-        F.expr(
-            "date_format(date_add(DATE'2025-11-15', cast(n_chars % 60 AS int)), \"y'年'M'月'd'日'\")"
-        ),
-        F.lit('</div><ul><li class="detail-Btn02"><a class="btn" href="/jobs/'),
-        F.col("doc_id").cast("string"),
-        F.lit('">詳細</a></li></ul>'),
-    )
-    items = table(spark, sf_dir, "documents").select(
-        (F.floor(F.col("doc_id") / PER_PAGE) + 1).cast("bigint").alias("page"),
-        F.struct("doc_id", item.alias("item")).alias("s"),
+        day,
+        F.lit('</div><ul><li class="detail-Btn02"><a class="btn"'),
+        link,
+        F.lit(">詳細</a></li></ul>"),
     )
+    items = docs.select("page", F.struct("doc_id", item.alias("item")).alias("s"))
     ordered = F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["item"]), "\n")
     return items.groupBy("page").agg(
         F.concat(F.lit("<!DOCTYPE html><html><body>"), ordered, F.lit("</body></html>")).alias("html")
