@@ -93,22 +93,28 @@ def anti_join(
 
 
 def left_join_bounded(
-    left: DataFrame, right: DataFrame, condition, max_rows: int
+    left: DataFrame, right: DataFrame, condition, max_rows: int | None
 ) -> DataFrame:
     """LEFT JOIN with a side whose size follows from fixed arguments, e.g. a calendar's days.
 
-    ``max_rows`` is that bound; beyond ``BROADCAST_ROWS`` it is a shuffle join.
+    ``max_rows`` is that bound; beyond ``BROADCAST_ROWS``, or without one, there is no hint.
     """
-    if max_rows <= BROADCAST_ROWS:
+    if max_rows is not None and max_rows <= BROADCAST_ROWS:
         right = F.broadcast(right)
     return left.join(right, condition, "left")
 
 
-def _spread(df: DataFrame, deal: str, dealt_over: int, repeat: str, repeated: int) -> DataFrame:
-    """Place every row in one of ``dealt_over`` slots, and copy it into each of ``repeated``."""
-    return df.withColumn(deal, _deal(df, dealt_over)).withColumn(
-        repeat, F.explode(_slots(repeated))
-    )
+def _of_key(key: str, classes: list[tuple[list, int]]) -> Column:
+    """The number given to the key's class, 1 for keys in none."""
+    number = F.lit(1)
+    for keys, slots in classes:
+        if keys:
+            number = F.when(_is_hot(key, keys), slots).otherwise(number)
+    return number.cast("bigint")
+
+
+def _up_to(n: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
 
 
 def left_join_many(
@@ -116,34 +122,31 @@ def left_join_many(
 ) -> tuple[DataFrame, list]:
     """``left`` LEFT JOIN ``right`` where a key may be frequent on either side.
 
-    Returns the join and the keys that are hot in it, for the next join of a chain. The rows of a
-    hot key are spread over a grid of tasks: the frequent side is dealt out, the other one copied.
-    ``hot_left`` names the keys frequent on the left (none by default: a fact unique by key).
+    Returns the join and the keys that are hot in it, for the next join of a chain. One join, one
+    pass over either side: each row of a hot key belongs to a cell of a grid of tasks, ``_row`` by the
+    left row and ``_col`` by the right one; the rows of either side are copied along the other's axis.
+    Cold keys have a grid of one cell. ``hot_left`` names the keys frequent on the left (none by
+    default: a fact unique by key).
     """
     hot_right = [k for k in hot_keys(right, key) if k is not None]
     hot_left = list(hot_left)
     both = [k for k in hot_left if k in hot_right]
-    only_left = [k for k in hot_left if k not in hot_right]
+    only_left = [k for k in hot_left if k not in hot_right and k is not None]
     only_right = [k for k in hot_right if k not in hot_left]
     if not (hot_left or hot_right):
         return left.join(right, key, "left"), []
-
-    any_hot = _is_hot(key, hot_left + only_right)
-    out = left.where(~any_hot).join(right.where(~any_hot), key, "left")
     side = max(int(salts**0.5), 1)
-    # A key the sketch found on the right is present there, so its left rows all match and an inner
-    # join loses none. Keys hot on the left only may lack a partner and keep the outer join.
-    for keys, rows, columns, how in (
-        (only_left, salts, 1, "left"),
-        (only_right, 1, salts, "inner"),
-        (both, side, side, "inner"),
-    ):
-        if keys:
-            few_left = _spread(left.where(_is_hot(key, keys)), "_row", rows, "_col", columns)
-            few_right = _spread(right.where(_is_hot(key, keys)), "_col", columns, "_row", rows)
-            joined = few_left.join(few_right, [key, "_row", "_col"], how).drop("_row", "_col")
-            out = out.unionByName(joined)
-    return out, hot_left + only_right
+    # NULL keys match nothing, so they are dealt out wherever they are many.
+    rows = _of_key(key, [(only_left, salts), (both, side), ([None], salts)])
+    columns = _of_key(key, [(only_right, salts), (both, side)])
+    few_left = left.withColumns({"_row": F.pmod(_deal(left, 1 << 30), rows), "_cols": columns})
+    few_left = few_left.withColumn("_col", _up_to(F.col("_cols")))
+    few_right = right.where(F.col(key).isNotNull()).withColumns({"_col": F.pmod(_deal(right, 1 << 30), columns), "_hit": F.lit(True)})
+    few_right = few_right.withColumn("_row", _up_to(rows))
+    joined = few_left.join(few_right, [key, "_row", "_col"], "left")
+    # A key the sketch found on the right is there, so a copy without a partner is in another cell whole.
+    joined = joined.where((F.col("_cols") == 1) | F.col("_hit")).drop("_row", "_col", "_cols", "_hit")
+    return joined, hot_left + only_right
 
 
 def unnest(

@@ -112,9 +112,10 @@ def join_fact_date(
     fact: DataFrame,
     calendar: DataFrame,
     day: str = "listing_start_date",
-    max_days: int = (CALENDAR_END - CALENDAR_START).days + 1,
+    max_days: int | None = None,
 ) -> DataFrame:
-    """Fact LEFT JOIN calendar. ``max_days`` bounds the calendar's rows and so the broadcast."""
+    """Fact LEFT JOIN calendar. ``max_days`` bounds the calendar's rows and so the broadcast; without
+    a bound there is no hint, and Spark chooses by measured size."""
     return left_join_bounded(fact, calendar, F.col(day) == F.col("date_day"), max_days)
 
 
@@ -128,24 +129,24 @@ def _calendar_for_report(calendar: DataFrame) -> DataFrame:
 
 
 def bi_job_analysis(
-    fact: DataFrame, details: DataFrame, calendar: DataFrame, hot: list | None = ()
+    fact: DataFrame, details: DataFrame, calendar: DataFrame, hot: list | None = (), max_days: int | None = None
 ) -> DataFrame:
-    """One wide row per job."""
+    """One wide row per job. ``max_days`` is as in :func:`join_fact_date`."""
     # Calendar first: narrow rows meet the broadcast before the wide join.
-    dated = join_fact_date(fact, _calendar_for_report(calendar))
+    dated = join_fact_date(fact, _calendar_for_report(calendar), max_days=max_days)
     return join_fact_details(dated, details, hot=hot).select(*REPORT)
 
 
-def bi_job_analysis_fused(stg: DataFrame, calendar: DataFrame) -> DataFrame:
+def bi_job_analysis_fused(stg: DataFrame, calendar: DataFrame, max_days: int | None = None) -> DataFrame:
     """The same rows without joining two projections of one table back together.
 
     Needs a unique job key in staging, which the data tests establish.
     """
-    return join_fact_date(stg, _calendar_for_report(calendar)).select(*REPORT)
+    return join_fact_date(stg, _calendar_for_report(calendar), max_days=max_days).select(*REPORT)
 
 
 def bi_job_analysis_detail(
-    stg: DataFrame, calendar: DataFrame, strategy: str = "fused"
+    stg: DataFrame, calendar: DataFrame, strategy: str = "fused", max_days: int | None = None
 ) -> DataFrame:
     """One row per job x language x tool x framework.
 
@@ -156,22 +157,24 @@ def bi_job_analysis_detail(
     attrs = list(ATTRIBUTES.values())
     if strategy == "fused":
         # Attributes of the date are added before the rows multiply.
-        wide = join_fact_date(stg, _calendar_for_report(calendar))
+        wide = join_fact_date(stg, _calendar_for_report(calendar), max_days=max_days)
         return explode_product(wide, attrs).select(*REPORT_DETAIL)
     if strategy != "star":
         raise ValueError(f"unknown strategy {strategy!r}")
     sides = [
         join_bridge_dim(bridge(stg, JOB_KEY, a), dimension(stg, a), a) for a in attrs
     ]
-    base = bi_job_analysis(fct_jobs(stg), dim_job_details(stg), calendar)
+    base = bi_job_analysis(fct_jobs(stg), dim_job_details(stg), calendar, max_days=max_days)
     return join_fact_multivalue(base, JOB_KEY, sides).select(*REPORT_DETAIL)
 
 
 # ----------------------------------------------------------------------------------- publishing
 
 
-def models(stg: DataFrame, calendar: DataFrame, strategy: str = "fused") -> dict[str, DataFrame]:
-    """All models by name, lazily."""
+def models(
+    stg: DataFrame, calendar: DataFrame, strategy: str = "fused", max_days: int | None = None
+) -> dict[str, DataFrame]:
+    """All models by name, lazily. ``max_days`` is the calendar's known bound, if there is one."""
     out = {
         "stg_joblist": stg,
         "fct_jobs": fct_jobs(stg),
@@ -182,11 +185,11 @@ def models(stg: DataFrame, calendar: DataFrame, strategy: str = "fused") -> dict
         out[f"dim_{name}"] = dim_attribute(stg, name)
         out[f"bridge_{name}"] = bridge_attribute(stg, name)
     out["bi__job_analysis"] = (
-        bi_job_analysis_fused(stg, calendar)
+        bi_job_analysis_fused(stg, calendar, max_days)
         if strategy == "fused"
-        else bi_job_analysis(out["fct_jobs"], out["dim_job_details"], calendar)
+        else bi_job_analysis(out["fct_jobs"], out["dim_job_details"], calendar, max_days=max_days)
     )
-    out["bi__job_analysis_detail"] = bi_job_analysis_detail(stg, calendar, strategy)
+    out["bi__job_analysis_detail"] = bi_job_analysis_detail(stg, calendar, strategy, max_days)
     return out
 
 
@@ -197,7 +200,7 @@ def build_models(
     end: date = CALENDAR_END,
     strategy: str = "fused",
 ) -> dict[str, DataFrame]:
-    return models(staging(lake), dim_date(spark, start, end), strategy)
+    return models(staging(lake), dim_date(spark, start, end), strategy, (end - start).days)
 
 
 def choose_strategy(stg: DataFrame) -> str:
@@ -217,7 +220,7 @@ def publish_models(
     model as a view over the stored staging. A run has its own folder, so readers of the previous one
     are not disturbed."""
     stg = publish_table(staging(lake), f"{root}/{run_id}/stg_joblist")
-    tables = models(stg, dim_date(spark, start, end), choose_strategy(stg))
+    tables = models(stg, dim_date(spark, start, end), choose_strategy(stg), (end - start).days)
     for name in REPORTS:
         tables[name] = publish_table(tables[name], f"{root}/{run_id}/{name}")
     return tables

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from listlake.functions.calendar import dim_date, dim_date_spanning
 from listlake.operators import joins as J
-from listlake.operators.multivalue import Attribute, bridge, dimension, explode_product
+from listlake.operators.multivalue import Attribute, bridge, dimension, explode_product, join_fact_multivalue
 from listlake.plans import warehouse as W
 from listlake.schemas import LAKE
 
@@ -234,3 +234,33 @@ def test_unnest_and_product(spark, rows):
         [(1, "a", md5("a")), (1, None, None), (2, None, None), (3, None, None)], key=repr)
     assert rows(dimension(df, attr)) == sorted([(md5("a"), "a"), (None, None)], key=repr)
     assert bridge(df, "k", attr).count() == 2
+
+
+def test_hot_keys_on_every_side_take_one_pass(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "HOT_ROWS", 5)
+    spark.range(30).selectExpr("cast(nullif(id, 29) as string) k", "id x").write.parquet(str(tmp_path / "fact"))
+    sides = []
+    for n in range(3):
+        # Keys 1 and 2 are frequent, 20 and above are absent.
+        keys = [1] * 12 + [2] * (9 if n else 0) + list(range(20)) + [None] * 8
+        side = spark.createDataFrame([(None if k is None else str(k), i) for i, k in enumerate(keys)], f"k string, v{n} int")
+        side.write.parquet(str(tmp_path / f"side{n}"))
+        sides.append(spark.read.parquet(str(tmp_path / f"side{n}")))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    got = join_fact_multivalue(fact, "k", sides)
+    plain = fact
+    for side in sides:
+        plain = plain.join(side, "k", "left")
+    assert rows(got, "k", "x", "v0", "v1", "v2") == rows(plain, "k", "x", "v0", "v1", "v2")
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 4 and plan.count("LeftOuter") == 3
+
+
+def test_calendar_of_unknown_length_has_no_hint(spark):
+    stg = W.staging(lake_rows(spark, [listing("/1", date(2024, 10, 6))]))
+    long = dim_date(spark, date(1700, 1, 1), date(2200, 1, 1))
+    bare = W.bi_job_analysis_fused(stg, long)
+    assert "broadcast" not in bare._jdf.queryExecution().analyzed().toString().lower()
+    assert bare.first()["listing_start_date"] == date(2024, 10, 6)
+    known = W.bi_job_analysis_fused(stg, dim_date(spark, date(2024, 10, 1), date(2024, 11, 1)), max_days=31)
+    assert "broadcast" in known._jdf.queryExecution().analyzed().toString().lower()
