@@ -2,9 +2,10 @@
 
 A store is a folder of shards in ascending key order. Shard ``n`` has two files:
 
-* ``n.ids``: the ids of its documents one after the other, as little-endian unsigned 32-bit integers.
-* ``n.idx``: magic, then little-endian 64-bit counts ``keys, records, levels``; the size in bits of
-  each level; the levels' bits and a running count for every 512 of them; per slot of the hash
+* ``n.ids``: the ids of its documents one after the other, as little-endian unsigned integers of 16 bits
+  if the vocabulary has no larger ids, else of 32.
+* ``n.idx``: magic, then little-endian 64-bit counts ``keys, records, levels, width``, the last one in
+  bytes of an id; the size in bits of each level; the levels' bits and a running count for every 512 of them; per slot of the hash
   a 32-bit fingerprint and the number of its first record; per record its key (64-bit), a null flag
   and the place of its first id in the shard, with the end as one more place.
 
@@ -19,10 +20,14 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +35,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listlake.llm.common import fresh_path, mix, slices
+from listlake.llm.common import fresh_path, mix, runs, slices
 
 MAGIC = b"TOKSTOR1"
 TOKENIZER = "word_bpe_49k.json"
@@ -103,7 +108,7 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
     return (key_hash(keys, 1 << 20) >> np.uint64(32)).astype(np.uint32)
 
 
-def index_bytes(keys: np.ndarray, nulls: np.ndarray, ends: np.ndarray) -> bytes:
+def index_bytes(keys: np.ndarray, nulls: np.ndarray, ends: np.ndarray, width: int) -> bytes:
     """The index file of records in key order; ``ends`` are the places after each record's last id."""
     distinct, first = np.unique(keys[~nulls], return_index=True)
     first = np.flatnonzero(~nulls)[first]
@@ -111,7 +116,7 @@ def index_bytes(keys: np.ndarray, nulls: np.ndarray, ends: np.ndarray) -> bytes:
     slot = perfect.slots(distinct)
     prints, record = np.zeros(len(distinct), np.uint32), np.zeros(len(distinct), np.uint64)
     prints[slot], record[slot] = fingerprints(distinct), first
-    head = struct.pack("<8sQQQ", MAGIC, len(distinct), len(keys), len(perfect.sizes))
+    head = struct.pack("<8sQQQQ", MAGIC, len(distinct), len(keys), len(perfect.sizes), width)
     return b"".join([
         head, np.array(perfect.sizes, "<u8").tobytes(), np.packbits(perfect.bits).tobytes(), perfect.ranks.astype("<u8").tobytes(),
         prints.astype("<u4").tobytes(), record.astype("<u8").tobytes(), keys.astype("<i8").tobytes(), nulls.astype(np.uint8).tobytes(),
@@ -126,10 +131,10 @@ class Shard:
         self.files, self.path = files, path
         with files.open_input_file(f"{path}.idx") as f:
             data = f.readall()
-        magic, keys, records, levels = struct.unpack_from("<8sQQQ", data)
+        magic, keys, records, levels, self.width = struct.unpack_from("<8sQQQQ", data)
         if magic != MAGIC:
             raise ValueError(f"{path}.idx is not an index")
-        at = 32
+        at = 40
 
         def take(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -157,87 +162,138 @@ class Shard:
     def read(self, record: int) -> np.ndarray:
         """The ids of one record, by one ranged read."""
         with self.files.open_input_file(f"{self.path}.ids") as f:
-            a, b = self.places[record] * 4, self.places[record + 1] * 4
-            return np.frombuffer(f.read_at(int(b - a), int(a)), "<u4")
+            a, b = self.places[record] * self.width, self.places[record + 1] * self.width
+            return np.frombuffer(f.read_at(int(b - a), int(a)), f"<u{self.width}")
 
 
 # --------------------------------------------------------------------- encoding and writing
 
 
+#: Letters that stay one letter when they are normalised and lower-cased, and marks that may follow them.
+SIMPLE = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, then from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)}
+
+
 class Encoder:
     """The tokenizer, with the ids of words seen before.
 
     Its normaliser and pattern never join characters over a space or line feed, so a text's ids are its
-    words' ids in order; texts with special token strings are split the same way.
+    words' ids in order; texts with special token strings are split the same way. New words of plain
+    letters go straight to the library's model, in lower case and as byte letters, as they are one piece
+    to its pattern; marks after them are another. All other words take the library's whole way.
     """
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, end_id: int | None = None, cache: int = CACHE):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.cache = Tokenizer.from_file(path), {"": b""}, cache
+        self.tokenizer, self.cache, self.letters = Tokenizer.from_file(path), cache, byte_letters()
+        self.model = self.tokenizer.model
+        most = max([*self.tokenizer.get_vocab(with_added_tokens=True).values(), end_id or 0])
+        self.kind = "<u2" if most < 1 << 16 else "<u4"
+        self.code = "H" if most < 1 << 16 else "I"
+        self.end = b"" if end_id is None else self._bytes([end_id])
+        self.known: dict[str, bytes] = {"": b""}
+        # A tokenizer that works in another way takes the whole way for every word.
+        probe = ["Héllo", "abc", "Straße", "onTHE"]
+        ids = [e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
+        self.direct = ids == [self._direct(w.lower()) for w in probe]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _direct(self, stem: str) -> list[int]:
+        word = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(word)]
+
+    def _each(self, words: list[str]) -> None:
+        for a in range(0, len(words), 5000):
+            part = words[a : a + 5000]
+            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[word] = self._bytes(e.ids)
+
+    def _learn(self, fresh: set[str]) -> None:
+        known, rest = self.known, []
+        for word in fresh:
+            match = SIMPLE.fullmatch(word) if self.direct else None
+            if match is None:
+                rest.append(word)
+                continue
+            stem, mark = match.groups()
+            stem = stem.lower()
+            ids = known.get(stem)
+            if ids is None:
+                ids = known[stem] = self._bytes(self._direct(stem))
+            if mark and mark not in known:
+                self._each([mark])
+            known[word] = ids + known[mark]
+        self._each(rest)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text and the end id, as bytes."""
         parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > self.cache:
             self.known = {"": b""}
-        fresh = list(set().union(*parts).difference(self.known))
-        for a in range(0, len(fresh), 5000):
-            piece = fresh[a : a + 5000]
-            for word, e in zip(piece, self.tokenizer.encode_batch_fast(piece, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
+        self._learn(set().union(*parts).difference(self.known))
         get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
-
+        return [b"".join(map(get, p)) + self.end for p in parts]
 
-_encoders: dict[str, Encoder] = {}
 
-
-def encoder(path: str) -> Encoder:
+@lru_cache(maxsize=2)
+def encoder(path: str, end_id: int | None) -> Encoder:
     """One per worker process."""
-    if path not in _encoders:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return Encoder(path, end_id)
 
 
 def write_store(docs: DataFrame, tokenizer: str, end_id: int | None, folder: str, key: str = "doc_id", text: str = "text", shards: int | None = None) -> DataFrame:
     """Encodes every row's whole text and writes the store; the manifest's rows.
 
     Null and empty texts have no ids but the end id. Rows are in ascending order of key, null first, rows
-    of one key in order of their text. Shards are cut by ranges of keys; a key is never split.
+    of one key in order of their ids. Shards are cut by ranges of keys; a key is never split.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     count = shards or max(1, -(-rows.count() // SHARD_ROWS))
-    end = b"" if end_id is None else struct.pack("<I", end_id)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number, codec = TaskContext.get().partitionId(), encoder(tokenizer)
+    # Bounds from the keys alone: sampling the encoded rows would encode them twice.
+    shares = [(i + 1) / count for i in range(count - 1)]
+    cuts = rows.agg(F.percentile_approx("id", shares, min(100 * count, 1_000_000))).first()[0] if shares else None
+    bounds = np.array(sorted(set(cuts or ())), np.int64)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = encoder(tokenizer, end_id)
+        for batch in slices(batches, "text"):
+            ids = pa.array(codec.encode(batch.column("text").to_pylist()), pa.binary())
+            shard = np.searchsorted(bounds, batch.column("id").fill_null(np.iinfo(np.int64).min).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), batch.column("id"), ids], ["shard", "id", "ids"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = int(encoder(tokenizer, end_id).kind[-1])
         files, path = opened(folder)
         with contextlib.suppress(OSError):
             files.create_dir(path, recursive=True)
-        keys, nulls, sizes = [], [], []
-        name, part = f"{path}/{number:06d}", f"{path}/{number:06d}.ids.{uuid.uuid4().hex}"
-        with files.open_output_stream(part) as out:
-            for batch in slices(batches, "text"):
-                for ids in codec.encode(batch.column("text").to_pylist()):
-                    out.write(ids + end)
-                    sizes.append((len(ids) + len(end)) // 4)
-                nulls.append(np.asarray(batch.column("id").is_null()))
-                keys.append(batch.column("id").fill_null(0).to_numpy())
-        if not sizes:
-            files.delete_file(part)
-            return
-        files.move(part, f"{name}.ids")
-        keys, nulls = np.concatenate(keys), np.concatenate(nulls)
-        put(files, f"{name}.idx", [index_bytes(keys, nulls, np.cumsum(sizes))])
-        real = keys[~nulls] if not nulls.all() else np.zeros(1, np.int64)
-        row = (number, len(sizes), sum(sizes), int(real[0]), int(real[-1]))
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in row], ["shard", "records", "ids", "first", "last"])
-
-    dealt = rows.repartitionByRange(count, "id").sortWithinPartitions("id", "text")
-    written = sorted(tuple(r) for r in dealt.mapInArrow(work, "shard long, records long, ids long, first long, last long").collect())  # a row per shard
+        for rows in runs(batches, ["shard"]):  # SHARD_ROWS rows or so
+            number = rows.column("shard")[0].as_py()
+            payload = rows.column("ids").to_pylist()
+            sizes = [len(x) // width for x in payload]
+            nulls = rows.column("id").is_null().to_numpy()
+            keys = rows.column("id").fill_null(0).to_numpy()
+            put(files, f"{path}/{number:06d}.ids", payload)
+            put(files, f"{path}/{number:06d}.idx", [index_bytes(keys, nulls, np.cumsum(sizes), width)])
+            real = keys[~nulls] if not nulls.all() else np.zeros(1, np.int64)
+            row = (number, len(sizes), sum(sizes), int(real[0]), int(real[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in row], ["shard", "records", "ids", "first", "last"])
+
+    dealt = rows.mapInArrow(encode, "shard long, id long, ids binary")
+    dealt = dealt.repartition(count, "shard").sortWithinPartitions("shard", "id", "ids")
+    written = sorted(tuple(r) for r in dealt.mapInArrow(write, "shard long, records long, ids long, first long, last long").collect())  # a row per shard
     base, out = 0, []
     for shard, records, ids, first, last in written:
         out.append((shard, base, records, ids, first, last))
@@ -263,10 +319,11 @@ def read_store(spark, shards: DataFrame, folder: str, key: str = "doc_id") -> Da
                 found = shard.records(shard.keys)
                 order = np.arange(len(found))
                 ok = shard.nulls | ((found >= 0) & (found <= order))
-                crc, at = np.zeros(len(order), np.int64), shard.places * 4
+                crc, at = np.zeros(len(order), np.int64), shard.places * shard.width
                 with files.open_input_stream(f"{shard.path}.ids") as f:
                     for n in order.tolist():
-                        crc[n] = zlib.crc32(f.read(int(at[n + 1] - at[n])))
+                        ids = np.frombuffer(f.read(int(at[n + 1] - at[n])), f"<u{shard.width}")
+                        crc[n] = zlib.crc32(ids.astype("<u4").tobytes())
                 for a in range(0, len(order), 10_000):
                     s = slice(a, a + 10_000)
                     yield pa.RecordBatch.from_arrays([
