@@ -152,10 +152,13 @@ def learn(
     The rows with the smallest hashes of each label, at most ``rows``, give a part from their middle each.
     """
     marked = docs.select(F.col(key).cast("long").alias("id"), F.col(lang).cast("string").alias("lang")).filter("lang is not null")
-    counts = marked.groupBy("lang").count()
-    narrow = marked.join(counts, "lang").withColumn("h", F.xxhash64("id", F.lit(5)))
+    counts = {r["lang"]: r["count"] for r in marked.groupBy("lang").count().collect()}  # a row per label
+    if not counts:
+        return ()
     # A few times as many rows as needed are left of a large label before they are ranked.
-    narrow = narrow.filter(F.pmod(F.xxhash64("id", F.lit(6)), F.lit(1 << 30)) / float(1 << 30) < F.lit(8.0 * rows) / F.col("count"))
+    share = F.element_at(F.create_map(*(F.lit(x) for name, n in counts.items() for x in (name, 8.0 * rows / n))), F.col("lang"))
+    narrow = marked.withColumn("h", F.xxhash64("id", F.lit(5)))
+    narrow = narrow.filter(F.pmod(F.xxhash64("id", F.lit(6)), F.lit(1 << 30)) / float(1 << 30) < share)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
     chosen = [r["id"] for r in narrow.withColumn("n", place).filter(F.col("n") <= rows).select("id").collect()]  # rows x labels
     from_docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
