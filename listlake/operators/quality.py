@@ -91,11 +91,13 @@ def dq_freshness(
 
 @dataclass(frozen=True)
 class Check:
-    kind: str  # unique, not_null, relationships, unique_combination
+    kind: str  # unique, not_null, relationships, unique_combination, freshness
     table: str
     columns: tuple[str, ...]
     parent: str | None = None
     parent_key: str | None = None
+    warn_days: int = 2
+    error_days: int = 4
 
     @property
     def label(self) -> str:
@@ -120,23 +122,33 @@ class Suite:
         self.checks.append(Check("relationships", table, (column,), parent, parent_key))
         return self
 
+    def freshness(self, table: str, column: str, warn_days: int = 2, error_days: int = 4) -> Suite:
+        self.checks.append(Check("freshness", table, (column,), warn_days=warn_days, error_days=error_days))
+        return self
+
     def unique_combination(self, table: str, *columns: str) -> Suite:
         self.checks.append(Check("unique_combination", table, columns))
         return self
 
 
-def _result(kind: str, table: str, columns, failures) -> list:
+def _result(kind: str, table: str, columns, failures, status=None) -> list:
     return [
         F.lit(kind).alias("check_type"),
         F.lit(table).alias("table_name"),
         columns.alias("column_names"),
         failures.cast("bigint").alias("failures"),
-        F.when(failures > 0, "fail").otherwise("pass").alias("status"),
+        (F.when(failures > 0, "fail").otherwise("pass") if status is None else status).alias("status"),
     ]
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """One result row per check. All NOT NULL checks of a table share one pass."""
+def run_checks(
+    tables: dict[str, DataFrame], checks: list[Check], as_of: date | datetime | None = None
+) -> DataFrame:
+    """One result row per check. All NOT NULL checks of a table share one pass.
+
+    Freshness is judged at ``as_of``; its status may also be ``warn`` or ``error``, either of which
+    is one failure.
+    """
     parts = []
     required: dict[str, list[str]] = {}
     for check in checks:
@@ -144,6 +156,13 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
         if check.kind == "not_null":
             required.setdefault(check.table, []).append(check.columns[0])
             continue
+        if check.kind == "freshness":
+            if as_of is None:
+                raise ValueError("freshness needs as_of")
+            fresh = dq_freshness(df, check.columns[0], as_of, check.warn_days, check.error_days)
+            stale = (F.col("status") != "pass").cast("int")
+            parts.append(fresh.select(*_result(check.kind, check.table, F.lit(check.label), stale, F.col("status"))))
+            continue
         if check.kind == "unique":
             failures = dq_unique(df, check.columns[0]).agg(F.count(F.lit(1)).alias("f"))
         elif check.kind == "unique_combination":
@@ -183,7 +202,7 @@ def append_results(results: DataFrame, path: str, run_id: str, checked_at: datet
     ).observe(
         seen,
         F.count(F.lit(1)).alias("checks"),
-        F.count_if(F.col("status") == "fail").alias("failed"),
+        F.count_if(F.col("status") != "pass").alias("failed"),
     )
     # A suite has tens of rows: one file per run.
     stamped.coalesce(1).write.mode("append").parquet(path)

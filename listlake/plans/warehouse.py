@@ -216,12 +216,13 @@ def publish_models(
     start: date = CALENDAR_START,
     end: date = CALENDAR_END,
 ) -> dict[str, DataFrame]:
-    """Build the warehouse: staging and the reports as tables below ``<root>/<run_id>``, every other
-    model as a view over the stored staging. A run has its own folder, so readers of the previous one
-    are not disturbed."""
+    """Build the warehouse: staging, bridges, dimensions and the reports as tables below
+    ``<root>/<run_id>``, fact and details as projections of the stored staging. A run has its own folder,
+    so readers of the previous one are not disturbed."""
     stg = publish_table(staging(lake), f"{root}/{run_id}/stg_joblist")
     tables = models(stg, dim_date(spark, start, end), choose_strategy(stg), (end - start).days)
-    for name in REPORTS:
+    links = [f"{kind}_{name}" for kind in ("bridge", "dim") for name in ATTRIBUTES]
+    for name in (*links, *REPORTS):
         tables[name] = publish_table(tables[name], f"{root}/{run_id}/{name}")
     return tables
 
@@ -235,6 +236,7 @@ def declared_suite() -> Suite:
         Suite()
         .unique("lake__joblist", "detail_link")
         .not_null("lake__joblist", "detail_link", "listing_start_date")
+        .freshness("lake__joblist", "listing_start_date")
         .unique("stg_joblist", JOB_KEY, "detail_link")
         .not_null("stg_joblist", JOB_KEY, "detail_link", "listing_start_date")
         .unique("fct_jobs", JOB_KEY)
@@ -259,6 +261,6 @@ def declared_suite() -> Suite:
     return suite
 
 
-def check_warehouse(lake: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+def check_warehouse(lake: DataFrame, tables: dict[str, DataFrame], as_of: date) -> DataFrame:
     """Results of every declared test. Pass published tables: views would expand once per test."""
-    return run_checks({"lake__joblist": lake, **tables}, declared_suite().checks)
+    return run_checks({"lake__joblist": lake, **tables}, declared_suite().checks, as_of)

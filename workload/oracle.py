@@ -150,6 +150,14 @@ def checks_sql() -> str:
     selects = []
     for c in declared_suite().checks:
         columns = ", ".join(c.columns)
+        if c.kind == "freshness":
+            selects.append(
+                f"SELECT 'freshness' AS check_type, '{c.table}' AS table_name, '{c.label}' AS column_names, "
+                f"CAST(s <> 'pass' AS BIGINT) AS failures, s AS status FROM (SELECT CASE "
+                f"WHEN max({columns}) IS NULL OR max({columns}) + {c.error_days} < DATE '2026-01-16' THEN 'error' "
+                f"WHEN max({columns}) + {c.warn_days} < DATE '2026-01-16' THEN 'warn' ELSE 'pass' END AS s FROM {c.table})"
+            )
+            continue
         if c.kind == "not_null":
             failing = f"SELECT 1 FROM {c.table} WHERE {columns} IS NULL"
         elif c.kind == "relationships":
@@ -162,11 +170,11 @@ def checks_sql() -> str:
             failing = f"SELECT 1 FROM {c.table} {where} GROUP BY {columns} HAVING count(*) > 1"
         selects.append(
             f"SELECT '{c.kind}' AS check_type, '{c.table}' AS table_name, "
-            f"'{c.label}' AS column_names, count(*) AS failures FROM ({failing})"
+            f"'{c.label}' AS column_names, count(*) AS failures, "
+            f"CASE WHEN count(*) > 0 THEN 'fail' ELSE 'pass' END AS status FROM ({failing})"
         )
     return (
-        "WITH " + ", ".join(ctes) + " SELECT 'run-1' AS run_id, *, "
-        "CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM ("
+        "WITH " + ", ".join(ctes) + " SELECT 'run-1' AS run_id, * FROM ("
         + " UNION ALL ".join(selects) + ")"
     )
 

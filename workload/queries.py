@@ -35,6 +35,7 @@ SINCE = date(2024, 1, 15)
 CRAWL_LIMIT = date(2024, 1, 26)
 PAGE_SIZE = 50
 AS_OF = date(2024, 2, 2)
+CHECKED_ON = date(2026, 1, 16)
 PROCESSED_AT = datetime(2024, 2, 1, 5, 0, 0)
 ORDER_DAYS = (date(1996, 1, 1), date(2001, 1, 1))
 
@@ -564,7 +565,7 @@ def dq_freshness(spark, sf_dir):
 def dq_results_sink(spark, sf_dir):
     root = work_dir(spark, "warehouse")
     lake = listing_lake(spark, sf_dir)
-    results = W.check_warehouse(lake, W.publish_models(spark, lake, root, "run-1"))
+    results = W.check_warehouse(lake, W.publish_models(spark, lake, root, "run-1"), CHECKED_ON)
     Q.append_results(results, f"{root}/results", "run-1", PROCESSED_AT)
     return spark.read.parquet(f"{root}/results").drop("checked_at")
 
