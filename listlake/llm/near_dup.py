@@ -7,10 +7,12 @@ at most k shingles, else with a probability of missing below 1e-9), so with the
 sketch in order of their document frequency, rarest first, they meet in a list of the first
 ``size - need + 1``. Very frequent shingles come last and hardly ever make a list.
 
-Candidates are taken in two rounds. The first pairs every member of a list with the list's smallest
-id, which joins large groups of copies without forming their pairs. Then only pairs from different
-components are left; lists are cut into blocks of bounded size and compared block against block.
-Every candidate passes the union-sketch estimate, then the exact test on the full sets.
+Candidates are taken in two rounds. The first pairs every member of a list with the list's centre, the
+document with the most values that others have too, which joins large groups of copies without forming
+their pairs. The second looks at all other pairs of a list, in blocks of bounded size, and keeps of
+those that pass the estimate no more than a spanning forest: its trees are groups that hold every
+further link. In each group, again block against block, pairs of documents that are not yet connected
+are tested. A link counts after the union-sketch estimate and the exact test on the full sets.
 """
 
 from __future__ import annotations
@@ -22,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listlake.llm.common import long_lists, mix, runs, saved, slices, utf8, word_hashes, words
+from listlake.llm.common import discard, long_lists, mix, runs, saved, slices, utf8, word_hashes, words
 
 K = 96
 #: Shared sketch values that a linked pair has at least, if both sets have K shingles or more.
 NEED = 50
-#: Estimates may fall short of the threshold by so much (five standard errors), or count as sure above SURE.
+#: Estimates may fall short of the threshold by so much (five standard errors).
 SLACK = 0.2
-SURE = 0.92
+#: Documents of a block; of full sets a block holds fewer.
 BLOCK = 384
 
 
@@ -87,7 +89,10 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
 
 
 def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.8) -> DataFrame:
-    """``v, id``: the inverted lists, rarest values first, without values of a single class."""
+    """``v, id, rank``: the inverted lists, rarest values first, without values of a single class.
+
+    ``rank`` orders documents by the number of their values that others have too, then by a hash of the id.
+    """
     values = classes.select("id", "size", F.explode("sketch").alias("v"))
     frequent = values.groupBy("v").count().filter("count > 1").withColumnRenamed("count", "df")
     least = F.least(F.lit(need), F.ceil(F.col("size") * share - 1e-9))
@@ -99,8 +104,9 @@ def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.
         # Values of one class only are the rarest: they come first and make no list.
         .withColumn("take", (kept - least + 1) - (kept - F.size("common")))
         .filter("take > 0")
-        .select("id", F.explode(F.slice("common", 1, F.col("take").cast("int"))).alias("c"))
-        .select("id", F.col("c.v").alias("v"))
+        .withColumn("rank", F.size("common").cast("long") * F.lit(1 << 52) + F.pmod(F.xxhash64("id"), F.lit(1 << 52)))
+        .select("id", "rank", F.explode(F.slice("common", 1, F.col("take").cast("int"))).alias("c"))
+        .select("id", "rank", F.col("c.v").alias("v"))
     )
 
 
@@ -147,17 +153,18 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionAll(roots.select("root", "root").toDF("id", "root").distinct())
 
 
-def _compare(batches: Iterator[pa.RecordBatch], k: int, least: float, sure: float) -> Iterator[pa.RecordBatch]:
-    """The candidate pairs of each block against block: ``a, b, tree``.
+def _compare(batches: Iterator[pa.RecordBatch], k: int, least: float, percent: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs ``a, b`` of each block against block that form a spanning forest, on top of the known components.
 
-    Pairs of one component are left out. Sure pairs give a spanning forest (``tree``); beyond it only
-    pairs between different trees are needed, as long as the forest's own links are confirmed.
+    Its edges are pairs that pass the estimate, best first; with ``percent``, rows hold full sets and
+    edges pass the exact test.
     """
     for group in runs(batches, ["v", "i", "j"]):
         ids, roots = group.column("id").to_numpy(), group.column("root").to_numpy()
         block = group.column("block").to_numpy(zero_copy_only=False)
         across = group.column("i")[0] != group.column("j")[0]
-        lists = [x.values.to_numpy() for x in group.column("sketch").combine_chunks()]
+        sets = [x.values.to_numpy() for x in group.column("items").combine_chunks()]
+        lists = [x[:k] for x in sets]
         sizes = np.array([len(x) for x in lists])
         values, where = np.unique(np.concatenate(lists), return_inverse=True)
         owner = np.repeat(np.arange(len(ids)), sizes)
@@ -170,13 +177,19 @@ def _compare(batches: Iterator[pa.RecordBatch], k: int, least: float, sure: floa
         x, y = np.nonzero(np.triu(shared >= least * np.maximum(sizes[:, None], sizes[None, :]), 1))
         different = (roots[x] != roots[y]) & ((block[x] != block[y]) if across else True)
         x, y = x[different], y[different]
+        ranks = np.arange(len(ids) * k, dtype=np.int32).reshape(len(ids), k) + len(values)  # padding, all different
+        ranks[owner, np.concatenate([np.arange(n) for n in sizes])] = where
         found = []
-        for a, b in zip(x.tolist(), y.tolist(), strict=True):
-            union = np.union1d(lists[a], lists[b])[:k]
-            common = np.intersect1d(lists[a], lists[b], assume_unique=True)
-            share = np.count_nonzero(common <= union[-1]) / len(union)
-            if share >= least:
-                found.append((share, a, b))
+        for a in range(0, len(x), 20_000):
+            p, q = x[a : a + 20_000], y[a : a + 20_000]
+            both = np.sort(np.concatenate([ranks[p], ranks[q]], axis=1), axis=1)
+            twice = both[:, 1:] == both[:, :-1]
+            real = (both < len(values)).sum(1) - twice.sum(1)  # of the union
+            size = np.minimum(real, k)
+            distinct = 1 + np.arange(1, 2 * k) - np.cumsum(twice, axis=1)
+            share = (twice & (distinct <= size[:, None])).sum(1) / size
+            near = share >= least
+            found += zip(share[near].tolist(), p[near].tolist(), q[near].tolist(), strict=True)
         found.sort(key=lambda f: -f[0])
         tree = list(range(len(ids)))
 
@@ -189,32 +202,36 @@ def _compare(batches: Iterator[pa.RecordBatch], k: int, least: float, sure: floa
         for n, root in enumerate(roots.tolist()):
             tree[n] = by_root.setdefault(root, n)
         out = []
-        for share, a, b in found:
+        for _, a, b in found:
             p, q = top(a), top(b)
-            if share >= sure:
-                if p != q:
-                    tree[q] = p
-                    out.append((a, b, True))
-            elif p != q:
-                out.append((a, b, False))
+            if p == q:
+                continue
+            if percent is not None:
+                common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * common < percent * (len(sets[a]) + len(sets[b]) - common):
+                    continue
+            tree[q] = p
+            out.append((a, b))
         if out:
-            a, b, t = map(np.array, zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[a], ids[b])), pa.array(np.minimum(ids[a], ids[b])), pa.array(t)], ["a", "b", "tree"])
+            a, b = map(np.array, zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[a], ids[b])), pa.array(np.minimum(ids[a], ids[b]))], ["a", "b"])
 
 
-def block_pairs(lists: DataFrame, roots: DataFrame, classes: DataFrame, k: int, least: float, sure: float) -> DataFrame:
-    """Candidates ``a, b, tree`` of all lists that hold several components, block against block.
+def block_pairs(lists: DataFrame, roots: DataFrame, items: DataFrame, k: int, least: float, percent: int | None = None) -> DataFrame:
+    """Pairs ``a, b`` of all lists ``v, id`` that hold several components, see ``_compare``.
 
+    ``items`` has the sketch or the set of each id.
     A component with many members in a list fills blocks of its own, which are not compared with each
     other; the rest is dealt by component. No task sees more than a few blocks at a time.
     """
+    block = BLOCK if percent is None else max(2, BLOCK // 3)
     members = lists.join(roots, "id", "left").select("v", "id", F.coalesce("root", "id").alias("root"))
     sizes = members.groupBy("v", "root").agg(F.count(F.lit(1)).alias("own"))
     several = sizes.groupBy("v").agg(
-        F.count(F.lit(1)).alias("roots"), F.sum(F.when(F.col("own") < BLOCK, F.col("own")).otherwise(0)).alias("rest")
+        F.count(F.lit(1)).alias("roots"), F.sum(F.when(F.col("own") < block, F.col("own")).otherwise(0)).alias("rest")
     ).filter("roots > 1")
-    sizes = sizes.join(several, "v").withColumn("alone", F.col("own") >= BLOCK)
-    parts = F.ceil(F.when(F.col("alone"), F.col("own")).otherwise(F.col("rest")) / BLOCK).cast("int")
+    sizes = sizes.join(several, "v").withColumn("alone", F.col("own") >= block)
+    parts = F.ceil(F.when(F.col("alone"), F.col("own")).otherwise(F.col("rest")) / block).cast("int")
     members = members.join(sizes.select("v", "root", "alone", parts.alias("parts")), ["v", "root"]).select(
         "v", "id", "root", F.when(F.col("alone"), F.col("root")).alias("owner"),
         F.pmod(F.xxhash64(F.when(F.col("alone"), F.col("id")).otherwise(F.col("root"))), "parts").alias("part"),
@@ -225,9 +242,9 @@ def block_pairs(lists: DataFrame, roots: DataFrame, classes: DataFrame, k: int,
     other = blocks.select("v", F.col("block").alias("j"), F.col("owner").alias("other"))
     met = blocks.withColumnRenamed("block", "i").join(other, "v").filter("i <= j and (owner is null or other is null or owner <> other)")
     dealt = met.select("v", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    rows = members.join(dealt, ["v", "block"]).join(classes.select("id", "sketch"), "id")
-    rows = rows.select("v", "i", "j", "block", "id", "root", "sketch").repartition("v", "i", "j").sortWithinPartitions("v", "i", "j")
-    return rows.mapInArrow(lambda batches: _compare(batches, k, least, sure), "a long, b long, tree boolean")
+    rows = members.join(dealt, ["v", "block"]).join(items.toDF("id", "items"), "id")
+    rows = rows.select("v", "i", "j", "block", "id", "root", "items").repartition("v", "i", "j").sortWithinPartitions("v", "i", "j")
+    return rows.mapInArrow(lambda batches: _compare(batches, k, least, percent), "a long, b long")
 
 
 def near_duplicates(
@@ -245,32 +262,41 @@ def near_duplicates(
     rows = saved(sketches(docs, "id", "text", n, k), "sketches")
     usable = rows.filter("size > 0 and id is not null")
     first = usable.groupBy("size", "f1", "f2").agg(F.min("id").alias("class"))
-    classed = usable.join(first, ["size", "f1", "f2"])
-    classed = saved(classed.select("id", "class", "size", F.when(F.col("id") == F.col("class"), F.col("sketch")).alias("sketch")), "classes")
-    classes = classed.filter("sketch is not null").select("id", "size", "sketch")
+    classed = rows.join(first, ["size", "f1", "f2"], "left").withColumn("class", F.when(F.col("id").isNotNull(), F.col("class")))
+    known = saved(classed.select("id", "class", "size", F.when(F.col("id") == F.col("class"), F.col("sketch")).alias("sketch")), "classes")
+    discard(rows)
+    classes = known.filter("sketch is not null").select("id", "size", "sketch")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
+        sets = saved(sketches(docs.join(wanted, "id", "left_semi"), "id", "text", n, k, full=True), "sets")
+        out = saved(linked(pairs, sets, percent), "links")
+        discard(sets)
+        return out
 
     lists = postings(classes, k, need, share)
-    leaders = lists.groupBy("v").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader <> last")
-    lists = saved(lists.join(leaders.select("v", "leader"), "v"), "lists")
-    wanted = lists.select("id").distinct()
-    sets = saved(sketches(docs.join(wanted, "id", "left_semi"), "id", "text", n, k, full=True), "sets")
-
-    pairs = lists.filter("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    tested = saved(linked(estimated(pairs, classes, k, least), sets, percent), "links")
+    centres = lists.groupBy("v").agg(F.max("rank").alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    lists = saved(lists.join(centres.select("v", "top"), "v"), "lists")
+    named = lists.filter("rank = top").select(F.col("rank").alias("top"), F.col("id").alias("centre")).distinct()
+    spokes = lists.filter("rank < top").select("id", "top").distinct().join(named, "top")
+    pairs = spokes.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
+    stars = saved(estimated(pairs, classes, k, least), "stars")
+    tested = confirmed(stars)
     roots = saved(components(tested.filter("link")), "roots")
-    lists = lists.select("v", "id")
-    for sure in (SURE, 2.0):
-        found = block_pairs(lists, roots, classes, k, least, sure).groupBy("a", "b").agg(F.max("tree").alias("tree"))
-        found = saved(found.join(tested.select("a", "b", F.col("link").alias("known")), ["a", "b"], "left"), "candidates")
-        fresh = linked(found.filter("known is null").select("a", "b"), sets, percent)
-        tested = saved(tested.unionByName(fresh), "links")
-        roots = saved(components(tested.filter("link")), "roots")
-        broken = found.filter("tree").join(tested.filter("not link"), ["a", "b"], "left_semi")
-        if not broken.limit(1).count():
-            break  # every forest holds: what it left out is in one component already
-    ends = classed.select("id", "class").distinct().join(roots.select(F.col("id").alias("class"), "root"), "class", "left")
+    # Groups: documents that forests of estimates, or links, connect.
+    near = saved(block_pairs(lists.select("v", "id"), roots, classes.select("id", "sketch"), k, least).distinct(), "near")
+    groups = components(near.unionAll(roots.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))))
+    groups = saved(groups.select(F.col("root").alias("v"), "id"), "groups")
+    apart = groups.join(roots, "id", "left").groupBy("v").agg(F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"))
+    open_ = saved(groups.join(apart.filter("low <> high").select("v"), "v"), "open")
+    sets = saved(sketches(docs.join(open_.select("id").distinct(), "id", "left_semi"), "id", "text", n, k, full=True), "sets")
+    more = saved(block_pairs(open_, roots, sets, k, least, percent).distinct(), "links")
+    discard(sets)
+    roots = saved(components(tested.filter("link").select("a", "b").unionAll(more)), "roots")
+    ends = known.filter("class is not null").select("id", "class").distinct()
+    ends = ends.join(roots.select(F.col("id").alias("class"), "root"), "class", "left")
     ends = ends.groupBy("id").agg(F.min(F.coalesce("root", "class")).alias("component"))
-    out = rows.select("id", "size").join(ends, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    out = known.select("id", "size").join(ends, "id", "left").withColumn("component", F.coalesce("component", "id"))
     kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
     return out.select(F.col("id").alias(key), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"))
 
