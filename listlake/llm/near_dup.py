@@ -31,6 +31,8 @@ K = 96
 NEED = 50
 #: Estimates may fall short of the threshold by so much (five standard errors).
 SLACK = 0.2
+#: Lists that a document shares with a centre before the first round compares them.
+STAR = 4
 #: Documents of a block; of full sets a block holds fewer.
 BLOCK = 384
 
@@ -278,7 +280,8 @@ def near_duplicates(
     centres = lists.groupBy("v").agg(F.max("rank").alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     lists = saved(lists.join(centres.select("v", "top"), "v"), "lists")
     named = lists.filter("rank = top").select(F.col("rank").alias("top"), F.col("id").alias("centre")).distinct()
-    spokes = lists.filter("rank < top").select("id", "top").distinct().join(named, "top")
+    # Pairs that share few lists are left to the second round.
+    spokes = lists.filter("rank < top").groupBy("id", "top").count().filter(F.col("count") >= STAR).join(named, "top")
     pairs = spokes.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
     stars = saved(estimated(pairs, classes, k, least), "stars")
     tested = confirmed(stars)
