@@ -11,6 +11,12 @@ from __future__ import annotations
 import numpy as np
 
 
+def _narrow(text: np.ndarray) -> np.ndarray:
+    """In the fewest bytes: symbols of 16 bits are sorted by counting."""
+    most = int(text.max()) if len(text) else 0
+    return text.astype(np.uint16 if most < 1 << 16 else np.int32 if most < 1 << 31 else np.int64, copy=False)
+
+
 def smaller(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the one that starts after it; the last one counts as smaller."""
     n = len(text)
@@ -29,35 +35,31 @@ def _pass(array: np.ndarray, text: np.ndarray, wanted: np.ndarray, heads: np.nda
     n, at, width = len(array), 0, 1024
     while at < n:
         part = array[at : at + width]
-        slots = np.flatnonzero(part >= 0)
+        slots = (part >= 0).nonzero()[0]
         if not len(slots):
             at += width
             width = min(2 * width, 1 << 20)
             continue
         before = part[slots] - 1
-        slots = slots + at
-        good = before >= 0
-        good[good] = wanted[before[good]]
-        before, place = before[good], np.flatnonzero(good)
+        slots += at
+        place = (wanted[before] & (before >= 0)).nonzero()[0]
         end = at + width
-        if len(before):
+        if len(place):
+            before = before[place]
             symbol = text[before]
-            order = np.argsort(symbol, kind="stable")
+            order = symbol.argsort(kind="stable")
             ranked = symbol[order]
-            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            rank = np.arange(len(ranked)) - np.repeat(first, np.diff(np.append(first, len(ranked))))
             to = np.empty(len(before), np.int64)
-            to[order] = heads[ranked] + rank
+            to[order] = heads[ranked] + (np.arange(len(ranked)) - ranked.searchsorted(ranked))
             # Entries count as long as nothing that comes before them falls at or before their slot.
-            least = np.minimum.accumulate(to)
             limit = np.full(len(slots), n, np.int64)
-            limit[place] = least
+            limit[place] = to
             limit = np.minimum.accumulate(limit)
-            bad = np.flatnonzero(slots[1:] >= limit[:-1])
+            bad = (slots[1:] >= limit[:-1]).nonzero()[0]
             if len(bad):
                 whole = int(bad[0]) + 1
                 end = int(limit[whole - 1])
-                count = int(np.searchsorted(place, whole))
+                count = int(place.searchsorted(whole))
                 before, to, symbol = before[:count], to[:count], symbol[:count]
             elif limit[-1] < end:
                 end = int(limit[-1])
@@ -71,7 +73,7 @@ def _pass(array: np.ndarray, text: np.ndarray, wanted: np.ndarray, heads: np.nda
 def _induced(text: np.ndarray, small: np.ndarray, starts: np.ndarray, leftmost: np.ndarray) -> np.ndarray:
     """The suffix array that follows from the order of the leftmost smaller suffixes."""
     n = len(text)
-    array = np.full(n, -1, np.int64)
+    array = np.full(n, -1, np.int32 if n < 1 << 31 else np.int64)
     symbol = text[leftmost]
     order = np.argsort(symbol, kind="stable")
     ranked = symbol[order]
@@ -92,6 +94,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if n < 3:
         return np.arange(n)[::-1].copy()
+    text = _narrow(text)
     small = smaller(text)
     is_leftmost = np.zeros(n, bool)
     is_leftmost[1:] = small[1:] & ~small[:-1]
@@ -159,6 +162,7 @@ def repeated(pieces: list[bytes], rank: list[np.ndarray] | np.ndarray, length: i
     at = np.arange(total) + np.repeat(np.arange(count), sizes)
     text[at] = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64) + count + 1
     text[np.cumsum(sizes + 1) - 1] = np.arange(count) + 1
+    text = _narrow(text)
     array = suffix_array(text)
     common = permuted_prefixes(text, array)[array]
     ranks = np.full(len(text), np.iinfo(np.int64).max)
