@@ -1,10 +1,11 @@
-"""Benchmark decontamination: q-gram counts in diagonal bands, then banded alignment.
+"""Benchmark decontamination: parts of pieces counted in diagonal bands, then bit-parallel alignment.
 
 Texts are reduced to lower-case letters and digits with single spaces. Every benchmark item gives
-overlapping pieces of bounded length. A document region that is within ``edits`` of a piece of m
-characters shares at least ``m - q + 1 - q * edits`` q-grams with it, all on diagonals that lie
-within ``edits`` of each other. So hits are counted in bands of diagonals of twice that width, half
-overlapping, and only regions that reach the bound are aligned.
+pieces of at most 48 characters, one every 6. A document region that is within ``edits`` of a piece
+of m characters (an eighth of it: 6 of 48) has at least ``m // q - edits`` of the piece's q-grams that
+stand side by side, all on diagonals that lie within ``edits`` of each other. So such parts are counted
+in bands of diagonals of twice that width, half overlapping, and only regions with enough are aligned.
+So any exact quotation of 53 reduced characters of an item is found wherever it starts.
 """
 
 from __future__ import annotations
@@ -16,16 +17,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listlake.llm.common import mix, slices
+from listlake.llm.common import BASE, slices
 
-Q = 10
-PIECE = 96
-STRIDE = 48
-#: Pieces under this many characters are too common to tell anything.
+Q = 6
+PIECE = 48
+STRIDE = 6
+#: Items under this many characters are left out.
 SHORTEST = 30
-ERROR = 0.065
+ERROR = 0.125
 #: Benchmark rows in one pass over the documents; a larger benchmark takes several passes.
 ROWS_A_PASS = 20_000
+#: Places of equal parts that are held in memory together, or those of one row.
+HITS_AT_ONCE = 4_000_000
+#: Entries of a table of pieces and symbols; a larger benchmark works with the symbols' bits.
+DENSE = 2_000_000
+#: Bytes of text searched together: few enough for the processor's caches.
+SLICE = 512 << 10
 
 
 def _classes() -> np.ndarray:
@@ -66,127 +73,220 @@ class Reduced:
         return int(self._places[at] - self.starts[row])
 
 
-def grams(codes: np.ndarray, q: int) -> np.ndarray:
-    """The hash of the q characters from each place; 0 where they cross a row's end.
+def stripped(text: str) -> np.ndarray:
+    """The reduced text of an item."""
+    codes = Reduced([text]).codes[:-1]
+    return codes[:-1] if len(codes) and codes[-1] == 32 else codes
 
-    Hashes of 1, 2, 4, ... characters are put together to q.
-    """
-    n = len(codes) - q + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    base = 0x9E3779B97F4A7C15
-    power, part, out, have = base, codes.astype(np.uint64), np.zeros(n, np.uint64), 0
-    for bit in range(q.bit_length()):
-        size = 1 << bit
-        if q & size:
-            out = out * np.uint64(pow(base, size, 2**64)) + part[have : have + n]
-            have += size
-        if have < q:
-            part = part[:-size] * np.uint64(power) + part[size:]
-            power = power * power % 2**64
-    out = mix(out) | np.uint64(1)
-    ends = np.flatnonzero(codes == 0)
+
+def gram_hashes(ids: np.ndarray, q: int) -> np.ndarray:
+    """A hash of the q symbols from each place; equal symbols, equal hash."""
+    n = max(0, len(ids) - q + 1)
+    out, wide = np.zeros(n, np.uint64), ids.astype(np.uint64)
     for i in range(q):
-        out[(ends - i)[(ends >= i) & (ends - i < n)]] = 0
+        out *= np.uint64(BASE)
+        out += wide[i : i + n]
     return out
 
 
+def groups(first: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For lists kept one after the other: all members of the lists at ``index``, and whose each is."""
+    times = first[index + 1] - first[index]
+    inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.repeat(first[index], times) + inner, np.repeat(np.arange(len(index)), times)
+
+
 class Pieces:
-    """The benchmark's pieces and an index of their q-grams."""
+    """The benchmark's pieces and an index of their parts, the q-grams that stand side by side in a piece."""
 
     def __init__(self, items: list[tuple[int, str]], q: int, piece: int, stride: int, shortest: int, error: float):
-        self.q, self.item, self.codes, self.edits, hashes, owner, place = q, [], [], [], [], [], []
+        if piece > 64 or shortest < 2 * q:
+            raise ValueError("a piece has 64 characters at most, and two parts at least")
+        self.q, self.item, self.codes, self.edits, self.start, owner, place, whole, base = q, [], [], [], [], [], [], [], 0
         for item, text in items:
-            codes = Reduced([text]).codes[:-1]
-            if len(codes) and codes[-1] == 32:
-                codes = codes[:-1]
+            codes = stripped(text)
+            if len(codes) < shortest:
+                continue
             starts = [*range(0, max(1, len(codes) - piece), stride), max(0, len(codes) - piece)]
             for start in dict.fromkeys(starts):
                 part = codes[start : start + piece]
-                if len(part) < shortest:
-                    continue
-                h = grams(part, q)
-                owner.append(np.full(len(h), len(self.item)))
-                place.append(np.arange(len(h)))
-                hashes.append(h)
+                n = len(part) // q
+                owner.append(np.full(n, len(self.item)))
+                place.append(base + start + q * np.arange(n))
                 self.item.append(item)
                 self.codes.append(part)
-                # As many edits as leave a bound of a fifth of the q-grams at least.
-                self.edits.append(min(int(error * len(part)), int((0.8 * len(h)) // q)))
+                self.start.append(base + start)
+                # Of n parts that do not overlap, n - edits stay as they are; two of them at least.
+                self.edits.append(min(int(error * len(part)), n - 2))
+            whole.append(codes)
+            base += len(codes)
         self.length = np.array([len(c) for c in self.codes], np.int64)
         self.edits = np.array(self.edits, np.int64)
-        self.bound = self.length - q + 1 - q * self.edits
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        self.start = np.array(self.start, np.int64)
+        self.need = self.length // q - self.edits
+        self.most, self.longest, self.total = int(self.edits.max(initial=0)), int(self.length.max(initial=0)), base
+        text = np.concatenate(whole) if whole else np.zeros(0, np.uint32)
+        self.alphabet = np.unique(text)
+        self.table = np.zeros(0x3000, np.uint32)
+        low = np.flatnonzero(self.alphabet < 0x3000)
+        self.table[self.alphabet[low]] = low + 1
+        ids = self.symbols(text)
+        # Bit b of a piece's symbols, the j-th symbol's at j: forwards, and from the piece's end.
+        self.planes = np.zeros((2, len(self.alphabet).bit_length(), len(self.item)), np.uint64)
+        for n, part in enumerate(self.codes):
+            own = self.symbols(part).astype(np.uint64)
+            at = np.arange(len(own), dtype=np.uint64)
+            for b in range(self.planes.shape[1]):
+                bit = own >> np.uint64(b) & np.uint64(1)
+                self.planes[0, b, n], self.planes[1, b, n] = (bit << at).sum(), (bit[::-1] << at).sum()
+        place, owner = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (place, owner))
+        self.parts, part = np.unique(place, return_inverse=True)
+        order = np.argsort(part, kind="stable")
+        self.owner, self.owners = owner[order], np.searchsorted(part[order], np.arange(len(self.parts) + 1))
+        h = gram_hashes(ids, q)[self.parts]
         order = np.argsort(h, kind="stable")
-        self.owner = np.concatenate(owner)[order] if hashes else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if hashes else np.zeros(0, np.int64)
+        self.place = self.parts[order]
         self.keys, first = np.unique(h[order], return_index=True)
         self.first = np.append(first, len(h))
-        self.bits = np.zeros(1 << 22, bool)
-        self.bits[(self.keys >> np.uint64(42)).astype(np.int64)] = True
-
-    def candidates(self, h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Row, piece and lowest diagonal of the bands that reach the bound."""
-        near = np.flatnonzero(self.bits[(h >> np.uint64(42)).astype(np.int64)])
-        if not len(near) or not len(self.keys):
-            return (np.zeros(0, np.int64),) * 3
+        self.dense: np.ndarray | None = None
+        self.bits = np.zeros(1 << 20, bool)
+        self.bits[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"codes": None, "dense": None}  # the planes have all that a search needs
+
+    def symbols(self, codes: np.ndarray) -> np.ndarray:
+        """1, 2, ... for the benchmark's characters, 0 for all others and for a row's end."""
+        out = self.table[np.minimum(codes, 0x2FFF)]
+        far = np.flatnonzero(codes >= 0x3000)
+        if len(far):
+            out[far] = 0
+            if len(self.alphabet):
+                at = np.minimum(np.searchsorted(self.alphabet, codes[far]), len(self.alphabet) - 1)
+                out[far] = np.where(self.alphabet[at] == codes[far], at + 1, 0)
+        return out
+
+    def candidates(self, ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Row, piece and lowest diagonal of the bands that have enough of a piece's parts."""
+        if not len(self.keys):
+            return
+        h = gram_hashes(ids, self.q)
+        near = np.flatnonzero(self.bits[(h >> np.uint64(44)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.keys, h[near]), len(self.keys) - 1)
         same = self.keys[at] == h[near]
         near, at = near[same], at[same]
-        times = self.first[at + 1] - self.first[at]
-        pos = np.repeat(near, times)
-        inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        entry = np.repeat(self.first[at], times) + inner
-        piece, diagonal = self.owner[entry], pos - self.place[entry]
-        width = self.edits[piece] + 1
+        # Whole rows together, about HITS_AT_ONCE hits at a time.
+        ends = np.searchsorted(near, offsets[1:])
+        hits = np.append(0, np.cumsum(self.first[at + 1] - self.first[at]))[ends]
+        cuts = ends[:-1][np.diff(hits // HITS_AT_ONCE) > 0]
+        for start, end in zip([0, *cuts], [*cuts, len(near)], strict=True):
+            if start < end:
+                yield self._bands(near[start:end], at[start:end], len(ids), offsets)
+
+    def _bands(self, near: np.ndarray, at: np.ndarray, n: int, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        entry, of = groups(self.first, at)
+        pos = near[of]
+        width = self.most + 1
+        diagonal = pos - self.place[entry] + self.total
         band = diagonal // width
-        # A band covers two steps of ``width``, so regions within ``edits`` diagonals fit in one whole.
-        piece2, band2 = np.concatenate([piece, piece]), np.concatenate([band, band - 1])
-        row = np.searchsorted(offsets, pos, "right") - 1
-        row2, gram = np.concatenate([row] * 2), np.concatenate([self.place[entry]] * 2)
-        # Each of a piece's q-grams counts once in a band, as an alignment uses it once.
-        order = np.lexsort((gram, band2, piece2, row2))
-        r, p, b, g = row2[order], piece2[order], band2[order], gram[order]
-        new = np.ones(len(r), bool)
-        new[1:] = (r[1:] != r[:-1]) | (p[1:] != p[:-1]) | (b[1:] != b[:-1])
+        rest = diagonal - band * width
+        # A band covers two steps of ``width``, so regions within ``most`` diagonals fit in one whole.
+        low_bits, bits = (2 * width).bit_length(), n.bit_length() + 1
+        key = (band + 1 << bits | pos) << low_bits | rest
+        keys = np.sort(np.concatenate([key, key - (1 << bits + low_bits) + width]))
+        # Only parts with another one of the same band near them can be two of one piece.
+        close = np.diff(keys) <= (self.longest - self.q + self.most + 1 << low_bits)
+        kept = np.zeros(len(keys), bool)
+        kept[1:] = close
+        kept[:-1] |= close
+        keys = keys[kept]
+        band, pos = keys >> bits + low_bits, keys >> low_bits & (1 << bits) - 1
+        place = pos - ((band - 1) * width + (keys & (1 << low_bits) - 1)) + self.total
+        entry, of = groups(self.owners, np.searchsorted(self.parts, place))
+        piece, band, gram = self.owner[entry], band[of], place[of]
+        row = np.searchsorted(offsets, pos, "right")[of] - 1
+        # Each of a piece's parts counts once in a band, as an alignment uses it once.
+        own, bands, spread = row * len(self.item) + piece, int(band.max(initial=0)) + 1, self.total + 1
+        key = own * bands + band
+        order = np.lexsort((gram, key)) if (int(key.max(initial=0)) + 1) * spread >= 2**63 else np.argsort(key * spread + gram)
+        key, gram = key[order], gram[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
         fresh = new.copy()
-        fresh[1:] |= g[1:] != g[:-1]
+        fresh[1:] |= gram[1:] != gram[:-1]
         first = np.flatnonzero(new)
         counts = np.add.reduceat(fresh.astype(np.int64), first) if len(first) else first
-        enough = counts >= self.bound[p[first]]
-        first = first[enough]
-        return r[first], p[first], b[first] * (self.edits[p[first]] + 1)
-
-    def align(self, codes: np.ndarray, start: int, end: int, piece: int, low: int) -> tuple[int, int, int] | None:
-        """Fewest edits of the piece against any region on the band's diagonals: edits, first and end place."""
-        pattern, k = self.codes[piece], int(self.edits[piece])
-        # All diagonals of two bands and the drift that k edits allow.
-        lo, hi = low - k, low + 2 * (k + 1) - 1 + k
-        width = hi - lo + 1
-        m = len(pattern)
-        far = m + 1
-        cost = np.zeros(width, np.int64)  # before the first character any diagonal starts for free
-        origin = np.arange(lo, hi + 1)
-        valid = (origin >= start) & (origin <= end)
-        cost[~valid] = far
-        index = np.arange(width)
-        for i in range(m):
-            text_at = i + lo + index
-            ok = (text_at >= start) & (text_at < end)
-            equal = ok & (codes[np.clip(text_at, 0, len(codes) - 1)] == pattern[i])
-            step = np.where(ok, cost + ~equal, far)
-            from_delete = np.append(cost[1:], far) + 1  # the piece's character is missing in the text
-            take = from_delete < step
-            step, source = np.where(take, from_delete, step), np.where(take, np.append(origin[1:], 0), origin)
-            # Characters only in the text: a running minimum along the diagonals.
-            run = step - index
-            best = np.minimum.accumulate(run)
-            holder = np.maximum.accumulate(np.where(run == best, index, 0))
-            cost, origin = np.minimum(best + index, far), source[holder]
-        at = int(np.argmin(cost))
-        if cost[at] > k:
-            return None
-        return int(cost[at]), int(origin[at]), int(m + lo + at)
+        key = key[first[counts >= self.need[(key[first] // bands) % max(1, len(self.item))]]]
+        # Of two bands next to each other one alignment takes both.
+        after = np.zeros(len(key), bool)
+        after[1:] = key[1:] == key[:-1] + 1
+        index = np.arange(len(key))
+        key = key[(index - np.maximum.accumulate(np.where(after, 0, index))) % 2 == 0]
+        own, band = np.divmod(key, bands)
+        row, piece = np.divmod(own, max(1, len(self.item)))
+        # The diagonal's zero is where a piece's own text would begin.
+        return row, piece, (band - 1) * width - self.total
+
+    def hits(self, ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Row, piece, edits, first and end place of the regions within a piece's edits."""
+        for rows, pieces, lows in self.candidates(ids, offsets):
+            for i in range(0, len(rows), 1 << 13):
+                r, p, low = (x[i : i + (1 << 13)] for x in (rows, pieces, lows))
+                low = low + self.start[p]
+                a = np.maximum(offsets[r], low - self.most)
+                b = np.minimum(offsets[r + 1] - 1, low + 3 * (self.most + 1) + self.most + self.length[p])
+                edits, steps = self._fewest(ids, p, a, b - a, 1)
+                good = edits <= self.edits[p]
+                r, p, a, edits, end = r[good], p[good], a[good], edits[good], (a + steps)[good]
+                _, back = self._fewest(ids, p, end - 1, end - a, -1)
+                yield r, p, edits, end - back, end
+
+    def _fewest(self, ids: np.ndarray, piece: np.ndarray, at: np.ndarray, steps: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray]:
+        """Fewest edits of each piece, and after how many steps: forwards from any place, backwards from the first.
+
+        Myers' bit vectors, one 64-bit word a piece.
+        """
+        one = np.uint64(1)
+        score = self.length[piece]
+        shift = (score - 1).astype(np.uint64)
+        best = score << 32  # and the steps below it
+        plus, minus = np.full(len(piece), ~np.uint64(0)), np.zeros(len(piece), np.uint64)
+        all_run = int(steps.min(initial=0))
+        equals = self._equals(0 if way > 0 else 1, piece)
+        for j in range(int(steps.max(initial=0))):
+            equal = equals(ids[np.clip(at + way * j, 0, len(ids) - 1)])
+            down = equal | minus
+            across = (((equal & plus) + plus) ^ plus) | equal
+            up = minus | ~(across | plus)
+            less = plus & across
+            score = score + ((up >> shift & one) - (less >> shift & one)).view(np.int64)
+            up = up << one
+            if way < 0:
+                up |= one
+            plus, minus = less << one | ~(down | up), up & down
+            now = score << 32 | j + 1
+            best = np.minimum(best, now if j < all_run else np.where(j < steps, now, best))
+        return best >> 32, best & 0xFFFFFFFF
+
+    def _equals(self, way: int, piece: np.ndarray):
+        """A function from a symbol for each piece to the bits where the piece has it."""
+        size = len(self.alphabet) + 1
+        if len(self.item) * size <= DENSE:
+            if self.dense is None:
+                self.dense = np.zeros((2, len(self.item), size), np.uint64)
+                for symbol in range(1, size):
+                    self.dense[:, :, symbol] = ~self._differ(self.planes, np.uint64(symbol))
+            table, base = self.dense[way].reshape(-1), piece * size
+            return lambda symbols: table[base + symbols]
+        planes = self.planes[way][:, piece]
+        return lambda symbols: ~self._differ(planes[None], symbols.astype(np.uint64))[0]
+
+    @staticmethod
+    def _differ(planes: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        out = np.zeros((planes.shape[0], planes.shape[2]), np.uint64)
+        for b in range(planes.shape[1]):
+            out |= planes[:, b] ^ (np.zeros(1, np.uint64) - (symbol >> np.uint64(b) & np.uint64(1)))
+        return out
 
 
 def find_items(
@@ -210,24 +310,15 @@ def find_items(
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p = pieces.value
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", SLICE):
                 texts = Reduced(batch.column("text").to_pylist())
-                offsets = texts.offsets
                 best: dict[tuple[int, int], list] = {}
-                done: dict[tuple[int, int], list[tuple[int, int]]] = {}
-                for r, n, low in zip(*(x.tolist() for x in p.candidates(grams(texts.codes, q), offsets)), strict=True):
-                    # Bands next to one that was aligned show the same region.
-                    if any(a <= low <= b for a, b in done.get((r, n), ())):
-                        continue
-                    hit = p.align(texts.codes, int(offsets[r]), int(offsets[r + 1]) - 1, n, low)
-                    if not hit:
-                        continue
-                    edits, first, end = hit
-                    done.setdefault((r, n), []).append((low, low + int(p.edits[n]) + 1))
-                    span = [edits, texts.place(r, first), texts.place(r, max(first, end - 1)) + 1]
-                    known = best.setdefault((r, p.item[n]), [set(), *span])
-                    known[0].add(n)
-                    known[1:] = [min(known[1], edits), min(known[2], span[1]), max(known[3], span[2])]
+                for hits in p.hits(p.symbols(texts.codes), texts.offsets):
+                    for r, n, edits, first, end in zip(*(x.tolist() for x in hits), strict=True):
+                        span = [edits, texts.place(r, first), texts.place(r, max(first, end - 1)) + 1]
+                        known = best.setdefault((r, p.item[n]), [set(), *span])
+                        known[0].add(n)
+                        known[1:] = [min(known[1], edits), min(known[2], span[1]), max(known[3], span[2])]
                 if best:
                     ids = batch.column("id")
                     out = [(ids[r].as_py(), i, len(v[0]), *v[1:]) for (r, i), v in sorted(best.items())]

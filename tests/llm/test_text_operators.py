@@ -482,6 +482,21 @@ def test_items_are_found_with_edits_and_only_they(spark, awkward):
     assert (102, 60) in got
 
 
+def test_parts_of_items_are_found_wherever_they_start(spark):
+    """Short quotations at any start, replaced words and cut ends; the expectation knows no pieces."""
+    rng = random.Random(31)
+    vocabulary = [f"{a}{b}"[: rng.randint(3, 8)] for a in WORDS for b in WORDS[:25]]
+    items = [(0, prose(rng, 40, vocabulary)), (1, prose(rng, 14, vocabulary)[:90])]
+    around, rows = [prose(rng, 15, vocabulary) for _ in range(2)], []
+    for start in range(0, 100, 7):
+        rows.append((start, around[0] + " " + items[0][1][start : start + 54].strip() + " " + around[1]))
+    swapped = items[1][1].split()
+    swapped[1], swapped[-2] = "zzzzz", "qqqqq"
+    rows += [(200, " ".join(swapped)), (201, around[0] + " " + items[1][1][:-9]), (202, items[1][1][9:]), (300, " ".join(around)), (301, items[0][1][:24])]
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find_items(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, 0) for i in range(0, 100, 7)} | {(200, 1), (201, 1), (202, 1)}
+
+
 def test_decontamination_without_rows(spark, awkward):
     items = spark.createDataFrame([(1, "some words of a benchmark item that is long enough")], "item_id long, text string")
     docs = docs_of(spark, awkward)
