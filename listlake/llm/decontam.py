@@ -5,7 +5,8 @@ pieces of at most 48 characters, one every 6. A document region that is within `
 of m characters (an eighth of it: 6 of 48) has at least ``m // q - edits`` of the piece's q-grams that
 stand side by side, all on diagonals that lie within ``edits`` of each other. So such parts are counted
 in bands of diagonals of twice that width, half overlapping, and only regions with enough are aligned.
-So any exact quotation of 53 reduced characters of an item is found wherever it starts.
+So any exact quotation of 53 reduced characters of an item is found wherever it starts. Items too short
+for pieces are found by exact match between word boundaries.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from listlake.llm.common import BASE, slices
 Q = 6
 PIECE = 48
 STRIDE = 6
-#: Items under this many characters are left out.
+#: Items under this many characters are searched whole and without edits.
 SHORTEST = 30
 ERROR = 0.125
+#: First and last characters of scripts without spaces: Thai, Lao, Burmese, Khmer; Chinese and Japanese.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x312F), (0x31A0, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
 #: Benchmark rows in one pass over the documents; a larger benchmark takes several passes.
 ROWS_A_PASS = 20_000
 #: Places of equal parts that are held in memory together, or those of one row.
@@ -289,6 +292,50 @@ class Pieces:
         return out
 
 
+def no_spaces(codes: np.ndarray) -> np.ndarray:
+    """Which characters belong to scripts that put no spaces between words, so that one may end anywhere."""
+    out = np.zeros(len(codes), bool)
+    for a, b in UNSPACED:
+        out |= (codes >= a) & (codes <= b)
+    return out
+
+
+class Shorts:
+    """Benchmark items under ``shortest`` reduced characters, by their text."""
+
+    def __init__(self, items: list[tuple[int, str]], shortest: int):
+        self.items: dict[bytes, list[int]] = {}
+        lengths: dict[int, set[int]] = {}
+        for item, text in items:
+            codes = stripped(text)
+            if 0 < len(codes) < shortest:
+                self.items.setdefault(codes.tobytes(), []).append(item)
+                lengths.setdefault(len(codes), set()).add(int(gram_hashes(codes, len(codes))[0]))
+        self.hashes = {n: np.array(sorted(x), np.uint64) for n, x in sorted(lengths.items())}
+
+    def hits(self, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Row, item, first and end place of each item's first occurrence in a row."""
+        if not self.hashes:
+            return
+        free = no_spaces(codes)
+        edge = np.ones(len(codes), bool)  # a word may begin here, or end before
+        edge[1:] = (codes[1:] <= 32) | (codes[:-1] <= 32) | free[1:] | free[:-1]
+        begins = np.flatnonzero(edge & (codes > 32))
+        for n, hashes in self.hashes.items():
+            at = begins[begins + n < len(codes)]
+            at = at[edge[at + n]]
+            h = np.zeros(len(at), np.uint64)
+            for i in range(n):
+                h = h * np.uint64(BASE) + codes[at + i]
+            near = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            at, near = at[hashes[near] == h], near[hashes[near] == h]
+            row = np.searchsorted(offsets, at, "right") - 1
+            _, first = np.unique(row * len(hashes) + near, return_index=True)
+            for r, a in zip(row[first].tolist(), at[first].tolist(), strict=True):
+                for item in self.items.get(codes[a : a + n].tobytes(), ()):
+                    yield r, item, a, a + n
+
+
 def find_items(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
     q: int = Q, piece: int = PIECE, stride: int = STRIDE, shortest: int = SHORTEST, error: float = ERROR,
@@ -297,19 +344,21 @@ def find_items(
 
     One row for a document row and an item; ``pieces`` of it were found, the best with so many ``edits``,
     from ``first_char`` to ``end_char`` of the text in code points. Null and empty texts hold nothing;
-    items without a key, or shorter than ``shortest`` reduced characters, are left out; items with
-    equal texts are all reported. Documents are read once for every ``ROWS_A_PASS`` items.
+    items without a key, or without a letter or digit, are left out; items with equal texts are all
+    reported. An item under ``shortest`` reduced characters counts as one piece without edits, and its
+    first occurrence is given. Documents are read once for every ``ROWS_A_PASS`` items.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).filter("text is not null")
     items = benchmark.select(F.col(item).cast("long").alias("item"), F.col(text).cast("string").alias("text")).dropna()
     passes = max(1, -(-items.count() // ROWS_A_PASS))
 
     def search(wanted: DataFrame) -> DataFrame:
-        found = Pieces([(r["item"], r["text"]) for r in wanted.orderBy("item", "text").toLocalIterator()], q, piece, stride, shortest, error)
+        given = [(r["item"], r["text"]) for r in wanted.orderBy("item", "text").toLocalIterator()]
+        found = Pieces(given, q, piece, stride, shortest, error), Shorts(given, shortest)
         pieces = rows.sparkSession.sparkContext.broadcast(found)  # at most about ROWS_A_PASS items
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            p = pieces.value
+            p, shorts = pieces.value
             for batch in slices(batches, "text", SLICE):
                 texts = Reduced(batch.column("text").to_pylist())
                 best: dict[tuple[int, int], list] = {}
@@ -319,6 +368,11 @@ def find_items(
                         known = best.setdefault((r, p.item[n]), [set(), *span])
                         known[0].add(n)
                         known[1:] = [min(known[1], edits), min(known[2], span[1]), max(known[3], span[2])]
+                for r, i, first, end in shorts.hits(texts.codes, texts.offsets):
+                    span = [0, texts.place(r, first), texts.place(r, end - 1) + 1]
+                    known = best.setdefault((r, i), [set(), *span])
+                    known[0].add(-1)
+                    known[1:] = [0, min(known[2], span[1]), max(known[3], span[2])]
                 if best:
                     ids = batch.column("id")
                     out = [(ids[r].as_py(), i, len(v[0]), *v[1:]) for (r, i), v in sorted(best.items())]

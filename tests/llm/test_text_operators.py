@@ -497,6 +497,20 @@ def test_parts_of_items_are_found_wherever_they_start(spark):
     assert got == {(i, 0) for i in range(0, 100, 7)} | {(200, 1), (201, 1), (202, 1)}
 
 
+def test_short_items_are_found_between_word_boundaries(spark):
+    items = [(1, "What is the capital of France?"), (2, "日本の首都はどこですか"), (3, "Ja."), (4, "ja"), (5, " ?! ")]
+    rows = [
+        (10, "Q: what is the CAPITAL of France? Paris"), (11, "What is the capital of Frances"), (12, "Somewhat is the capital of France"), (13, "What is the capital of France"),
+        (20, "質問日本の首都はどこですか。東京"), (21, "日本の首都はどこです"), (30, "oh ja, fine"), (31, "Jam ninja"), (32, "?!"), (33, None), (34, "end ja"),
+    ]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontam.find_items(docs_of(spark, rows), table).collect()}
+    assert set(got) == {(10, 1), (13, 1), (20, 2), (30, 3), (30, 4), (34, 3), (34, 4)}
+    hit = got[10, 1]
+    assert (hit["pieces"], hit["edits"]) == (1, 0) and rows[0][1][hit["first_char"] : hit["end_char"]] == "what is the CAPITAL of France"
+    assert {r["doc_id"] for r in decontam.keep_clean(docs_of(spark, rows), table).collect()} == {11, 12, 21, 31, 32, 33}
+
+
 def test_decontamination_without_rows(spark, awkward):
     items = spark.createDataFrame([(1, "some words of a benchmark item that is long enough")], "item_id long, text string")
     docs = docs_of(spark, awkward)
