@@ -2,13 +2,13 @@
 
 ``html_tokens`` is an Arrow UDF on the standard-library HTML parser; it gives the elements that a
 :class:`Selector` could name, and column expressions pick from them. No page makes it fail, and its
-time is linear in the page.
+time and output are linear in the page: an element has the two ends of its text, see :func:`text_of`.
 """
 
 from __future__ import annotations
 
 import sys
-from collections import Counter, deque
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 # Executors get the UDFs of this module by value, so they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ELEMENT = "array<struct<pos:int,last:int,tag:string,cls:string,text:string,href:string>>"
+ELEMENT = "array<struct<pos:int,last:int,tag:string,cls:string,text:string,start:int,end:int,href:string>>"
+# The tag of the first token, which is no element and holds the text of the whole page.
+PAGE = "#page"
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 HIDDEN_TAGS = frozenset(("script", "style", "template"))
-# Wanted elements open at a time. On broken markup with more, the outermost one ends.
-MOST_OPEN = 256
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,17 @@ class Selector:
         return conditions[0] if len(conditions) == 1 else conditions[0] & conditions[1]
 
 
+class _Element(dict):
+    """A wanted element; its text is cut out of the page's when asked for."""
+
+    page = ""
+
+    def __missing__(self, key):
+        if key != "text":
+            raise KeyError(key)
+        return self.page[self["start"] : self["end"]]
+
+
 class _ElementReader(HTMLParser):
     """Collects wanted elements in document order, closing tags the way a browserless tree does:
     an end tag closes its nearest open start tag and everything opened after it.
@@ -64,7 +75,7 @@ class _ElementReader(HTMLParser):
         self.rows: list[dict] = []
         self.stack: list[tuple[str, dict | None]] = []
         self.open: Counter[str] = Counter()
-        self.wanted: deque[dict] = deque()
+        self.wanted = 0
         self.parts: list[str] = []
         self.count = self.length = self.hidden = 0
 
@@ -79,11 +90,9 @@ class _ElementReader(HTMLParser):
         cls = values.get("class") or ""
         row = None
         if tag in self.tags or not self.classes.isdisjoint(cls.split()):
-            row = {"pos": self.count, "tag": tag, "cls": cls, "href": values.get("href"), "from": self.length}
+            row = _Element(pos=self.count, tag=tag, cls=cls, href=values.get("href"), start=self.length)
             self.rows.append(row)
-            self.wanted.append(row)
-            if len(self.wanted) > MOST_OPEN:
-                self._end(self.wanted.popleft())
+            self.wanted += 1
         self.count += 1
         self.stack.append((tag, row))
         self.open[tag] += 1
@@ -106,16 +115,13 @@ class _ElementReader(HTMLParser):
             self.parts.append(data)
             self.length += len(data)
 
-    def _end(self, row: dict) -> None:
-        row["last"], row["to"] = self.count - 1, self.length
-
     def _close(self) -> str:
         tag, row = self.stack.pop()
         self.open[tag] -= 1
         self.hidden -= tag in HIDDEN_TAGS
-        if row is not None and "to" not in row:
-            self._end(row)
-            self.wanted.pop()  # open elements end in the reverse order of their start
+        if row is not None:
+            row["last"], row["end"] = self.count - 1, self.length
+            self.wanted -= 1
         return tag
 
     def finish(self) -> list[dict]:
@@ -124,7 +130,7 @@ class _ElementReader(HTMLParser):
             self._close()
         text = "".join(self.parts)
         for row in self.rows:
-            row["text"] = text[row.pop("from") : row.pop("to")]
+            row.page = text
         return self.rows
 
 
@@ -143,13 +149,16 @@ def read_elements(page: str, tags: frozenset[str], classes: frozenset[str]) -> l
 def html_tokens(html: Column, selectors: list[Selector]) -> Column:
     """All elements any selector could match, in document order.
 
-    ``pos``/``last`` span an element's descendants, so nesting is decided by comparing numbers.
+    The first token is the page itself, which no selector names. ``pos``/``last`` span an element's descendants, so nesting is decided by comparing numbers.
     """
     tags = frozenset(s.tag for s in selectors if s.cls is None)
     classes = frozenset(s.cls for s in selectors if s.cls is not None)
 
     def read(page: str | None) -> list[dict] | None:
-        return None if page is None else read_elements(page, tags, classes)
+        if page is None:
+            return None
+        found = read_elements(page, tags, classes)
+        return [{"pos": -1, "last": -1, "tag": PAGE, "text": found[0].page if found else ""}, *found]
 
     @F.pandas_udf(ELEMENT)
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -163,6 +172,11 @@ def elements(tokens: Column, selector: Selector) -> Column:
     return F.filter(tokens, selector.matches)
 
 
+def text_of(tokens: Column, element: Column) -> Column:
+    """The text of one of the tokens' elements."""
+    return F.substring(F.get(tokens, F.lit(0))["text"], element["start"] + 1, element["end"] - element["start"])
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once. Inside a lambda an expression is computed anew
     for every array element, so an element found by a search has to be bound first."""

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listlake.functions.html import Selector, bind, elements, html_tokens, inside
+from listlake.functions.html import Selector, bind, elements, html_tokens, inside, text_of
 from listlake.functions.scalars import digits_to_int, parse_jp_date, strip_prefix, trim_text
 from listlake.operators.joins import unnest
 from listlake.operators.upsert import last_per_key
@@ -30,7 +30,7 @@ def _with_tokens(pages: DataFrame, html: str, selectors: list[Selector]) -> Data
 
 
 def _texts(selector: Selector) -> Column:
-    return F.transform(elements(F.col("_tokens"), selector), lambda e: trim_text(e["text"]))
+    return F.transform(elements(F.col("_tokens"), selector), lambda e: trim_text(text_of(F.col("_tokens"), e)))
 
 
 def _first(items: Column) -> Column:
@@ -111,11 +111,13 @@ def _complete(pairs: Column) -> Column:
     return F.filter(pairs, lambda p: p["label"].isNotNull() & p["value"].isNotNull())
 
 
-def _token_items(box: Selector) -> Column:
+def _token_items(box: Selector, most: int | None = None) -> Column:
     tokens = F.col("_tokens")
     lists = bind(_first(elements(tokens, box)), lambda b: elements(inside(tokens, b), UL))
     items = bind(_first(lists), lambda ul: elements(inside(tokens, ul), LI))
-    texts = F.transform(items, lambda e: trim_text(e["text"]))
+    if most is not None:  # no more than are used, as texts of unclosed items are long
+        items = F.slice(items, 1, most)
+    texts = F.transform(items, lambda e: trim_text(text_of(tokens, e)))
     return F.coalesce(texts, F.array().cast("array<string>"))
 
 
@@ -125,8 +127,8 @@ def _token_pairs() -> Column:
 
     def pair(cells: Column) -> Column:
         return F.struct(
-            trim_text(_first(elements(cells, TH))["text"]).alias("label"),
-            trim_text(_first(elements(cells, TD))["text"]).alias("value"),
+            trim_text(bind(_first(elements(cells, TH)), lambda e: text_of(tokens, e))).alias("label"),
+            trim_text(bind(_first(elements(cells, TD)), lambda e: text_of(tokens, e))).alias("value"),
         )
 
     pairs = bind(
@@ -187,7 +189,7 @@ def parse_detail_page(
     """One row of 15 fields per page: five list items by position and ten table cells by label."""
     keep = [c for c in pages.columns if c != html]
     df = _with_tokens(pages, html, [box, UL, LI, TABLE, TR, TH, TD])
-    df = df.select(*keep, _token_items(box).alias("_items"), _token_pairs().alias("_pairs"))
+    df = df.select(*keep, _token_items(box, len(BASIC_FIELDS)).alias("_items"), _token_pairs().alias("_pairs"))
     items = [F.get("_items", F.lit(i)) for i in range(len(BASIC_FIELDS))]
     return df.select(
         *keep,

@@ -128,6 +128,19 @@ def test_texts_of_elements(html, texts):
     assert [e["text"] for e in found] == texts
 
 
+def test_many_unclosed_elements_are_kept(spark):
+    labels = [f"k{i}" for i in range(700)]
+    cells = "".join(f"<tr><th>{a}</th><td>v{a}</td>" for a in labels)
+    items = "".join(f"<li class='detail-Btn02'><a href='/{i}'>あ{i}</a>" for i in range(700))
+    pages = page_table(spark, f'<div class="job-Box"><nav><ul>{items}</ul></nav></div><table>{cells}<tr><th>言語</th><td>Go</td></table>')
+    texts = P.positional_fields(pages).first()["items"]
+    assert len(texts) == 700 and texts[0] == "".join(f"あ{i}" for i in range(700)) and texts[-1] == "あ699"
+    assert [tuple(p) for p in P.label_values(pages).first()["pairs"]] == [*((a, f"v{a}") for a in labels), ("言語", "Go")]
+    assert P.extract_links(pages).first()["links"] == [f"/{i}" for i in range(700)]
+    row = P.parse_detail_page(pages, labels={"言語": "language"}).first()
+    assert row["language"] == "Go" and row["occupation"].endswith("あ699")
+
+
 def test_reader_is_linear():
     start = time.perf_counter()
     found = read_elements('<div class="job-Title">x' * 100_000 + "</i>" * 100_000, frozenset(), frozenset(["job-Title"]))

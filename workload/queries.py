@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from listlake.functions import scalars as S
 from listlake.functions.calendar import dim_date, dim_date_spanning
-from listlake.functions.html import Selector, elements, html_tokens
+from listlake.functions.html import Selector, elements, html_tokens, text_of
 from listlake.operators import joins as J
 from listlake.operators import multivalue as M
 from listlake.operators import pages as P
@@ -198,7 +198,11 @@ def html_tokens_udf(spark, sf_dir):
     tokens = table(spark, sf_dir, "pages").select(
         "page_id", html_tokens(F.col("html"), [anchor]).alias("tokens")
     )
-    rows = J.unnest(tokens, elements(F.col("tokens"), anchor), "e", keep=["page_id"], pos="pos")
+    found = F.transform(
+        elements(F.col("tokens"), anchor),
+        lambda e: F.struct(e["href"].alias("href"), text_of(F.col("tokens"), e).alias("text")),
+    )
+    rows = J.unnest(tokens, found, "e", keep=["page_id"], pos="pos")
     return rows.select("page_id", "pos", "e.href", "e.text")
 
 
