@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listlake.llm import chat, decontam, langid, mixing, near_dup, quality, repeats, token_store, topk, warc
+from listlake.llm import chat, decontam, langid, mixing, near_dup, quality, repair, repeats, resample, token_store, topk, urls, warc
 from listlake.llm.common import saved, table
 
 END_ID = 2
@@ -142,3 +142,152 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id < top THEN top END AS refers_to
 FROM d LEFT JOIN r USING (digest)
 """
+
+
+#: Host, path and verdict of each rule.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLE["op11_url_rules"] = f"""
+WITH rules(host, path, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+r AS (SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM r),
+f AS (
+  SELECT p.page_id, p.host, p.path, max(CASE WHEN rules.host IS NOT NULL THEN {{'n': length(rules.host || rules.path), 'rule': rules.host || rules.path, 'verdict': rules.verdict}} END) AS best
+  FROM p LEFT JOIN rules ON (p.host = rules.host OR ends_with(p.host, '.' || rules.host)) AND starts_with(p.path, rules.path)
+  GROUP BY ALL)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM f
+"""
+
+#: The table of crc32, one entry a byte, and the unsigned crc32 of a text's UTF-8 bytes.
+CRC_TABLE = """
+SELECT list(list_reduce(list_prepend(i, [0, 1, 2, 3, 4, 5, 6, 7]),
+  lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS entries
+FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)
+"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the crc32 of ``text`` beside a table with ``entries``."""
+    digits = f"hex(encode({text}))"
+    data = f"list_transform(range(length({digits}) // 2), lambda i: CAST('0x' || substr({digits}, 2 * i + 1, 2) AS BIGINT))"
+    return (
+        f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {data}),"
+        f" lambda c, b: xor(entries[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+    )
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_importance_resampling"] = rf"""
+WITH e AS MATERIALIZED ({CRC_TABLE}),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT row, unnest(w) AS w FROM d), bw AS (SELECT unnest(w) AS w FROM b),
+distinct_words AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM bw)),
+words AS MATERIALIZED (SELECT w, {crc32_sql("w")} % 10000 AS bucket FROM distinct_words, e),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN words USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN words USING (w) GROUP BY bucket),
+gain AS MATERIALIZED (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM dw) + 10000 AS DOUBLE)
+    / (CAST(s + 1 AS DOUBLE) * CAST((SELECT count(*) FROM bw) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT row, CAST(sum(gain) AS BIGINT) AS weight FROM dw JOIN words USING (w) JOIN gain USING (bucket) GROUP BY row),
+noise AS (
+  SELECT row, doc_id, len(w) AS n_features, CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d),
+scored AS (
+  SELECT row, doc_id, n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM noise LEFT JOIN weights USING (row)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS n,
+    count(*) OVER (PARTITION BY n_features >= 20) AS all_able FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+  CASE WHEN n_features >= 20 AND n <= all_able * 10 // 100 THEN n END AS rank
+FROM placed
+"""
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+_SPACE = r"[\x20\x09-\x0D]"
+
+
+def _edits(state: str) -> str:
+    """SQL for the cheapest edit of a row in a state of the grammar; ``v`` holds the best of the row behind."""
+    after = {"s": {"0": "v.s1"}, "u": {"0": "v.u", "1": "v.u", "a": "v.u"}, "a": {"u": "v.a"}}
+    name = {"0": "s0", "1": "s1", "u": "u", "a": "a"}[state]
+    rerole = "v.a" if state == "u" else "v.u"
+    options = [f"{{'c': 2 + v.{name}.c, 'a': 'D' || v.{name}.a}}"]
+    for role, states in after.items():
+        if state in states:
+            to = states[state]
+            options.append(f"CASE WHEN NOT gone AND initial = '{role}' THEN {{'c': extra + {to}.c, 'a': 'K' || {to}.a}} END")
+    options.append(f"CASE WHEN NOT gone THEN {{'c': 1 + extra + {rerole}.c, 'a': 'R' || {rerole}.a}} END")
+    return f"list_min(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))"
+
+
+ORACLE["op13_conversation_repair"] = rf"""
+WITH RECURSIVE e AS MATERIALIZED ({CRC_TABLE}),
+c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+k AS (SELECT c.*, {crc32_sql("name")} % 20 AS k FROM c, e),
+d AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE k WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM k),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM d),
+f AS MATERIALIZED (
+  SELECT *, substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) || substr(role, 1, 1) AS pair,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?]{_SPACE}*\z') THEN 'truncated' END AS fault,
+    coalesce(fault IN ('blank', 'duplicate'), false) AS gone, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM n),
+g AS (
+  SELECT conv_id, count(*) AS rows, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    list(role ORDER BY n) AS roles, list(text ORDER BY n) AS texts
+  FROM f GROUP BY conv_id),
+v AS (
+  SELECT conv_id, CAST(rows AS BIGINT) + 1 AS n, {{'c': 0, 'a': ''}} AS s0, {{'c': 10, 'a': 'II'}} AS s1, {{'c': 5, 'a': 'I'}} AS u, {{'c': 0, 'a': ''}} AS a FROM g
+  UNION ALL
+  SELECT conv_id, n, list_min([s0, {{'c': 5 + u.c, 'a': 'I' || u.a}}]), list_min([s1, {{'c': 5 + u.c, 'a': 'I' || u.a}}]), u, a
+  FROM (
+    SELECT conv_id, n, s0, s1, list_min([u, {{'c': 5 + a.c, 'a': 'I' || a.a}}]) AS u, list_min([a, {{'c': 5 + u.c, 'a': 'I' || u.a}}]) AS a
+    FROM (
+      SELECT v.conv_id, f.n, {_edits("0")} AS s0, {_edits("1")} AS s1, {_edits("u")} AS u, {_edits("a")} AS a
+      FROM v JOIN f ON f.conv_id IS NOT DISTINCT FROM v.conv_id AND f.n = v.n - 1))),
+best AS (
+  SELECT g.*, v.s0.c AS cost, v.s0.a AS audit,
+    list_reduce(list_prepend({{'q': 's', 'i': 1, 'out': CAST([] AS VARCHAR[])}}, list_transform(string_split(v.s0.a, ''), lambda m: {{'q': m, 'i': 0, 'out': CAST([] AS VARCHAR[])}})),
+      lambda x, m: {{
+        'q': CASE m.q WHEN 'D' THEN x.q WHEN 'K' THEN substr(g.roles[x.i], 1, 1) ELSE CASE x.q WHEN 'u' THEN 'a' ELSE 'u' END END,
+        'i': x.i + CASE m.q WHEN 'I' THEN 0 ELSE 1 END,
+        'out': CASE m.q WHEN 'D' THEN x.out WHEN 'K' THEN list_append(x.out, g.roles[x.i] || ':' || g.texts[x.i])
+          ELSE list_append(x.out, CASE x.q WHEN 'u' THEN 'assistant:' ELSE 'user:' END || CASE m.q WHEN 'R' THEN g.texts[x.i] ELSE '' END) END}}).out AS out
+  FROM v JOIN g ON v.n = 1 AND g.conv_id IS NOT DISTINCT FROM v.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(CASE WHEN audit = '' THEN '' ELSE array_to_string(out, chr(10)) END, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
