@@ -22,6 +22,14 @@ SALTS = 64
 BROADCAST_ROWS = 100_000
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores in front until no column of the frames has it, whatever its case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys holding at least ``share`` of the rows, and at least ``HOT_ROWS``; None stands for NULL.
 
@@ -159,7 +167,7 @@ def unnest(
     adds a "size > 0" filter and pushes it down to the scan, computing the array twice.
     """
     keep = df.columns if keep is None else keep
-    index = pos or "_pos"
+    index = pos or unused("pos", df)
     rows = df.select(*keep, F.posexplode_outer(array).alias(index, value))
     rows = rows.where(F.col(index).isNotNull())
     return rows.withColumn(pos, F.col(pos).cast("bigint")) if pos else rows.drop(index)

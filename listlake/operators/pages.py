@@ -10,9 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listlake.functions.html import Selector, bind, elements, html_tokens, inside, text_of
-from listlake.functions.scalars import digits_to_int, parse_jp_date, strip_prefix, trim_text
-from listlake.operators.joins import unnest
+from listlake.functions.html import Extract, Field, Selector, extract
+from listlake.functions.scalars import digits_to_int, parse_jp_date, strip_prefix
+from listlake.operators.joins import unnest, unused
 from listlake.operators.upsert import last_per_key
 from listlake.schemas import BASIC_FIELDS, DETAIL_LABELS, DETAIL_ROWS
 
@@ -25,21 +25,28 @@ BASIC_BOX = Selector(cls="job-Box")
 ANCHOR = Selector(tag="a")
 
 
-def _with_tokens(pages: DataFrame, html: str, selectors: list[Selector]) -> DataFrame:
-    return pages.withColumn("_tokens", html_tokens(F.col(html), selectors))
+def texts(selector: Selector) -> Extract:
+    """Stripped text of every element the selector names."""
+    return Extract((selector,), (Field("value"),))
 
 
-def _texts(selector: Selector) -> Column:
-    return F.transform(elements(F.col("_tokens"), selector), lambda e: trim_text(text_of(F.col("_tokens"), e)))
+def links(selector: Selector) -> Extract:
+    """``href`` of the first ``a`` inside every element the selector names."""
+    return Extract((selector,), (Field("value", ANCHOR, "href"),))
 
 
-def _first(items: Column) -> Column:
-    return F.get(items, F.lit(0))
+def _values(records: Column) -> Column:
+    return records["value"]
+
+
+def _added(pages: DataFrame, html: str, output: str, one: Extract) -> DataFrame:
+    """``pages`` with the records of one extract; no array for a page without text."""
+    return pages.withColumn(output, extract(F.col(html), {"records": one})["records"])
 
 
 def extract_texts(pages: DataFrame, selector: Selector, output: str, html: str = "html") -> DataFrame:
     """Add ``output``: stripped text of every element the selector names, in page order."""
-    return _with_tokens(pages, html, [selector]).withColumn(output, _texts(selector)).drop("_tokens")
+    return _added(pages, html, output, texts(selector)).withColumn(output, _values(F.col(output)))
 
 
 def extract_titles(pages: DataFrame, selector: Selector = TITLE, **kw) -> DataFrame:
@@ -56,16 +63,38 @@ def extract_dates(
 
 def extract_links(pages: DataFrame, selector: Selector = LINK_BOX, html: str = "html") -> DataFrame:
     """Add ``links``: the first ``a[href]`` inside every element the selector names."""
-    df = _with_tokens(pages, html, [selector, ANCHOR])
-    return df.withColumn("links", _token_links(selector)).drop("_tokens")
+    return _added(pages, html, "links", links(selector)).withColumn("links", _values(F.col("links")))
 
 
-def _token_links(selector: Selector) -> Column:
-    tokens = F.col("_tokens")
-    return F.transform(
-        elements(tokens, selector),
-        lambda box: _first(elements(inside(tokens, box), ANCHOR))["href"],
-    )
+def listings(
+    pages: DataFrame,
+    output: str = "listings",
+    html: str = "html",
+    title: Selector = TITLE,
+    date: Selector = DATE,
+    link: Selector = LINK_BOX,
+) -> DataFrame:
+    """``html`` replaced by ``output``: the three lists of a page side by side, cut to the shortest.
+
+    NULL for a page without text or one that cannot be read; every other page has an array.
+    """
+    found = extract(F.col(html), {"title": texts(title), "date": texts(date), "link": links(link)})
+    keep = [c for c in pages.columns if c != html]
+    lists = pages.select(*keep, found.alias(output))
+    parts = [F.col(output)[name] for name in ("title", "date", "link")]
+    shortest = F.least(*[F.size(p) for p in parts])
+    rows = F.arrays_zip(*[F.slice(_values(p), F.lit(1), shortest).alias(n) for p, n in zip(parts, ("title", "date", "link"))])
+    return lists.withColumn(output, F.when(F.col(output).isNotNull(), rows))
+
+
+def listing_columns(listing: str) -> list[Column]:
+    """The columns of a listing from one element of :func:`listings`."""
+    row = F.col(listing)
+    return [
+        row["title"].alias("job_title"),
+        parse_jp_date(strip_prefix(row["date"])).alias("listing_start_date"),
+        row["link"].alias("detail_link"),
+    ]
 
 
 def parse_list_page(
@@ -80,23 +109,9 @@ def parse_list_page(
     Other columns of ``pages`` are kept; a page without listings gives no row.
     """
     keep = [c for c in pages.columns if c != html]
-    df = _with_tokens(pages, html, [title, date, link, ANCHOR])
-    lists = df.select(
-        *keep,
-        _texts(title).alias("_titles"),
-        F.transform(_texts(date), lambda t: strip_prefix(t)).alias("_dates"),
-        _token_links(link).alias("_links"),
-    )
-    shortest = F.least(F.size("_titles"), F.size("_dates"), F.size("_links"))
-    rows = F.arrays_zip(
-        *[F.slice(c, F.lit(1), shortest).alias(c) for c in ("_titles", "_dates", "_links")]
-    )
-    return unnest(lists, rows, "_row", keep=keep).select(
-        *keep,
-        F.col("_row._titles").alias("job_title"),
-        parse_jp_date(F.col("_row._dates")).alias("listing_start_date"),
-        F.col("_row._links").alias("detail_link"),
-    )
+    inner = unused("listing", pages)
+    found = listings(pages, inner, html, title, date, link)
+    return unnest(found, inner, inner, keep=keep).select(*keep, *listing_columns(inner))
 
 
 # --------------------------------------------------------------------------------- detail pages
@@ -107,37 +122,13 @@ TABLE = Selector(tag="table")
 TR, TH, TD = Selector(tag="tr"), Selector(tag="th"), Selector(tag="td")
 
 
-def _complete(pairs: Column) -> Column:
-    return F.filter(pairs, lambda p: p["label"].isNotNull() & p["value"].isNotNull())
-
-
-def _token_items(box: Selector, most: int | None = None) -> Column:
-    tokens = F.col("_tokens")
-    lists = bind(_first(elements(tokens, box)), lambda b: elements(inside(tokens, b), UL))
-    items = bind(_first(lists), lambda ul: elements(inside(tokens, ul), LI))
-    if most is not None:  # no more than are used, as texts of unclosed items are long
-        items = F.slice(items, 1, most)
-    texts = F.transform(items, lambda e: trim_text(text_of(tokens, e)))
-    return F.coalesce(texts, F.array().cast("array<string>"))
+def list_items(box: Selector, most: int | None = None) -> Extract:
+    """Texts of the ``li`` in the first list of the first box."""
+    return Extract((box, UL, LI), (Field("value"),), most)
 
 
-def _token_pairs() -> Column:
-    tokens = F.col("_tokens")
-    content = bind(_first(elements(tokens, TABLE)), lambda table: inside(tokens, table))
-
-    def pair(cells: Column) -> Column:
-        return F.struct(
-            trim_text(bind(_first(elements(cells, TH)), lambda e: text_of(tokens, e))).alias("label"),
-            trim_text(bind(_first(elements(cells, TD)), lambda e: text_of(tokens, e))).alias("value"),
-        )
-
-    pairs = bind(
-        content,
-        lambda c: F.transform(
-            elements(c, TR), lambda row: bind(inside(c, row), pair)
-        ),
-    )
-    return F.coalesce(_complete(pairs), F.array().cast("array<struct<label:string,value:string>>"))
+#: Label and value of every row of the first table that has both.
+LABEL_VALUES = Extract((TABLE, TR), (Field("label", TH), Field("value", TD)), whole=True)
 
 
 def positional_fields(pages: DataFrame, box: Selector = BASIC_BOX, html: str = "html") -> DataFrame:
@@ -145,19 +136,21 @@ def positional_fields(pages: DataFrame, box: Selector = BASIC_BOX, html: str = "
 
     Take the i-th with ``F.get("items", i)``, which is NULL where the list is short.
     """
-    return _with_tokens(pages, html, [box, UL, LI]).withColumn("items", _token_items(box)).drop("_tokens")
+    items = F.coalesce(_values(F.col("items")), F.array().cast("array<string>"))
+    return _added(pages, html, "items", list_items(box)).withColumn("items", items)
 
 
 def label_values(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``pairs``: label and value of every row of the first table."""
-    return _with_tokens(pages, html, [TABLE, TR, TH, TD]).withColumn("pairs", _token_pairs()).drop("_tokens")
+    pairs = F.coalesce(F.col("pairs"), F.array().cast(LABEL_VALUES.type))
+    return _added(pages, html, "pairs", LABEL_VALUES).withColumn("pairs", pairs)
 
 
-def pick_labels(pairs: str, labels: dict[str, str]) -> list[Column]:
+def pick_labels(pairs: Column, labels: dict[str, str]) -> list[Column]:
     """One column per label: the first value carrying it, NULL where the label is absent."""
 
     def first_value(label: str) -> Column:
-        return _first(F.filter(pairs, lambda p: p["label"] == label))["value"]
+        return F.get(pairs["value"], F.array_position(pairs["label"], label).cast("int") - 1)
 
     return [first_value(label).alias(name) for label, name in labels.items()]
 
@@ -188,14 +181,15 @@ def parse_detail_page(
 ) -> DataFrame:
     """One row of 15 fields per page: five list items by position and ten table cells by label."""
     keep = [c for c in pages.columns if c != html]
-    df = _with_tokens(pages, html, [box, UL, LI, TABLE, TR, TH, TD])
-    df = df.select(*keep, _token_items(box, len(BASIC_FIELDS)).alias("_items"), _token_pairs().alias("_pairs"))
-    items = [F.get("_items", F.lit(i)) for i in range(len(BASIC_FIELDS))]
+    inner = unused("found", pages)
+    found = extract(F.col(html), {"items": list_items(box, len(BASIC_FIELDS)), "pairs": LABEL_VALUES})
+    df = pages.select(*keep, found.alias(inner))
+    items = [F.get(_values(F.col(inner)["items"]), F.lit(i)) for i in range(len(BASIC_FIELDS))]
     return df.select(
         *keep,
         digits_to_int(items[0]).alias(BASIC_FIELDS[0]),
         *[item.alias(name) for item, name in zip(items[1:], BASIC_FIELDS[1:])],
-        *pick_labels("_pairs", labels),
+        *pick_labels(F.col(inner)["pairs"], labels),
     )
 
 
@@ -208,9 +202,10 @@ def attach_list_to_detail(
     pages with one link the greatest row counts, so a listing is never multiplied, and listings of a
     hot link can be split by AQE, as the other side has one row for it.
     """
-    one = last_per_key(details.where(F.col(key).isNotNull()), key, []).withColumn("_found", F.lit(True))
-    joined = lists.join(one, key, "left")
-    return joined.drop("_found") if found is None else joined.withColumnRenamed("_found", found)
+    one = last_per_key(details.where(F.col(key).isNotNull()), key, [])
+    if found is not None:
+        one = one.withColumn(found, F.lit(True))
+    return lists.join(one, key, "left")
 
 
 # -------------------------------------------------------------------------------------- unions

@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from listlake.functions.html import read_elements
+from listlake.functions.html import Extract, Field, Selector, read_page
 from listlake.operators import pages as P
 from listlake.schemas import DETAIL_ROWS, LIST_ROWS, PAGES
 
@@ -124,8 +124,8 @@ def test_no_page_ends_the_job(spark):
     ],
 )
 def test_texts_of_elements(html, texts):
-    found = read_elements(html, frozenset(), frozenset(["job-Title"]))
-    assert [e["text"] for e in found] == texts
+    (found,) = read_page(html, [Extract((Selector(cls="job-Title"),), (Field("t", strip=False),))])
+    assert [t for (t,) in found] == texts
 
 
 def test_many_unclosed_elements_are_kept(spark):
@@ -141,10 +141,86 @@ def test_many_unclosed_elements_are_kept(spark):
     assert row["language"] == "Go" and row["occupation"].endswith("あ699")
 
 
-def test_reader_is_linear():
+@pytest.mark.parametrize("kind", ["titles", "links", "items", "pairs", "unclosed"])
+def test_time_grows_with_the_page(kind):
+    """Twice the elements take about twice the time, as the best of three runs."""
+    page = {
+        "titles": '<div class="job-Title">x y</div>', "links": '<li class="detail-Btn02"><a href="/1">go</a></li>',
+        "items": "<li>a b</li>", "pairs": "<tr><th>k</th><td>v</td></tr>", "unclosed": '<tr><div class="job-Title"><li class="detail-Btn02">',
+    }[kind]
+    reads = [P.texts(P.TITLE), P.links(P.LINK_BOX), P.list_items(P.BASIC_BOX), P.LABEL_VALUES]
+    reads = [reads[2], P.links(P.LINK_BOX)] if kind == "unclosed" else reads
+
+    def seconds(n):
+        html, best = f'<div class="job-Box"><ul>{page * n if kind != "pairs" else ""}</ul></div><table>{page * n}</table>', 1e9
+        for _ in range(3):
+            start = time.perf_counter()
+            read_page(html, reads)
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert seconds(16_000) <= 2.2 * seconds(8_000) + 0.05
+
+
+def test_many_open_elements_take_linear_time():
     start = time.perf_counter()
-    found = read_elements('<div class="job-Title">x' * 100_000 + "</i>" * 100_000, frozenset(), frozenset(["job-Title"]))
-    assert len(found) == 100_000 and time.perf_counter() - start < 20
+    boxes = Extract((Selector(cls="job-Title"),), (Field("k", value="id"), Field("first", Selector(tag="b"))))
+    (found,) = read_page('<div class="job-Title" id=1>' * 100_000 + "<b>x</b>" + "</i>" * 100_000, [boxes])
+    assert found == [("1", "x")] * 100_000 and time.perf_counter() - start < 20
+
+
+def slow_records(page, one):
+    """The same by searching a tree: every element with its descendants."""
+    from html.parser import HTMLParser
+
+    tree, stack = [], []
+
+    class Tree(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            values = dict(attrs)
+            tree.append({"tag": tag, "cls": (values.get("class") or "").split(), "attrs": values, "in": [i for i, _ in stack], "text": ""})
+            if tag not in ("br", "img"):
+                stack.append((len(tree) - 1, tag))
+
+        def handle_endtag(self, tag):
+            if tag in [t for _, t in stack]:
+                while stack.pop()[1] != tag:
+                    pass
+
+        def handle_data(self, data):
+            for i, _ in stack:
+                tree[i]["text"] += data
+
+    Tree().feed(page)
+    named = lambda s, below: [i for i, e in enumerate(tree) if s.matches(e["tag"], e["cls"]) and (below is None or below in e["in"])]
+    below = None
+    for step in one.scope[:-1]:
+        hit = named(step, below)[:1]
+        if not hit:
+            return []
+        below = hit[0]
+    out = []
+    for i in named(one.scope[-1], below)[: one.most]:
+        row = []
+        for f in one.fields:
+            hit = [i] if f.of is None else named(f.of, i)[:1]
+            value = None if not hit else tree[hit[0]]["text"] if f.value == "text" else tree[hit[0]]["attrs"].get(f.value)
+            row.append(value.strip() if value is not None and f.strip and f.value == "text" else value)
+        out.append(tuple(row))
+    return [r for r in out if not (one.whole and None in r)]
+
+
+def test_records_equal_a_search_in_the_tree():
+    rng = random.Random(3)
+    pieces = ["<div class='b c'>", "<div class=c>", "</div>", "<ul>", "</ul>", "<li>", "</li>", "<a href=/x>", "<a>", "</a>", "<br>", " t ", "u", "<p class=b>", "</p>", "<table>", "<tr>", "</tr>", "<th>", "<td>", "</td>", "</table>"]
+    b, c, ul, li, a = Selector(cls="b"), Selector(tag="div", cls="c"), Selector(tag="ul"), Selector(tag="li"), Selector(tag="a")
+    extracts = [
+        Extract((b,), (Field("t"),)), Extract((li,), (Field("h", a, "href"), Field("t", a), Field("own", strip=False))), Extract((b, ul, li), (Field("t"),), 2),
+        Extract((c, b), (Field("x", c), Field("t"))), P.LABEL_VALUES, Extract((b, b), (Field("cls", value="class"),), whole=True),
+    ]
+    for _ in range(3000):
+        page = "".join(rng.choices(pieces, k=rng.randint(1, 25)))
+        assert read_page(page, extracts) == [slow_records(page, e) for e in extracts]
 
 
 def test_pivot_labels_takes_the_first(spark, rows):

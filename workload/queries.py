@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from listlake.functions import scalars as S
 from listlake.functions.calendar import dim_date, dim_date_spanning
-from listlake.functions.html import Selector, elements, html_tokens, text_of
+from listlake.functions.html import Extract, Field, Selector, extract
 from listlake.operators import joins as J
 from listlake.operators import multivalue as M
 from listlake.operators import pages as P
@@ -194,16 +194,9 @@ def parse_jp_date(spark, sf_dir):
 
 @query
 def html_tokens_udf(spark, sf_dir):
-    anchor = Selector(tag="a")
-    tokens = table(spark, sf_dir, "pages").select(
-        "page_id", html_tokens(F.col("html"), [anchor]).alias("tokens")
-    )
-    found = F.transform(
-        elements(F.col("tokens"), anchor),
-        lambda e: F.struct(e["href"].alias("href"), text_of(F.col("tokens"), e).alias("text")),
-    )
-    rows = J.unnest(tokens, found, "e", keep=["page_id"], pos="pos")
-    return rows.select("page_id", "pos", "e.href", "e.text")
+    anchors = Extract((Selector(tag="a"),), (Field("href", value="href"), Field("text", strip=False)))
+    found = table(spark, sf_dir, "pages").select("page_id", extract(F.col("html"), {"e": anchors})["e"].alias("e"))
+    return J.unnest(found, "e", "e", keep=["page_id"], pos="pos").select("page_id", "pos", "e.href", "e.text")
 
 
 # -------------------------------------------------------------------- projections, filters, predicates
