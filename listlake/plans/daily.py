@@ -8,12 +8,14 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listlake.operators.pages import attach_list_to_detail, parse_detail_page, parse_list_page
+from listlake.operators.pages import attach_list_to_detail, listing_columns, listings, parse_detail_page
 from listlake.operators.paging import filter_since, read_pages
 from listlake.operators.upsert import last_per_key
+from listlake.operators.runs import append_run, missing_days, run_record
 from listlake.schemas import LAKE
+from listlake.session import discard, work_dir
 from listlake.sources.daily_csv import read_days, save_day
-from listlake.sources.lake import LakeTable
+from listlake.sources.lake import LakeTable, publish_table
 
 JST_ZONE = timezone(timedelta(hours=9))
 REJECT = "reject"
@@ -40,21 +42,38 @@ def collect_listings(list_pages: DataFrame, detail_pages: DataFrame, limit: date
     """Rows of the lake from pages, and ``reject``: NULL, or why a listing cannot be used.
 
     ``list_pages(page, html)`` are numbered newest first; ``detail_pages(detail_link, html)`` hold
-    the page behind each link. Pages are parsed where they lie. Every listing of the pages up to the
-    cut-off comes out once, but for those older than ``limit`` and for repeated ones; a page without
-    text is a reject of its own.
+    the page behind each link. Every listing of the pages up to the cut-off comes out once, but for
+    those older than ``limit`` and for repeated ones.
     """
-    blank = list_pages.where(F.col("html").isNull()).select(F.lit("page without text").alias(REJECT))
-    listings = parse_list_page(list_pages.select("page", "html"))
-    seen = read_pages(listings, "listing_start_date", limit).drop("page")
+    return _collected(listings(_told_apart(list_pages)), detail_pages, limit)
+
+
+def _told_apart(list_pages: DataFrame) -> DataFrame:
+    return list_pages.select("page", F.col("html").isNull().alias("blank"), "html")
+
+
+def _collected(parsed: DataFrame, detail_pages: DataFrame, limit: date) -> DataFrame:
+    """The same from parsed pages ``(page, blank, listings)``.
+
+    Only a page that was read and holds no listing ends paging. A page without text, or one that cannot be
+    read, is a reject of its own and the pages behind it are read on.
+    """
+    unread = F.col("listings").isNull()
+    rows = parsed.where(unread | (F.size("listings") > 0)).select(
+        "page", F.when(unread, F.when(F.col("blank"), "page without text").otherwise("page not readable")).alias("fault"),
+        F.explode_outer("listings").alias("listing"),
+    )
+    seen = read_pages(rows.select("page", "fault", *listing_columns("listing")), "listing_start_date", limit).drop("page")
+    blank = seen.where(F.col("fault").isNotNull()).select(F.col("fault").alias(REJECT))
+    seen = seen.where(F.col("fault").isNull()).drop("fault")
     fault = F.when(F.col("detail_link").isNull(), "no link").when(F.col("listing_start_date").isNull(), "no date")
     bad = seen.where(fault.isNotNull()).withColumn(REJECT, fault)
     # A listing that moves to the next page between two requests is seen twice.
     good = filter_since(seen.where(F.col("detail_link").isNotNull()), "listing_start_date", limit)
     good = last_per_key(good, "detail_link", ["listing_start_date"])
     details = parse_detail_page(detail_pages.where("html IS NOT NULL").select("detail_link", "html"))
-    rows = attach_list_to_detail(details, good, found="_found")
-    rows = rows.withColumn(REJECT, F.when(F.col("_found").isNull(), "no detail page")).drop("_found")
+    rows = attach_list_to_detail(details, good, found="page_found")
+    rows = rows.withColumn(REJECT, F.when(F.col("page_found").isNull(), "no detail page")).drop("page_found")
     for more in (bad, blank):
         rows = rows.unionByName(more, allowMissingColumns=True)
     return rows.select(*LAKE.names, REJECT)
@@ -76,21 +95,25 @@ def collect_day(
         raise ValueError(f"unknown on_reject {on_reject!r}")
     run_date = run_date or jst_today()
     limit = run_date - timedelta(days=1)
-    rows = collect_listings(list_pages, detail_pages, limit).persist()
+    # Parsed once: the cut-off, the rejects and the listings are all read from the stored arrays.
+    path = work_dir(list_pages.sparkSession, "parsed")
+    parsed = publish_table(listings(_told_apart(list_pages)), path)
+    rows = _collected(parsed, detail_pages, limit).persist()
     try:
         rejects = rows.where(F.col(REJECT).isNotNull())
         lost = rejects.count()
         if lost and on_reject == "error":
             reasons = rejects.groupBy(REJECT).count().orderBy(REJECT).collect()
             raise RejectedListings(", ".join(f"{r['count']} with {r[REJECT]}" for r in reasons))
-        path, count = save_day(rows.where(F.col(REJECT).isNull()).select(*LAKE.names), raw_root, run_date)
+        saved, count = save_day(rows.where(F.col(REJECT).isNull()).select(*LAKE.names), raw_root, run_date)
         beside = f"{raw_root}-rejects/partition_date={run_date.strftime('%Y%m%d')}"
         rejects.write.mode("overwrite").parquet(beside)
     finally:
         rows.unpersist()
+        discard(parsed.sparkSession, path)
     return outcome(
-        "success", f"{count} listings in {path}, {lost} rejected", record_count=count, reject_count=lost,
-        limit_date=limit.isoformat(), saved_path=path, rejects_path=beside,
+        "success", f"{count} listings in {saved}, {lost} rejected", record_count=count, reject_count=lost,
+        limit_date=limit.isoformat(), saved_path=saved, rejects_path=beside,
     )
 
 
@@ -144,3 +167,22 @@ def backfill(
         if reports[-1]["status"] != "success":
             break
     return reports
+
+
+def resume(
+    spark: SparkSession, raw_root: str, lake: LakeTable, runs: str, first: date, last: date, **merge
+) -> list[dict]:
+    """Load the days of a range that no run record reports as loaded, oldest first, and record each run.
+
+    It begins at the first missing day and stops at the first that fails, so calling it again goes on from
+    there. Days behind the first missing one are loaded again even if they were before: their files have to win
+    over the older one's. The records say which range was covered, so nothing else has to be remembered.
+    """
+    gap = missing_days(spark, runs, first, last).orderBy("first_day").first()  # the oldest island
+    reports: list[dict] = []
+    day = gap["first_day"] if gap else last + timedelta(days=1)
+    while day <= last and all(r["status"] == "success" for r in reports):
+        reports.append(load_day(spark, raw_root, lake, day, **merge))
+        append_run(run_record(spark, f"load-{day.isoformat()}", limit_date=day, **reports[-1]), runs)
+        day += timedelta(days=1)
+    return reports

@@ -57,6 +57,7 @@ RUNS = _struct(
     ("loaded_rows", _L),
     ("limit_date", _D),
     ("saved_path", _S),
+    ("rejected_rows", _L),
 )
 
 CHECK_RESULTS = _struct(

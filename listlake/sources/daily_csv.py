@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -27,6 +28,7 @@ CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+REJECT = "_reject"
 READ = {
     **CSV,
     # The files are read by position, so a header in another order has to fail, not shift columns.
@@ -37,6 +39,25 @@ READ = {
 WRITE = {**CSV, "nullValue": "", "emptyValue": ""}
 
 
+# Every line is a record, the header too: a file whose header is wrong can then be told from the others
+# of a read, which the reader itself would end.
+LENIENT = {**CSV, "header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT}
+
+
+def with_rejects(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(REJECT, T.StringType(), True)])
+
+
+def is_header(schema: T.StructType) -> Column:
+    """Whether a record of a ``LENIENT`` read is the header that the schema asks for. It is no good record
+    where a column is not text, so it then stands in the column of rejects."""
+    line = F.regexp_replace(REJECT, "[\"\ufeff\r\n]", "") == ",".join(schema.names)
+    if all(isinstance(f.dataType, T.StringType) for f in schema.fields):
+        named = reduce(Column.__and__, [F.col(f.name) == f.name for f in schema.fields])
+        return F.coalesce(line, F.lit(False)) | F.coalesce(named, F.lit(False))
+    return F.coalesce(line, F.lit(False))
+
+
 def read_csv_typed(
     spark: SparkSession, path: str, schema: T.StructType = LAKE, rejects: bool = False
 ) -> DataFrame:
@@ -47,8 +68,8 @@ def read_csv_typed(
     """
     reader = spark.read.options(**READ)
     if rejects:
-        schema = T.StructType(schema.fields + [T.StructField("_reject", T.StringType(), True)])
-        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord="_reject")
+        schema = with_rejects(schema)
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT)
     return reader.schema(schema).csv(path)
 
 

@@ -31,6 +31,9 @@ MANIFEST = T.StructType(
     [
         T.StructField("day", T.DateType(), True),
         T.StructField("folder", T.StringType(), True),
+        # Rows without a folder: the last batch that a stream has merged.
+        T.StructField("stream", T.StringType(), True),
+        T.StructField("batch", T.LongType(), True),
         T.StructField("v", T.LongType(), True),
     ]
 )
@@ -54,12 +57,18 @@ class LakeTable:
         empty.coalesce(1).write.mode("ignore").parquet(f"{self.root}/manifest/v=0")
         return self
 
-    def _manifest(self) -> tuple[int, dict[date | None, str]]:
-        """Current version and the folder of every day: one entry per day of the table's life."""
+    def _manifest(self) -> tuple[int, dict[date | None, str], dict[str, int]]:
+        """Current version, the folder of every day, and the last batch of every stream: one entry per
+        day of the table's life and per stream that ever wrote to it."""
         rows = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest")
         # The newest version is a scalar subquery on the partition column: older ones stay closed.
         current = rows.where(F.col("v") == rows.agg(F.max("v")).scalar()).collect()
-        return max((r["v"] for r in current), default=0), {r["day"]: r["folder"] for r in current}
+        folders = {r["day"]: r["folder"] for r in current if r["folder"] is not None}
+        batches = {r["stream"]: r["batch"] for r in current if r["stream"] is not None}
+        return max((r["v"] for r in current), default=0), folders, batches
+
+    def version(self) -> int:
+        return self._manifest()[0]
 
     def _read(self, folders: dict[date | None, str]) -> DataFrame:
         if not folders:
@@ -86,13 +95,17 @@ class LakeTable:
         source: DataFrame,
         on_duplicate: str = "error",
         order: list[str] | None = None,
+        batch: tuple[str, int] | None = None,
     ) -> int:
         """Upsert ``source`` and return the new version.
 
         Days that hold a matched row or receive one are rewritten, no others. The search for matched
-        rows reads the key column only.
+        rows reads the key column only. ``batch`` names the stream and batch that ``source`` is: it is
+        stored with the version, and a batch that was merged before is left out without reading it.
         """
-        version, folders = self._manifest()
+        version, folders, batches = self._manifest()
+        if batch and batches.get(batch[0], -1) >= batch[1]:
+            return version
         names = self.schema.names
         cached = source.is_cached
         source = source.select(*names, *[c for c in order or [] if c not in names])
@@ -124,7 +137,10 @@ class LakeTable:
         check_source(written, self.key)
         entries = {d: v for d, v in folders.items() if d not in touched}
         entries |= {d: folder for d in self._distinct_days(written)}
-        manifest = self.spark.createDataFrame(list(entries.items()), "day date, folder string")
+        if batch:
+            batches[batch[0]] = batch[1]
+        rows = [(d, v, None, None) for d, v in entries.items()] + [(None, None, *b) for b in batches.items()]
+        manifest = self.spark.createDataFrame(rows, "day date, folder string, stream string, batch bigint")
         manifest.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/manifest/v={new}")
         return new
 

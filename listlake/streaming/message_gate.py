@@ -3,41 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from listlake.functions.scalars import base64_json
+from listlake.operators.joins import unnest
 from listlake.sources.ledger import anti_join_ledger, append_ledger, ledger_rows, read_ledger
 
 DAILY = "daily_scraping"
 
 
-ENVELOPE = "message struct<data: string, messageId: string>"
+MESSAGE = "data string, messageId string"
 
 
-def is_valid_envelope(body: Column, wanted: str = DAILY) -> Column:
-    """True for a JSON object with ``message`` and ``subscription`` whose base64 ``message.data`` is
-    JSON of the wanted type; FALSE, never NULL, for everything else."""
-    data = F.from_json(body, ENVELOPE)["message"]["data"]
+def valid_message_id(body: Column, wanted: str = DAILY) -> Column:
+    """The id of a JSON object with ``message`` and ``subscription`` whose base64 ``message.data`` is JSON of
+    the wanted type; NULL for everything else.
+
+    A message without an id is known by a hash of its body, so that different ones are told apart. The body
+    is parsed once, into its keys and their texts, and the message's text once more.
+    """
+    envelope = F.from_json(body, "map<string,string>")
+    message = F.from_json(envelope["message"], MESSAGE)
     # A key may be present with a null value, so the keys themselves are looked up.
-    keys = F.json_object_keys(body)
-    return F.coalesce(
-        (base64_json(data, "type") == wanted)
-        & F.array_contains(keys, "message")
-        & F.array_contains(keys, "subscription"),
-        F.lit(False),
-    )
+    valid = F.map_contains_key(envelope, "subscription") & (base64_json(message["data"], "type") == wanted)
+    known = F.coalesce(message["messageId"], F.concat(F.lit("sha256:"), F.sha2(body.cast("binary"), 256)))
+    return F.when(valid, known)
 
 
 def envelope_filter(messages: DataFrame, body: str = "body", wanted: str = DAILY) -> DataFrame:
-    """Valid messages with their id. A message without an id is known by the text ``None``."""
-    message_id = F.from_json(F.col(body), ENVELOPE)["message"]["messageId"]
-    return messages.where(is_valid_envelope(F.col(body), wanted)).withColumn(
-        "message_id", F.coalesce(message_id, F.lit("None"))
-    )
+    """Valid messages with their id.
+
+    The id is generated rather than filtered, as a filter would be pushed below the projection and parse the
+    body a second time.
+    """
+    return unnest(messages, F.array_compact(F.array(valid_message_id(F.col(body), wanted))), "message_id")
 
 
 def new_messages(valid: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -52,23 +55,26 @@ def stream_message_gate(
     work: Callable[[DataFrame, int], dict | None],
     body: str = "body",
     once: bool = True,
+    replay_days: int | None = None,
 ) -> StreamingQuery:
     """Run ``work(new_ids, batch_id)`` for the new messages of each batch.
 
     The ledger is appended only after ``work`` returned; the metadata it returns is stored with the
-    ids. If it raises, the batch stays unmarked and is delivered again on restart.
+    ids. If it raises, the batch stays unmarked and is delivered again on restart. ``replay_days`` is how
+    long the broker may deliver a message again; only the ledger's folders of that time are then read.
     """
     spark = messages.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         valid = envelope_filter(batch, body)
+        now = datetime.now(timezone.utc)
+        since = None if replay_days is None else (now - timedelta(days=replay_days)).date()
         # The ledger grows in here, so the ids are fixed before it does.
-        fresh = new_messages(valid, read_ledger(spark, ledger_path)).persist()
+        fresh = new_messages(valid, read_ledger(spark, ledger_path, since)).persist()
         try:
             if fresh.isEmpty():
                 return
             metadata = work(fresh, batch_id)
-            now = datetime.now(timezone.utc)
             append_ledger(ledger_rows(fresh, now, metadata), ledger_path)
         finally:
             fresh.unpersist()

@@ -1,6 +1,7 @@
 """Day files, lake merges, daily jobs and the streaming variants."""
 
 import base64
+import hashlib
 import json
 import os
 import random
@@ -9,7 +10,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from listlake.operators.runs import append_run, row_counts, run_record
+from listlake.operators.rejects import split_rejects
+from listlake.operators.runs import append_run, gaps, islands, missing_days, row_counts, run_record
 from listlake.operators.upsert import DuplicateKeyError
 from listlake.plans import daily
 from listlake.schemas import LAKE, RUNS
@@ -17,7 +19,7 @@ from listlake.session import shared_root, work_dir
 from listlake.sources import daily_csv as C
 from listlake.sources import ledger as L
 from listlake.sources.lake import LakeTable, ensure_database, ensure_day_table, merge_statement
-from listlake.streaming.file_ingest import stream_file_ingest
+from listlake.streaming.file_ingest import ingest_and_record, stream_file_ingest
 from listlake.streaming.message_gate import envelope_filter, stream_message_gate
 from test_pages import detail_page, list_page
 from test_warehouse import lake_rows, listing
@@ -142,7 +144,7 @@ def test_only_touched_days_are_rewritten(spark, tmp_path):
     lake = lake_of(spark, tmp_path)
     lake.merge(lake_rows(spark, [listing("/1", D[0]), listing("/2", D[1])]))
     lake.merge(lake_rows(spark, [listing("/3", D[1])]))
-    version, folders = lake._manifest()
+    version, folders, _ = lake._manifest()
     assert version == 2 and {d: f.split("-")[0] for d, f in folders.items()} == {D[0]: "1", D[1]: "2"}
 
 
@@ -249,6 +251,21 @@ def test_every_listing_is_kept_or_rejected(spark, rows, tmp_path):
     assert not (tmp_path / "none").exists()
 
 
+def test_a_page_that_was_not_read_does_not_end_paging(spark, rows, tmp_path):
+    """Page 2 has no text: 3 and 4 are read on. Page 5 holds no listing: 6 is not read."""
+    page = lambda n: list_page((f"T{n}", f"2024年3月{16 - n // 4}日", f"/{n}"))
+    pages = spark.createDataFrame(
+        [(1, page(1)), (2, None), (3, page(3)), (4, page(4)), (5, "<html></html>"), (6, page(6)), (7, None)], "page long, html string"
+    )
+    details = spark.createDataFrame([(f"/{n}", detail_page(["1円"], [])) for n in range(1, 8)], "detail_link string, html string")
+    out = daily.collect_day(pages, details, str(tmp_path / "raw"), date(2024, 3, 15))
+    assert (out["record_count"], out["reject_count"]) == (3, 1)
+    assert rows(C.read_csv_typed(spark, out["saved_path"]), "job_title") == [("T1",), ("T3",), ("T4",)]
+    assert rows(spark.read.parquet(out["rejects_path"]), "reject") == [("page without text",)]
+    got = daily.collect_listings(pages.where("page < 5"), details, date(2024, 3, 16))
+    assert rows(got.where("reject IS NULL"), "job_title") == [("T1",), ("T3",)]
+
+
 def test_backfill_stops_where_a_day_fails(spark, tmp_path):
     raw, lake = str(tmp_path / "raw"), LakeTable(spark, str(tmp_path / "lake"))
     C.save_day(lake_rows(spark, [listing("/1", D[0], job_title="old"), listing("/1", D[0], job_title="again")]), raw, D[0])
@@ -259,6 +276,29 @@ def test_backfill_stops_where_a_day_fails(spark, tmp_path):
     assert links(lake.read()) == [("/1", D[1], "new")]
 
 
+def test_backfill_resumes_at_the_first_missing_day(spark, rows, tmp_path):
+    raw, runs, lake = str(tmp_path / "raw"), str(tmp_path / "runs"), LakeTable(spark, str(tmp_path / "lake"))
+
+    def save(n, *titles):
+        C.save_day(lake_rows(spark, [listing("/1", D[n], job_title=t) for t in titles]), raw, D[n])
+
+    save(0, "d0"), save(1, "twice", "twice"), save(2, "d2")
+    assert [r["status"] for r in daily.resume(spark, raw, lake, runs, D[0], D[2])] == ["success", "error"]
+    assert rows(missing_days(spark, runs, D[0], D[3])) == [(D[1], D[3], 3)]
+    save(1, "d1")
+    assert [r["status"] for r in daily.resume(spark, raw, lake, runs, D[0], D[2])] == ["success"] * 2
+    assert links(lake.read()) == [("/1", D[2], "d2")]
+    assert daily.resume(spark, raw, lake, runs, D[0], D[2]) == []
+    assert spark.read.parquet(runs).count() == 4
+
+
+def test_islands_and_gaps(spark, rows):
+    days = spark.createDataFrame([(D[n],) for n in (0, 1, 1, 3, 6, 7)] + [(None,)], "d date")
+    assert rows(islands(days, "d")) == sorted([(D[0], D[1], 2), (D[3], D[3], 1), (D[6], D[7], 2)], key=repr)
+    assert rows(gaps(days, "d", D[0], D[8])) == sorted([(D[2], D[2], 1), (D[4], D[5], 2), (D[8], D[8], 1)], key=repr)
+    assert rows(gaps(days.limit(0), "d", D[0], D[2])) == [(D[0], D[2], 3)]
+
+
 def test_null_keys_never_reach_the_lake(spark, tmp_path):
     lake = LakeTable(spark, str(tmp_path / "lake")).create_if_absent()
     rows = lake_rows(spark, [listing(None, D[0]), listing("/1", D[0])])
@@ -318,6 +358,104 @@ def test_stream_equals_batch(spark, tmp_path):
     assert ("/3", D[1], "rewritten") in links(streamed.read())
 
 
+HEADER = ",".join(LAKE.names)
+
+
+def write_file(root, day, name, text):
+    folder = root / f"partition_date={day:%Y%m%d}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text, encoding="utf-8")
+
+
+def line(link, day, title="t", salary="1"):
+    return ",".join({"detail_link": link, "listing_start_date": day, "job_title": title, "monthly_salary": salary}.get(c, "") for c in LAKE.names)
+
+
+def test_a_poisoned_file_does_not_stop_the_stream(spark, rows, tmp_path):
+    raw, lake = tmp_path / "raw", LakeTable(spark, str(tmp_path / "lake"))
+    bad = [
+        line("/bad", "2024-10-01", salary="many"), line("", "2024-10-01", "no link"), "a,b", line("/day", "yesterday"),
+        line("/two", "2024-10-01", "a"), line("/two", "2024-10-01", "b"), line("/two", "2024-10-01", "b"), line("/ok", "2024-10-01", '"multi\nline ""q"""'),
+    ]
+    write_file(raw, D[0], "a.csv", "\n".join([HEADER, *bad]) + "\n")
+    swapped = HEADER.replace("monthly_salary,occupation", "occupation,monthly_salary")
+    write_file(raw, D[1], "b.csv", "\n".join([swapped, line("/shifted", "2024-10-02", salary="")]) + "\n")
+    write_file(raw, D[2], "c.csv", "\n".join([HEADER, line("/later", "2024-10-03"), line("/ok", "2024-10-03", "newer")]) + "\n")
+    write_file(raw, D[3], "d.csv", "\n")
+    for _ in range(2):
+        stream_file_ingest(spark, str(raw), lake, str(tmp_path / "cp"), files_per_batch=1).awaitTermination()
+    write_file(raw, D[4], "e.csv", "\n".join([HEADER, line("/last", "2024-10-05")]) + "\n")
+    stream_file_ingest(spark, str(raw), lake, str(tmp_path / "cp"), files_per_batch=1).awaitTermination()
+    assert [k for k, *_ in links(lake.read())] == ["/last", "/later", "/ok", "/two"]
+    assert {k: t for k, _, t in links(lake.read())}["/two"] == "b"
+    stored = spark.read.parquet(f"{lake.root}-rejects")
+    assert {c for c in stored.columns} == {"file", "reason", "record", "copies", "query", "batch"}
+    found = sorted((r["reason"], r["copies"]) for r in stored.collect())
+    assert found == [
+        ("no detail_link", 1), ("repeated detail_link", 1), ("repeated detail_link", 1), *[("unreadable record", 1)] * 3, ("wrong header", 1), ("wrong header", 1),
+    ]
+    whole = stored.where("reason = 'unreadable record'").select("record").collect()
+    assert bad[0] in {r["record"].strip() for r in whole}
+
+
+def test_rejects_and_rows_add_up(spark, rows, tmp_path):
+    """Text columns only, a hot repeated row, clashing names."""
+    schema = spark.createDataFrame([], "k string, reason string, copies string").schema
+    hot = "h,x,y\n" * 500
+    (tmp_path / "f.csv").write_text('"k",reason,copies\n' + hot + "h,a,y\nz,,\n,q,r\n1,2,3,4\n")
+    read = spark.read.options(**C.LENIENT).schema(C.with_rejects(schema)).csv(str(tmp_path / "f.csv"))
+    good, bad = split_rejects(read.selectExpr("*", "'f' AS place"), schema, "k", ["place"], "place")
+    assert rows(good, "k", "reason", "copies") == [("h", "x", "y"), ("z", None, None)]
+    assert rows(bad, "reason", "copies") == sorted(
+        [("repeated k", 499), ("repeated k", 1), ("no k", 1), ("unreadable record", 1)], key=repr
+    )
+
+
+def test_a_replayed_batch_is_skipped(spark, tmp_path):
+    """The lake knows the last batch of a stream; the batch is not even read again."""
+    lake = LakeTable(spark, str(tmp_path / "lake")).create_if_absent()
+    first = lake_rows(spark, [listing("/1", D[0], job_title="first")])
+    assert lake.merge(first, batch=("q", 0)) == 1
+    assert lake.merge(lake_rows(spark, [listing("/1", D[0], job_title="late")]), batch=("q", 0)) == 1
+    assert lake.merge(lake_rows(spark, [listing("/2", D[1])])) == 2  # another writer keeps the mark
+    assert lake.merge(first, batch=("q", 0)) == 2 and lake.merge(first, batch=("other", 0)) == 3
+    assert lake.merge(lake_rows(spark, [listing("/3", D[1])]), batch=("q", 1)) == 4
+    assert links(lake.read()) == [("/1", D[0], "first"), ("/2", D[1], None), ("/3", D[1], None)]
+
+
+def test_a_stream_that_dies_after_its_merge_does_not_merge_again(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), LakeTable(spark, str(tmp_path / "lake"))
+    C.save_day(lake_rows(spark, [listing("/1", D[0])]), raw, D[0])
+
+    def die(batch, i):
+        raise RuntimeError("power cut")
+
+    with pytest.raises(Exception, match="power cut"):
+        stream_file_ingest(spark, raw, lake, str(tmp_path / "cp"), after_merge=die).awaitTermination()
+    assert lake.version() == 1
+    stream_file_ingest(spark, raw, lake, str(tmp_path / "cp")).awaitTermination()
+    assert lake.version() == 1 and lake.read().count() == 1
+
+
+def test_streaming_runs_are_recorded(spark, tmp_path):
+    raw, lake, runs = tmp_path / "raw", LakeTable(spark, str(tmp_path / "lake")), str(tmp_path / "runs")
+    write_file(raw, D[0], "a.csv", "\n".join([HEADER, line("/1", "2024-10-01"), line("", "2024-10-01"), "x"]) + "\n")
+    ingest_and_record(spark, str(raw), lake, str(tmp_path / "cp"), runs)
+    write_file(raw, D[1], "b.csv", "\n".join([HEADER, line("/2", "2024-10-02"), line("/3", "2024-10-02")]) + "\n")
+    ingest_and_record(spark, str(raw), lake, str(tmp_path / "cp"), runs)
+    ingest_and_record(spark, str(raw), lake, str(tmp_path / "cp"), runs)  # nothing new, no record
+    stored = sorted(tuple(r) for r in spark.read.schema(RUNS).parquet(runs).select("status", "loaded_rows", "rejected_rows").collect())
+    assert stored == [("success", 1, 2), ("success", 2, 0)]
+
+    def die(batch, i):
+        raise RuntimeError("power cut")
+
+    write_file(raw, D[2], "c.csv", "\n".join([HEADER, line("/4", "2024-10-02")]) + "\n")
+    with pytest.raises(Exception, match="power cut"):
+        ingest_and_record(spark, str(raw), lake, str(tmp_path / "cp"), runs, after_merge=die)
+    assert spark.read.parquet(runs).where("status = 'error' AND message LIKE '%power cut%'").count() == 1
+
+
 def body(message_id, payload=None, raw=None, **extra):
     data = raw if raw is not None else base64.b64encode(json.dumps(payload).encode()).decode()
     return json.dumps({"message": {"data": data, "messageId": message_id}, "subscription": "s", **extra})
@@ -334,7 +472,9 @@ def test_envelope_filter(spark, rows):
         json.dumps({"message": None, "subscription": "s"}), body("6", raw=base64.b64encode(b"{oops").decode()),
     ]
     df = spark.createDataFrame([(m,) for m in messages], "body string")
-    assert rows(envelope_filter(df), "message_id") == [("1",), ("None",)]
+    unnamed = "sha256:" + hashlib.sha256(body(None, GOOD).encode()).hexdigest()
+    assert rows(envelope_filter(df), "message_id") == [("1",), (unnamed,)]
+    assert envelope_filter(df)._jdf.queryExecution().optimizedPlan().toString().count("map<string,string>") <= 1
 
 
 def test_message_gate(spark, rows, tmp_path):
@@ -373,5 +513,26 @@ def test_ledger_rows(spark, rows, tmp_path):
     assert L.read_ledger(spark, str(tmp_path / "l")).count() == 2
 
 
+def test_ledger_by_days_and_compaction(spark, rows, tmp_path):
+    path = str(tmp_path / "l")
+    assert L.read_ledger(spark, path).count() == 0 and L.compact_ledger(spark, path) == 0
+    for day in (1, 2, 3):
+        for n in range(3):
+            ids = spark.createDataFrame([(f"m{day}-{n}",), (f"again{n % 2}",)], "message_id string")
+            L.append_ledger(L.ledger_rows(ids, datetime(2024, 3, day, n), {"n": n}), path)
+    before = rows(L.read_ledger(spark, path).select("message_id").distinct())
+    recent = L.read_ledger(spark, path, date(2024, 3, 3))
+    assert recent.count() == 6 and "PartitionFilters: [isnotnull(processed_day" in recent._jdf.queryExecution().toString()
+    sizes = L.ledger_days(spark, path)
+    assert list(sizes) == [f"processed_day=2024-03-0{d}" for d in (1, 2, 3)] and min(sizes.values()) >= 3
+    assert L.compact_ledger(spark, path, before=date(2024, 3, 3)) == 2
+    assert [L.ledger_days(spark, path)[d] for d in sizes] == [1, 1, sizes["processed_day=2024-03-03"]]
+    assert rows(L.read_ledger(spark, path).select("message_id").distinct()) == before
+    kept = {r["message_id"]: r["metadata"] for r in L.read_ledger(spark, path).where("processed_at < '2024-03-02'").collect()}
+    assert kept["again0"] == {"n": "2"} and kept["again1"] == {"n": "1"} and len(kept) == 5
+    assert L.compact_ledger(spark, path, before=date(2024, 3, 3)) == 0
+    assert not [n for n in os.listdir(path) if n.startswith("_compact")]
+
+
 def test_shared_folder(spark):
     assert work_dir(spark, "x").startswith(shared_root(spark) + "/x-")

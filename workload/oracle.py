@@ -104,6 +104,13 @@ CHANGES_CTE = """changes AS (
   UNION ALL BY NAME
   SELECT '/jobs/new/' || item_id AS detail_link, text AS programming_language,
          DATE '2024-12-01' AS listing_start_date FROM benchmark)"""
+#: What becomes of each record of the poisoned files: the main one, the French one (every row twice), the Spanish one.
+POISONED_CTE = """sorted AS (
+  SELECT lang = 'en' AS en, lang = 'fr' AS fr, lang = 'es' AS es, lang <> 'de' OR doc_id IN (SELECT doc_id FROM labels) AS k FROM documents),
+outcomes AS (
+  SELECT CASE WHEN es THEN 'wrong header' WHEN en THEN 'unreadable record' WHEN NOT k THEN 'no detail_link' ELSE 'loaded' END AS reason, 1 AS n FROM sorted
+  UNION ALL SELECT 'repeated detail_link', 1 FROM sorted WHERE fr)"""
+
 MERGED = (
     f"WITH {LAKE_CTE}, {CHANGES_CTE} "
     "SELECT * FROM lake WHERE detail_link NOT IN (SELECT detail_link FROM changes) "
@@ -294,9 +301,9 @@ ORACLE: dict[str, str] = {
     "unnest_lateral": f"WITH {LINES_CTE} SELECT doc_id, line FROM lines",
     "attach_list_to_detail": WITH_LAKE
     + f"SELECT l.detail_link, d.* EXCLUDE (detail_link), l.job_title, l.listing_start_date FROM ({LIST_ROWS}) l "
-    f"LEFT JOIN (SELECT detail_link, {DETAIL_COLUMNS} FROM lake WHERE detail_link NOT LIKE '%7') d USING (detail_link)",
+    f"LEFT JOIN (SELECT detail_link, {DETAIL_COLUMNS} FROM lake WHERE detail_link IN (SELECT '/jobs/' || doc_id FROM labels)) d USING (detail_link)",
     "anti_join_ledger": f"WITH {MESSAGES_CTE} SELECT event_id, message_id FROM valid "
-    "WHERE message_id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE user_id % 2 = 0)",
+    "WHERE message_id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'error')",
     # upsert
     "upsert_merge": MERGED,
     "upsert_rows": MERGED,
@@ -380,7 +387,23 @@ ORACLE: dict[str, str] = {
     "collect_day": WITH_LAKE
     + f"SELECT {DETAIL_COLUMNS}, l.job_title, l.listing_start_date, l.detail_link FROM lake "
     f"JOIN ({LIST_ROWS}) l USING (detail_link) WHERE l.listing_start_date >= DATE '2025-12-15'",
-    "collect_rejects": "SELECT CASE WHEN doc_id % 13 <> 0 THEN '/jobs/' || doc_id END AS detail_link, "
+    "collect_rejects": "WITH d AS (SELECT *, doc_id // 20 + 1 AS page FROM documents) "
+    "SELECT CASE WHEN doc_id % 13 <> 0 THEN '/jobs/' || doc_id END AS detail_link, "
     "CASE WHEN doc_id % 13 = 0 THEN 'no link' WHEN doc_id % 11 = 0 THEN 'no date' "
-    "WHEN doc_id % 10 = 7 THEN 'no detail page' ELSE 'kept' END AS outcome FROM documents",
+    "WHEN doc_id NOT IN (SELECT doc_id FROM labels) THEN 'no detail page' ELSE 'kept' END AS outcome "
+    "FROM d WHERE page % 5 <> 0 UNION ALL SELECT NULL, 'page without text' FROM (SELECT DISTINCT page FROM d WHERE page % 5 = 0)",
+    "stream_rejects": f"WITH {POISONED_CTE} SELECT reason, CAST(sum(n) AS BIGINT) AS n FROM outcomes GROUP BY reason",
+    "stream_run_records": f"WITH {POISONED_CTE}, c AS (SELECT count(*) FILTER (reason = 'loaded') + count(*) FILTER (reason LIKE 'repeated%') AS loaded, "
+    "count(*) FILTER (reason <> 'loaded') AS lost FROM outcomes WHERE reason <> 'wrong header') "
+    "SELECT 'success' AS status, count(*) AS loaded_rows, 0::BIGINT AS rejected_rows, count(*) AS records FROM documents "
+    "UNION ALL SELECT 'success', loaded, lost, loaded + lost FROM c",
+    "ledger_compact": "WITH m AS (SELECT CAST(ts AS DATE) AS day, CAST(user_id AS VARCHAR) AS message_id, max(ts) AS processed_at, kinds "
+    "FROM events JOIN (VALUES ('click', 'click+view'), ('view', 'click+view'), ('view', 'view+purchase'), ('purchase', 'view+purchase'), "
+    "('error', 'error')) k(event_type, kinds) USING (event_type) GROUP BY ALL) "
+    "SELECT message_id, max({'p': processed_at, 'k': kinds}).p AS processed_at, max({'p': processed_at, 'k': kinds}).k AS kinds "
+    "FROM m GROUP BY day, message_id",
+    "backfill_gaps": f"WITH d AS (SELECT CAST(unnest(range(DATE '1996-01-01', DATE '2001-01-02', INTERVAL 1 DAY)) AS DATE) AS day), "
+    f"m AS (SELECT day FROM d WHERE day NOT IN (SELECT order_day FROM ({ORDERS}) WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')), "
+    "n AS (SELECT day, day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS start FROM m) "
+    "SELECT min(day) AS first_day, max(day) AS last_day, count(*) AS n_days FROM n GROUP BY start",
 }

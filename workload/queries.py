@@ -24,7 +24,7 @@ from listlake.session import tune, work_dir
 from listlake.sources import daily_csv as C
 from listlake.sources import lake as K
 from listlake.sources import ledger as L
-from listlake.streaming.file_ingest import stream_file_ingest
+from listlake.streaming.file_ingest import ingest_and_record, stream_file_ingest
 from listlake.streaming.message_gate import envelope_filter, stream_message_gate
 from workload.standins import detail_pages, list_pages, listing_lake, table, trigger_messages
 
@@ -284,18 +284,24 @@ def unnest_lateral(spark, sf_dir):
     return J.unnest(lines_of_documents(spark, sf_dir), "lines", "line", keep=["doc_id"])
 
 
+def _labelled_links(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(F.concat(F.lit("/jobs/"), F.col("doc_id").cast("string")).alias("detail_link")).distinct()
+
+
 @query
 def attach_list_to_detail(spark, sf_dir):
     lists = P.parse_list_page(list_pages(spark, sf_dir)).drop("page")
-    details = P.parse_detail_page(detail_pages(spark, sf_dir))
-    return P.attach_list_to_detail(details.where("detail_link NOT LIKE '%7'"), lists)
+    # Only listings of labelled documents have a page.
+    labelled = _labelled_links(spark, sf_dir)
+    details = P.parse_detail_page(detail_pages(spark, sf_dir)).join(labelled, "detail_link", "left_semi")
+    return P.attach_list_to_detail(details, lists)
 
 
 @query
 def anti_join_ledger(spark, sf_dir):
     messages = envelope_filter(trigger_messages(spark, sf_dir)).select("event_id", "message_id")
-    # Users with an even number have been served.
-    served = table(spark, sf_dir, "events").where("user_id % 2 = 0")
+    # Users who had an error have been served.
+    served = table(spark, sf_dir, "events").where("event_type = 'error'")
     done = served.select(F.col("user_id").cast("string").alias("message_id"))
     return L.anti_join_ledger(messages, L.ledger_rows(done, PROCESSED_AT))
 
@@ -581,6 +587,52 @@ def stream_file_ingest_query(spark, sf_dir):
     return lake.read()
 
 
+def _poisoned_files(spark, sf_dir, root, swapped: bool = True) -> None:
+    """Day files of the listings, with what goes wrong in practice.
+
+    English listings have a salary that is no number, listings of documents without a label no link, and
+    the French ones come twice; the Spanish ones lie in a file with two columns of its header swapped.
+    """
+    labelled = _labelled_links(spark, sf_dir)
+    lake = listing_lake(spark, sf_dir)
+    linked = lake.join(labelled.withColumn("kept", F.lit(True)), "detail_link", "left")
+    linked = linked.withColumns({
+        "detail_link": F.when(F.col("kept") | (F.col("occupation") != "de"), F.col("detail_link")),
+        "monthly_salary": F.when(F.col("occupation") == "en", "n/a").otherwise(F.col("monthly_salary").cast("string")),
+    }).select(*lake.columns)
+    C.save_day(linked.where("occupation <> 'es'"), root, AS_OF)
+    again = linked.where("occupation = 'fr'").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    C.save_day(again, root, CHECKED_ON)
+    if swapped:
+        C.save_day(lake.where("occupation = 'es'").select("occupation", "monthly_salary", *lake.columns[2:]), root, SINCE)
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """Rejected and loaded records of a stream over poisoned files."""
+    root = work_dir(spark, "poisoned")
+    lake = K.LakeTable(spark, f"{root}/lake")
+    _poisoned_files(spark, sf_dir, f"{root}/raw")
+    stream_file_ingest(spark, f"{root}/raw", lake, f"{root}/checkpoint").awaitTermination()
+    bad = spark.read.parquet(f"{root}/lake-rejects").where("record NOT LIKE 'occupation,monthly_salary,%'")  # headers, one a file
+    bad = bad.groupBy("reason").agg(F.sum("copies").alias("n"))
+    loaded = lake.read().agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("n"))
+    return loaded.unionByName(bad)
+
+
+@query
+def stream_run_records(spark, sf_dir):
+    """What each batch read, loaded and rejected, from the records that a listener wrote."""
+    root = work_dir(spark, "recorded")
+    lake = K.LakeTable(spark, f"{root}/lake")
+    C.save_day(listing_lake(spark, sf_dir), f"{root}/raw", SINCE)
+    ingest_and_record(spark, f"{root}/raw", lake, f"{root}/checkpoint", f"{root}/runs")
+    _poisoned_files(spark, sf_dir, f"{root}/raw", swapped=False)
+    ingest_and_record(spark, f"{root}/raw", lake, f"{root}/checkpoint", f"{root}/runs")
+    stored = spark.read.parquet(f"{root}/runs")
+    return stored.select("status", "loaded_rows", "rejected_rows", (F.col("loaded_rows") + F.col("rejected_rows")).alias("records"))
+
+
 @query
 def stream_message_gate_query(spark, sf_dir):
     root = work_dir(spark, "gate")
@@ -607,6 +659,26 @@ def ledger_append(spark, sf_dir):
     return stored.select("message_id", F.col("metadata")["saved_path"].alias("saved_path"))
 
 
+@query
+def ledger_compact(spark, sf_dir):
+    """Messages marked in several runs of each day; each id once after compaction, with its latest entry."""
+    path = work_dir(spark, "ledger")
+    events = table(spark, sf_dir, "events")
+    for kinds in (("click", "view"), ("view", "purchase"), ("error",)):
+        marked = events.where(F.col("event_type").isin(*kinds)).groupBy(day_of("ts").alias("day"), F.col("user_id").cast("string").alias("message_id")).agg(
+            F.max("ts").cast("timestamp").alias("processed_at"))
+        L.append_ledger(marked.withColumn("metadata", F.create_map(F.lit("kinds"), F.lit("+".join(kinds)))), path)
+    L.compact_ledger(spark, path)
+    return L.read_ledger(spark, path).select("message_id", F.col("processed_at").cast("timestamp_ntz").alias("processed_at"), F.col("metadata")["kinds"].alias("kinds"))
+
+
+@query
+def backfill_gaps(spark, sf_dir):
+    """Islands of days without a finished order: a day's run succeeded if one of its orders is finished."""
+    done = _orders(spark, sf_dir).where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
+    return R.gaps(done, "order_day", *ORDER_DAYS)
+
+
 @query
 def daily_backfill_window(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("value", S.jst_date(F.col("ts")).alias("day"))
@@ -639,10 +711,12 @@ def collect_day(spark, sf_dir):
 
 @query
 def collect_rejects(spark, sf_dir):
-    """Listings without date, link or detail page, stored with their reason; all others are kept."""
+    """Listings without date, link or detail page, and pages without text, stored with their reason; all
+    others are kept. Every fifth page lost its text; only labelled documents have a detail page."""
     root = work_dir(spark, "collected")
     lists = list_pages(spark, sf_dir, damaged=True)
-    details = detail_pages(spark, sf_dir).where("detail_link NOT LIKE '%7'")
+    lists = lists.withColumn("html", F.when(F.col("page") % 5 != 0, F.col("html")))
+    details = detail_pages(spark, sf_dir).join(_labelled_links(spark, sf_dir), "detail_link", "left_semi")
     out = daily.collect_day(lists, details, root, date(2025, 11, 16))
     kept = C.read_csv_typed(spark, out["saved_path"]).select("detail_link", F.lit("kept").alias("outcome"))
     return kept.unionByName(spark.read.parquet(out["rejects_path"]).select("detail_link", F.col("reject").alias("outcome")))
