@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from listlake.operators.joins import unused
 from listlake.session import work_dir
 
+
 def filter_since(df: DataFrame, day: str, limit: date) -> DataFrame:
     """Rows dated ``limit`` or later. A plain comparison, so it reaches the scan."""
     return df.where(F.col(day) >= F.lit(limit))
@@ -29,17 +31,45 @@ def latest_first_pages(
     if max_pages is not None:
         ordered = ordered.limit(max_pages * page_size)
     path = work_dir(df.sparkSession, "ordered")
-    ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    at, in_part, n, earlier = (unused(c, df) for c in ("at", "in_part", "n", "earlier"))
+    ordered.withColumn(at, F.monotonically_increasing_id()).write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
-    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    place = F.col("_before") + inside
-    numbered = rows.withColumn("_part", part).join(sizes, "_part")
+    part, inside = F.shiftright(at, 33), F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias(in_part)).agg(F.count(F.lit(1)).alias(n))
+    before = W.orderBy(in_part).rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select(in_part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(earlier))
+    place = F.col(earlier) + inside
+    numbered = rows.withColumn(in_part, part).join(sizes, in_part)
     return numbered.withColumn("page", (F.floor(place / page_size) + 1).cast("bigint")).select(*df.columns, "page")
 
 
+def pages_since(
+    df: DataFrame, moment: str, tie: str, since: date, page_size: int, bucket_seconds: int = 600, page: str = "page",
+    bucket_rows: int = 5_000_000,
+) -> DataFrame:
+    """What :func:`page_cutoff` keeps of pages newest first by ``moment`` (then by ``tie``), without numbering
+    all rows: rows of ``since`` or later, with their page.
+
+    In that order every kept row comes before the first older one, so the cut-off page follows from their
+    number and only their places are needed. A place is the count of rows in later spans of ``bucket_seconds``,
+    of which there is one number each, plus the place within the span; nothing is sorted as a whole, and
+    older rows are left out by the scan. A span with more than ``bucket_rows`` rows is too much for one task: then
+    the kept rows are sorted by ranges instead.
+    """
+    span, n, before = (unused(c, df) for c in ("span", "n", "before"))
+    kept = df.where(F.col(moment) >= F.lit(since).cast(df.schema[moment].dataType))
+    spans = kept.withColumn(span, F.floor(F.unix_seconds(F.col(moment).cast("timestamp")) / bucket_seconds))
+    sizes = spans.groupBy(span).agg(F.count(F.lit(1)).alias(n))
+    if (sizes.agg(F.max(n)).first()[0] or 0) > bucket_rows:
+        return latest_first_pages(kept, [F.desc(moment), F.asc(tie)], page_size).withColumnRenamed("page", page)
+    later = W.orderBy(F.desc(span)).rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select(span, F.coalesce(F.sum(n).over(later), F.lit(0)).alias(before))
+    place = F.row_number().over(W.partitionBy(span).orderBy(F.desc(moment), F.asc(tie))) - 1
+    placed = spans.withColumn(n, place).join(sizes, span)
+    number = F.floor((F.col(before) + F.col(n)) / page_size) + 1
+    return placed.withColumn(page, number.cast("bigint")).select(*df.columns, page)
+
+
 def page_min_date(df: DataFrame, day: str, page: str = "page") -> DataFrame:
     """Oldest date on every page."""
     return df.groupBy(page).agg(F.min(day).alias("min_date"))

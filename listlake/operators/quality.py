@@ -141,51 +141,97 @@ def _result(kind: str, table: str, columns, failures, status=None) -> list:
     ]
 
 
+def _rows(numbers: DataFrame, checks: list[Check], family: list[str]) -> DataFrame:
+    """Result rows from one row of failure counts ``f0``, ``f1``, ..."""
+    results = [
+        F.struct(*_result(c.kind, c.table, F.lit(c.label), F.coalesce(F.col(f), F.lit(0))))
+        for c, f in zip(checks, family, strict=True)
+    ]
+    return numbers.select(F.inline(F.array(*results)))
+
+
+def _numbered(checks: list[Check]) -> list[str]:
+    return [f"f{i}" for i in range(len(checks))]
+
+
+def _repeated(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Unique and combination checks of one table: its keys are expanded once, one grouping set a check,
+    and counted by one aggregate."""
+    columns = list(dict.fromkeys(c for check in checks for c in check.columns))
+    sets = list(dict.fromkeys(tuple(sorted(check.columns, key=columns.index)) for check in checks))
+    if len(sets) == 1:
+        counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n rows")).withColumn("set", F.lit(0))
+    else:
+        counted = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns])
+        counted = counted.agg(F.count(F.lit(1)).alias("n rows"), F.grouping_id().alias("set"))
+
+    def number(group: tuple[str, ...]) -> int:
+        # A bit is set for every column that is not part of the grouping set.
+        return sum(1 << i for i, c in enumerate(reversed(columns)) if c not in group) if len(sets) > 1 else 0
+
+    def failures(check: Check):
+        group = tuple(sorted(check.columns, key=columns.index))
+        failed = (F.col("set") == number(group)) & (F.col("n rows") > 1)
+        # A unique column may hold many NULLs; in a combination NULL equals NULL.
+        return F.count_if(failed & F.col(check.columns[0]).isNotNull() if check.kind == "unique" else failed)
+
+    names = _numbered(checks)
+    return _rows(counted.agg(*[failures(c).alias(f) for c, f in zip(checks, names, strict=True)]), checks, names)
+
+
+def _missing(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """NOT NULL checks of one table: one pass, no shuffle but a row a task."""
+    names = _numbered(checks)
+    counts = [F.count_if(F.col(c.columns[0]).isNull()).alias(f) for c, f in zip(checks, names, strict=True)]
+    return _rows(df.agg(*counts), checks, names)
+
+
+def _orphans(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """All relationship checks against one parent key.
+
+    The keys of children and parent go into one aggregate that counts a key's rows by child and knows whether
+    it is a parent's, so there is no join, and neither a popular key nor copies load one task.
+    """
+    parent = tables[checks[0].parent].select(F.col(checks[0].parent_key).alias("key"), F.lit(-1).alias("child"))
+    children = [
+        tables[c.table].select(F.col(c.columns[0]).alias("key"), F.lit(i).alias("child")) for i, c in enumerate(checks)
+    ]
+    every = reduce(DataFrame.unionByName, children, parent).where(F.col("key").isNotNull())
+    names = _numbered(checks)
+    counts = [F.count_if(F.col("child") == i).alias(f) for i, f in enumerate(names)]
+    keys = every.groupBy("key").agg(F.max(F.col("child") == -1).alias("known"), *counts)
+    return _rows(keys.where(~F.col("known")).agg(*[F.sum(f).alias(f) for f in names]), checks, names)
+
+
 def run_checks(
     tables: dict[str, DataFrame], checks: list[Check], as_of: date | datetime | None = None
 ) -> DataFrame:
-    """One result row per check. All NOT NULL checks of a table share one pass.
+    """One result row per check.
 
-    Freshness is judged at ``as_of``; its status may also be ``warn`` or ``error``, either of which
-    is one failure.
+    A table is read once for all its unique and combination checks, once for all its NOT NULL checks, and
+    once for each parent that its keys are held against. Freshness is judged at ``as_of``; its status may also be
+    ``warn`` or ``error``, either of which is one failure.
     """
     parts = []
-    required: dict[str, list[str]] = {}
+    families: dict[tuple, list[Check]] = {}
     for check in checks:
-        df = tables[check.table]
-        if check.kind == "not_null":
-            required.setdefault(check.table, []).append(check.columns[0])
-            continue
         if check.kind == "freshness":
             if as_of is None:
                 raise ValueError("freshness needs as_of")
-            fresh = dq_freshness(df, check.columns[0], as_of, check.warn_days, check.error_days)
+            fresh = dq_freshness(tables[check.table], check.columns[0], as_of, check.warn_days, check.error_days)
             stale = (F.col("status") != "pass").cast("int")
             parts.append(fresh.select(*_result(check.kind, check.table, F.lit(check.label), stale, F.col("status"))))
-            continue
-        if check.kind == "unique":
-            failures = dq_unique(df, check.columns[0]).agg(F.count(F.lit(1)).alias("f"))
-        elif check.kind == "unique_combination":
-            failures = dq_unique_combination(df, list(check.columns)).agg(
-                F.count(F.lit(1)).alias("f")
-            )
         elif check.kind == "relationships":
-            failures = dq_relationships(
-                df, check.columns[0], tables[check.parent], check.parent_key
-            ).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f"))
+            families.setdefault(("parent", check.parent, check.parent_key), []).append(check)
+        elif check.kind in ("unique", "unique_combination", "not_null"):
+            families.setdefault((check.kind == "not_null", check.table), []).append(check)
         else:
             raise ValueError(f"unknown check {check.kind!r}")
-        parts.append(
-            failures.select(
-                *_result(check.kind, check.table, F.lit(check.label), F.col("f"))
-            )
-        )
-    for table, columns in required.items():
-        parts.append(
-            dq_not_null(tables[table], columns).select(
-                *_result("not_null", table, F.col("column_name"), F.col("failures"))
-            )
-        )
+    for (kind, *name), family in families.items():
+        if kind == "parent":
+            parts.append(_orphans(tables, family))
+        else:
+            parts.append((_missing if kind else _repeated)(tables[name[0]], family))
     return reduce(DataFrame.unionByName, parts).select(*CHECK_RESULTS.names)
 
 

@@ -23,8 +23,9 @@ def split_rejects(
     without a key, and of several rows of one file with one key all but the greatest by ``order`` and content.
     The same key in several files is no fault. ``max_files`` bounds the number of files, if it is known.
 
-    Equal rows are counted together before they are compared with others of their key, so that copies of a hot
-    row are one row by then.
+    Whether a key is repeated is asked first, of the keys alone; only then are whole rows brought together. Equal
+    ones are counted before they are compared with others of their key, so that copies of a hot row are one
+    row by then. ``rows`` are read several times, so they should be stored or cached.
     """
     names = schema.names
     extra = [c for c in order if c != file]
@@ -40,7 +41,10 @@ def split_rejects(
     told = told.withColumn(why, reason)
     record = F.coalesce(REJECT, content)
     bad = told.where(F.col(why).isNotNull()).groupBy(F.col(file), F.col(why), record).agg(F.count(F.lit(1)))
-    keyed = told.where(F.col(why).isNull()).groupBy(*names, *extra, file).agg(F.count(F.lit(1)).alias(n))
+    sound = told.where(F.col(why).isNull()).select(*names, *extra, file)
+    if sound.groupBy(key, file).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).isEmpty():
+        return sound, bad.toDF(*REJECTS)
+    keyed = sound.groupBy(*names, *extra, file).agg(F.count(F.lit(1)).alias(n))
     # The columns are compared one by one, so the choice is the same in every run.
     greatest = W.partitionBy(key, file).orderBy(*[F.desc(c) for c in (*extra, *names)])
     placed = keyed.withColumn(place, F.row_number().over(greatest))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listlake.operators.joins import unused
+
 
 class DuplicateKeyError(ValueError):
     """The source of an upsert holds a key more than once, or a NULL key."""
@@ -46,15 +48,25 @@ def check_source(source: DataFrame, key: str) -> None:
         )
 
 
+def marked_keys(source: DataFrame, key: str, day: str, repeated: bool = True) -> DataFrame:
+    """``(key, day, bad)``: each different key with a day of its, and whether it is NULL or (with ``repeated``)
+    not unique, so that whoever reads the keys can count the faults."""
+    n = F.count(F.lit(1))
+    bad = (F.col(key).isNull() | (n > 1)) if repeated else F.col(key).isNull()
+    return source.groupBy(key).agg(F.max(day).alias(day), bad.cast("int").alias(unused("bad", source)))
+
+
 def dedupe_source(
-    source: DataFrame, key: str, on_duplicate: str = "error", order: list[str] | None = None
+    source: DataFrame, key: str, on_duplicate: str = "error", order: list[str] | None = None, check: bool = True
 ) -> DataFrame:
-    """Guard the merge rule "one source row per key"."""
+    """Guard the merge rule "one source row per key". Without ``check`` the caller does it."""
     if on_duplicate == "error":
-        check_source(source, key)
+        if check:
+            check_source(source, key)
         return source
     if on_duplicate == "last":
-        check_keys(source, key)
+        if check:
+            check_keys(source, key)
         return last_per_key(source, key, order or [])
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 

@@ -6,8 +6,10 @@ the ones that are read again.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,7 @@ REPORT_DETAIL = [
     *[a.value for a in ATTRIBUTES.values()], "listing_start_date", *REPORT_CALENDAR,
 ]
 
+PUBLISHED_AT_ONCE = 4
 REPORTS = ("bi__job_analysis", "bi__job_analysis_detail")
 
 
@@ -222,9 +225,15 @@ def publish_models(
     stg = publish_table(staging(lake), f"{root}/{run_id}/stg_joblist")
     tables = models(stg, dim_date(spark, start, end), choose_strategy(stg), (end - start).days)
     links = [f"{kind}_{name}" for kind in ("bridge", "dim") for name in ATTRIBUTES]
-    for name in (*links, *REPORTS):
-        tables[name] = publish_table(tables[name], f"{root}/{run_id}/{name}")
-    return tables
+
+    def publish(name: str) -> DataFrame:
+        return publish_table(tables[name], f"{root}/{run_id}/{name}")
+
+    # None reads another, so their jobs run side by side; the longest is begun first.
+    names = [*reversed(REPORTS), *links]
+    with ThreadPoolExecutor(PUBLISHED_AT_ONCE) as pool:
+        stored = list(pool.map(inheritable_thread_target(spark)(publish), names))
+    return {**tables, **dict(zip(names, stored, strict=True))}
 
 
 # ----------------------------------------------------------------------------------- data tests

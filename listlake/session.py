@@ -14,6 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Chains of joins on one key: split a hot partition even if that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A merge looks for its keys in the lake through a Bloom filter, also where the source is too large for a
+    # broadcast; the filter itself has a bounded number of bits.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listlake.operators.upsert import check_source, dedupe_source, upsert_rows
+from listlake.operators.upsert import DuplicateKeyError, dedupe_source, marked_keys, upsert_rows
 from listlake.schemas import LAKE, LAKE_DAY, LAKE_KEY
 
 MANIFEST = T.StructType(
@@ -90,6 +90,33 @@ class LakeTable:
         # One value per day of the table's life.
         return {r[0] for r in df.select(self.day).distinct().collect()}
 
+    def _touched(self, matched: DataFrame, keys: DataFrame) -> set[date | None]:
+        """Days of matched rows and of the source; raises if a key is NULL or not unique."""
+        key, day, bad = keys.columns
+        rows = matched.select(day, F.lit(0).alias(bad), F.lit(None).cast("string").alias(key)).unionByName(
+            keys.select(day, bad, F.when(F.col(bad) == 1, F.col(key).cast("string")).alias(key))
+        )
+        # One row per day of the table's life.
+        found = rows.groupBy(day).agg(F.sum(bad).alias(bad), F.min(key).alias(key)).collect()
+        faults = sum(r[bad] for r in found)
+        if faults:
+            example = min((r[key] for r in found if r[key] is not None), default=None)
+            raise DuplicateKeyError(f"{faults} {key} values are NULL or not unique, e.g. {example!r}")
+        return {r[day] for r in found}
+
+    def matched(self, folders: dict[date | None, str], keys: DataFrame) -> DataFrame:
+        """Keys and days of the lake's rows that ``keys`` names.
+
+        Keys are compared with the empty text, which every one passes but NULL, because Spark builds a
+        runtime filter only over a side that is filtered: beyond the size of a broadcast, a Bloom filter of the
+        source's keys then meets the lake's rows in the scan, and those shuffled are in proportion to the
+        matches and not to the lake.
+        """
+        some = keys.select(self.key)
+        if isinstance(self.schema[self.key].dataType, T.StringType):
+            some = some.where(F.col(self.key) >= "")
+        return self._read(folders).select(self.key, self.day).join(some, self.key, "left_semi")
+
     def merge(
         self,
         source: DataFrame,
@@ -111,13 +138,11 @@ class LakeTable:
         source = source.select(*names, *[c for c in order or [] if c not in names])
         source = source if cached else source.persist()
         try:
-            unique = dedupe_source(source, self.key, on_duplicate, order).select(*names)
-            matched = self._read(folders).select(self.key, self.day).join(
-                unique.select(self.key), self.key, "left_semi"
-            )
-            touched = self._distinct_days(
-                matched.select(self.day).unionByName(unique.select(self.day))
-            )
+            unique = dedupe_source(source, self.key, on_duplicate, order, check=False).select(*names)
+            # One job finds the days and, on the way, the source's faults. Keys of a source that may
+            # repeat them have been reduced to one row, whose day counts.
+            keys = marked_keys(unique, self.key, self.day, repeated=on_duplicate == "error")
+            touched = self._touched(self.matched(folders, keys).select(self.day), keys)
             if not touched:
                 return version
             old = self._read({d: v for d, v in folders.items() if d in touched})
@@ -134,8 +159,8 @@ class LakeTable:
                 source.unpersist()
 
         written = self.spark.read.schema(self.schema).parquet(path)
-        check_source(written, self.key)
         entries = {d: v for d, v in folders.items() if d not in touched}
+        # Reads no column: the days are the names of the folders.
         entries |= {d: folder for d in self._distinct_days(written)}
         if batch:
             batches[batch[0]] = batch[1]
@@ -181,6 +206,26 @@ def ensure_day_table(
     )
 
 
+def footer_stats(
+    spark: SparkSession, tables: dict[str, str], columns: dict[str, list[str]] | None = None
+) -> dict[str, DataFrame]:
+    """Row count, and ``min_<c>``, ``max_<c>`` of the columns named, of Parquet tables, from file footers alone.
+
+    ``tables`` maps names to paths. The aggregate is pushed into the scan, which then opens no data page; that
+    needs the newer Parquet source and a setting, so they belong to a session of their own and the caller's is not
+    touched. Footers hold no exact bounds of texts, so take numbers and dates.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    out = {}
+    for name, path in tables.items():
+        wanted = [f(c).alias(f"{n}_{c}") for c in (columns or {}).get(name, []) for n, f in (("min", F.min), ("max", F.max))]
+        out[name] = own.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), *wanted)
+    return out
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

@@ -18,7 +18,7 @@ from listlake.schemas import LAKE, RUNS
 from listlake.session import shared_root, work_dir
 from listlake.sources import daily_csv as C
 from listlake.sources import ledger as L
-from listlake.sources.lake import LakeTable, ensure_database, ensure_day_table, merge_statement
+from listlake.sources.lake import LakeTable, ensure_database, ensure_day_table, footer_stats, merge_statement
 from listlake.streaming.file_ingest import ingest_and_record, stream_file_ingest
 from listlake.streaming.message_gate import envelope_filter, stream_message_gate
 from test_pages import detail_page, list_page
@@ -148,6 +148,39 @@ def test_only_touched_days_are_rewritten(spark, tmp_path):
     assert version == 2 and {d: f.split("-")[0] for d, f in folders.items()} == {D[0]: "1", D[1]: "2"}
 
 
+def test_a_merge_filters_the_lake_by_its_keys(spark, tmp_path):
+    """Beyond a broadcast's size, a Bloom filter of the source's keys meets the lake's rows in the scan."""
+    lake = lake_of(spark, tmp_path)
+    rows = spark.range(3000).selectExpr("concat('/', id) AS detail_link", "date_add(DATE'2024-10-01', cast(id % 3 AS int)) AS listing_start_date")
+    for name in LAKE.names:
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(LAKE[name].dataType))
+    lake.merge(rows)
+    source = rows.where("detail_link IN ('/1', '/2998')").persist()
+    source.count()
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    before = {c: spark.conf.get(c) for c in confs}
+    for c, v in confs.items():
+        spark.conf.set(c, v)
+    try:
+        found = lake.matched(lake._manifest()[1], source)
+        assert "might_contain" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(r[0] for r in found.collect()) == ["/1", "/2998"]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+        source.unpersist()
+
+
+def test_footer_stats_read_no_data(spark, tmp_path):
+    for n in range(3):
+        spark.range(n * 10, n * 10 + 7).selectExpr("id", "date_add(DATE'2024-10-01', cast(id AS int)) AS d").write.mode("append").parquet(str(tmp_path / "t"))
+    found = footer_stats(spark, {"t": str(tmp_path / "t")}, {"t": ["id", "d"]})["t"]
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id), MIN(d), MAX(d)]" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.first()[:] == (21, 0, 26, date(2024, 10, 1), date(2024, 10, 27))
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
 def test_failed_merge_changes_nothing(spark, tmp_path):
     lake = lake_of(spark, tmp_path)
     lake.merge(lake_rows(spark, [listing("/1", D[0], job_title="a")]))

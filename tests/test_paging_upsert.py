@@ -63,6 +63,18 @@ def test_every_row_gets_a_page(spark, rows):
     assert G.latest_first_pages(df.limit(0), [F.asc("id")], 10).count() == 0
 
 
+@pytest.mark.parametrize("bucket_rows", [1_000_000, 3])
+def test_pages_since_equals_the_cutoff(spark, rows, bucket_rows):
+    df = spark.range(0, 4000, 1, 7).selectExpr("id", "timestamp_ntz'2025-01-09 00:00:00' - make_dt_interval(0, 0, 0, (id * 7919) % 500 * 3001) AS ts", "'x' AS span")
+    pages = G.latest_first_pages(df, [F.desc("ts"), F.asc("id")], 10).withColumn("day", F.col("ts").cast("date"))
+    want = rows(G.page_cutoff(pages, "day", LIMIT), "id", "page")
+    got = G.pages_since(df, "ts", "id", LIMIT, 10, bucket_rows=bucket_rows)
+    assert got.columns == [*df.columns, "page"] and rows(got, "id", "page") == want and 100 < len(want) < 4000
+    if bucket_rows > 3:
+        assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert G.pages_since(df.limit(0), "ts", "id", LIMIT, 10).count() == 0
+
+
 def test_cutoff_beyond_a_hundred_pages(spark):
     pages = {n: [LIMIT] for n in range(1, 131)}
     assert G.page_cutoff(frame(spark, pages), "d", LIMIT).count() == 130

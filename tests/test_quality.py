@@ -46,6 +46,30 @@ def test_freshness(spark, as_of, status):
     assert Q.dq_freshness(df.where("false"), "d", as_of).first()[:] == (None, "error")
 
 
+def test_one_scan_per_family(spark, df, rows):
+    """Several unique columns and combinations, in one aggregate; several children of one parent, without a join."""
+    parent = spark.createDataFrame([(1,), (1,), (None,)], "p int")
+    suite = (
+        Q.Suite().unique("t", "k", "v").unique_combination("t", "k", "v").unique_combination("t", "v", "k").unique("t", "k")
+        .relationships("t", "k", "parent", "p").relationships("copy", "k", "parent", "p").unique("parent", "p").unique("none", "k", "v")
+        .relationships("none", "k", "parent", "p").not_null("none", "k", "v").unique_combination("none", "k")
+    )
+    tables = {"t": df, "copy": df, "parent": parent, "none": df.limit(0)}
+    results = Q.run_checks(tables, suite.checks)
+    got = {(r["check_type"], r["table_name"], r["column_names"]): r["failures"] for r in results.collect()}
+    assert got == {
+        ("unique", "t", "k"): 1, ("unique", "t", "v"): 2, ("unique_combination", "t", "k,v"): 2, ("unique_combination", "t", "v,k"): 2,
+        ("relationships", "t", "k"): 2, ("relationships", "copy", "k"): 2, ("unique", "parent", "p"): 1, ("unique", "none", "k"): 0,
+        ("unique", "none", "v"): 0, ("unique_combination", "none", "k"): 0, ("relationships", "none", "k"): 0, ("not_null", "none", "k"): 0, ("not_null", "none", "v"): 0,
+    }
+    assert results.count() == len(suite.checks)
+    plan = Q.run_checks({"t": df}, Q.Suite().unique("t", "k", "v").unique_combination("t", "k", "v").checks)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Expand") == 1 and text.count("LogicalRDD") == 1
+    plan = Q.run_checks(tables, Q.Suite().relationships("t", "k", "parent", "p").relationships("copy", "k", "parent", "p").checks)
+    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_suite_and_results_table(spark, df, rows, tmp_path):
     parent = spark.createDataFrame([(1,)], "p int")
     suite = (

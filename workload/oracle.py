@@ -282,6 +282,9 @@ ORACLE: dict[str, str] = {
     "page_cutoff": f"WITH {EVENT_PAGES_CTE} SELECT event_id, day, page FROM ranked "
     "WHERE day >= DATE '2024-01-26' AND page <= coalesce("
     "(SELECT min(page) FROM ranked WHERE day < DATE '2024-01-26'), (SELECT max(page) FROM ranked))",
+    "page_cutoff_numbered": f"WITH {EVENT_PAGES_CTE} SELECT event_id, day, page FROM ranked "
+    "WHERE day >= DATE '2024-01-26' AND page <= coalesce("
+    "(SELECT min(page) FROM ranked WHERE day < DATE '2024-01-26'), (SELECT max(page) FROM ranked))",
     "envelope_filter": f"WITH {MESSAGES_CTE} SELECT event_id, message_id FROM valid",
     "latest_first_pages": f"WITH {EVENT_PAGES_CTE} SELECT event_id, day, page FROM ranked",
     # joins
@@ -372,6 +375,10 @@ ORACLE: dict[str, str] = {
     "WHEN m + 2 < DATE '2024-02-02' THEN 'warn' ELSE 'pass' END AS status "
     "FROM (SELECT CAST(max(ts) AS DATE) AS m FROM events)",
     "dq_results_sink": checks_sql(),
+    "footer_stats": " UNION ALL ".join(
+        f"SELECT '{t}' AS name, count(*) AS n, min({c}) AS low, max({c}) AS high FROM {t}"
+        for t, c in (("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("events", "user_id"), ("documents", "n_chars"), ("conversations", "turn"))
+    ),
     # streaming, run accounting
     "stream_file_ingest": MERGED,
     "stream_message_gate": f"WITH {MESSAGES_CTE} SELECT DISTINCT message_id FROM valid",

@@ -227,6 +227,14 @@ def filter_since(spark, sf_dir):
 
 @query
 def page_cutoff(spark, sf_dir):
+    """Events newest first, by the places of the kept ones alone."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", day_of("ts").alias("day"))
+    return G.pages_since(events, "ts", "event_id", CRAWL_LIMIT, PAGE_SIZE).drop("ts")
+
+
+@query
+def page_cutoff_numbered(spark, sf_dir):
+    """The same from pages that are numbered already, in any order of dates."""
     return G.page_cutoff(event_pages(spark, sf_dir), "day", CRAWL_LIMIT).drop("ts")
 
 
@@ -369,6 +377,15 @@ def max_loaded_at(spark, sf_dir):
     return Q.max_loaded_at(table(spark, sf_dir, "events").select(day_of("ts").alias("day")), "day")
 
 
+@query
+def footer_stats(spark, sf_dir):
+    """Counts and bounds of whole tables from their footers."""
+    wanted = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "user_id", "documents": "n_chars", "conversations": "turn"}
+    found = K.footer_stats(spark, {t: f"{sf_dir}/{t}.parquet" for t in wanted}, {t: [c] for t, c in wanted.items()})
+    rows = [(t, *found[t].first()) for t in wanted]  # one row a table
+    return spark.createDataFrame(rows, "name string, n bigint, low bigint, high bigint")
+
+
 @query
 def group_having(spark, sf_dir):
     return Q.group_having(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"])
