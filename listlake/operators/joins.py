@@ -18,7 +18,10 @@ HOT_SHARE = 0.01
 HOT_LIMIT = 200  # at most 1 / HOT_SHARE keys can pass, doubled for the sketch's rounding
 HOT_ROWS = 1_000  # fewer rows than this are no burden for a task
 TRACKED = 20_000
-SALTS = 64
+SALTS = 64  # slots of a key that is only said to be hot
+SLOT_SHARE = 4  # slots that make up the rows of an average partition
+MOST_SLOTS = 4096
+GRID = 8  # cells along one side for a key that is hot on both
 BROADCAST_ROWS = 100_000
 
 
@@ -30,56 +33,72 @@ def unused(name: str, *frames: DataFrame) -> str:
     return name
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys holding at least ``share`` of the rows, and at least ``HOT_ROWS``; None stands for NULL.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int | None = None) -> dict:
+    """Keys holding at least ``share`` of the rows, and at least ``rows`` (``HOT_ROWS`` by default), each with
+    the number of slots that its rows are worth; None stands for NULL.
 
     One pass over the key column with a frequent-items sketch: its state is of fixed size, nothing
-    is shuffled but one sketch per task, and at most ``HOT_LIMIT`` keys reach the driver.
+    is shuffled but one sketch per task, and at most ``HOT_LIMIT`` keys reach the driver. A slot is a
+    quarter of an average partition, so that slots that meet in one task make no large one.
     """
     top, total, nulls = df.agg(
         F.expr(f"approx_top_k(`{key}`, {HOT_LIMIT}, {TRACKED})"),
         F.count(F.lit(1)),
         F.count_if(F.col(key).isNull()),
     ).first()
-    floor = max(share * total, HOT_ROWS)
-    hot = [e["item"] for e in top or [] if e["item"] is not None and e["count"] >= floor]
-    return hot + [None] if nulls >= floor else hot
+    floor = max(share * total, HOT_ROWS if rows is None else rows)
+    counts = {e["item"]: e["count"] for e in top or [] if e["item"] is not None and e["count"] >= floor}
+    if nulls >= floor:
+        counts[None] = nulls
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return {k: min(MOST_SLOTS, max(2, -(-SLOT_SHARE * parts * n // total))) for k, n in counts.items()}
 
 
-def _is_hot(key: str, hot: list) -> Column:
+def _is_hot(key: str, hot) -> Column:
     known = [k for k in hot if k is not None]
     found = F.coalesce(F.col(key).isin(known), F.lit(False)) if known else F.lit(False)
     return found | F.col(key).isNull() if None in hot else found
 
 
-def _deal(df: DataFrame, slots: int) -> Column:
-    """A slot for every row. Copies of a row in different partitions get different slots, and a task
+def _deal(df: DataFrame) -> Column:
+    """A number for every row. Copies of a row in different partitions get different ones, and a task
     that is run again deals the same way, which a random number would not."""
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(slots))
+    return F.xxhash64(F.spark_partition_id(), *df.columns)
 
 
-def _slots(slots: int) -> Column:
-    return F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint"))
+def _slots(hot, key) -> int:
+    return hot[key] if isinstance(hot, dict) else SALTS
+
+
+def _of_key(key: str, slots: dict) -> Column:
+    """The number given to the key, 1 for all others. Keys with one number are asked for together."""
+    number = F.lit(1)
+    for n in sorted({n for n in slots.values() if n > 1}):
+        number = F.when(_is_hot(key, [k for k, m in slots.items() if m == n]), n).otherwise(number)
+    return number.cast("bigint")
+
+
+def _up_to(n: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
 
 
 def _join_unique(
-    left: DataFrame, right: DataFrame, key: str, how: str, hot: list | None
+    left: DataFrame, right: DataFrame, key: str, how: str, hot
 ) -> DataFrame:
     if hot is None:
         hot = hot_keys(left, key)
     if not hot:
         return left.join(right, key, how)
-    zero = F.lit(0).cast("bigint")
-    dealt = left.withColumn("_salt", F.when(_is_hot(key, hot), _deal(left, SALTS)).otherwise(zero))
+    slots = _of_key(key, {k: _slots(hot, k) for k in hot})
+    salt = unused("salt", left, right)
+    dealt = left.withColumn(salt, F.pmod(_deal(left), slots))
     # At most HOT_LIMIT rows are repeated, as the right side holds a key once.
-    repeated = right.withColumn(
-        "_salt", F.explode(F.when(_is_hot(key, hot), _slots(SALTS)).otherwise(F.array(zero)))
-    )
-    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+    repeated = right.withColumn(salt, _up_to(slots))
+    return dealt.join(repeated, [key, salt], how).drop(salt)
 
 
 def left_join_unique(
-    left: DataFrame, right: DataFrame, key: str, hot: list | None = None
+    left: DataFrame, right: DataFrame, key: str, hot: dict | list | None = None
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` where ``right`` holds each key once.
 
@@ -90,7 +109,7 @@ def left_join_unique(
 
 
 def anti_join(
-    left: DataFrame, right: DataFrame, key: str, hot: list | None = None
+    left: DataFrame, right: DataFrame, key: str, hot: dict | list | None = None
 ) -> DataFrame:
     """Rows of ``left`` whose key is absent from ``right``; NULL keys stay.
 
@@ -112,49 +131,36 @@ def left_join_bounded(
     return left.join(right, condition, "left")
 
 
-def _of_key(key: str, classes: list[tuple[list, int]]) -> Column:
-    """The number given to the key's class, 1 for keys in none."""
-    number = F.lit(1)
-    for keys, slots in classes:
-        if keys:
-            number = F.when(_is_hot(key, keys), slots).otherwise(number)
-    return number.cast("bigint")
-
-
-def _up_to(n: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
-
-
 def left_join_many(
-    left: DataFrame, right: DataFrame, key: str, hot_left: list | None = (), salts: int = SALTS
-) -> tuple[DataFrame, list]:
+    left: DataFrame, right: DataFrame, key: str, hot_left=(), hot_right: dict | list | None = None
+) -> tuple[DataFrame, dict]:
     """``left`` LEFT JOIN ``right`` where a key may be frequent on either side.
 
     Returns the join and the keys that are hot in it, for the next join of a chain. One join, one
-    pass over either side: each row of a hot key belongs to a cell of a grid of tasks, ``_row`` by the
-    left row and ``_col`` by the right one; the rows of either side are copied along the other's axis.
+    pass over either side: each row of a hot key belongs to a cell of a grid of tasks, one way by the
+    left row and the other by the right one; the rows of either side are copied along the other's axis.
     Cold keys have a grid of one cell. ``hot_left`` names the keys frequent on the left (none by
-    default: a fact unique by key).
+    default: a fact unique by key); ``hot_right`` is looked for unless it is given.
     """
-    hot_right = [k for k in hot_keys(right, key) if k is not None]
-    hot_left = list(hot_left)
-    both = [k for k in hot_left if k in hot_right]
-    only_left = [k for k in hot_left if k not in hot_right and k is not None]
-    only_right = [k for k in hot_right if k not in hot_left]
-    if not (hot_left or hot_right):
-        return left.join(right, key, "left"), []
-    side = max(int(salts**0.5), 1)
+    if hot_right is None:
+        hot_right = hot_keys(right, key)
+    on_left = {k: _slots(hot_left, k) for k in hot_left}
+    on_right = {k: _slots(hot_right, k) for k in hot_right if k is not None}
+    if not (on_left or on_right):
+        return left.join(right, key, "left"), {}
+    for k in on_left.keys() & on_right.keys():  # either side is copied so many times
+        on_left[k], on_right[k] = min(on_left[k], GRID), min(on_right[k], GRID)
     # NULL keys match nothing, so they are dealt out wherever they are many.
-    rows = _of_key(key, [(only_left, salts), (both, side), ([None], salts)])
-    columns = _of_key(key, [(only_right, salts), (both, side)])
-    few_left = left.withColumns({"_row": F.pmod(_deal(left, 1 << 30), rows), "_cols": columns})
-    few_left = few_left.withColumn("_col", _up_to(F.col("_cols")))
-    few_right = right.where(F.col(key).isNotNull()).withColumns({"_col": F.pmod(_deal(right, 1 << 30), columns), "_hit": F.lit(True)})
-    few_right = few_right.withColumn("_row", _up_to(rows))
-    joined = few_left.join(few_right, [key, "_row", "_col"], "left")
+    rows = _of_key(key, {None: SALTS, **on_left})
+    columns = _of_key(key, on_right)
+    row, col, cols, hit = (unused(n, left, right) for n in ("row", "col", "cols", "hit"))
+    few_left = left.withColumns({row: F.pmod(_deal(left), rows), cols: columns}).withColumn(col, _up_to(F.col(cols)))
+    few_right = right.where(F.col(key).isNotNull()).withColumns({col: F.pmod(_deal(right), columns), hit: F.lit(True)})
+    few_right = few_right.withColumn(row, _up_to(rows))
+    joined = few_left.join(few_right, [key, row, col], "left")
     # A key the sketch found on the right is there, so a copy without a partner is in another cell whole.
-    joined = joined.where((F.col("_cols") == 1) | F.col("_hit")).drop("_row", "_col", "_cols", "_hit")
-    return joined, hot_left + only_right
+    joined = joined.where((F.col(cols) == 1) | F.col(hit)).drop(row, col, cols, hit)
+    return joined, {**on_right, **on_left}
 
 
 def unnest(

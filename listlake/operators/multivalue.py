@@ -39,22 +39,25 @@ def bridge(df: DataFrame, key: str, attr: Attribute) -> DataFrame:
 
 
 def join_bridge_dim(
-    bridge_df: DataFrame, dim: DataFrame, attr: Attribute, hot: list | None = None
+    bridge_df: DataFrame, dim: DataFrame, attr: Attribute, hot: dict | list | None = None
 ) -> DataFrame:
     """Bridge rows with their value. A popular value (a language in a third of all listings) is a
     hot key of the bridge and is joined apart."""
     return left_join_unique(bridge_df, dim, attr.id, hot)
 
 
-def join_fact_multivalue(fact: DataFrame, key: str, sides: list[DataFrame]) -> DataFrame:
+def join_fact_multivalue(
+    fact: DataFrame, key: str, sides: list[DataFrame], hot: list[dict] | None = None
+) -> DataFrame:
     """Fact LEFT JOIN every side on the key: the product of a key's lists, one NULL row for none.
 
     ``fact`` holds each key once. A key with very long lists is hot from the first join that
-    multiplies it onwards, so the list of hot keys is carried along the chain.
+    multiplies it onwards, so the hot keys are carried along the chain. ``hot`` has those of each side, if
+    they are known; an empty one states there are none.
     """
-    out, hot = fact, []
-    for side in sides:
-        out, hot = left_join_many(out, side, key, hot)
+    out, carried = fact, {}
+    for i, side in enumerate(sides):
+        out, carried = left_join_many(out, side, key, carried, None if hot is None else hot[i])
     return out
 
 

@@ -6,7 +6,9 @@ the ones that are read again.
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark import inheritable_thread_target
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from listlake.functions import scalars as S
 from listlake.functions.calendar import CALENDAR_END, CALENDAR_START, dim_date
-from listlake.operators.joins import left_join_bounded, left_join_unique
+from listlake.operators.joins import hot_keys, left_join_bounded, left_join_unique
 from listlake.operators.multivalue import (
     Attribute,
     bridge,
@@ -25,7 +27,7 @@ from listlake.operators.multivalue import (
     join_fact_multivalue,
 )
 from listlake.operators.quality import Suite, dq_unique, run_checks
-from listlake.sources.lake import publish_table
+from listlake.sources.lake import publish_bucketed, publish_table, stored_bytes
 
 JOB_KEY = "job_id"
 
@@ -67,6 +69,10 @@ REPORT_DETAIL = [
 ]
 
 PUBLISHED_AT_ONCE = 4
+#: Rows of one job that are too many for the task of a bucket.
+BUCKET_ROWS = 1_000_000
+#: Files of a dimension up to this size are broadcast.
+BROADCAST_BYTES = 8 << 20
 REPORTS = ("bi__job_analysis", "bi__job_analysis_detail")
 
 
@@ -236,6 +242,74 @@ def publish_models(
     return {**tables, **dict(zip(names, stored, strict=True))}
 
 
+@dataclass
+class Star:
+    """A published star: staging and bridges by buckets of the job key, dimensions, calendar, and each
+    bridge's hot jobs."""
+
+    stg: DataFrame
+    bridges: dict[str, DataFrame]
+    dims: dict[str, DataFrame]
+    calendar: DataFrame
+    max_days: int
+    hot: dict[str, dict]
+
+
+def publish_star(
+    spark: SparkSession,
+    lake: DataFrame,
+    root: str,
+    run_id: str,
+    buckets: int | None = None,
+    start: date = CALENDAR_START,
+    end: date = CALENDAR_END,
+) -> Star:
+    """Store the star so that its reports join on the job key without an exchange.
+
+    ``buckets`` (by default as many as shuffle partitions) should leave a bucket of the largest table a few
+    hundred megabytes. A bridge with a job in which a bucket would be lost is stored as it is; its hot jobs are
+    looked for here, once, and not by every report.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def table(name: str) -> tuple[str, str]:
+        return f"{name}_{re.sub('[^0-9a-zA-Z]', '_', run_id)}", f"{root}/{run_id}/{name}"
+
+    stg = publish_bucketed(staging(lake), *table("stg_joblist"), JOB_KEY, buckets)
+
+    def publish(name: str) -> tuple[DataFrame, DataFrame, dict]:
+        link = bridge_attribute(stg, name)
+        hot = hot_keys(link, JOB_KEY, rows=BUCKET_ROWS)
+        stored = publish_table(link, table(f"bridge_{name}")[1]) if hot else publish_bucketed(link, *table(f"bridge_{name}"), JOB_KEY, buckets)
+        return stored, publish_table(dim_attribute(stg, name), table(f"dim_{name}")[1]), hot
+
+    with ThreadPoolExecutor(PUBLISHED_AT_ONCE) as pool:
+        links, dims, hot = zip(*pool.map(inheritable_thread_target(spark)(publish), ATTRIBUTES), strict=True)
+    by_name = [dict(zip(ATTRIBUTES, x, strict=True)) for x in (links, dims, hot)]
+    return Star(stg, by_name[0], by_name[1], dim_date(spark, start, end), (end - start).days, by_name[2])
+
+
+def star_detail(star: Star, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The detail report of a published star.
+
+    Fact, details and bridges meet bucket by bucket. A dimension whose files are small is broadcast to its
+    bridge, which leaves the buckets as they are; a larger one is joined to the finished product by its own key.
+    """
+    base = bi_job_analysis(fct_jobs(star.stg), dim_job_details(star.stg), star.calendar, max_days=star.max_days)
+    sides, late = [], []
+    for name, attr in ATTRIBUTES.items():
+        side, dim = star.bridges[name], star.dims[name]
+        if stored_bytes(dim) <= broadcast_bytes:
+            side = side.join(F.broadcast(dim), attr.id, "left")
+        else:
+            late.append((attr, dim))
+        sides.append(side)
+    out = join_fact_multivalue(base, JOB_KEY, sides, [star.hot[name] for name in ATTRIBUTES])
+    for attr, dim in late:
+        out = join_bridge_dim(out, dim, attr)
+    return out.select(*REPORT_DETAIL)
+
+
 # ----------------------------------------------------------------------------------- data tests
 
 

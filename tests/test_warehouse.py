@@ -128,6 +128,31 @@ def test_publish_models(spark, tmp_path):
     assert files and all("/run1/" in f for f in files)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_bucketed_star_joins_without_exchange(spark, no_broadcast, tmp_path, small):
+    """Equal to the fused report; no exchange on the job key, whether dimensions are broadcast or not."""
+    lake = random_lake(spark, 60, 5)
+    star = W.publish_star(spark, lake, str(tmp_path), f"star-{small}", buckets=4)
+    got = W.star_detail(star, broadcast_bytes=W.BROADCAST_BYTES if small else 0)
+    want = W.bi_job_analysis_detail(W.staging(lake), dim_date(spark))
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    if small:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and plan.count("SortMergeJoin") == 4, [x[:300] for x in plan.split("\n") if "hashpart" in x or "SortM" in x]
+    else:
+        late = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(job_id" not in late and "hashpartitioning(lang_id" in late
+
+
+def test_star_with_a_hot_job(spark, no_broadcast, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "BUCKET_ROWS", 20)
+    lake = lake_rows(spark, [listing("/1", tool="\n".join(f"t{i}" for i in range(50)), framework="a\nb"), listing("/2", tool="t1"), listing("/3")])
+    star = W.publish_star(spark, lake, str(tmp_path), "hot", buckets=4)
+    assert len(star.hot["tool"]) == 1 and star.hot["language"] == {}
+    got, want = W.star_detail(star), W.bi_job_analysis_detail(W.staging(lake), dim_date(spark))
+    assert got.count() == want.count() == 102 and got.exceptAll(want).isEmpty()
+
+
 def test_repeated_job_key_selects_the_star(spark):
     once, twice = [listing("/1", tool="a\nb")], [listing("/1", tool="a\nb"), listing("/1", tool="c")]
     assert W.choose_strategy(W.staging(lake_rows(spark, once))) == "fused"
@@ -166,13 +191,13 @@ def no_broadcast(spark, monkeypatch):
 
 def test_hot_keys(spark):
     df = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id + 100) as k")
-    assert J.hot_keys(df, "k") == [7]
-    assert J.hot_keys(df.where("k <> 7"), "k") == []
-    assert J.hot_keys(df.where("false"), "k") == []
-    assert J.hot_keys(df.selectExpr("cast(null as string) as k"), "k") == [None]
+    assert list(J.hot_keys(df, "k")) == [7] and J.hot_keys(df, "k")[7] == 11  # a third of 4 x 8 slots
+    assert J.hot_keys(df.where("k <> 7"), "k") == {}
+    assert J.hot_keys(df.where("false"), "k") == {}
+    assert list(J.hot_keys(df.selectExpr("cast(null as string) as k"), "k")) == [None]
 
 
-@pytest.mark.parametrize("hot", [None, [], [7], [7, 104, -1], [None], [7, None]])
+@pytest.mark.parametrize("hot", [None, [], [7], [7, 104, -1], [None], {7: 3, None: 2, 5: 1}])
 def test_left_join_unique_equals_plain_join(spark, no_broadcast, hot):
     left = spark.range(3000).selectExpr("case when id % 3 = 0 then 7 when id % 5 = 0 then null else id end as k", "id as v")
     right = spark.range(0, 2000, 1).selectExpr("id as k", "id * 2 as w")

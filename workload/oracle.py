@@ -359,6 +359,7 @@ ORACLE: dict[str, str] = {
     "LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
     "bi_job_analysis_detail": f"WITH {LAKE_CTE}, {STG_CTE}, {PRODUCT_CTE} {REPORT_DETAIL}",
     "bi_job_analysis_detail_star": f"WITH {LAKE_CTE}, {STG_CTE}, {PRODUCT_CTE} {REPORT_DETAIL}",
+    "bi_job_analysis_detail_bucketed": f"WITH {LAKE_CTE}, {STG_CTE}, {PRODUCT_CTE} {REPORT_DETAIL}",
     # data quality
     "dq_unique": "SELECT text, count(*) AS n FROM documents WHERE text IS NOT NULL "
     "GROUP BY text HAVING count(*) > 1",

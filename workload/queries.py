@@ -549,6 +549,14 @@ def bi_job_analysis_detail_star(spark, sf_dir):
     return W.bi_job_analysis_detail(W.staging(listing_lake(spark, sf_dir)), dim_date(spark), "star")
 
 
+@query
+def bi_job_analysis_detail_bucketed(spark, sf_dir):
+    """The star over published tables that are bucketed by the job key."""
+    path = work_dir(spark, "star")
+    star = W.publish_star(spark, listing_lake(spark, sf_dir), path, path.rsplit("-", 1)[1])
+    return W.star_detail(star)
+
+
 # -------------------------------------------------------------------------------------- data quality
 
 
