@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listlake.operators.joins import unused
+
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes between words: space and the control characters 0x09 to 0x0D.
 SPACES = np.zeros(256, bool)
@@ -64,6 +66,15 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows stored with a number of their own, and the name of its column, which no other column has.
+
+    Decisions about rows go by that number: keys may be null or repeated.
+    """
+    row = unused("row", docs)
+    return saved(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listlake.llm.common import BASE, slices
+from listlake.llm.common import BASE, numbered, slices
 
 Q = 6
 PIECE = 48
@@ -388,6 +388,11 @@ def find_items(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    bad = find_items(docs, benchmark, key, text, item).select(F.col(key).alias("_dropped")).distinct()
-    return docs.join(bad, docs[key].eqNullSafe(F.col("_dropped")), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, with all their columns.
+
+    Each row is judged by its own text, whatever its key: of rows with one key, or none, those without an
+    item stay.
+    """
+    rows, row = numbered(docs, "searched")
+    bad = find_items(rows.select(row, text), benchmark, row, text, item).select(row).distinct()
+    return rows.join(bad, row, "left_anti").select(*docs.columns)

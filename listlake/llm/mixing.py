@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from listlake.llm.common import mix, runs, saved, utf8, words
+from listlake.llm.common import mix, numbered, runs, saved, utf8, words
+from listlake.operators.joins import unused
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -29,17 +30,18 @@ RESERVED = 12
 TINY = 1e-9
 
 
-def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``id, source, size``: the number of words of each row's whole text (null: 0)."""
+def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", row: str | None = None) -> DataFrame:
+    """``id, source, size``: the number of words of each row's whole text (null: 0); ``row`` is carried along."""
+    carried = ["id", "source", *([row] if row else [])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, _, row = words(*utf8(batch.column("text")))
             size = np.bincount(row, minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("source"), pa.array(size, pa.int64())], ["id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, carried), pa.array(size, pa.int64())], [*carried, "size"])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(source).cast("string").alias("source"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(work, "id long, source string, size long")
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(source).cast("string").alias("source"), *carried[2:], F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(work, "id long, source string, " + (f"`{row}` long, " if row else "") + "size long")
 
 
 def targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -149,20 +151,22 @@ def _flown(rows: DataFrame, salt: int, last: bool) -> DataFrame:
 
 def mixed(
     docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-    weights: Sequence[float] = WEIGHTS, cap: int = CAP, bucket: int = BUCKET, seed: int = 11,
+    weights: Sequence[float] = WEIGHTS, cap: int = CAP, bucket: int = BUCKET, seed: int = 11, row: str | None = None,
 ) -> DataFrame:
-    """``<key>, <source>, size, source_size, target, copies, taken`` for every row of ``docs``.
+    """``<key>, <source>, size, source_size, target, copies, taken`` for every row of ``docs``, and the column
+    ``row``, if one is named.
 
     ``copies`` (0 to ``cap``) says how often the mix takes the row and ``taken`` how many words these are.
     A null source is a source; a null or empty text has size 0. A source without words has target 0 and
     is not taken. Rows that are equal in key and size are decided apart. Runs over the same rows agree,
     however they are partitioned. Other columns are ignored.
     """
-    sized = saved(sizes(docs, key, text, source), "sizes")
+    sized = saved(sizes(docs, key, text, source, row), "sizes")
+    carried = [row] if row else []
     wanted = targets(sized, weights, cap).withColumnRenamed("source", "of")
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = sized.join(wanted, F.col("source").eqNullSafe(F.col("of"))).select(
-        "id", "source", "size", "source_size", "target", F.floor(times).cast("long").alias("whole"), (times - F.floor(times)).alias("p"),
+        "id", "source", *carried, "size", "source_size", "target", F.floor(times).cast("long").alias("whole"), (times - F.floor(times)).alias("p"),
         F.pmod(F.xxhash64("id", F.lit(seed)), F.greatest(F.ceil(F.col("rows") / bucket), F.lit(1))).alias("bucket"),
     )
     decided, salt = None, seed
@@ -177,14 +181,16 @@ def mixed(
         salt += 1
     rows = rows if decided is None else decided.unionAll(rows)
     copies = (F.col("whole") + F.col("p")).cast("long")
-    return rows.select(F.col("id").alias(key), F.col("source").alias(source), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return rows.select(F.col("id").alias(key), F.col("source").alias(source), *carried, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mix_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with all its columns.
 
-    Rows are matched by key; of several rows with one key each is taken as often as the most wanted.
+    Rows are decided one by one, also where keys are null or repeated.
     """
-    copies = mixed(docs, key, text, source, weights, cap).groupBy(key).agg(F.max("copies").cast("int").alias("_copies")).withColumnRenamed(key, "_key")
-    joined = docs.join(copies.filter("_copies > 0"), docs[key].eqNullSafe(F.col("_key")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(docs[c] for c in docs.columns))
+    rows, row = numbered(docs, "dealt")
+    copies, times = mixed(rows, key, text, source, weights, cap, row=row), unused("times", rows)
+    taken = copies.filter("copies > 0").select(row, F.col("copies").cast("int").alias(times))
+    joined = rows.join(taken, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return joined.select(*docs.columns)

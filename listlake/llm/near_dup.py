@@ -7,12 +7,15 @@ at most k shingles, else with a probability of missing below 1e-9), so with the
 sketch in order of their document frequency, rarest first, they meet in a list of the first
 ``size - need + 1``. Very frequent shingles come last and hardly ever make a list.
 
-Candidates are taken in two rounds. The first pairs every member of a list with the list's centre, the
+Candidates are taken in rounds. The first pairs every member of a list with the list's centre, the
 document with the most values that others have too, which joins large groups of copies without forming
-their pairs. The second looks at all other pairs of a list, in blocks of bounded size, and keeps of
-those that pass the estimate no more than a spanning forest: its trees are groups that hold every
-further link. In each group, again block against block, pairs of documents that are not yet connected
-are tested. A link counts after the union-sketch estimate and the exact test on the full sets.
+their pairs. Of what is not connected by then, the lists of at most ``SHORT`` members, which are nearly all,
+are counted: the lists reach ``MEET - 1`` values further than one meeting needs, so linked documents
+meet in ``MEET`` of them at least, while documents that share a phrase by chance meet in one or two and are
+never compared. Longer lists are compared in blocks of bounded size, of which no more than a spanning forest of
+the pairs that pass the estimate is kept: its trees are groups that hold every further link. In each group,
+again block against block, pairs of documents that are not yet connected are tested. A link counts after
+the union-sketch estimate and the exact test on the full sets.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listlake.llm.common import discard, long_lists, mix, runs, saved, slices, utf8, word_hashes, words
+from listlake.llm.common import discard, long_lists, mix, numbered, runs, saved, slices, utf8, word_hashes, words
 
 K = 96
 #: Shared sketch values that a linked pair has at least, if both sets have K shingles or more.
@@ -33,6 +36,9 @@ NEED = 50
 SLACK = 0.2
 #: Lists that a document shares with a centre before the first round compares them.
 STAR = 4
+#: Lists in which linked documents meet at least, if no longer list holds both; members of a list that is counted.
+MEET = 3
+SHORT = 16
 #: Documents of a block; of full sets a block holds fewer.
 BLOCK = 384
 
@@ -90,10 +96,12 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     return rows.mapInArrow(work, "id long, shingles array<long>" if full else "id long, size long, f1 long, f2 long, sketch array<long>")
 
 
-def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.8) -> DataFrame:
-    """``v, id, rank``: the inverted lists, rarest values first, without values of a single class.
+def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.8, meet: int = MEET) -> DataFrame:
+    """``v, id, rank, meet``: the inverted lists, rarest values first, without values of a single class.
 
     ``rank`` orders documents by the number of their values that others have too, then by a hash of the id.
+    Two linked documents share ``need`` values, so of each one's values but the last ``need - meet`` they share
+    ``meet``; a small set that has to share fewer says so in its ``meet``.
     """
     values = classes.select("id", "size", F.explode("sketch").alias("v"))
     frequent = values.groupBy("v").count().filter("count > 1").withColumnRenamed("count", "df")
@@ -103,15 +111,37 @@ def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.
         values.join(frequent, "v")
         .groupBy("id", "size")
         .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("common"))
+        .withColumn("meet", F.least(F.lit(meet), least).cast("int"))
         # Values of one class only are the rarest: they come first and make no list.
-        .withColumn("take", (kept - least + 1) - (kept - F.size("common")))
+        .withColumn("take", (kept - least + F.col("meet")) - (kept - F.size("common")))
         .filter("take > 0")
         .withColumn("rank", F.size("common").cast("long") * F.lit(1 << 52) + F.pmod(F.xxhash64("id"), F.lit(1 << 52)))
-        .select("id", "rank", F.explode(F.slice("common", 1, F.col("take").cast("int"))).alias("c"))
-        .select("id", "rank", F.col("c.v").alias("v"))
+        .select("id", "rank", "meet", F.explode(F.slice("common", 1, F.col("take").cast("int"))).alias("c"))
+        .select("id", "rank", "meet", F.col("c.v").alias("v"))
     )
 
 
+def parted_lists(lists: DataFrame, roots: DataFrame, short: int = SHORT) -> tuple[DataFrame, DataFrame]:
+    """Lists ``v, id, root, meet`` that hold several components, the short and the long ones."""
+    members = lists.join(roots, "id", "left").select("v", "id", F.coalesce("root", "id").alias("root"), "meet")
+    sizes = members.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = sizes.filter("low <> high").select("v", (F.col("n") <= short).alias("short"))
+    found = saved(members.join(sizes, "v"), "several")
+    return found.filter("short").drop("short"), found.filter("not short").drop("short")
+
+
+def met_often(lists: DataFrame, short: int = SHORT) -> DataFrame:
+    """Pairs ``a, b`` of different components that meet in as many short lists as linked documents do.
+
+    A list has ``short`` members at most, so it gives each of them no more than half as many pairs.
+    """
+    groups = lists.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("id", "root", "meet"))).alias("m"))
+    pairs = F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, F.lit(short)), lambda y: F.struct(x.alias("x"), y.alias("y"))))
+    pairs = groups.select(F.explode(F.flatten(pairs)).alias("p")).filter("p.x.root <> p.y.root")
+    pairs = pairs.select(F.col("p.y.id").alias("a"), F.col("p.x.id").alias("b"), F.least("p.x.meet", "p.y.meet").alias("meet"))
+    return pairs.groupBy("a", "b", "meet").count().filter("count >= meet").select("a", "b")
+
+
 def estimated(pairs: DataFrame, classes: DataFrame, k: int, least: float) -> DataFrame:
     """The pairs whose union sketch holds a share of ``least`` or more common values."""
     side = lambda x: classes.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}"))
@@ -286,8 +316,12 @@ def near_duplicates(
     stars = saved(estimated(pairs, classes, k, least), "stars")
     tested = confirmed(stars)
     roots = saved(components(tested.filter("link")), "roots")
+    short, long = parted_lists(lists.select("v", "id", "meet"), roots)
+    met = saved(estimated(met_often(short), classes, k, least), "met")
+    tested = saved(tested.filter("link").unionAll(confirmed(met).filter("link")), "links")
+    roots = saved(components(tested), "roots")
     # Groups: documents that forests of estimates, or links, connect.
-    near = saved(block_pairs(lists.select("v", "id"), roots, classes.select("id", "sketch"), k, least).distinct(), "near")
+    near = saved(block_pairs(long.select("v", "id"), roots, classes.select("id", "sketch"), k, least).distinct(), "near")
     groups = components(near.unionAll(roots.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))))
     groups = saved(groups.select(F.col("root").alias("v"), "id"), "groups")
     apart = groups.join(roots, "id", "left").groupBy("v").agg(F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"))
@@ -295,7 +329,11 @@ def near_duplicates(
     sets = saved(sketches(docs.join(open_.select("id").distinct(), "id", "left_semi"), "id", "text", n, k, full=True), "sets")
     more = saved(block_pairs(open_, roots, sets, k, least, percent).distinct(), "links")
     discard(sets)
-    roots = saved(components(tested.filter("link").select("a", "b").unionAll(more)), "roots")
+    # The classes of one key are one node.
+    own = known.filter("class is not null").select("id", "class").distinct()
+    low = own.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    same = own.join(low, "id").filter("class <> low").select(F.col("class").alias("a"), F.col("low").alias("b"))
+    roots = saved(components(tested.select("a", "b").unionAll(more).unionAll(same)), "roots")
     ends = known.filter("class is not null").select("id", "class").distinct()
     ends = ends.join(roots.select(F.col("id").alias("class"), "root"), "class", "left")
     ends = ends.groupBy("id").agg(F.min(F.coalesce("root", "class")).alias("component"))
@@ -305,6 +343,13 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of its component, with all their columns."""
-    drop = near_duplicates(docs, key, text, n, percent).filter("not kept").select(F.col(key).alias("_dropped")).distinct()
-    return docs.join(drop, docs[key] == F.col("_dropped"), "left_anti")
+    """One row of each group of linked rows, that with the smallest key (null last), with all its columns.
+
+    Every row is a node of its own, so copies without a key and repeated rows are linked like others. A row
+    without words is linked with nothing and stays.
+    """
+    rows, row = numbered(docs, "compared")
+    groups = near_duplicates(rows.select(row, text), row, text, n, percent)
+    first = F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.col(row).alias("row")))
+    kept = groups.select(row, "component_id").join(rows.select(row, key), row).groupBy("component_id").agg(first.alias("first"))
+    return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listlake.llm.common import SPACES, fold, mix, saved, slices, utf8, word_hashes, words
+from listlake.llm.common import SPACES, fold, mix, numbered, saved, slices, utf8, word_hashes, words
 
 FEATURES = 160
 RIDGE = 1e-3
@@ -85,18 +85,19 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ])
 
 
-def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, x``: the key and the statistics of each row's whole text (null: empty)."""
+def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """``id, x``: the key and the statistics of each row's whole text (null: empty); ``row`` is carried along."""
+    carried = ["id", *([row] if row else [])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             x = measures(*utf8(batch.column("text"))).astype(np.float32)
             flat = pa.array(x.ravel())
             rows = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), rows], ["id", "x"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, carried), rows], [*carried, "x"])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(work, "id long, x array<float>")
+    rows = docs.select(F.col(key).cast("long").alias("id"), *carried[1:], F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(work, ", ".join(f"`{c}` long" for c in carried) + ", x array<float>")
 
 
 @dataclass
@@ -197,16 +198,17 @@ def fit(labelled: DataFrame, features: int = FEATURES, ridge: float = RIDGE, see
 
 def quality_scores(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    learn: Column | None = None, threshold: float = THRESHOLD, features: int = FEATURES,
+    learn: Column | None = None, threshold: float = THRESHOLD, features: int = FEATURES, row: str | None = None,
 ) -> DataFrame:
-    """``<key>, held_out, score, predicted`` for every row of ``docs``.
+    """``<key>, held_out, score, predicted`` for every row of ``docs``, and the column ``row``, if one is named.
 
     ``learn`` says of a key (column ``id``) whether its label may be used; by default those whose crc32
     modulo 4 is not 2. Rows of ``labels`` without key or label are left out; a key with several labels
     counts once for each. Null and empty texts get the score of an empty text. Without any label, every
     score is 0.5. Other columns are ignored.
     """
-    x = saved(statistics(docs, key, text), "statistics")
+    x = saved(statistics(docs, key, text, row), "statistics")
+    carried = ["id", *([row] if row else [])]
     marks = labels.select(F.col(key).cast("long").alias("id"), F.col(label).cast("double").alias("label")).dropna()
     learn = (fold(F.col("id")) != 2) if learn is None else learn
     labelled = saved(x.join(marks.filter(learn), "id").select("x", "label", (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).alias("calibrate")), "labelled")
@@ -215,15 +217,20 @@ def quality_scores(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = model.score(_matrix(batch)) if model else np.full(batch.num_rows, 0.5)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s)], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, carried), pa.array(s)], [*carried, "score"])
 
-    scored = x.mapInArrow(score, "id long, score double")
+    scored = x.mapInArrow(score, ", ".join(f"`{c}` long" for c in carried) + ", score double")
     return scored.select(
-        F.col("id").alias(key), (fold(F.col("id")) == 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+        F.col("id").alias(key), *carried[1:], (fold(F.col("id")) == 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are not predicted to be bad, with all their columns."""
-    bad = quality_scores(docs, labels, key, text, threshold=threshold).filter("predicted = 0").select(F.col(key).alias("_dropped")).distinct()
-    return docs.join(bad, docs[key].eqNullSafe(F.col("_dropped")), "left_anti")
+    """The rows of ``docs`` that are not predicted to be bad, with all their columns.
+
+    Each row is judged by its own text, whatever its key: of rows with one key, or none, some may go and
+    others stay.
+    """
+    rows, row = numbered(docs, "judged")
+    bad = quality_scores(rows, labels, key, text, threshold=threshold, row=row).filter("predicted = 0").select(row)
+    return rows.join(bad, row, "left_anti").select(*docs.columns)

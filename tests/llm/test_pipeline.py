@@ -9,7 +9,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from listlake.llm import mixing, quality
+from listlake.llm import decontam, mixing, near_dup, quality
 from listlake.llm.common import saved, table
 from listlake.llm.queries import tokenizer_path
 from pyspark.sql import functions as F
@@ -89,3 +89,65 @@ def test_every_stage(spark, corpus):
 def test_run_over_the_given_tables(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"] and 0 < out.count()
+
+
+# ---------------------------------------------------------------- rows without a key of their own
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, row long, _row long, times int, _dropped long, _key long, _copies int, id long, size long, part int"
+
+
+def clashing(spark, rows):
+    """Rows ``(doc_id, text, source)`` with columns that a stage might use for itself."""
+    return spark.createDataFrame([(k, t, "xx", s, 0, 1, 1, 1, 7, 7, 3, 7, 7, 7) for k, t, s in rows], CLASHING)
+
+
+def texts_of(df):
+    assert df.columns == [c.split()[0] for c in CLASHING.split(", ")]
+    return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in df.collect())
+
+
+def test_clean_rows_stay_beside_dirty_ones_of_their_key(spark):
+    rng = random.Random(1)
+    passage, clean = prose(rng, 40), [prose(rng, 40) for _ in range(3)]
+    docs = clashing(spark, [(None, passage, "a"), (None, clean[0], "a"), (7, passage, "a"), (7, clean[1], "a"), (8, None, "a"), (9, clean[2], "a")])
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    assert [t for _, _, t in texts_of(decontam.keep_clean(docs, items))] == [clean[1], "", clean[2], clean[0]]
+
+
+def test_good_rows_stay_beside_bad_ones_of_their_key(spark):
+    rng = random.Random(2)
+    good = [prose(rng, 60) + "." for _ in range(60)]
+    bad = [t.upper().replace(" ", "!!! ### ") for t in good]
+    rows = [(i, good[i], "a") for i in range(50)] + [(100 + i, bad[i], "a") for i in range(50)]
+    rows += [(k, t, "a") for n, k in ((55, 900), (56, None), (57, None)) for t in (good[n], bad[n])]
+    labels = spark.createDataFrame([(k, int(k < 100), 0) for k, _, _ in rows if k is not None and k != 900], "doc_id long, quality int, toxic int")
+    kept = texts_of(quality.keep_good(clashing(spark, rows), labels))
+    assert [t for _, _, t in kept] == [*(good[i] for i in range(50)), good[55], *sorted(good[56:58])]
+
+
+def test_one_row_of_each_group_stays_whatever_its_key(spark):
+    rng = random.Random(3)
+    a, b, c = (prose(rng, 80) for _ in range(3))
+    rows = [(5, a, "x"), (5, a, "x"), (None, b, "x"), (None, b, "x"), (3, c, "x"), (None, c, "x"), (5, c + " end", "x"), (6, None, "x"), (6, "", "x")]
+    kept = texts_of(near_dup.keep_first(clashing(spark, rows)))
+    assert kept == [(False, 3, c), (False, 5, a), (False, 6, ""), (False, 6, ""), (True, 0, b)]
+
+
+def test_a_key_with_two_texts_joins_their_groups(spark):
+    rng = random.Random(4)
+    a, b = prose(rng, 80), prose(rng, 80)
+    docs = clashing(spark, [(5, a, "x"), (5, b, "x"), (3, a, "x"), (4, b, "x"), (9, prose(rng, 50), "x")])
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs).collect()}
+    assert got == {3: 3, 4: 3, 5: 3, 9: 9}
+
+
+def test_rows_without_a_key_are_mixed_one_by_one(spark):
+    rng = random.Random(5)
+    rows = [(None if i % 2 else i // 4, prose(rng, 10 + i % 9), "a" if i % 4 else "b") for i in range(2000)]
+    docs = clashing(spark, rows)
+    wanted = {r["source"]: r["target"] for r in mixing.mixed(docs).select("source", "target").distinct().collect()}
+    taken = Counter()
+    for r in mixing.mix_rows(docs).collect():
+        taken[r["source"]] += len(r["text"].split())
+    assert all(abs(taken[s] - t) <= 0.01 * t + 30 for s, t in wanted.items())
+    assert mixing.mix_rows(docs).columns == docs.columns
