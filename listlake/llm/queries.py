@@ -75,6 +75,26 @@ def op6_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+#: All 100-byte strings as hex digits, told apart by their md5; a string that came before marks its bytes, and marks that touch are one run.
+ORACLE["op6_induced_suffix_dedup"] = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+s AS (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM b),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5_number(substr(h, 2 * i + 1, 200)) ORDER BY doc_id, i) > 1 AS again FROM s),
+m AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM f WHERE again),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM m),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM g GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, a, z, coalesce(lag(z) OVER w, 0) AS kept_from, lead(a) OVER w IS NULL AS last FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)),
+kept AS (
+  SELECT doc_id, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)) || CASE WHEN last THEN substr(h, 2 * z + 1) ELSE '' END, '' ORDER BY a) AS k
+  FROM gaps JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT b.doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM b LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op7_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))

@@ -4,7 +4,10 @@ A shard must hold all places of a repeated string. Each string of ``length`` byt
 gram of ``GRAM`` bytes in it with the least hash (the leftmost). The strings with one anchor follow each
 other, and the bytes they cover are a piece; equal strings have equal anchors, so they lie in pieces of
 one gram. Grams that occur once go at once. Equal pieces are one group: all but the first are repeats.
-The different pieces of a gram, one of each, go to one shard, where a suffix array by induced sorting
+Two different pieces share a string only if they agree beside the gram too: of the other bytes of the string
+at least half lie on one side of it. So a piece whose neighbouring grams, left and right, both differ from those of
+all other pieces of its gram is left out before any bytes are moved.
+The different pieces of a gram that remain, one of each, go to one shard, where a suffix array by induced sorting
 and permuted common prefixes show the strings that they share. A gram with very many different pieces
 (the edge of a passage that many documents hold) is cut further, into single strings, which are
 aggregated like pieces. Nothing is sampled, and no gram or document has to fit a limit.
@@ -17,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listlake.llm.common import discard, long_lists, mix, runs, saved, slices, utf8, word_hashes
@@ -40,8 +43,9 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Row, gram's hash, first byte and end byte of all pieces, in order, and whether a piece may repeat itself."""
-    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+    """Row, gram's hash, first byte and end byte of all pieces, in order, whether a piece may repeat itself,
+    and 16 bits each for the grams left and right of its gram (0: not in the piece)."""
+    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int32))
     if len(data) < length:
         return none
     h = gram_hashes(data, gram)
@@ -89,7 +93,16 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
         loops = np.arange(len(anchor)) >= keep.sum()
         order = np.argsort(first, kind="stable")
         anchor, first, last, loops = anchor[order], first[order], last[order], loops[order]
-    return np.searchsorted(offsets, first, "right") - 1, h[anchor], first, last + length, loops
+    return np.searchsorted(offsets, first, "right") - 1, h[anchor], first, last + length, loops, _beside(h, anchor, first, last + length, length, gram)
+
+
+def _beside(h: np.ndarray, anchor: np.ndarray, first: np.ndarray, end: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """The grams on both sides of the anchor, as far as a string with half of its other bytes there reaches."""
+    half = (length - gram) // 2
+    out = np.zeros(len(anchor), np.uint32)
+    for shift, there, at in ((16, anchor - first >= half, anchor - gram), (0, end - anchor - gram >= half, anchor + gram)):
+        out[there] |= (h[at[there]] % np.uint64(65535) + np.uint64(1)).astype(np.uint32) << np.uint32(shift)
+    return out.view(np.int32)
 
 
 def _again(row: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -109,17 +122,30 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def cut_pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``g, k, id, start, size, again, loop``: gram, hash of the piece, place, whether it came before in its document and may repeat itself."""
+    """``g, k, id, start, size, again, loop, beside``: gram, hash of the piece, place, whether it came before in its
+    document and may repeat itself, and the grams beside the gram."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             data, offsets = utf8(batch.column("text"))
-            row, g, first, end, loops = pieces(data, offsets, length, gram)
+            row, g, first, end, loops, beside = pieces(data, offsets, length, gram)
             k = word_hashes(data, first, end, lower=False)
-            columns = [_signed(g), _signed(k), batch.column("id").take(pa.array(row)), pa.array((first - offsets[row]).astype(np.int64)), pa.array((end - first).astype(np.int32)), pa.array(_again(row, k, g)), pa.array(loops)]
-            yield pa.RecordBatch.from_arrays(columns, ["g", "k", "id", "start", "size", "again", "loop"])
+            columns = [_signed(g), _signed(k), batch.column("id").take(pa.array(row)), pa.array((first - offsets[row]).astype(np.int64)), pa.array((end - first).astype(np.int32)), pa.array(_again(row, k, g)), pa.array(loops), pa.array(beside)]
+            yield pa.RecordBatch.from_arrays(columns, ["g", "k", "id", "start", "size", "again", "loop", "beside"])
+
+    return docs.mapInArrow(work, "g long, k long, id long, start long, size int, again boolean, loop boolean, beside int")
+
 
-    return docs.mapInArrow(work, "g long, k long, id long, start long, size int, again boolean, loop boolean")
+def agreeing(different: DataFrame) -> DataFrame:
+    """Pieces whose left or right gram another piece of their gram has too; all of a gram with a piece that may
+    repeat itself, as its strings have anchors of their own. A gram has ``HOT`` pieces at most here."""
+    left, right = F.shiftrightunsigned("beside", 16), F.col("beside").bitwiseAND(F.lit(0xFFFF))
+    of = lambda *also: F.count(F.lit(1)).over(Window.partitionBy("g", *also))
+    told = different.select(
+        "*", left.alias("left"), right.alias("right"), F.max("loop").over(Window.partitionBy("g")).alias("loops")
+    ).withColumns({"on_left": of("left"), "on_right": of("right")})
+    same = ((F.col("left") != 0) & (F.col("on_left") > 1)) | ((F.col("right") != 0) & (F.col("on_right") > 1))
+    return told.filter(F.col("loops") | same).select(different.columns)
 
 
 def _parts(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -175,10 +201,13 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     discard(cut)
     first = shared.filter("not again").groupBy("g", "k").agg(F.min("id").alias("lowest"))
     kinds = first.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"))
-    placed = saved(shared.join(first, ["g", "k"]).join(kinds, "g").select("g", "id", "start", "size", (F.col("again") | (F.col("id") > F.col("lowest"))).alias("repeat"), "kinds", "loop"), "placed")
+    placed = saved(shared.join(first, ["g", "k"]).join(kinds, "g").select("g", "id", "start", "size", (F.col("again") | (F.col("id") > F.col("lowest"))).alias("repeat"), "kinds", "loop", "beside"), "placed")
     discard(shared)
     whole = placed.filter("repeat").select("id", "start", F.col("size").cast("long").alias("size"))
-    different = placed.filter("not repeat and (kinds > 1 or loop)").select("id", "start", "size", "g", (F.col("kinds") > HOT).alias("hot"))
+    different = placed.filter("not repeat and (kinds > 1 or loop)").select("id", "start", "size", "g", (F.col("kinds") > HOT).alias("hot"), "loop", "beside")
+    if (length - gram) // 2 >= gram:  # else a string may end within the grams beside
+        different = different.filter("hot").unionAll(agreeing(different.filter("not hot")))
+    different = different.drop("loop", "beside")
     parts = saved(_parts(docs, different), "parts")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
