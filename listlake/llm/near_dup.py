@@ -7,15 +7,14 @@ at most k shingles, else with a probability of missing below 1e-9), so with the
 sketch in order of their document frequency, rarest first, they meet in a list of the first
 ``size - need + 1``. Very frequent shingles come last and hardly ever make a list.
 
-Candidates are taken in rounds. The first pairs every member of a list with the list's centre, the
+Candidates are taken in two rounds. The first pairs every member of a list with the list's centre, the
 document with the most values that others have too, which joins large groups of copies without forming
-their pairs. Of what is not connected by then, the lists of at most ``SHORT`` members, which are nearly all,
-are counted: the lists reach ``MEET - 1`` values further than one meeting needs, so linked documents
-meet in ``MEET`` of them at least, while documents that share a phrase by chance meet in one or two and are
-never compared. Longer lists are compared in blocks of bounded size, of which no more than a spanning forest of
-the pairs that pass the estimate is kept: its trees are groups that hold every further link. In each group,
-again block against block, pairs of documents that are not yet connected are tested. A link counts after
-the union-sketch estimate and the exact test on the full sets.
+their pairs. The second looks at all other pairs of a list, in blocks of bounded size. What is compared there is a
+bitmap of each sketch: two bitmaps differ in no more bits than the sketches do in values, so a pair
+whose bitmaps differ in more than a pair that passes the estimate could is out, and most pairs that share a phrase
+by chance are. Of the others no more than a spanning forest is kept: its trees are groups that hold every
+further link. In each group, again block against block, pairs of documents that are not yet connected
+are tested. A link counts after the union-sketch estimate and the exact test on the full sets.
 """
 
 from __future__ import annotations
@@ -36,9 +35,8 @@ NEED = 50
 SLACK = 0.2
 #: Lists that a document shares with a centre before the first round compares them.
 STAR = 4
-#: Lists in which linked documents meet at least, if no longer list holds both; members of a list that is counted.
-MEET = 3
-SHORT = 16
+#: Bits of a sketch's bitmap: sketches of different documents differ in far more of them than linked ones may.
+BITS = 512
 #: Documents of a block; of full sets a block holds fewer.
 BLOCK = 384
 
@@ -96,12 +94,10 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     return rows.mapInArrow(work, "id long, shingles array<long>" if full else "id long, size long, f1 long, f2 long, sketch array<long>")
 
 
-def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.8, meet: int = MEET) -> DataFrame:
-    """``v, id, rank, meet``: the inverted lists, rarest values first, without values of a single class.
+def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.8) -> DataFrame:
+    """``v, id, rank``: the inverted lists, rarest values first, without values of a single class.
 
     ``rank`` orders documents by the number of their values that others have too, then by a hash of the id.
-    Two linked documents share ``need`` values, so of each one's values but the last ``need - meet`` they share
-    ``meet``; a small set that has to share fewer says so in its ``meet``.
     """
     values = classes.select("id", "size", F.explode("sketch").alias("v"))
     frequent = values.groupBy("v").count().filter("count > 1").withColumnRenamed("count", "df")
@@ -111,35 +107,33 @@ def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.
         values.join(frequent, "v")
         .groupBy("id", "size")
         .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("common"))
-        .withColumn("meet", F.least(F.lit(meet), least).cast("int"))
         # Values of one class only are the rarest: they come first and make no list.
-        .withColumn("take", (kept - least + F.col("meet")) - (kept - F.size("common")))
+        .withColumn("take", (kept - least + 1) - (kept - F.size("common")))
         .filter("take > 0")
         .withColumn("rank", F.size("common").cast("long") * F.lit(1 << 52) + F.pmod(F.xxhash64("id"), F.lit(1 << 52)))
-        .select("id", "rank", "meet", F.explode(F.slice("common", 1, F.col("take").cast("int"))).alias("c"))
-        .select("id", "rank", "meet", F.col("c.v").alias("v"))
+        .select("id", "rank", F.explode(F.slice("common", 1, F.col("take").cast("int"))).alias("c"))
+        .select("id", "rank", F.col("c.v").alias("v"))
     )
 
 
-def parted_lists(lists: DataFrame, roots: DataFrame, short: int = SHORT) -> tuple[DataFrame, DataFrame]:
-    """Lists ``v, id, root, meet`` that hold several components, the short and the long ones."""
-    members = lists.join(roots, "id", "left").select("v", "id", F.coalesce("root", "id").alias("root"), "meet")
-    sizes = members.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = sizes.filter("low <> high").select("v", (F.col("n") <= short).alias("short"))
-    found = saved(members.join(sizes, "v"), "several")
-    return found.filter("short").drop("short"), found.filter("not short").drop("short")
+def bitmaps(classes: DataFrame, bits: int = BITS) -> DataFrame:
+    """``id, items``: the bits that a sketch's values set, 64 in a number, and how many values it has."""
+    words_ = bits // 64
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("sketch")
+            at = column.offsets.to_numpy().astype(np.int64)
+            values = column.values.to_numpy()[at[0] : at[-1]].view(np.uint64)
+            counts = np.diff(at)
+            row = np.repeat(np.arange(batch.num_rows), counts)
+            bit = mix(values) & np.uint64(bits - 1)
+            out = np.zeros((batch.num_rows, words_ + 1), np.uint64)
+            np.bitwise_or.at(out, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+            out[:, -1] = counts
+            yield pa.RecordBatch.from_arrays([batch.column("id"), long_lists(out.ravel(), np.full(batch.num_rows, words_ + 1))], ["id", "items"])
 
-def met_often(lists: DataFrame, short: int = SHORT) -> DataFrame:
-    """Pairs ``a, b`` of different components that meet in as many short lists as linked documents do.
-
-    A list has ``short`` members at most, so it gives each of them no more than half as many pairs.
-    """
-    groups = lists.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("id", "root", "meet"))).alias("m"))
-    pairs = F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, F.lit(short)), lambda y: F.struct(x.alias("x"), y.alias("y"))))
-    pairs = groups.select(F.explode(F.flatten(pairs)).alias("p")).filter("p.x.root <> p.y.root")
-    pairs = pairs.select(F.col("p.y.id").alias("a"), F.col("p.x.id").alias("b"), F.least("p.x.meet", "p.y.meet").alias("meet"))
-    return pairs.groupBy("a", "b", "meet").count().filter("count >= meet").select("a", "b")
+    return classes.select("id", "sketch").mapInArrow(work, "id long, items array<long>")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, k: int, least: float) -> DataFrame:
@@ -185,65 +179,99 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionAll(roots.select("root", "root").toDF("id", "root").distinct())
 
 
+def _forest(roots: np.ndarray, found: list[tuple[int, int]], link) -> list[tuple[int, int]]:
+    """Of the pairs in order, those that connect what was not connected before and that ``link`` accepts; rows
+    of one root are connected from the start."""
+    tree = list(range(len(roots)))
+
+    def top(n: int) -> int:
+        while tree[n] != n:
+            tree[n] = n = tree[tree[n]]
+        return n
+
+    by_root: dict[int, int] = {}
+    for n, root in enumerate(roots.tolist()):
+        tree[n] = by_root.setdefault(root, n)
+    apart, out = len(by_root) - 1, []
+    for a, b in found:
+        p, q = top(a), top(b)
+        if p != q and link(a, b):
+            tree[q] = p
+            out.append((a, b))
+            apart -= 1
+            if not apart:
+                break
+    return out
+
+
+def _by_bits(items: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """How many bits the bitmaps of each two rows differ in, and in how many a pair that passes the estimate may."""
+    rows = np.stack(items)
+    sizes = rows[:, -1]
+    bits = np.unpackbits(np.ascontiguousarray(rows[:, :-1]).view(np.uint8), axis=1).astype(np.float32)
+    ones = bits.sum(1)
+    differ = ones[:, None] + ones[None, :] - 2 * (bits @ bits.T)
+    # Of the union's least values that share is common, which are at least so many of the larger sketch.
+    common = np.ceil(least * np.maximum(sizes[:, None], sizes[None, :]) - 1e-9)
+    return differ, sizes[:, None] + sizes[None, :] - 2 * common
+
+
+def _by_sketches(sets: list[np.ndarray], k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``x, y`` of all pairs that pass the union-sketch estimate, the best first; ``sets`` are sorted."""
+    lists = [x[:k] for x in sets]
+    sizes = np.array([len(x) for x in lists])
+    values, where = np.unique(np.concatenate(lists), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    often = np.bincount(where, minlength=len(values)) > 1
+    column = np.cumsum(often) - 1
+    inside = np.zeros((len(sets), max(1, int(often.sum()))), np.float32)
+    keep = often[where]
+    inside[owner[keep], column[where[keep]]] = 1
+    x, y = np.nonzero(np.triu(inside @ inside.T >= least * np.maximum(sizes[:, None], sizes[None, :]), 1))
+    ranks = np.arange(len(sets) * k, dtype=np.int32).reshape(len(sets), k) + len(values)  # padding, all different
+    ranks[owner, np.concatenate([np.arange(n) for n in sizes])] = where
+    share = np.zeros(len(x))
+    for a in range(0, len(x), 20_000):
+        p, q = x[a : a + 20_000], y[a : a + 20_000]
+        both = np.sort(np.concatenate([ranks[p], ranks[q]], axis=1), axis=1)
+        twice = both[:, 1:] == both[:, :-1]
+        real = (both < len(values)).sum(1) - twice.sum(1)  # of the union
+        size = np.minimum(real, k)
+        distinct = 1 + np.arange(1, 2 * k) - np.cumsum(twice, axis=1)
+        share[a : a + 20_000] = (twice & (distinct <= size[:, None])).sum(1) / size
+    order = np.argsort(-share, kind="stable")
+    order = order[share[order] >= least]
+    return x[order], y[order]
+
+
 def _compare(batches: Iterator[pa.RecordBatch], k: int, least: float, percent: int | None) -> Iterator[pa.RecordBatch]:
     """Pairs ``a, b`` of each block against block that form a spanning forest, on top of the known components.
 
-    Its edges are pairs that pass the estimate, best first; with ``percent``, rows hold full sets and
-    edges pass the exact test.
+    Its edges are pairs whose bitmaps say that they may pass the estimate, best first; with ``percent``, rows
+    hold full sets and edges pass the estimate and the exact test.
     """
     for group in runs(batches, ["v", "i", "j"]):
         ids, roots = group.column("id").to_numpy(), group.column("root").to_numpy()
         block = group.column("block").to_numpy(zero_copy_only=False)
         across = group.column("i")[0] != group.column("j")[0]
-        sets = [x.values.to_numpy() for x in group.column("items").combine_chunks()]
-        lists = [x[:k] for x in sets]
-        sizes = np.array([len(x) for x in lists])
-        values, where = np.unique(np.concatenate(lists), return_inverse=True)
-        owner = np.repeat(np.arange(len(ids)), sizes)
-        often = np.bincount(where, minlength=len(values)) > 1
-        column = np.cumsum(often) - 1
-        inside = np.zeros((len(ids), max(1, int(often.sum()))), np.float32)
-        keep = often[where]
-        inside[owner[keep], column[where[keep]]] = 1
-        shared = inside @ inside.T
-        x, y = np.nonzero(np.triu(shared >= least * np.maximum(sizes[:, None], sizes[None, :]), 1))
-        different = (roots[x] != roots[y]) & ((block[x] != block[y]) if across else True)
-        x, y = x[different], y[different]
-        ranks = np.arange(len(ids) * k, dtype=np.int32).reshape(len(ids), k) + len(values)  # padding, all different
-        ranks[owner, np.concatenate([np.arange(n) for n in sizes])] = where
-        found = []
-        for a in range(0, len(x), 20_000):
-            p, q = x[a : a + 20_000], y[a : a + 20_000]
-            both = np.sort(np.concatenate([ranks[p], ranks[q]], axis=1), axis=1)
-            twice = both[:, 1:] == both[:, :-1]
-            real = (both < len(values)).sum(1) - twice.sum(1)  # of the union
-            size = np.minimum(real, k)
-            distinct = 1 + np.arange(1, 2 * k) - np.cumsum(twice, axis=1)
-            share = (twice & (distinct <= size[:, None])).sum(1) / size
-            near = share >= least
-            found += zip(share[near].tolist(), p[near].tolist(), q[near].tolist(), strict=True)
-        found.sort(key=lambda f: -f[0])
-        tree = list(range(len(ids)))
-
-        def top(n: int, tree: list[int] = tree) -> int:
-            while tree[n] != n:
-                tree[n] = n = tree[tree[n]]
-            return n
-
-        by_root: dict[int, int] = {}
-        for n, root in enumerate(roots.tolist()):
-            tree[n] = by_root.setdefault(root, n)
-        out = []
-        for _, a, b in found:
-            p, q = top(a), top(b)
-            if p == q:
-                continue
-            if percent is not None:
-                common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if 100 * common < percent * (len(sets[a]) + len(sets[b]) - common):
-                    continue
-            tree[q] = p
-            out.append((a, b))
+        items = [x.values.to_numpy() for x in group.column("items").combine_chunks()]
+        if percent is None:
+            differ, most = _by_bits(items, least)
+            x, y = np.nonzero(np.triu(differ <= most, 1))
+            order = np.argsort(differ[x, y], kind="stable")
+            x, y = x[order], y[order]
+        else:
+            x, y = _by_sketches(items, k, least)
+        other = (roots[x] != roots[y]) & ((block[x] != block[y]) if across else True)
+        found = list(zip(x[other].tolist(), y[other].tolist(), strict=True))
+
+        def link(a: int, b: int, items: list[np.ndarray] = items) -> bool:
+            if percent is None:
+                return True
+            common = len(np.intersect1d(items[a], items[b], assume_unique=True))
+            return 100 * common >= percent * (len(items[a]) + len(items[b]) - common)
+
+        out = _forest(roots, found, link)
         if out:
             a, b = map(np.array, zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[a], ids[b])), pa.array(np.minimum(ids[a], ids[b]))], ["a", "b"])
@@ -252,7 +280,7 @@ def _compare(batches: Iterator[pa.RecordBatch], k: int, least: float, percent: i
 def block_pairs(lists: DataFrame, roots: DataFrame, items: DataFrame, k: int, least: float, percent: int | None = None) -> DataFrame:
     """Pairs ``a, b`` of all lists ``v, id`` that hold several components, see ``_compare``.
 
-    ``items`` has the sketch or the set of each id.
+    ``items`` has the bitmap of each id's sketch or, with ``percent``, its set.
     A component with many members in a list fills blocks of its own, which are not compared with each
     other; the rest is dealt by component. No task sees more than a few blocks at a time.
     """
@@ -316,12 +344,9 @@ def near_duplicates(
     stars = saved(estimated(pairs, classes, k, least), "stars")
     tested = confirmed(stars)
     roots = saved(components(tested.filter("link")), "roots")
-    short, long = parted_lists(lists.select("v", "id", "meet"), roots)
-    met = saved(estimated(met_often(short), classes, k, least), "met")
-    tested = saved(tested.filter("link").unionAll(confirmed(met).filter("link")), "links")
-    roots = saved(components(tested), "roots")
-    # Groups: documents that forests of estimates, or links, connect.
-    near = saved(block_pairs(long.select("v", "id"), roots, classes.select("id", "sketch"), k, least).distinct(), "near")
+    # Groups: documents that forests of pairs that may pass the estimate, or links, connect.
+    tested = saved(tested.filter("link").select("a", "b"), "links")
+    near = saved(block_pairs(lists.select("v", "id"), roots, bitmaps(classes), k, least).distinct(), "near")
     groups = components(near.unionAll(roots.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))))
     groups = saved(groups.select(F.col("root").alias("v"), "id"), "groups")
     apart = groups.join(roots, "id", "left").groupBy("v").agg(F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"))
