@@ -116,6 +116,14 @@ def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.
     )
 
 
+def different_lists(lists: DataFrame) -> DataFrame:
+    """``v, id`` of one list for each set of members: copies share many values, and so many lists, which would
+    all be compared anew. Sets are told apart by their size and two sums of 64 bits."""
+    sums = [F.bit_xor(F.xxhash64("id", F.lit(salt))).alias(f"s{salt}") for salt in (1, 2)]
+    sets = lists.groupBy("v").agg(F.count(F.lit(1)).alias("n"), *sums).filter("n > 1")
+    return lists.join(sets.groupBy("n", "s1", "s2").agg(F.min("v").alias("v")).select("v"), "v", "left_semi")
+
+
 def bitmaps(classes: DataFrame, bits: int = BITS) -> DataFrame:
     """``id, items``: the bits that a sketch's values set, 64 in a number, and how many values it has."""
     words_ = bits // 64
@@ -346,7 +354,7 @@ def near_duplicates(
     roots = saved(components(tested.filter("link")), "roots")
     # Groups: documents that forests of pairs that may pass the estimate, or links, connect.
     tested = saved(tested.filter("link").select("a", "b"), "links")
-    near = saved(block_pairs(lists.select("v", "id"), roots, bitmaps(classes), k, least).distinct(), "near")
+    near = saved(block_pairs(different_lists(lists.select("v", "id")), roots, bitmaps(classes), k, least).distinct(), "near")
     groups = components(near.unionAll(roots.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))))
     groups = saved(groups.select(F.col("root").alias("v"), "id"), "groups")
     apart = groups.join(roots, "id", "left").groupBy("v").agg(F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"))
