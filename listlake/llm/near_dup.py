@@ -37,8 +37,9 @@ SLACK = 0.2
 STAR = 4
 #: Bits of a sketch's bitmap: sketches of different documents differ in far more of them than linked ones may.
 BITS = 512
-#: Documents of a block; of full sets a block holds fewer.
-BLOCK = 384
+#: Documents of a block of bitmaps, and of full sets.
+BLOCK = 1536
+SET_BLOCK = 128
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
@@ -212,16 +213,49 @@ def _forest(roots: np.ndarray, found: list[tuple[int, int]], link) -> list[tuple
     return out
 
 
-def _by_bits(items: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
-    """How many bits the bitmaps of each two rows differ in, and in how many a pair that passes the estimate may."""
+def _forest_of_bits(items: list[np.ndarray], roots: np.ndarray, part: np.ndarray | None, least: float) -> list[tuple[int, int]]:
+    """Pairs that connect all rows which bitmaps connect: two rows may pass the estimate if their bitmaps differ in
+    no more bits than their sketches may in values. Rows of one root are connected; with ``part`` only
+    rows of different parts are compared."""
     rows = np.stack(items)
-    sizes = rows[:, -1]
+    sizes = rows[:, -1].astype(np.float32)
     bits = np.unpackbits(np.ascontiguousarray(rows[:, :-1]).view(np.uint8), axis=1).astype(np.float32)
     ones = bits.sum(1)
-    differ = ones[:, None] + ones[None, :] - 2 * (bits @ bits.T)
+    differ = bits @ bits.T
+    differ *= -2
+    differ += ones[:, None]
+    differ += ones[None, :]
     # Of the union's least values that share is common, which are at least so many of the larger sketch.
-    common = np.ceil(least * np.maximum(sizes[:, None], sizes[None, :]) - 1e-9)
-    return differ, sizes[:, None] + sizes[None, :] - 2 * common
+    common = np.maximum(sizes[:, None], sizes[None, :])
+    common *= np.float32(least)
+    common -= np.float32(1e-3)
+    np.ceil(common, out=common)
+    common *= -2
+    common += sizes[:, None]
+    common += sizes[None, :]
+    near = differ <= common
+    del differ, common
+    if part is not None:
+        near &= part[:, None] != part[None, :]
+    _, root = np.unique(roots, return_inverse=True)
+    mates: dict[int, list[int]] = {}
+    for n, r in enumerate(root.tolist()):
+        mates.setdefault(r, []).append(n)
+    seen = np.zeros(len(items), bool)
+    out: list[tuple[int, int]] = []
+    for first in range(len(items)):
+        if seen[first]:
+            continue
+        open_ = list(mates[root[first]])
+        seen[open_] = True
+        while open_:
+            n = open_.pop()
+            for m in np.flatnonzero(near[n] & ~seen).tolist():
+                if not seen[m]:
+                    out.append((n, m))
+                    seen[mates[root[m]]] = True
+                    open_ += mates[root[m]]
+    return out
 
 
 def _by_sketches(sets: list[np.ndarray], k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -255,8 +289,8 @@ def _by_sketches(sets: list[np.ndarray], k: int, least: float) -> tuple[np.ndarr
 def _compare(batches: Iterator[pa.RecordBatch], k: int, least: float, percent: int | None) -> Iterator[pa.RecordBatch]:
     """Pairs ``a, b`` of each block against block that form a spanning forest, on top of the known components.
 
-    Its edges are pairs whose bitmaps say that they may pass the estimate, best first; with ``percent``, rows
-    hold full sets and edges pass the estimate and the exact test.
+    Its edges are pairs whose bitmaps say that they may pass the estimate; with ``percent``, rows hold full sets
+    and edges pass the estimate, best first, and the exact test.
     """
     for group in runs(batches, ["v", "i", "j"]):
         ids, roots = group.column("id").to_numpy(), group.column("root").to_numpy()
@@ -264,22 +298,16 @@ def _compare(batches: Iterator[pa.RecordBatch], k: int, least: float, percent: i
         across = group.column("i")[0] != group.column("j")[0]
         items = [x.values.to_numpy() for x in group.column("items").combine_chunks()]
         if percent is None:
-            differ, most = _by_bits(items, least)
-            x, y = np.nonzero(np.triu(differ <= most, 1))
-            order = np.argsort(differ[x, y], kind="stable")
-            x, y = x[order], y[order]
+            out = _forest_of_bits(items, roots, block if across else None, least)
         else:
             x, y = _by_sketches(items, k, least)
-        other = (roots[x] != roots[y]) & ((block[x] != block[y]) if across else True)
-        found = list(zip(x[other].tolist(), y[other].tolist(), strict=True))
+            other = (roots[x] != roots[y]) & ((block[x] != block[y]) if across else True)
 
-        def link(a: int, b: int, items: list[np.ndarray] = items) -> bool:
-            if percent is None:
-                return True
-            common = len(np.intersect1d(items[a], items[b], assume_unique=True))
-            return 100 * common >= percent * (len(items[a]) + len(items[b]) - common)
+            def link(a: int, b: int, items: list[np.ndarray] = items) -> bool:
+                common = len(np.intersect1d(items[a], items[b], assume_unique=True))
+                return 100 * common >= percent * (len(items[a]) + len(items[b]) - common)
 
-        out = _forest(roots, found, link)
+            out = _forest(roots, list(zip(x[other].tolist(), y[other].tolist(), strict=True)), link)
         if out:
             a, b = map(np.array, zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[a], ids[b])), pa.array(np.minimum(ids[a], ids[b]))], ["a", "b"])
@@ -292,7 +320,7 @@ def block_pairs(lists: DataFrame, roots: DataFrame, items: DataFrame, k: int, le
     A component with many members in a list fills blocks of its own, which are not compared with each
     other; the rest is dealt by component. No task sees more than a few blocks at a time.
     """
-    block = BLOCK if percent is None else max(2, BLOCK // 3)
+    block = BLOCK if percent is None else SET_BLOCK
     members = lists.join(roots, "id", "left").select("v", "id", F.coalesce("root", "id").alias("root"))
     sizes = members.groupBy("v", "root").agg(F.count(F.lit(1)).alias("own"))
     several = sizes.groupBy("v").agg(
