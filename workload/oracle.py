@@ -306,7 +306,7 @@ ORACLE: dict[str, str] = {
     + f"SELECT l.detail_link, d.* EXCLUDE (detail_link), l.job_title, l.listing_start_date FROM ({LIST_ROWS}) l "
     f"LEFT JOIN (SELECT detail_link, {DETAIL_COLUMNS} FROM lake WHERE detail_link IN (SELECT '/jobs/' || doc_id FROM labels)) d USING (detail_link)",
     "anti_join_ledger": f"WITH {MESSAGES_CTE} SELECT event_id, message_id FROM valid "
-    "WHERE message_id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'error')",
+    "WHERE message_id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'error' AND value > 100)",
     # upsert
     "upsert_merge": MERGED,
     "upsert_rows": MERGED,

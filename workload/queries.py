@@ -308,8 +308,8 @@ def attach_list_to_detail(spark, sf_dir):
 @query
 def anti_join_ledger(spark, sf_dir):
     messages = envelope_filter(trigger_messages(spark, sf_dir)).select("event_id", "message_id")
-    # Users who had an error have been served.
-    served = table(spark, sf_dir, "events").where("event_type = 'error'")
+    # Users who had an error of a high value have been served.
+    served = table(spark, sf_dir, "events").where("event_type = 'error' AND value > 100")
     done = served.select(F.col("user_id").cast("string").alias("message_id"))
     return L.anti_join_ledger(messages, L.ledger_rows(done, PROCESSED_AT))
 
