@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listlake.llm.common import discard, long_lists, mix, numbered, runs, saved, slices, utf8, word_hashes, words
@@ -38,8 +38,10 @@ STAR = 4
 #: Bits of a sketch's bitmap: sketches of different documents differ in far more of them than linked ones may.
 BITS = 512
 #: Documents of a block of bitmaps, and of full sets.
-BLOCK = 1536
+BLOCK = 1024
 SET_BLOCK = 128
+#: Rows of a block whose differences are computed at a time.
+STRIP = 128
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
@@ -96,7 +98,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
 
 
 def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.8) -> DataFrame:
-    """``v, id, rank``: the inverted lists, rarest values first, without values of a single class.
+    """``v, id, size, rank``: the inverted lists, rarest values first, without values of a single class.
 
     ``rank`` orders documents by the number of their values that others have too, then by a hash of the id.
     """
@@ -112,8 +114,8 @@ def postings(classes: DataFrame, k: int = K, need: int = NEED, share: float = 0.
         .withColumn("take", (kept - least + 1) - (kept - F.size("common")))
         .filter("take > 0")
         .withColumn("rank", F.size("common").cast("long") * F.lit(1 << 52) + F.pmod(F.xxhash64("id"), F.lit(1 << 52)))
-        .select("id", "rank", F.explode(F.slice("common", 1, F.col("take").cast("int"))).alias("c"))
-        .select("id", "rank", F.col("c.v").alias("v"))
+        .select("id", "size", "rank", F.explode(F.slice("common", 1, F.col("take").cast("int"))).alias("c"))
+        .select("id", "size", "rank", F.col("c.v").alias("v"))
     )
 
 
@@ -125,6 +127,14 @@ def different_lists(lists: DataFrame) -> DataFrame:
     return lists.join(sets.groupBy("n", "s1", "s2").agg(F.min("v").alias("v")).select("v"), "v", "left_semi")
 
 
+def of_like_size(lists: DataFrame, percent: int) -> DataFrame:
+    """Without members whose set is too small or too large to be linked with any other of their list: in the
+    order of sizes a neighbour has to be in reach."""
+    by_size = Window.partitionBy("v").orderBy("size")
+    reach = (100 * F.lag("size").over(by_size) >= percent * F.col("size")) | (100 * F.col("size") >= percent * F.lead("size").over(by_size))
+    return lists.withColumn("reach", reach).filter("reach").drop("reach")
+
+
 def bitmaps(classes: DataFrame, bits: int = BITS) -> DataFrame:
     """``id, items``: the bits that a sketch's values set, 64 in a number, and how many values it has."""
     words_ = bits // 64
@@ -221,22 +231,15 @@ def _forest_of_bits(items: list[np.ndarray], roots: np.ndarray, part: np.ndarray
     sizes = rows[:, -1].astype(np.float32)
     bits = np.unpackbits(np.ascontiguousarray(rows[:, :-1]).view(np.uint8), axis=1).astype(np.float32)
     ones = bits.sum(1)
-    differ = bits @ bits.T
-    differ *= -2
-    differ += ones[:, None]
-    differ += ones[None, :]
-    # Of the union's least values that share is common, which are at least so many of the larger sketch.
-    common = np.maximum(sizes[:, None], sizes[None, :])
-    common *= np.float32(least)
-    common -= np.float32(1e-3)
-    np.ceil(common, out=common)
-    common *= -2
-    common += sizes[:, None]
-    common += sizes[None, :]
-    near = differ <= common
-    del differ, common
+    near = np.empty((len(rows), len(rows)), bool)
+    for a in range(0, len(rows), STRIP):  # so that no more than a strip is held in numbers
+        z = slice(a, a + STRIP)
+        # Of the union's least values that share is common, which are at least so many of the larger sketch.
+        common = np.ceil(np.float32(least) * np.maximum(sizes[z, None], sizes) - np.float32(1e-3))
+        near[z] = ones[z, None] + ones - 2 * (bits[z] @ bits.T) <= sizes[z, None] + sizes - 2 * common
     if part is not None:
-        near &= part[:, None] != part[None, :]
+        _, part = np.unique(part.astype(str), return_inverse=True)
+        near &= part[:, None] != part
     _, root = np.unique(roots, return_inverse=True)
     mates: dict[int, list[int]] = {}
     for n, r in enumerate(root.tolist()):
@@ -382,7 +385,7 @@ def near_duplicates(
     roots = saved(components(tested.filter("link")), "roots")
     # Groups: documents that forests of pairs that may pass the estimate, or links, connect.
     tested = saved(tested.filter("link").select("a", "b"), "links")
-    near = saved(block_pairs(different_lists(lists.select("v", "id")), roots, bitmaps(classes), k, least).distinct(), "near")
+    near = saved(block_pairs(different_lists(of_like_size(lists.select("v", "id", "size"), percent).drop("size")), roots, bitmaps(classes), k, least).distinct(), "near")
     groups = components(near.unionAll(roots.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))))
     groups = saved(groups.select(F.col("root").alias("v"), "id"), "groups")
     apart = groups.join(roots, "id", "left").groupBy("v").agg(F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"))
