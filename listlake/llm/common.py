@@ -75,6 +75,12 @@ def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     return saved(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
+def fingerprinted(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    """The rows with 64 bits of their key and text, for decisions that depend on nothing else."""
+    row = unused("row", docs)
+    return docs.withColumn(row, F.xxhash64(F.col(key), F.col(text))), row
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

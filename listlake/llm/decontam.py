@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listlake.llm.common import BASE, numbered, slices
+from listlake.llm.common import BASE, fingerprinted, slices
 
 Q = 6
 PIECE = 48
@@ -393,6 +393,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     Each row is judged by its own text, whatever its key: of rows with one key, or none, those without an
     item stay.
     """
-    rows, row = numbered(docs, "searched")
+    rows, row = fingerprinted(docs, key, text)
     bad = find_items(rows.select(row, text), benchmark, row, text, item).select(row).distinct()
     return rows.join(bad, row, "left_anti").select(*docs.columns)

@@ -398,6 +398,7 @@ def near_duplicates(
     low = own.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
     same = own.join(low, "id").filter("class <> low").select(F.col("class").alias("a"), F.col("low").alias("b"))
     roots = saved(components(tested.select("a", "b").unionAll(more).unionAll(same)), "roots")
+    discard(lists, stars, near, groups, open_)
     ends = known.filter("class is not null").select("id", "class").distinct()
     ends = ends.join(roots.select(F.col("id").alias("class"), "root"), "class", "left")
     ends = ends.groupBy("id").agg(F.min(F.coalesce("root", "class")).alias("component"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listlake.llm.common import SPACES, fold, mix, numbered, saved, slices, utf8, word_hashes, words
+from listlake.llm.common import SPACES, fingerprinted, fold, mix, saved, slices, utf8, word_hashes, words
 
 FEATURES = 160
 RIDGE = 1e-3
@@ -231,6 +231,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     Each row is judged by its own text, whatever its key: of rows with one key, or none, some may go and
     others stay.
     """
-    rows, row = numbered(docs, "judged")
-    bad = quality_scores(rows, labels, key, text, threshold=threshold, row=row).filter("predicted = 0").select(row)
+    rows, row = fingerprinted(docs, key, text)
+    bad = quality_scores(rows, labels, key, text, threshold=threshold, row=row).filter("predicted = 0").select(row).distinct()
     return rows.join(bad, row, "left_anti").select(*docs.columns)
