@@ -367,6 +367,32 @@ def test_top_k_prunes_blocks():
     assert scored < 10
 
 
+def test_top_k_ships_few_blocks_of_clustered_vectors(spark):
+    """Shuffled clusters: most pairs of query and block are left out before vectors are shipped, no result is."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 0.3, (40, 16))
+    vectors = [(i, [float(x) for x in centres[rng.integers(40)] + rng.uniform(-0.01, 0.01, 16)]) for i in range(4000)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(5)
+    good = df.select(F.col("vec_id").alias("id"), topk.quantised(F.col("embedding"), 1024).alias("v"), (F.col("vec_id") % 100 == 0).alias("asked"))
+    groups = topk.packed_groups(good, 10, 32, 8)
+    queries, parts = topk.packed_queries(groups, 32, 16)
+    blocks = groups.agg(F.sum(F.size("blocks"))).first()[0]
+    pairs = topk.wanted_blocks(groups, queries, parts).agg(F.sum("pairs")).first()[0]
+    assert parts == 3 and 0 < pairs < 40 * blocks / 2
+    assert sorted(map(tuple, topk.top_k(df, block=32, group=8, batch=16).collect())) == slow_top(vectors, 10)
+
+
+def test_top_k_of_copies_and_rows_without_many_others(spark):
+    """One vector on a third of all rows, repeated query rows, and fewer than k candidates."""
+    rng = random.Random(11)
+    vectors = [(i, [0.25] * 4 if i % 3 == 0 else [rng.uniform(-1, 1) for _ in range(4)]) for i in range(900)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(df, block=16, group=4, batch=3).collect())) == slow_top(vectors, 10)
+    few = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (5, [3.0]), (100, [-1.0, 0.5])]
+    got = topk.top_k(spark.createDataFrame(few, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == sorted(slow_top(few, 10))
+
+
 # -------------------------------------------------------------------------- near duplicates
 
 
