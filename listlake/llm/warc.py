@@ -4,7 +4,9 @@ A bundle ``n.warc.zst`` holds WARC 1.1 records, grouped into independent Zstanda
 ``FRAME`` bytes of text (a larger record has a frame of its own). Its last frame is a skippable one with
 the seek table of the seekable format: compressed and decompressed size of each frame, their number, a
 descriptor byte and the magic number. ``n.index`` maps each record's identifier to its frame, and to
-offset and length within the decompressed frame, a line each; so one record costs two ranged reads.
+offset and length within the decompressed frame: entries of fixed width in the order of identifiers, so that one
+record costs a binary search of short reads and one read of a frame. A bundle is named by its task and attempt;
+the list of bundles names the attempts that ended, so a repeated task never mixes two attempts' files.
 """
 
 from __future__ import annotations
@@ -12,8 +14,10 @@ from __future__ import annotations
 import base64
 import contextlib
 import hashlib
+import itertools
 import struct
 import uuid
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +37,8 @@ DATE = "2024-01-01T00:00:00Z"
 # Fixed values of the formats.
 SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
+#: An entry of the index: whether the page has a key, the key, frame, offset and length.
+ENTRY = "<BqIQQ"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -98,22 +104,32 @@ class Bundle:
             return zstandard.ZstdDecompressor().decompress(f.read_at(packed, at))
 
     def records(self) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-        """Frame, offset, headers and block of all records in order."""
-        for number in range(len(self.frames)):
-            data, at = self.frame(number), 0
-            while at < len(data):
+        """Frame, offset, headers and block of all records, each found through the index, in their order."""
+        with self.files.open_input_file(f"{self.path}.index") as f:
+            entries = sorted(struct.iter_unpack(ENTRY, f.readall()), key=lambda e: e[2:])
+        for number, own in itertools.groupby(entries, key=lambda e: e[2]):
+            data = self.frame(number)
+            for keyed, page, _, at, length in own:
                 headers, block, end = parsed(data, at)
+                if headers["WARC-Record-ID"] != record_id(page if keyed else None) or end != at + length:
+                    raise ValueError(f"{self.path}.index and its bundle differ at {number}, {at}")
                 yield number, at, headers, block
-                at = end
 
     def read(self, page: int | None) -> tuple[dict[str, str], bytes]:
-        """The first record of the page, found through the index."""
+        """The first record of the page, found through the index by binary search."""
+        wanted = (page is not None, page or 0)
         with self.files.open_input_file(f"{self.path}.index") as f:
-            for line in f.readall().decode().splitlines():
-                name, number, at, _ = line.split("\t")
-                if name == record_id(page):
-                    return parsed(self.frame(int(number)), int(at))[:2]
-        raise KeyError(page)
+            size = struct.calcsize(ENTRY)
+            count = f.size() // size
+
+            def entry(n: int) -> tuple[int, ...]:
+                return struct.unpack(ENTRY, f.read_at(size, n * size))
+
+            n = bisect_left(range(count), wanted, key=lambda n: entry(n)[:2])
+            if n == count or entry(n)[:2] != wanted:
+                raise KeyError(page)
+            _, _, number, at, _ = entry(n)
+        return parsed(self.frame(number), at)[:2]
 
 
 def identified(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", shortest: int = SHORTEST) -> DataFrame:
@@ -121,7 +137,8 @@ def identified(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
 
     Of rows with equal payloads of ``shortest`` bytes or more, the one with the largest key is the
     response. Only keys and digests are grouped; a payload that many rows share is one row of the join's
-    other side, so its rows can be split among tasks.
+    other side, so its rows can be split among tasks. Shorter payloads, of which many may be equal, have
+    keys of their own in the join.
     """
     rows = pages.select(
         F.col(key).cast("long").alias("id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html")
@@ -129,7 +146,9 @@ def identified(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     large = F.octet_length("html") >= shortest
     repeated = rows.filter(large).groupBy("digest").agg(F.max("id").alias("refers"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     # A short payload's digest is never among the repeated ones: equal digests have equal lengths.
-    joined = rows.join(repeated, "digest", "left")
+    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    met = rows.withColumn("met", F.when(large, F.col("digest")).otherwise(alone))
+    joined = met.join(repeated.withColumnRenamed("digest", "met"), "met", "left")
     revisit = F.col("refers").isNotNull() & (F.col("id").isNull() | (F.col("id") < F.col("refers")))
     return joined.select("id", "url", "html", "digest", "refers", revisit.alias("revisit"))
 
@@ -137,7 +156,7 @@ def identified(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
 def write_archives(
     pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", shortest: int = SHORTEST, frame: int = FRAME, date: str = DATE
 ) -> DataFrame:
-    """Writes a bundle for each task; ``bundle, records, frames`` of each.
+    """Writes a bundle for each task; ``bundle`` (its name), ``records`` and ``frames`` of each.
 
     A null payload is empty; a row without key has an identifier without number; rows with equal keys
     repeat the identifier. Other columns are ignored.
@@ -149,8 +168,9 @@ def write_archives(
         files, path = opened(folder)
         with contextlib.suppress(OSError):
             files.create_dir(path, recursive=True)
-        name = f"{path}/{TaskContext.get().partitionId():06d}"
-        part, packer = f"{name}.warc.zst.{uuid.uuid4().hex}", zstandard.ZstdCompressor(level=LEVEL)
+        bundle = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
+        name = f"{path}/{bundle}"
+        part, packer = f"{name}.warc.zst.part", zstandard.ZstdCompressor(level=LEVEL)
         sizes, index, held, length, count = [], [], [], 0, 0
         with files.open_output_stream(part) as out:
 
@@ -168,7 +188,7 @@ def write_archives(
                     data = record(page, address, text.encode(), digest, refers, revisit, date)
                     if length and length + len(data) > frame:
                         flush()
-                    index.append(f"{record_id(page)}\t{len(sizes)}\t{length}\t{len(data)}\n")
+                    index.append((page is not None, page or 0, len(sizes), length, len(data)))
                     held.append(data)
                     length += len(data)
                     count += 1
@@ -177,12 +197,11 @@ def write_archives(
         if not count:
             files.delete_file(part)
             return
-        put(files, f"{name}.index", ["".join(index).encode()])
+        put(files, f"{name}.index", [struct.pack(ENTRY, *entry) for entry in sorted(index)])
         files.move(part, f"{name}.warc.zst")
-        row = (int(name[-6:]), count, len(sizes))
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in row], ["bundle", "records", "frames"])
+        yield pa.RecordBatch.from_pydict({"bundle": [bundle], "records": [count], "frames": [len(sizes)]})
 
-    rows = identified(pages, key, url, html, shortest).mapInArrow(work, "bundle long, records long, frames long")
+    rows = identified(pages, key, url, html, shortest).mapInArrow(work, "bundle string, records long, frames long")
     return pages.sparkSession.createDataFrame([tuple(r) for r in rows.collect()], rows.schema)  # a row per bundle
 
 
@@ -197,7 +216,7 @@ def read_archives(spark: SparkSession, bundles: DataFrame, folder: str, key: str
         for batch in batches:
             for number in batch.column("bundle").to_pylist():
                 out = []
-                for frame, at, headers, block in Bundle(files, f"{path}/{number:06d}").records():
+                for frame, at, headers, block in Bundle(files, f"{path}/{number}").records():
                     kind, (http, _, payload) = headers["WARC-Type"], block.partition(b"\r\n\r\n")
                     digest = base64.b32decode(headers["WARC-Payload-Digest"].partition(":")[2]).hex()
                     size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
@@ -212,12 +231,12 @@ def read_archives(spark: SparkSession, bundles: DataFrame, folder: str, key: str
                     yield _batch(out)
 
     listed = bundles.select("bundle").repartition(max(1, bundles.count()), "bundle")
-    fields = "page long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, bundle long, frame long, place long"
+    fields = "page long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, bundle string, frame long, place long"
     return listed.mapInArrow(work, fields).withColumnRenamed("page", key)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
     names = ["page", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "bundle", "frame", "place"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 

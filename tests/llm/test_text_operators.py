@@ -566,9 +566,9 @@ def test_archives(spark):
     files, path = warc.opened(folder)
     seen = 0
     for b in bundles.collect():
-        bundle = warc.Bundle(files, f"{path}/{b['bundle']:06d}")
+        bundle = warc.Bundle(files, f"{path}/{b['bundle']}")
         assert len(bundle.frames) == b["frames"]
-        with open(f"{path}/{b['bundle']:06d}.warc.zst", "rb") as f:  # any reader takes the frames, and skips the table
+        with open(f"{path}/{b['bundle']}.warc.zst", "rb") as f:  # any reader takes the frames, and skips the table
             whole = zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read()
         assert whole.count(b"WARC-Record-ID") == b["records"]
         for r in got:
@@ -576,10 +576,32 @@ def test_archives(spark):
                 headers, _ = bundle.read(r["page_id"])
                 assert headers["WARC-Type"] == r["record_type"]
                 seen += 1
+        with pytest.raises(KeyError):
+            bundle.read(99)
     assert seen == len(rows) - 1
     assert warc.archived(pages.limit(0)).count() == 0
 
 
+def test_archives_of_a_repeated_attempt(spark):
+    """Files that another attempt of the same tasks leaves in the folder are not mixed with the listed ones."""
+    rows = [(i, f"http://{i}", "p" * (i % 7) + "x" * 1100 * (i % 3)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = fresh_path(spark, "warc")
+    lost = warc.write_archives(pages.orderBy(F.desc("page_id")).repartition(4), folder)
+    ended = warc.write_archives(pages.repartition(3), folder)
+    got = warc.read_archives(spark, ended, folder).collect()
+    assert sorted((r["page_id"], r["payload_bytes"]) for r in got) == [(i, len(t)) for i, _, t in rows]
+    assert not {r["bundle"] for r in lost.collect()} & {r["bundle"] for r in ended.collect()}
+    files, path = warc.opened(folder)
+    first = ended.first()["bundle"]
+    other = lost.first()["bundle"]
+    with files.open_input_file(f"{path}/{other}.index") as f:
+        mixed = f.readall()
+    warc.put(files, f"{path}/{first}.index", [mixed])
+    with pytest.raises((ValueError, IndexError)):  # an index beside a foreign bundle is noticed
+        list(warc.Bundle(files, f"{path}/{first}").records())
+
+
 # ---------------------------------------------------------------------- registered queries
 
 
