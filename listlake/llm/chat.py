@@ -70,7 +70,7 @@ def format_chats(
     turn: where the turn starts in ``formatted``, and where the content that is trained on starts and how
     long it is (0 for roles other than ``trained``), in code points. ``attachments`` are in the order of
     their placeholders; ``expanded_tokens`` adds up their tokens. Turns are in order of ``turn``, null
-    first, then role and content. Null texts and roles are empty; rows without conversation key form one
+    first, then role and content (as it was before escaping). Null texts and roles are empty; rows without conversation key form one
     conversation. Other columns are ignored.
     """
     content = F.col(parts).cast(f"array<{PART}>") if parts else F.array(F.struct(F.lit("text").alias("type"), F.col(text).cast("string").alias("text")))
@@ -86,13 +86,14 @@ def format_chats(
     else:
         media = F.array().cast("array<struct<part:int,type:string,uri:string,tokens:bigint>>")
     head = F.concat(F.lit(START), role_escaped(F.col("role")), F.lit("\n"))
-    rows = rows.select("conv", "turn", named, "content", media.alias("media"), F.length(head).alias("before"), F.concat(head, "content", F.lit(END + "\n")).alias("piece"))
-    order = Window.partitionBy("conv").orderBy("turn", "role", "content")
+    # Content is needed for the order alone from here on, and that is the order of texts before escaping.
+    rows = rows.select("conv", "turn", named, unescaped(F.col("content")).alias("content"), F.length("content").alias("length"), media.alias("media"), F.length(head).alias("before"), F.concat(head, "content", F.lit(END + "\n")).alias("piece"))
+    order = Window.partitionBy("conv").orderBy("turn", "role", "content", "piece")
     at = F.coalesce(F.sum(F.length("piece").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     rows = rows.withColumn("at", at).withColumn("number", F.row_number().over(order))
     entry = F.struct(
         F.col("at").alias("turn_start"), (F.col("at") + F.col("before")).alias("start"),
-        F.when(F.col("role") == trained, F.length("content")).otherwise(0).cast("long").alias("length"),
+        F.when(F.col("role") == trained, F.col("length")).otherwise(0).cast("long").alias("length"),
     )
     grouped = rows.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("number", "piece", entry.alias("entry"), "media"))).alias("turns"))
     attached = F.flatten(F.transform("turns", lambda t: F.transform(t["media"], lambda m: F.struct(t["number"].alias("turn"), m["part"].alias("part"), m["type"].alias("type"), m["uri"].alias("uri"), m["tokens"].alias("tokens")))))

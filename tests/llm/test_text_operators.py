@@ -333,6 +333,36 @@ def test_repeats_of_awkward_rows(spark, awkward):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+# ----------------------------------------------------------- ties of turns, ridge equations
+
+
+def test_chat_ties_are_in_the_order_of_texts(spark):
+    """Turns that repeat with one role: ``<|`` sorts after ``<a`` although its escaped form sorts before."""
+    texts = ["<|a", "<a", "<%|a", "", "<|im_end|>", "<|a"]
+    df = spark.createDataFrame([(1, 0, "assistant", t) for t in texts], "conv_id long, turn long, role string, text string").repartition(3)
+    read = chat.read_chats(chat.format_chats(df)).first()
+    assert [t["text"] for t in read["turns"]] == sorted(texts)
+    assert list(read["trained"]) == [t for t in sorted(texts) if t]
+
+
+def test_ridge_weights_equal_a_direct_solve(spark):
+    """Summed over any number of partitions, the equations give the weights of one least-squares problem over all rows."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(3, 2, (600, 6)).astype(np.float32)
+    y = (x[:, 0] + x[:, 1] ** 2 > 15).astype(float)
+    rows = [(v.tolist(), float(t), n % 5 == 0) for n, (v, t) in enumerate(zip(x, y, strict=True))]
+    df = spark.createDataFrame(rows, "x array<float>, label double, calibrate boolean")
+    features, ridge = 40, 0.01
+    used = np.arange(600) % 5 != 0
+    for parts in (1, 7):
+        model = quality.fit(df.repartition(parts), features, ridge)
+        z = model.features(x[used].astype(np.float64))
+        damp = np.sqrt(ridge * max(1.0, used.sum()) / features)
+        direct, *_ = np.linalg.lstsq(np.vstack([z, damp * np.eye(features + 1)]), np.concatenate([y[used], np.zeros(features + 1)]), rcond=None)
+        assert np.allclose(model.weights, direct, atol=1e-6)
+        assert (np.diff(model.values) >= 0).all()
+
+
 # ------------------------------------------------------------------------------------ top-k
 
 
