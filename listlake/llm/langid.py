@@ -144,12 +144,21 @@ def parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(samples)
 
 
+def shared_out(parts: list[str], most: int) -> str:
+    """The beginnings of all parts, ``most`` characters or fewer together: equal shares, what short parts leave goes to the longer."""
+    lengths, left = [0] * len(parts), most - len(parts)
+    for done, n in enumerate(sorted(range(len(parts)), key=lambda n: len(parts[n]))):
+        lengths[n] = max(0, min(len(parts[n]), left // (len(parts) - done)))
+        left -= lengths[n]
+    return " ".join(x[:n] for x, n in zip(parts, lengths, strict=True))
+
+
 def learn(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = ROWS, sample: int = SAMPLE, piece: int = FROM_A_ROW
 ) -> tuple[tuple[str, str], ...]:
     """``(language, sample)`` of each label, in code-point order; about ``sample`` characters each.
 
-    The rows with the smallest hashes of each label, at most ``rows``, give a part from their middle each.
+    The rows with the smallest hashes of each label, at most ``rows``, give a part from their middle each, none more than its share of ``sample`` unless others are shorter.
     """
     marked = docs.select(F.col(key).cast("long").alias("id"), F.col(lang).cast("string").alias("lang")).filter("lang is not null")
     counts = {r["lang"]: r["count"] for r in marked.groupBy("lang").count().collect()}  # a row per label
@@ -167,7 +176,7 @@ def learn(
     by_lang: dict[str, list[str]] = {}
     for r in sorted(picked.dropDuplicates(["lang", "id"]).collect(), key=lambda r: (r["lang"], r["id"])):
         by_lang.setdefault(r["lang"], []).append(r["text"])
-    return tuple((name, " ".join(parts)[:sample]) for name, parts in sorted(by_lang.items()))
+    return tuple((name, shared_out(parts, sample)) for name, parts in sorted(by_lang.items()))
 
 
 def predict_languages(

@@ -333,6 +333,13 @@ def test_repeats_of_awkward_rows(spark, awkward):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_all_rows_share_a_language_sample():
+    parts = ["a" * 100, "b" * 3, "", "c" * 100, "d" * 100]
+    out = langid.shared_out(parts, 110)
+    assert len(out) <= 110 and [len(x) for x in out.split(" ")] == [34, 3, 0, 34, 34]
+    assert langid.shared_out(["ab", "c"], 20_000) == "ab c" and langid.shared_out([], 10) == ""
+
+
 # ----------------------------------------------------------- ties of turns, ridge equations
 
 
