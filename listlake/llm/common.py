@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from listlake.operators.joins import unused
 
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings for the time of a write. Shuffle files of the write go at once; a Python worker gets a few MB of rows
+#: at a time, as 10,000 long texts are too much for each of an executor's workers and for its own buffers.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 #: Bytes between words: space and the control characters 0x09 to 0x0D.
 SPACES = np.zeros(256, bool)
 SPACES[[32, 9, 10, 11, 12, 13]] = True
@@ -48,12 +53,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     The shuffle files of the write are of no use afterwards and go at once.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
-    before = spark.conf.get(CLEAN_UP)
-    spark.conf.set(CLEAN_UP, "true")
+    before = {key: spark.conf.get(key) for key in WRITING}
     try:
+        for key, value in WRITING.items():
+            spark.conf.set(key, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEAN_UP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     out = spark.read.schema(df.schema).parquet(path)
     out.saved_path = path
     return out
@@ -113,8 +120,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of at most about ``most`` bytes of text, or of one row."""
+def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most about ``most`` bytes of text, or of one row.
+
+    Hashing words takes some 50 bytes of memory for each byte of a piece, in every worker of an executor.
+    """
     for batch in batches:
         at = np.cumsum([0, *(len(x.as_buffer()) if x.is_valid else 0 for x in batch.column(text))])
         start = 0

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from listlake.llm import decontam, mixing, near_dup, quality
-from listlake.llm.common import saved, table
+from listlake.llm.common import saved, slices, table, utf8
 from listlake.llm.queries import tokenizer_path
 from pyspark.sql import functions as F
 
@@ -151,3 +153,36 @@ def test_rows_without_a_key_are_mixed_one_by_one(spark):
         taken[r["source"]] += len(r["text"].split())
     assert all(abs(taken[s] - t) <= 0.01 * t + 30 for s, t in wanted.items())
     assert mixing.mix_rows(docs).columns == docs.columns
+
+
+def test_stages_hold_a_small_piece_of_a_batch():
+    """What a worker needs for shingles or statistics stays small on a batch of many texts, and its rows do not depend on the pieces."""
+    rng = random.Random(5)
+    vocabulary = [prose(rng, 1) for _ in range(900)]
+    batch = pa.RecordBatch.from_arrays([pa.array([prose(rng, 400, vocabulary) for _ in range(2_000)])], ["text"])
+    for work in (lambda x: near_dup.shingles(*x, 5), lambda x: [*quality.measures(*x)]):
+        tracemalloc.start()
+        try:
+            for piece in slices([batch], "text"):
+                work(utf8(piece.column("text")))
+            assert tracemalloc.get_traced_memory()[1] <= 100e6
+        finally:
+            tracemalloc.stop()
+        few, all_ = ([r for x in slices([batch.slice(0, 300)], "text", most) for r in work(utf8(x.column("text")))] for most in (100_000, 1 << 30))
+        assert all(np.array_equal(a, b) for a, b in zip(few, all_, strict=True))
+
+
+def test_saved_sends_a_few_megabytes_to_a_worker(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64m")  # Spark's own
+    try:
+        rows = spark.range(0, 3_000, 1, 1).select(F.repeat(F.lit("x"), 4_000).alias("text"))
+        assert saved(rows.mapInArrow(sizes, "n long"), "sizes").agg(F.max("n")).first()[0] <= 5 << 20
+        assert spark.conf.get(key) == "64m"
+    finally:
+        spark.conf.set(key, before)
