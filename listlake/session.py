@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     # A merge looks for its keys in the lake through a Bloom filter, also where the source is too large for a
     # broadcast; the filter itself has a bounded number of bits.
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    # A Python worker gets a few MB of rows at a time: 10,000 pages can be large, and an executor has a worker for
+    # each core. Only a single row may be larger.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -2,12 +2,14 @@
 
 import random
 import time
+import tracemalloc
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from listlake.functions.html import Extract, Field, Selector, read_page
+from listlake.functions.html import Extract, Field, Selector, extract, pieces, read_page, read_pages
 from listlake.operators import pages as P
 from listlake.schemas import DETAIL_ROWS, LIST_ROWS, PAGES
 
@@ -253,3 +255,40 @@ def test_attach_and_union(spark, rows):
 def test_page_operators_do_not_shuffle(spark):
     plan = P.parse_list_page(page_table(spark, "")).select(F.col("job_title"))._jdf.queryExecution().toString()
     assert "Exchange" not in plan  # one narrow stage
+
+
+def test_pages_of_a_batch_are_read_in_pieces():
+    """Ten times the pages in a batch take no more memory to read; a page above the size of a piece is whole."""
+    page = "<li>" + "語 " * 5_000 + "</li>"
+    given = {"records": P.texts(Selector(tag="li"))}
+
+    def peak(n):
+        batch = pa.array([page] * n, pa.string())
+        tracemalloc.start()
+        try:
+            found = sum(len(x) for x in read_pages(iter([batch]), given))
+            return found, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    few, many = peak(100), peak(1_000)
+    assert (few[0], many[0]) == (100, 1_000)
+    assert many[1] <= 1.5 * few[1]
+    texts = ["a" * 9, None, "", "b", "語" * 20, None, "c" * 4, "d" * 4]
+    cut = [x.to_pylist() for x in pieces(pa.array(texts), 10)]
+    assert [t for x in cut for t in x] == texts
+    assert all(len(x) == 1 or sum(len((t or "").encode()) for t in x) <= 10 for x in cut)
+    assert list(pieces(pa.array([], pa.string()))) == []
+
+
+def test_workers_get_pages_a_few_megabytes_at_a_time(spark):
+    """The settings of every job bound a batch by its bytes; records come back in their rows."""
+    pages = spark.range(0, 3_000, 1, 1).select("id", F.concat(F.lit("<li>"), "id", F.lit("</li>"), F.repeat(F.lit("x"), 4_000)).alias("html"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    assert pages.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] <= 5 << 20
+    read = pages.select("id", extract(F.col("html"), {"x": P.texts(Selector(tag="li"))})["x"]["value"].alias("x"))
+    assert [(r["id"], r["x"]) for r in read.orderBy("id").collect()] == [(i, [str(i)]) for i in range(3_000)]
