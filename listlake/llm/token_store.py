@@ -20,17 +20,17 @@ from __future__ import annotations
 
 import contextlib
 import os
-import re
+import string
 import struct
-import sys
 import uuid
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ from listlake.llm.common import fresh_path, mix, runs, slices
 
 MAGIC = b"TOKSTOR1"
 TOKENIZER = "word_bpe_49k.json"
-#: Bits of a level for each key that enters it, words kept by a worker, and rows of a shard aimed at.
+#: Bits of a level for each key that enters it, pieces of words kept by a worker, and rows of a shard aimed at.
 GAMMA = 2.0
 CACHE = 400_000
 SHARD_ROWS = 8_000
@@ -170,81 +170,124 @@ class Shard:
 
 
 #: Letters that stay one letter when they are normalised and lower-cased, and marks that may follow them.
-SIMPLE = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
+STEM = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"
+SIMPLE = f"^{STEM}[!-/:-@\\[-`{{-~]*$"
 
 
-def byte_letters() -> dict[int, str]:
+def byte_letters() -> np.ndarray:
     """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, then from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     rest = [b for b in range(256) if b not in shown]
-    return {b: chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)}
+    return np.array([b if b in shown else 256 + rest.index(b) for b in range(256)], "<u4")
+
+
+def gathered(values: np.ndarray, places: np.ndarray, rows: np.ndarray, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the given rows one after the other, and their places; row i has those from ``places[i]`` to ``places[i + 1]``."""
+    at = np.zeros(len(rows) + 1, np.int64)
+    np.cumsum(places[rows + 1] - places[rows], out=at[1:])
+    out = np.empty(at[-1], values.dtype)
+    for a in range(0, len(rows), most):
+        z = min(a + most, len(rows))
+        start = np.repeat(places[rows[a:z]] - at[a:z], np.diff(at[a : z + 1]))
+        out[at[a] : at[z]] = values[start + np.arange(at[a], at[z])]
+    return out, at
 
 
 class Encoder:
     """The tokenizer, with the ids of words seen before.
 
     Its normaliser and pattern never join characters over a space or line feed, so a text's ids are its
-    words' ids in order; texts with special token strings are split the same way. New words of plain
+    words' ids in order; texts with special token strings are split the same way. Words of plain
     letters go straight to the library's model, in lower case and as byte letters, as they are one piece
     to its pattern; marks after them are another. All other words take the library's whole way.
+    Arrow splits the texts and finds the different words of a batch, so that Python meets each once.
     """
 
     def __init__(self, path: str, end_id: int | None = None, cache: int = CACHE):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache, self.letters = Tokenizer.from_file(path), cache, byte_letters()
-        self.model = self.tokenizer.model
+        self.tokenizer, self.cache, self.end_id = Tokenizer.from_file(path), cache, end_id
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.letters[32] = 32  # stays between stems
         most = max([*self.tokenizer.get_vocab(with_added_tokens=True).values(), end_id or 0])
         self.kind = "<u2" if most < 1 << 16 else "<u4"
-        self.code = "H" if most < 1 << 16 else "I"
-        self.end = b"" if end_id is None else self._bytes([end_id])
-        self.known: dict[str, bytes] = {"": b""}
+        self._forget()
         # A tokenizer that works in another way takes the whole way for every word.
         probe = ["Héllo", "abc", "Straße", "onTHE"]
-        ids = [e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
-        self.direct = ids == [self._direct(w.lower()) for w in probe]
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        out = array(self.code, ids)
-        if sys.byteorder == "big":
-            out.byteswap()
-        return out.tobytes()
-
-    def _direct(self, stem: str) -> list[int]:
-        word = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(word)]
-
-    def _each(self, words: list[str]) -> None:
+        (whole, sizes), (direct, same) = self._whole(probe), self._direct([w.lower() for w in probe])
+        self.direct = sizes.tolist() == same.tolist() and whole.tolist() == direct.tolist()
+
+    def _forget(self) -> None:
+        """Piece n has the ids from ``places[n]`` to ``places[n + 1]``; piece 0 is the empty one."""
+        self.known, self.ids, self.places = {"": 0}, np.zeros(0, self.kind), np.zeros(2, np.int64)
+
+    def _direct(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all stems by the model alone, and how many each has."""
+        text = self.letters[np.frombuffer(" ".join(stems).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        ids, sizes, tokenize = [], [], self.model.tokenize
+        for stem in text.split(" "):
+            found = [t.id for t in tokenize(stem)]
+            ids += found
+            sizes.append(len(found))
+        return np.array(ids, self.kind), np.array(sizes, np.int64)
+
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the whole tokenizer."""
+        ids, sizes = [], []
         for a in range(0, len(words), 5000):
-            part = words[a : a + 5000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = self._bytes(e.ids)
-
-    def _learn(self, fresh: set[str]) -> None:
-        known, rest = self.known, []
-        for word in fresh:
-            match = SIMPLE.fullmatch(word) if self.direct else None
-            if match is None:
-                rest.append(word)
-                continue
-            stem, mark = match.groups()
-            stem = stem.lower()
-            ids = known.get(stem)
-            if ids is None:
-                ids = known[stem] = self._bytes(self._direct(stem))
-            if mark and mark not in known:
-                self._each([mark])
-            known[word] = ids + known[mark]
-        self._each(rest)
+            for e in self.tokenizer.encode_batch_fast(words[a : a + 5000], add_special_tokens=False):
+                ids += e.ids
+                sizes.append(len(e))
+        return np.array(ids, self.kind), np.array(sizes, np.int64)
+
+    def _numbers(self, pieces: pa.Array, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The number of each of some different pieces; ``learn`` encodes the new ones."""
+        texts = pieces.to_numpy(zero_copy_only=False).tolist()
+        out = np.array(list(map(self.known.get, texts, repeat(-1))), np.int64)
+        fresh = np.flatnonzero(out < 0)
+        if len(fresh):
+            new, first = [texts[i] for i in fresh.tolist()], len(self.places) - 1
+            ids, sizes = learn(new)
+            out[fresh] = np.arange(first, first + len(new))
+            self.known.update(zip(new, range(first, first + len(new)), strict=True))
+            self.ids = np.concatenate([self.ids, ids])
+            self.places = np.concatenate([self.places, self.places[-1] + np.cumsum(sizes)])
+        return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _pieces(self, words: pa.Array) -> np.ndarray:
+        """The numbers of the two pieces of each of some different words; the second may be the empty one."""
+        out = np.zeros((len(words), 2), np.int64)
+        simple = np.zeros(len(words), bool)
+        if self.direct:
+            simple = pc.match_substring_regex(words, SIMPLE).to_numpy(zero_copy_only=False)
+            own, at = words.filter(pa.array(simple)), np.flatnonzero(simple)
+            stems = pc.ascii_rtrim(own, string.punctuation)
+            marked = np.flatnonzero(pc.not_equal(pc.binary_length(own), pc.binary_length(stems)).to_numpy(zero_copy_only=False))
+            stems = pc.utf8_lower(stems).dictionary_encode()
+            marks = pc.replace_substring_regex(own.take(pa.array(marked)), f"^{STEM}", "").dictionary_encode()
+            out[at, 0] = self._numbers(stems.dictionary, self._direct)[stems.indices.to_numpy()]
+            out[at[marked], 1] = self._numbers(marks.dictionary, self._whole)[marks.indices.to_numpy()]
+        out[~simple, 0] = self._numbers(words.filter(pa.array(~simple)), self._whole)
+        return out
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
         """The ids of each text and the end id, as bytes."""
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > self.cache:
-            self.known = {"": b""}
-        self._learn(set().union(*parts).difference(self.known))
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) + self.end for p in parts]
+            self._forget()
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        pieces = self._pieces(words.dictionary)
+        ids, places = gathered(self.ids, self.places, pieces.ravel())
+        ids, places = gathered(ids, places[::2], words.indices.to_numpy())
+        ends = places[np.cumsum(split.value_lengths().to_numpy())]
+        if self.end_id is not None:
+            ids = np.insert(ids, ends, self.end_id)
+            ends = ends + np.arange(1, len(ends) + 1)
+        at = np.concatenate([[0], ends]) * ids.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(ids)]).cast(pa.binary())
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        return self.encode_column(pa.array(texts, pa.string())).to_pylist()
 
 
 @lru_cache(maxsize=2)
@@ -270,7 +313,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int | None, folder: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(tokenizer, end_id)
         for batch in slices(batches, "text"):
-            ids = pa.array(codec.encode(batch.column("text").to_pylist()), pa.binary())
+            ids = codec.encode_column(batch.column("text"))
             shard = np.searchsorted(bounds, batch.column("id").fill_null(np.iinfo(np.int64).min).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), batch.column("id"), ids], ["shard", "id", "ids"])
 

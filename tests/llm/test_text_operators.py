@@ -162,6 +162,41 @@ def test_keyed_access(spark):
         assert (shard.records(keys + 1) == -1).all()
 
 
+def forms(stems):
+    return [a + mark for x in stems for a in (x, x.title(), x.upper()) for mark in ("", ".", ",", "!?")]
+
+
+def test_words_of_one_stem_take_python_one_step():
+    """Calls that Python makes for 12 forms of each new word: fewer than there are forms."""
+    import sys
+
+    rng, seen = random.Random(8), []
+    words = forms("".join(rng.choice("abdeilmnorstuéö") for _ in range(11)) for _ in range(1000))
+    codec = token_store.Encoder(tokenizer_path(), 2)
+    codec.encode(["begin"])
+    sys.setprofile(lambda frame, event, arg: seen.append(event) if event in ("call", "c_call") else None)
+    try:
+        codec.encode([" ".join(words)])
+    finally:
+        sys.setprofile(None)
+    assert len(seen) < len(words)
+
+
+@pytest.mark.parametrize(("end_id", "cache"), [(2, 400_000), (2, 10), (None, 10), (70_000, 400_000)])
+def test_encoder_equals_whole_texts(end_id, cache):
+    """Odd words, in batches that find words known, new or forgotten; marks, capitals and letters outside of Latin-1 among them."""
+    from tokenizers import Tokenizer
+
+    rng, tokenizer = random.Random(5), Tokenizer.from_file(tokenizer_path())
+    odd = ["", "'s", "it's", "<|endoftext|>", "a<|endoftext|>b", "\u212a", "\u0130", "e\u0301", "\u0301", "\xd7", "\xaa", "\r", "\t", "\u3000", "\u6f22", "7", "a7.", ".a", "...", "\x00"]
+    odd += forms(["stra\xdfe", "\xe0\xf6\xf8\xff\xfe", "the"]) + [chr(c) + "." for c in range(0xA0, 0x100)]
+    texts = [None, "", "\n", *("".join(rng.choice(odd) + rng.choice([" ", "\n", "", "  "]) for _ in range(rng.randint(0, 30))) for _ in range(300))]
+    codec = token_store.Encoder(tokenizer_path(), end_id, cache)
+    got = [x for a in range(0, len(texts), 40) for x in codec.encode(texts[a : a + 40])]
+    own = [] if end_id is None else [end_id]
+    assert got == [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, *own], codec.kind).tobytes() for t in texts]
+
+
 def test_token_output_of_no_rows(spark, awkward):
     assert token_store.token_output(docs_of(spark, awkward).limit(0), tokenizer_path(), 2).count() == 0
 
