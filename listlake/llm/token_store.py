@@ -211,15 +211,21 @@ class Encoder:
         self.letters[32] = 32  # stays between stems
         most = max([*self.tokenizer.get_vocab(with_added_tokens=True).values(), end_id or 0])
         self.kind = "<u2" if most < 1 << 16 else "<u4"
-        self._forget()
+        # Piece n has the ids from places[n] to places[n + 1], and is the n-th known; piece 0 is the empty one.
+        self.known, self.ids, self.places, self.again = {"": 0}, np.zeros(0, self.kind), np.zeros(2, np.int64), np.zeros(1, bool)
         # A tokenizer that works in another way takes the whole way for every word.
         probe = ["Héllo", "abc", "Straße", "onTHE"]
         (whole, sizes), (direct, same) = self._whole(probe), self._direct([w.lower() for w in probe])
         self.direct = sizes.tolist() == same.tolist() and whole.tolist() == direct.tolist()
 
     def _forget(self) -> None:
-        """Piece n has the ids from ``places[n]`` to ``places[n + 1]``; piece 0 is the empty one."""
-        self.known, self.ids, self.places = {"": 0}, np.zeros(0, self.kind), np.zeros(2, np.int64)
+        """Keeps the pieces that came again since the last time; none, if they are too many."""
+        kept = np.flatnonzero(self.again[1:]) + 1
+        kept = np.concatenate([[0], kept[: len(kept) * (2 * len(kept) <= self.cache)]])
+        texts = list(self.known)
+        self.known = {texts[n]: i for i, n in enumerate(kept.tolist())}
+        self.ids, self.places = gathered(self.ids, self.places, kept)
+        self.again = np.zeros(len(kept), bool)
 
     def _direct(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all stems by the model alone, and how many each has."""
@@ -245,6 +251,7 @@ class Encoder:
         texts = pieces.to_numpy(zero_copy_only=False).tolist()
         out = np.array(list(map(self.known.get, texts, repeat(-1))), np.int64)
         fresh = np.flatnonzero(out < 0)
+        self.again[out[out >= 0]] = True
         if len(fresh):
             new, first = [texts[i] for i in fresh.tolist()], len(self.places) - 1
             ids, sizes = learn(new)
@@ -252,6 +259,7 @@ class Encoder:
             self.known.update(zip(new, range(first, first + len(new)), strict=True))
             self.ids = np.concatenate([self.ids, ids])
             self.places = np.concatenate([self.places, self.places[-1] + np.cumsum(sizes)])
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
         return out
 
     def _pieces(self, words: pa.Array) -> np.ndarray:

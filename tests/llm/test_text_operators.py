@@ -197,6 +197,13 @@ def test_encoder_equals_whole_texts(end_id, cache):
     assert got == [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, *own], codec.kind).tobytes() for t in texts]
 
 
+def test_encoder_keeps_what_came_again():
+    codec, fresh = token_store.Encoder(tokenizer_path(), 2, 8), token_store.Encoder(tokenizer_path(), 2)
+    for text in ("alpha beta gamma delta eta", "alpha beta zeta theta iota", "beta kappa alpha mu"):
+        assert codec.encode([text, text]) == fresh.encode([text]) * 2
+    assert list(codec.known) == ["", "alpha", "beta", "kappa", "mu"]
+
+
 def test_token_output_of_no_rows(spark, awkward):
     assert token_store.token_output(docs_of(spark, awkward).limit(0), tokenizer_path(), 2).count() == 0
 
