@@ -12,18 +12,20 @@ class DuplicateKeyError(ValueError):
     """The source of an upsert holds a key more than once, or a NULL key."""
 
 
-def last_per_key(source: DataFrame, key: str, order: list[str]) -> DataFrame:
+def last_per_key(source: DataFrame, key: str, order: list[str], nulls: bool = True) -> DataFrame:
     """One row per key: the greatest by ``order``, then by the other columns, so that the choice is
     the same in every run.
 
     An aggregate rather than ``row_number``: copies of a hot key collapse inside each task before
-    the shuffle. Rows with a NULL key are no copies of each other and all stay.
+    the shuffle. Rows with a NULL key are no copies of each other and all stay; without ``nulls``, for callers that
+    allow none, they are like any other key, and the source is read once and not twice.
     """
     rest = [c for c in source.columns if c != key and c not in order]
     row = F.struct(*[c for c in order if c != key], *rest)
-    keyed = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(row).alias("_row"))
+    some = source.where(F.col(key).isNotNull()) if nulls else source
+    keyed = some.groupBy(key).agg(F.max(row).alias("_row"))
     out = keyed.select(key, "_row.*").select(*source.columns)
-    return out.unionByName(source.where(F.col(key).isNull()))
+    return out.unionByName(source.where(F.col(key).isNull())) if nulls else out
 
 
 def check_keys(source: DataFrame, key: str) -> None:
@@ -59,7 +61,7 @@ def marked_keys(source: DataFrame, key: str, day: str, repeated: bool = True) ->
 def dedupe_source(
     source: DataFrame, key: str, on_duplicate: str = "error", order: list[str] | None = None, check: bool = True
 ) -> DataFrame:
-    """Guard the merge rule "one source row per key". Without ``check`` the caller does it."""
+    """Guard the merge rule "one source row per key". Without ``check`` the caller does it, a NULL key included."""
     if on_duplicate == "error":
         if check:
             check_source(source, key)
@@ -67,7 +69,7 @@ def dedupe_source(
     if on_duplicate == "last":
         if check:
             check_keys(source, key)
-        return last_per_key(source, key, order or [])
+        return last_per_key(source, key, order or [], nulls=False)
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from listlake.operators.upsert import DuplicateKeyError, dedupe_source, marked_keys, upsert_rows
 from listlake.schemas import LAKE, LAKE_DAY, LAKE_KEY
+from listlake.session import discard
 
 MANIFEST = T.StructType(
     [
@@ -38,6 +39,9 @@ MANIFEST = T.StructType(
     ]
 )
 
+# A working table's writer holds a group of rows for each task, and so does whoever reads it.
+GROUP_BYTES = 16 << 20
+
 
 class LakeTable:
     def __init__(
@@ -86,6 +90,25 @@ class LakeTable:
         """The current version. A filter on the day prunes folders."""
         return self._read(self._manifest()[1])
 
+    def set_aside(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """The rows as a working table beside the lake's data, and its path, which the caller discards.
+
+        Rows that several jobs read are stored and not cached: a cache of whole texts fills the executors'
+        memory, and its blocks leave it and come back in one piece. Of a stored table each job reads the columns
+        that it needs, a group of rows at a time.
+        """
+        path = f"{self.root}/work/{uuid.uuid4().hex}"
+        known = {f.name: f.dataType for f in self.schema}
+        # Files have no column of NULLs without a type; the lake knows what it would be.
+        untyped = [f.name for f in df.schema if f.name in known and "void" in f.dataType.simpleString()]
+        df = df.withColumns({c: F.col(c).cast(known[c]) for c in untyped}) if untyped else df
+        try:
+            df.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
+        except Exception:
+            discard(self.spark, path)
+            raise
+        return self.spark.read.schema(df.schema).parquet(path), path
+
     def _distinct_days(self, df: DataFrame) -> set[date | None]:
         # One value per day of the table's life.
         return {r[0] for r in df.select(self.day).distinct().collect()}
@@ -127,18 +150,19 @@ class LakeTable:
         """Upsert ``source`` and return the new version.
 
         Days that hold a matched row or receive one are rewritten, no others. The search for matched
-        rows reads the key column only. ``batch`` names the stream and batch that ``source`` is: it is
+        rows reads the key column only. The source is computed once, into a working table that is gone when the
+        merge ends, unless the caller has cached it. ``batch`` names the stream and batch that ``source`` is: it is
         stored with the version, and a batch that was merged before is left out without reading it.
         """
         version, folders, batches = self._manifest()
         if batch and batches.get(batch[0], -1) >= batch[1]:
             return version
         names = self.schema.names
-        cached = source.is_cached
-        source = source.select(*names, *[c for c in order or [] if c not in names])
-        source = source if cached else source.persist()
+        rows = source.select(*names, *[c for c in order or [] if c not in names])
+        unique = dedupe_source(rows, self.key, on_duplicate, order, check=False).select(*names)
+        # What the caller has cached is read from there; anything else is computed once.
+        unique, aside = (unique, None) if source.is_cached else self.set_aside(unique)
         try:
-            unique = dedupe_source(source, self.key, on_duplicate, order, check=False).select(*names)
             # One job finds the days and, on the way, the source's faults. Keys of a source that may
             # repeat them have been reduced to one row, whose day counts.
             keys = marked_keys(unique, self.key, self.day, repeated=on_duplicate == "error")
@@ -155,8 +179,8 @@ class LakeTable:
             # Rebalance brings the rows of a day together, yet cuts a hot day into several files.
             merged.hint("rebalance", self.day).write.partitionBy(self.day).parquet(path)
         finally:
-            if not cached:
-                source.unpersist()
+            if aside:
+                discard(self.spark, aside)
 
         written = self.spark.read.schema(self.schema).parquet(path)
         entries = {d: v for d, v in folders.items() if d not in touched}

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from listlake.operators.rejects import records, split_rejects, store_rejects
 from listlake.operators.runs import append_run, run_record
 from listlake.schemas import LAKE
+from listlake.session import discard
 from listlake.sources.daily_csv import LENIENT, MIN_BYTES, REJECT, with_rejects
 from listlake.sources.lake import LakeTable
 
@@ -115,7 +116,8 @@ def stream_file_ingest(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch = batch.persist()
+        # Files are parsed once; the records are read several times, so they are stored.
+        batch, aside = lake.set_aside(batch)
         try:
             good, bad = split_rejects(batch, schema, lake.key, ORDER, "_file", files_per_batch)
             lost = store_rejects(bad, f"{beside}/query={query}/batch={batch_id}")
@@ -125,7 +127,7 @@ def stream_file_ingest(
             if after_merge:
                 after_merge(good, batch_id)
         finally:
-            batch.unpersist()
+            discard(spark, aside)
 
     rows = stream_day_files(spark, raw_root, schema, files_per_batch).observe(SEEN, *records(schema))
     writer = rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

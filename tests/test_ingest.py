@@ -489,6 +489,54 @@ def test_streaming_runs_are_recorded(spark, tmp_path):
     assert spark.read.parquet(runs).where("status = 'error' AND message LIKE '%power cut%'").count() == 1
 
 
+def test_a_stream_caches_no_rows(spark, tmp_path, monkeypatch):
+    """While a batch is split and merged its rows are in stored tables, parsed once; these go when it ends."""
+    raw, lake = tmp_path / "raw", LakeTable(spark, str(tmp_path / "lake"))
+    work, cached, stored, matched = tmp_path / "lake/work", [], [], LakeTable.matched
+
+    def watched(self, *args):
+        cached.append(set(spark.sparkContext._jsc.sc().getPersistentRDDs().keySet().mkString(",").split(",")))
+        stored.append(len(os.listdir(work)) if work.exists() else 0)
+        return matched(self, *args)
+
+    before = set(spark.sparkContext._jsc.sc().getPersistentRDDs().keySet().mkString(",").split(","))
+    monkeypatch.setattr(LakeTable, "matched", watched)
+    twice = [line("/1", "2024-10-01", "a"), line("/1", "2024-10-01", "b"), line("", "2024-10-01")]
+    write_file(raw, D[0], "a.csv", "\n".join([HEADER, *twice]) + "\n")
+    stream_file_ingest(spark, str(raw), lake, str(tmp_path / "cp")).awaitTermination()
+    assert links(lake.read()) == [("/1", D[0], "b")]
+    assert len(cached) == 1 and cached[0] <= before and stored == [2]  # the batch and the merge's source
+    assert os.listdir(work) == []
+
+    def die(batch, i):
+        raise RuntimeError("power cut")
+
+    write_file(raw, D[1], "b.csv", "\n".join([HEADER, line("/2", "2024-10-02")]) + "\n")
+    with pytest.raises(Exception, match="power cut"):
+        stream_file_ingest(spark, str(raw), lake, str(tmp_path / "cp"), after_merge=die).awaitTermination()
+    assert os.listdir(work) == []
+
+
+def test_a_merge_reads_its_source_once(spark, tmp_path):
+    """Also one with a column of NULLs without a type; a fault in the source leaves no working table."""
+    lake = lake_of(spark, tmp_path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            reads.add(1)
+            yield r
+
+    rows = lake_rows(spark, [listing("/1", D[0], job_title="x"), listing("/2", D[1])])
+    once = spark.createDataFrame(rows.rdd.mapPartitions(counted), LAKE).withColumn("tool", F.lit(None))
+    lake.merge(once, on_duplicate="last", order=["job_title"])
+    assert reads.value == 2 and links(lake.read()) == [("/1", D[0], "x"), ("/2", D[1], None)]
+    assert {r["tool"] for r in lake.read().collect()} == {None}
+    with pytest.raises(DuplicateKeyError):
+        lake.merge(rows.union(rows))
+    assert os.listdir(tmp_path / "lake/work") == []
+
+
 def body(message_id, payload=None, raw=None, **extra):
     data = raw if raw is not None else base64.b64encode(json.dumps(payload).encode()).decode()
     return json.dumps({"message": {"data": data, "messageId": message_id}, "subscription": "s", **extra})
